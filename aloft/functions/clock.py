@@ -40,22 +40,42 @@ def shift(ts: ColumnOrName, interval: str) -> Column:
     return _c(ts) + F.expr(f"INTERVAL {interval}")
 
 
+def epoch_micros(ts: ColumnOrName) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp_ntz wall clock, zone-free.
+
+    Built from date parts, which are naive for timestamp_ntz.
+    (``timestamp_diff``, ``date_trunc`` and ``date_format`` go through the
+    session zone even for timestamp_ntz, so a wall clock inside a DST gap
+    of that zone would move.)
+    """
+    t = _c(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * F.lit(86_400_000_000)
+            + F.hour(t).cast("long") * F.lit(3_600_000_000) + F.minute(t).cast("long") * F.lit(60_000_000)
+            + (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long"))
+
+
+def floor_div(x: Column, d: int) -> Column:
+    """Exact floor division of a long column by a positive constant."""
+    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("long")
+
+
+def trunc_div(x: Column, d: int) -> Column:
+    """Exact division truncated toward zero."""
+    return F.when(x >= 0, floor_div(x, d)).otherwise(-floor_div(-x, d))
+
+
 def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
+
 # Microseconds per unit of the zone-free floor.
 _FLOOR_US = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
 
 def floor_to(ts: ColumnOrName, unit: str) -> Column:
-    """Floor a timestamp_ntz to ``unit`` (second/minute/hour/day) without the session zone.
-
-    ``date_trunc`` goes through a zoned timestamp, so a wall clock inside a
-    DST gap of the session zone would move; this stays naive arithmetic.
-    """
+    """Floor a timestamp_ntz to ``unit`` (second/minute/hour/day), zone-free."""
     step = _FLOOR_US[unit]
-    us = F.timestamp_diff("MICROSECOND", _epoch(), _c(ts))
-    return F.timestamp_add("MICROSECOND", F.floor(us / F.lit(step)) * F.lit(step), _epoch())
+    return F.timestamp_add("MICROSECOND", floor_div(epoch_micros(ts), step) * F.lit(step), _epoch())
 
 
 def hour_start(ts: ColumnOrName) -> Column:
@@ -63,9 +83,15 @@ def hour_start(ts: ColumnOrName) -> Column:
     return floor_to(ts, "hour")
 
 
+def date_label(ts: ColumnOrName) -> Column:
+    """``yyyy-MM-dd`` of a wall clock, zone-free."""
+    return F.to_date(_c(ts)).cast("string")
+
+
 def hour_label(ts: ColumnOrName) -> Column:
-    """Hour-bucket label ``yyyy-MM-dd HH``."""
-    return F.date_format(_c(ts), "yyyy-MM-dd HH")
+    """Hour-bucket label ``yyyy-MM-dd HH`` (X3), zone-free."""
+    t = _c(ts)
+    return F.concat(date_label(t), F.lit(" "), F.lpad(F.hour(t).cast("string"), 2, "0"))
 
 
 def minutes_between(a: ColumnOrName, b: ColumnOrName, wrap_day: bool = False) -> Column:
@@ -75,10 +101,10 @@ def minutes_between(a: ColumnOrName, b: ColumnOrName, wrap_day: bool = False) ->
     reproduces the day-wrapping form (the difference taken modulo 24 h,
     then floored to minutes), so -2 h gives 1320.
     """
+    us = epoch_micros(a) - epoch_micros(b)
     if not wrap_day:
-        return F.timestamp_diff("MINUTE", _c(b), _c(a)).cast("int")
-    us = F.timestamp_diff("MICROSECOND", _c(b), _c(a))
-    return F.floor(F.pmod(us, F.lit(86_400_000_000)) / F.lit(60_000_000)).cast("int")
+        return trunc_div(us, 60_000_000).cast("int")
+    return floor_div(F.pmod(us, F.lit(86_400_000_000)), 60_000_000).cast("int")
 
 
 def to_utc(ts: ColumnOrName, tz: ColumnOrName) -> Column:
@@ -99,4 +125,4 @@ def day_block(ts: ColumnOrName, offset: str = "-150 minutes") -> Column:
     h = F.hour(t)
     block = (F.when(h < 6, BLOCK_NAMES[0]).when(h < 12, BLOCK_NAMES[1])
              .when(h < 18, BLOCK_NAMES[2]).otherwise(BLOCK_NAMES[3]))
-    return F.when(t.isNotNull(), F.concat_ws(" ", F.date_format(t, "yyyy-MM-dd"), block))
+    return F.when(t.isNotNull(), F.concat_ws(" ", date_label(t), block))

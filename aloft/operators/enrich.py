@@ -27,16 +27,19 @@ def attach_timezone(df: DataFrame, state_col: str, city_col: str, state_tz: Data
                     city_tz: DataFrame | None = None, out: str = "TIMEZONE") -> DataFrame:
     """Zone per row: city override first, else the zone of the state (X11).
 
-    ``state_tz`` has columns (state, state_tz), ``city_tz`` (tt_city, tt_tz);
-    both are small inputs joined with left lookups (J5) and coalesced (P14).
+    ``state_tz`` has two columns (state, zone), ``city_tz`` (city, zone);
+    both are small literal inputs, broadcast, joined with left lookups (J5)
+    and coalesced (P14).
     """
-    res = df.join(F.broadcast(state_tz), F.col(state_col) == F.col("state"), "left")
+    st = state_tz.toDF("__st_key", "__st_tz")
+    res = df.join(F.broadcast(st), F.col(state_col) == F.col("__st_key"), "left")
     if city_tz is not None:
-        res = res.join(F.broadcast(city_tz), F.col(city_col) == F.col("tt_city"), "left")
-        res = res.withColumn(out, F.coalesce("tt_tz", "state_tz")).drop("tt_city", "tt_tz")
+        ct = city_tz.toDF("__ct_key", "__ct_tz")
+        res = res.join(F.broadcast(ct), F.col(city_col) == F.col("__ct_key"), "left")
+        res = res.withColumn(out, F.coalesce("__ct_tz", "__st_tz")).drop("__ct_key", "__ct_tz")
     else:
-        res = res.withColumn(out, F.col("state_tz"))
-    return res.drop("state", "state_tz")
+        res = res.withColumn(out, F.col("__st_tz"))
+    return res.drop("__st_key", "__st_tz")
 
 
 def with_utc(df: DataFrame, ts: str, tz: str, out: str) -> DataFrame:

@@ -13,11 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aloft.functions.clock import shift
-
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
+from aloft.functions.clock import epoch_micros, floor_div, shift
 
 # Microseconds per unit of a simple interval literal.
 _UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
@@ -34,8 +30,7 @@ def interval_us(interval: str) -> int:
 
 
 def _bin(ts: Column, width_us: int) -> Column:
-    us = F.timestamp_diff("MICROSECOND", _epoch(), ts)
-    return F.floor(us / F.lit(width_us)).cast("long")
+    return floor_div(epoch_micros(ts), width_us)
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from aloft.operators.summarize import exact_quantiles
+from aloft.operators.summarize import quantiles
 
 
 def _stack(wide: DataFrame, names: Sequence[str], fields: Sequence[str], name_col: str = "column",
@@ -41,10 +41,11 @@ def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def tail_bounds(df: DataFrame, col: str, lo: float = 0.00001, hi: float = 0.99999) -> DataFrame:
     """Outlier bounds on signed halves: quantile ``lo`` of the negative values
-    and quantile ``hi`` of the positive values, exact (A11)."""
+    and quantile ``hi`` of the positive values, exact (A11).  Two huge groups:
+    the size check picks the distributed quantile path at scale."""
     signed = df.select(F.col(col)).withColumn("side", F.when(F.col(col) < 0, F.lit("neg"))
                                                .when(F.col(col) > 0, F.lit("pos")))
-    q = exact_quantiles(signed.where(F.col("side").isNotNull()), col, sorted({lo, hi}), by=["side"])
+    q = quantiles(signed.where(F.col("side").isNotNull()), col, sorted({lo, hi}), by=["side"])
     q = q.where(((F.col("side") == "neg") & (F.col("prob") == lo)) | ((F.col("side") == "pos") & (F.col("prob") == hi)))
     return q.select("side", "prob", F.col("value").alias("bound"))
 
@@ -83,11 +84,11 @@ def conditional_rate(df: DataFrame, given: str, flag: str) -> DataFrame:
 
 
 def box_summary(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Min, quartiles, median, max of each measure per class, exact and
-    distributed (classes are few and huge) (A17)."""
+    """Min, quartiles, median, max of each measure per class, exact.
+    Classes are few and huge: above the size bound the distributed path runs."""
     outs = []
     for c in cols:
-        q = exact_quantiles(df, c, [0.0, 0.25, 0.5, 0.75, 1.0], by=by)
+        q = quantiles(df, c, [0.0, 0.25, 0.5, 0.75, 1.0], by=by)
         outs.append(q.withColumn("measure", F.lit(c)))
     res = outs[0]
     for o in outs[1:]:

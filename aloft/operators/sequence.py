@@ -76,10 +76,12 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
         with_lag = base.withColumn("__prev", F.lag(payload).over(w)) \
                        .withColumn("__first", F.row_number().over(w) == 1)
         if seg is not None:
-            last = (base.where(F.col(entity).isNotNull())
+            # per-segment last event, aggregated on the window's output: it is already
+            # hash-partitioned by (entity, segment), so this aggregate adds no shuffle
+            last = (with_lag.where(F.col(entity).isNotNull())
                     .groupBy(entity, "__seg")
                     .agg(F.max_by(payload, ordkey).alias("__last")))
-            wseg = Window.partitionBy(entity).orderBy("__seg")
+            wseg = Window.partitionBy(entity).orderBy("__seg")  # one row per (entity, segment)
             carry_in = last.select(entity, "__seg", F.lag("__last").over(wseg).alias("__from_prev_seg"))
             with_lag = with_lag.join(carry_in, on=[entity, "__seg"], how="left") \
                 .withColumn("__prev", F.when(F.col("__first"), F.col("__from_prev_seg"))
@@ -100,8 +102,8 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
     wgrp = Window.partitionBy(*keys, *tuple_cols)
     lagged = lagged.withColumn("__prev_t", F.max(F.when(head, F.col("__lag_t"))).over(wgrp))
     if seg is not None:
-        last = (base.where(F.col(entity).isNotNull()).groupBy(entity, "__seg")
-                .agg(F.max(tup).alias("__last_t")))
+        last = (lagged.where(F.col(entity).isNotNull()).groupBy(entity, "__seg")
+                .agg(F.max("__t").alias("__last_t")))
         wseg = Window.partitionBy(entity).orderBy("__seg")
         carry_in = last.select(entity, "__seg", F.lag("__last_t").over(wseg).alias("__seg_prev_t"))
         # only the first tuple group of a segment has no previous tuple inside it

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,58 +52,145 @@ def group_percentile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], pr
     return df.groupBy(*keys).agg(*[F.percentile(c, prob).alias(c + suffix) for c in cols])
 
 
+def lower_bound(sorted_arr: Column, v: Column, length: int) -> Column:
+    """Number of elements of an ascending array that are < ``v``, by binary search.
+
+    ``length`` bounds the array size (it fixes the number of halving steps).
+    O(log n) per row through a higher-order ``aggregate``.
+    """
+    steps = max(1, math.ceil(math.log2(length + 1)))
+    init = F.struct(F.lit(0).alias("lo"), F.size(sorted_arr).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        right = F.struct((mid + 1).alias("lo"), hi.alias("hi"))
+        left = F.struct(lo.alias("lo"), mid.alias("hi"))
+        return F.when(lo < hi, F.when(F.get(sorted_arr, mid) < v, right).otherwise(left)).otherwise(acc)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+
+
+# Largest group (rows) whose values one aggregate buffer may hold.
+ONE_BUFFER_MAX_ROWS = 5_000_000
+
+
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+              one_buffer_max_rows: int = ONE_BUFFER_MAX_ROWS) -> DataFrame:
+    """Exact interpolated quantiles per group, with the strategy picked by a size check.
+
+    One cheap aggregate finds the largest group.  Under ``one_buffer_max_rows``
+    a single ``percentile`` aggregate is used (each group's values in one
+    buffer, proven small); above it, ``exact_quantiles`` splits the groups
+    so that no task holds a whole group.  Both are exact and give the same
+    output (``by``, ``prob``, ``value``).
+    """
+    by = list(by)
+    v = F.col(col).cast("double")
+    src = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    sizes = src.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else src.agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest > one_buffer_max_rows:
+        return exact_quantiles(df, col, probs, by)
+    ps = [float(p) for p in probs]
+    agg = src.groupBy(*by).agg(F.percentile("__v", ps).alias("__q")) if by else \
+        src.agg(F.percentile("__v", ps).alias("__q"))
+    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in ps]).alias("prob"), F.col("__q").alias("value"))
+    return agg.select(*by, F.explode(pairs).alias("__pq")).select(*by, "__pq.prob", "__pq.value")
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    buckets: int = 1024, accuracy: int = 100_000) -> DataFrame:
+                    buckets: int = 256, levels: int = 2, accuracy: int = 10_000) -> DataFrame:
     """Exact interpolated quantiles of ``col`` (per ``by`` group), distributed.
 
-    Equal to ``percentile(col, p)``, but no task ever holds a whole group,
-    so it suits a few huge groups (per class, or the whole table):
+    Equal to ``percentile(col, p)`` (linear interpolation between the order
+    statistics at floor and ceil of (n-1)p), but no task ever holds a whole
+    group, so it suits a few huge groups (per class, or the whole table):
 
-    1. approximate splitters per group (``percentile_approx``, a mergeable
-       sketch of bounded size) cut the value range into ``buckets`` parts;
-    2. counts per (group, bucket) and their running sum locate the bucket
-       holding each wanted rank;
-    3. only the rows of those buckets are reduced to (value, count) and
-       ranked, which yields the exact order statistics.
+    1. approximate splitters (``percentile_approx``: a mergeable sketch of
+       bounded size, partial-aggregated map-side) cut each group's values
+       into ``buckets`` ranges; a binary search assigns every row its range;
+    2. counts per range and their running sum (<= ``buckets`` rows per
+       group) locate the range holding each wanted rank;
+    3. steps 1-2 repeat inside the located ranges for ``levels`` levels, so
+       the final range holds about n / buckets**levels rows;
+    4. only those rows are reduced to (value, count) and ranked, which
+       yields the exact order statistics.
 
     Output: ``by`` columns, ``prob``, ``value`` (one row per group and p).
     """
     by = list(by)
+    spark = df.sparkSession
     v = F.col(col).cast("double")
-    src = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull())
+    src = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     sp_probs = [i / buckets for i in range(1, buckets)]
-    if not by:
-        return _exact_quantiles_global(src, probs, sp_probs, accuracy)
-    splits = src.groupBy(*by).agg(
-        F.percentile_approx("__v", sp_probs, accuracy).alias("__sp"),
-        F.count(F.lit(1)).alias("__n"))
-    tagged = src.join(splits.select(*by, "__sp"), on=by, how="inner")
-    tagged = tagged.withColumn("__b", F.size(F.filter("__sp", lambda s: s < F.col("__v"))))
-    vals = tagged.groupBy(*by, "__b", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    # bucket totals and their running sum (small: <= buckets rows per group)
-    btot = vals.groupBy(*by, "__b").agg(F.sum("__c").alias("__bc"))
-    wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    btot = btot.withColumn("__before", F.coalesce(F.sum("__bc").over(wb), F.lit(0)))
-    # wanted ranks (0-based) per group and p: floor and ceil of (n-1)*p
-    pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    want = splits.select(*by, "__n", pr).withColumn("__pos", (F.col("__n") - 1) * F.col("prob"))
-    want = want.withColumn("__k", F.explode(F.array(F.floor("__pos").cast("long"),
-                                                    F.ceil("__pos").cast("long"))))
-    need = want.join(btot, on=by, how="inner")
-    need = need.where((F.col("__k") >= F.col("__before")) & (F.col("__k") < F.col("__before") + F.col("__bc")))
-    cand = vals.join(need.select(*by, "__b").distinct(), on=[*by, "__b"], how="left_semi")
-    return _pick(cand, need, by, probs)
-
-
-def _pick(cand: DataFrame, need: DataFrame, by: list, probs) -> DataFrame:
-    """Rank the candidate values of the located buckets and interpolate."""
-    wv = Window.partitionBy(*by, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    n_sp = len(sp_probs)
+    count = F.count(F.lit(1))
+
+    def ranks(want: DataFrame) -> DataFrame:
+        w = want.withColumn("__pos", (F.col("__n") - 1) * F.col("prob"))
+        return w.withColumn("__k", F.explode(F.array_distinct(F.array(
+            F.floor("__pos").cast("long"), F.ceil("__pos").cast("long"))))).drop("__n")
+
+    # level 1
+    if by:
+        meta = src.groupBy(*by).agg(F.percentile_approx("__v", sp_probs, accuracy).alias("__sp"),
+                                    count.alias("__n"))
+        rows = src.join(meta.select(*by, "__sp"), on=by) \
+            .withColumn("__b1", lower_bound(F.col("__sp"), F.col("__v"), n_sp)).drop("__sp")
+        cnt = rows.groupBy(*by, "__b1").agg(count.alias("__c"))
+        wb = Window.partitionBy(*by).orderBy("__b1").rowsBetween(Window.unboundedPreceding, -1)
+        cnt = cnt.withColumn("__cb", F.coalesce(F.sum("__c").over(wb), F.lit(0)))
+        pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
+        need = ranks(meta.select(*by, "__n", pr)).join(cnt, on=by) \
+            .where((F.col("__k") >= F.col("__cb")) & (F.col("__k") < F.col("__cb") + F.col("__c"))) \
+            .withColumnRenamed("__cb", "__before").drop("__c")
+    else:
+        # whole table: the splitters and the <= buckets totals are bounded, so they
+        # come to the driver; the rows never do
+        m = src.agg(F.percentile_approx("__v", sp_probs, accuracy).alias("sp"), count.alias("n")).first()
+        n = int(m["n"])
+        if n == 0:
+            return spark.createDataFrame([(float(p), None) for p in probs], "prob double, value double")
+        arr = F.array(*[F.lit(float(x)) for x in sorted(m["sp"])])
+        rows = src.withColumn("__b1", lower_bound(arr, F.col("__v"), n_sp))
+        totals = sorted((r[0], r[1]) for r in rows.groupBy("__b1").agg(count).collect())
+        starts, acc = [], 0
+        for b, c in totals:
+            starts.append((b, acc, c))
+            acc += c
+        need_rows = []
+        for p in probs:
+            pos = (n - 1) * float(p)
+            for k in sorted({math.floor(pos), math.ceil(pos)}):
+                b, before, _ = next(t for t in starts if t[1] <= k < t[1] + t[2])
+                need_rows.append((float(p), float(pos), int(k), int(b), int(before)))
+        need = spark.createDataFrame(need_rows, "prob double, __pos double, __k long, __b1 int, __before long")
+    path = ["__b1"]
+    # deeper levels, inside the located ranges only
+    for lvl in range(2, levels + 1):
+        keys = by + path
+        rows = rows.join(F.broadcast(need.select(*keys).distinct()) if not by else need.select(*keys).distinct(),
+                         on=keys, how="left_semi")
+        meta = rows.groupBy(*keys).agg(F.percentile_approx("__v", sp_probs, accuracy).alias("__sp"))
+        bl = f"__b{lvl}"
+        rows = rows.join(meta, on=keys).withColumn(bl, lower_bound(F.col("__sp"), F.col("__v"), n_sp)).drop("__sp")
+        cnt = rows.groupBy(*keys, bl).agg(count.alias("__c"))
+        wb = Window.partitionBy(*keys).orderBy(bl).rowsBetween(Window.unboundedPreceding, -1)
+        cnt = cnt.withColumn("__cb", F.coalesce(F.sum("__c").over(wb), F.lit(0)))
+        off = F.col("__k") - F.col("__before")
+        need = need.join(cnt, on=keys).where((off >= F.col("__cb")) & (off < F.col("__cb") + F.col("__c"))) \
+            .withColumn("__before", F.col("__before") + F.col("__cb")).drop("__c", "__cb")
+        path.append(bl)
+    keys = by + path
+    sel = need.select(*keys).distinct()
+    cand = rows.join(F.broadcast(sel) if not by else sel, on=keys, how="left_semi") \
+        .groupBy(*keys, "__v").agg(count.alias("__c"))
+    wv = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     cand = cand.withColumn("__cum", F.sum("__c").over(wv))
-    hit = need.join(cand, on=[*by, "__b"], how="inner").where(
-        (F.col("__k") - F.col("__before") < F.col("__cum")) &
-        (F.col("__k") - F.col("__before") >= F.col("__cum") - F.col("__c")))
-    kv = hit.select(*by, "prob", "__pos", "__k", "__v").dropDuplicates([*by, "prob", "__k"])
-    res = kv.groupBy(*by, "prob").agg(
+    off = F.col("__k") - F.col("__before")
+    hit = need.join(cand, on=keys).where((off < F.col("__cum")) & (off >= F.col("__cum") - F.col("__c")))
+    res = hit.groupBy(*by, "prob").agg(
         F.min("__pos").alias("__pos"),
         F.min_by("__v", "__k").alias("__lo"), F.max_by("__v", "__k").alias("__hi"),
         F.min("__k").alias("__klo"), F.max("__k").alias("__khi"))
@@ -110,38 +199,6 @@ def _pick(cand: DataFrame, need: DataFrame, by: list, probs) -> DataFrame:
     return res.select(*by, "prob", value.alias("value"))
 
 
-def _exact_quantiles_global(src: DataFrame, probs, sp_probs, accuracy) -> DataFrame:
-    """Whole-table case: the splitters (< buckets values) and bucket totals
-    (<= buckets rows) are bounded and handled on the driver; rows never are."""
-    import math
-    spark = src.sparkSession
-    meta = src.agg(F.percentile_approx("__v", sp_probs, accuracy).alias("sp"),
-                   F.count(F.lit(1)).alias("n")).first()
-    n = int(meta["n"])
-    schema = "prob double, value double"
-    if n == 0:
-        return spark.createDataFrame([(float(p), None) for p in probs], schema)
-    sp = sorted(set(meta["sp"]))
-    arr = F.array(*[F.lit(float(x)) for x in sp])
-    vals = src.withColumn("__b", F.size(F.filter(arr, lambda s: s < F.col("__v")))) \
-        .groupBy("__b", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    totals = sorted((r["__b"], r["__bc"]) for r in
-                    vals.groupBy("__b").agg(F.sum("__c").alias("__bc")).collect())
-    before, acc = {}, 0
-    for b, c in totals:
-        before[b] = (acc, c)
-        acc += c
-    rows = []
-    for p in probs:
-        pos = (n - 1) * float(p)
-        for k in sorted({math.floor(pos), math.ceil(pos)}):
-            b = next(b for b, (s, c) in before.items() if s <= k < s + c)
-            rows.append((int(b), float(p), float(pos), int(k), int(before[b][0])))
-    need = F.broadcast(spark.createDataFrame(rows, "__b int, prob double, __pos double, __k long, __before long"))
-    cand = vals.where(F.col("__b").isin(sorted({r[0] for r in rows})))
-    return _pick(cand, need, [], probs)
-
-
 def impute_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
                     suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False) -> DataFrame:
     """``coalesce(value, percentile of its group)`` for each column.

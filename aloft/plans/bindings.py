@@ -47,8 +47,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.col("l_quantity").cast("int")
     angle = F.when(pk % 37 == 0, F.lit(999)).otherwise(pk % 360)
     speed = F.when(sk % 29 == 0, F.lit(9999)).otherwise(qty * 3)
-    wnd = F.when(ok % 101 == 0, F.concat_ws(",", _lp(angle, 3), q, F.lit("N"), _lp(speed, 4))) \
-        .otherwise(F.concat_ws(",", _lp(angle, 3), q, F.lit("N"), _lp(speed, 4), q))
+    # every 101st order loses the last part (concat_ws skips the null)
+    wnd = F.concat_ws(",", _lp(angle, 3), q, F.lit("N"), _lp(speed, 4), F.when(ok % 101 != 0, q))
     vv = F.when(pk % 31 == 0, F.lit(99999)).otherwise((pk * 7) % 22000)
     cig = F.concat_ws(",", _lp(vv, 5), q, F.lit("M"), F.lit("N"))
     vis = F.when(sk % 23 == 0, F.lit(999999)).otherwise((pk * 13) % 20000)
@@ -68,7 +68,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     aw1 = F.when(ok % 3 == 0, F.lit("")).when(ok % 3 == 1, F.lit(None).cast("string")) \
         .otherwise(F.concat_ws(",", aw_code, q))
     aw2 = F.when(sk % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat_ws(",", _lp(sk % 100, 2), q))
-    return li.select("l_orderkey", "l_linenumber",
+    return li.select("l_orderkey", "l_linenumber", "l_suppkey",
                      wnd.alias("WND"), cig.alias("CIG"), vis_s.alias("VIS"),
                      F.concat_ws(",", tmp, q).alias("TMP"),
                      F.concat_ws(",", dew, q).alias("DEW"),
@@ -99,3 +99,54 @@ def scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber",
                      (F.col("l_returnflag") == "R").cast("int").alias("label"),
                      score.alias("score")).withColumn("prediction", (F.col("score") > 0.6).cast("int"))
+
+
+# ---------------------------------------------------------------- the end-to-end study on test tables
+# Zones of the five synthetic states of the study binding.
+STUDY_STATE_ZONES = [("S00", "America/New_York"), ("S01", "America/Chicago"), ("S02", "America/Denver"),
+                     ("S03", "America/Los_Angeles"), ("S04", "America/Anchorage")]
+
+
+def _md5_index(col: str, modulus: int):
+    return F.pmod(F.conv(F.substring(F.md5(F.col(col).cast("string")), 1, 6), 16, 10).cast("long"), F.lit(modulus))
+
+
+def study_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as flights: actual clock = scheduled + delay, a scheduled duration, a departure block."""
+    ev = flights(spark, sf_dir)
+    hour = F.hour("ts")
+    return ev.select(
+        "event_id", "user_id", "event_type", "ts", "value", "delayed",
+        F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts")).alias("actual_ts"),
+        (F.lit(30.0) + F.pmod(F.col("event_id") * 7, F.lit(150))).alias("duration"),
+        F.format_string("%02d00-%02d59", hour, hour).alias("dep_block"),
+        F.concat(F.lit("S0"), _md5_index("event_type", 5).cast("string")).alias("state"),
+        F.col("event_type").alias("city"))
+
+
+def study_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct places with a position a few km from a station of the supplier grid."""
+    p = table(spark, sf_dir, "events").select(F.col("event_type").alias("PLACE")).distinct()
+    return p.select("PLACE", (F.lit(40.06) + _md5_index("PLACE", 10) * 0.23).alias("PLACE_LAT"),
+                    F.lit(-99.97).alias("PLACE_LON"))
+
+
+def study_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem rows as station readings: station = supplier (its grid position and a
+    'NAME, ST US' label), reading clock inside the events' month (UTC)."""
+    obs = observations(spark, sf_dir)
+    k = F.col("l_suppkey")
+    minutes = F.pmod(F.col("l_orderkey") * 37 + F.col("l_linenumber") * 11, F.lit(43200))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    return obs.select(
+        k.alias("station"),
+        F.concat(F.lit("ST"), k.cast("string"), F.lit(", S0"), F.pmod(k, F.lit(5)).cast("string"), F.lit(" US")).alias("name"),
+        (F.lit(40.01) + (k % 10) * 0.23).alias("lat"),
+        (F.lit(-100.02) + F.floor(k / 10) % 10 * 0.24).alias("lon"),
+        F.timestamp_add("MINUTE", minutes, start).alias("reading_ts"),
+        "WND", "CIG", "VIS", "TMP", "DEW", "SLP", "GD1", "AW1", "AW2")
+
+
+def study_state_tz(spark: SparkSession) -> DataFrame:
+    from aloft.sources.io import dim_table
+    return dim_table(spark, STUDY_STATE_ZONES, "state string, state_tz string")

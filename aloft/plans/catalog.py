@@ -563,6 +563,17 @@ def learning_curve(spark, sf):
     return models.learning_curve(d, "label", _NUM, "row_key", fracs=(1.0, 0.5, 0.25), seed=7)
 
 
+# ---------------------------------------------------------------- the study end to end (rows-only)
+def study_features(spark, sf):
+    from aloft.plans import flight_study as fs
+    tb = fs.TestBinding()
+    out = fs.feature_table(b.study_flights(spark, sf), b.study_observations(spark, sf), b.study_places(spark, sf),
+                           b.study_state_tz(spark), None, tb.fspec, tb.ospec)
+    return out.select("KEY", "PLACE", "SCHED_UTC", "DELAY", "FLAG", "PREV_DELAY", "PREV_FLAG", "PREP_TIME",
+                      "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS", "WindSpeed_imp", "Temperature_imp",
+                      "Visibility_imp", "CloudMode", "AtmCondition", "CloudMode_binary", "BLOCK6", "BLOCK7")
+
+
 QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "scan_project_filter": scan_project_filter, "csv_named_roundtrip": csv_named_roundtrip,
     "literal_dimension": literal_dimension, "stable_row_key": stable_row_key,
@@ -594,5 +605,5 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "logistic_scores": logistic_scores, "logistic_threshold": logistic_threshold,
     "logistic_tuned": logistic_tuned, "forest_scores": forest_scores,
     "forest_importance": forest_importance, "forest_selected": forest_selected,
-    "learning_curve": learning_curve,
+    "learning_curve": learning_curve, "study_features": study_features,
 }.items()}
