@@ -57,8 +57,9 @@ def feature_stages(num_cols: Sequence[str], cat_cols: Sequence[str] = (), out: s
     (last level kept) -> VectorAssembler (F1-F3)."""
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_indexed", handleInvalid=handle_invalid,
                          stringOrderType="frequencyDesc") for c in cat_cols]
+    # the indexer's "keep" already maps unseen categories to one extra valid index
     enc = [OneHotEncoder(dropLast=False, inputCol=f"{c}_indexed", outputCol=f"{c}_indexed_classVec",
-                         handleInvalid="keep" if handle_invalid == "keep" else "error") for c in cat_cols]
+                         handleInvalid="error") for c in cat_cols]
     asm = VectorAssembler(inputCols=[f"{c}_indexed_classVec" for c in cat_cols] + list(num_cols),
                           outputCol=out, handleInvalid="keep" if handle_invalid == "keep" else "error")
     return idx + enc + [asm]
