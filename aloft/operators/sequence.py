@@ -78,7 +78,9 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
         if seg is not None:
             # per-segment last event, aggregated on the window's output: it is already
             # hash-partitioned by (entity, segment), so this aggregate adds no shuffle
-            last = (with_lag.where(F.col(entity).isNotNull())
+            # (no null filter here: it would be pushed below the window and stop the
+            # two branches from sharing one shuffle; null entities never join back)
+            last = (with_lag
                     .groupBy(entity, "__seg")
                     .agg(F.max_by(payload, ordkey).alias("__last")))
             wseg = Window.partitionBy(entity).orderBy("__seg")  # one row per (entity, segment)
@@ -102,7 +104,7 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
     wgrp = Window.partitionBy(*keys, *tuple_cols)
     lagged = lagged.withColumn("__prev_t", F.max(F.when(head, F.col("__lag_t"))).over(wgrp))
     if seg is not None:
-        last = (lagged.where(F.col(entity).isNotNull()).groupBy(entity, "__seg")
+        last = (lagged.groupBy(entity, "__seg")
                 .agg(F.max("__t").alias("__last_t")))
         wseg = Window.partitionBy(entity).orderBy("__seg")
         carry_in = last.select(entity, "__seg", F.lag("__last_t").over(wseg).alias("__seg_prev_t"))
