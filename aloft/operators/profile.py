@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from aloft.functions.stats import mean
 from aloft.operators.summarize import quantiles
 
 
@@ -50,11 +51,12 @@ def tail_bounds(df: DataFrame, col: str, lo: float = 0.00001, hi: float = 0.9999
     return q.select("side", "prob", F.col("value").alias("bound"))
 
 
-def describe_measure(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, sample std, min, max per measure, one job, long form."""
+def describe_measure(df: DataFrame, cols: Sequence[str], scale: int | None = None) -> DataFrame:
+    """Count, mean, sample std, min, max per measure, one job, long form.
+    ``scale``: exact means for fixed-point measures."""
     aggs = []
     for c in cols:
-        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
+        aggs += [F.count(c).alias(f"{c}__n"), mean(c, scale).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__std"), F.min(F.col(c).cast("double")).alias(f"{c}__min"),
                  F.max(F.col(c).cast("double")).alias(f"{c}__max")]
     return _stack(df.agg(*aggs), cols, ["n", "mean", "std", "min", "max"])
@@ -66,9 +68,9 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, n: int) -> DataFram
     return df.where(F.col(col).isNotNull()).groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def mean_by(df: DataFrame, keys: Sequence[str], col: str, out: str = "mean") -> DataFrame:
+def mean_by(df: DataFrame, keys: Sequence[str], col: str, out: str = "mean", scale: int | None = None) -> DataFrame:
     """Mean of a measure by group, with the group size."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(col).alias(out))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), mean(col, scale).alias(out))
 
 
 def rate_by(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:

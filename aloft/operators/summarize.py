@@ -9,9 +9,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.functions.stats import mean
+
 
 def summarize(df: DataFrame, key: str | Sequence[str], means: Sequence[str] = (),
-              modes: Sequence[str] = ()) -> DataFrame:
+              modes: Sequence[str] = (), scale: int | None = None) -> DataFrame:
     """Mean of each numeric measure and mode of each category per key, in ONE aggregate.
 
     The source runs a mean aggregate and two count + ``row_number`` mode
@@ -19,10 +21,11 @@ def summarize(df: DataFrame, key: str | Sequence[str], means: Sequence[str] = ()
     Modes ignore nulls and break ties by the lowest value.  Meant for keys
     whose groups are bounded by design (readings matched to one event):
     the mode buffer holds the distinct values of one group.  For a table
-    with hot keys use ``mode_by``.
+    with hot keys use ``mode_by``.  ``scale``: exact means for fixed-point
+    measures (``functions.stats.mean``).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    aggs = [F.avg(c).alias(c) for c in means]
+    aggs = [mean(c, scale).alias(c) for c in means]
     aggs += [F.mode(c, deterministic=True).alias(c) for c in modes]
     return df.groupBy(*keys).agg(*aggs)
 
@@ -224,6 +227,6 @@ def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def mean_of(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) -> DataFrame:
+def mean_of(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], scale: int | None = None) -> DataFrame:
     """Mean of each measure per group, output names given (A4)."""
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(n) for c, n in cols.items()])
+    return df.groupBy(*keys).agg(*[mean(c, scale).alias(n) for c, n in cols.items()])

@@ -16,20 +16,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aloft.functions.clock import hour_start, shift
+from aloft.functions.stats import mean
 
 
 def hourly_rate(df: DataFrame, place: str, ts: str, flag: str,
                 means: Mapping[str, str] | None = None, lag: str | None = None,
                 bucket: str = "HOUR_BUCKET", count_name: str = "HOURLY_NUM",
-                flagged_name: str = "HOURLY_NUM_FLAGGED", rate_name: str = "HOURLY_RATE") -> DataFrame:
+                flagged_name: str = "HOURLY_NUM_FLAGGED", rate_name: str = "HOURLY_RATE",
+                scale: int | None = None) -> DataFrame:
     """Events, flagged events, means and flagged/events per (place, hour) (A3).
 
     ``bucket`` is the hour start (timestamp_ntz) of ``ts + lag``; ``means``
-    maps a measure to its output name.
+    maps a measure to its output name; ``scale`` makes the means exact for
+    fixed-point measures (``functions.stats.mean``).
     """
     t = shift(ts, lag) if lag else F.col(ts)
     aggs = [F.count(F.lit(1)).alias(count_name), F.sum(flag).alias(flagged_name)]
-    aggs += [F.avg(c).alias(name) for c, name in (means or {}).items()]
+    aggs += [mean(c, scale).alias(name) for c, name in (means or {}).items()]
     out = df.groupBy(F.col(place).alias(place), hour_start(t).alias(bucket)).agg(*aggs)
     return out.withColumn(rate_name, F.try_divide(F.col(flagged_name).cast("double"), F.col(count_name)))
 
@@ -37,7 +40,7 @@ def hourly_rate(df: DataFrame, place: str, ts: str, flag: str,
 def with_lagged_rate(df: DataFrame, place: str, ts: str, flag: str,
                      means: Mapping[str, str] | None = None, lag: str = "2 hours",
                      count_name: str = "HOURLY_NUM", flagged_name: str = "HOURLY_NUM_FLAGGED",
-                     rate_name: str = "HOURLY_RATE") -> DataFrame:
+                     rate_name: str = "HOURLY_RATE", scale: int | None = None) -> DataFrame:
     """Attach to every event the traffic of its place ``lag`` earlier.
 
     Left outer join on (place, hour): the row count of ``df`` is unchanged
@@ -45,7 +48,7 @@ def with_lagged_rate(df: DataFrame, place: str, ts: str, flag: str,
     shuffled on (place, hour), which spreads a hot place over its hours.
     """
     rate = hourly_rate(df, place, ts, flag, means, lag=lag, bucket="__hour",
-                       count_name=count_name, flagged_name=flagged_name, rate_name=rate_name)
+                       count_name=count_name, flagged_name=flagged_name, rate_name=rate_name, scale=scale)
     return (df.withColumn("__hour", hour_start(ts))
             .join(rate, on=[place, "__hour"], how="left")
             .drop("__hour"))

@@ -22,7 +22,8 @@ DELAY_THRESHOLD = 80
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from aloft.sources.io import read_table
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.functions import clock, decode, flags
+from aloft.functions import clock, decode, flags, stats
 from aloft.operators import clean, enrich, evaluate, features, interval, nearest, profile, sequence, \
     summarize, traffic
 from aloft.plans import bindings as b
@@ -24,7 +24,7 @@ R = 6  # decimals kept for order-dependent doubles
 
 
 def _r(c, d: int = R):
-    return F.round(F.col(c) if isinstance(c, str) else c, d)
+    return stats.round_half_up(c, d)
 
 
 # A literal region -> zone table (region 4 deliberately absent)
@@ -246,7 +246,7 @@ def previous_event_all(spark, sf):
 def hourly_rate(spark, sf):
     ev = b.flights(spark, sf)
     h = traffic.hourly_rate(ev, "event_type", "ts", "delayed", {"value": "mean_value"}, lag="2 hours",
-                            bucket="hour_bucket", count_name="n", flagged_name="n_delayed", rate_name="rate")
+                            bucket="hour_bucket", count_name="n", flagged_name="n_delayed", rate_name="rate", scale=2)
     return h.select("event_type", "hour_bucket", "n", "n_delayed", _r("mean_value").alias("mean_value"),
                     _r("rate").alias("rate"))
 
@@ -254,7 +254,8 @@ def hourly_rate(spark, sf):
 def lagged_rate(spark, sf):
     ev = b.flights(spark, sf)
     out = traffic.with_lagged_rate(ev, "event_type", "ts", "delayed", {"value": "hourly_mean"}, lag="2 hours",
-                                   count_name="hourly_n", flagged_name="hourly_delayed", rate_name="hourly_rate")
+                                   count_name="hourly_n", flagged_name="hourly_delayed", rate_name="hourly_rate",
+                                   scale=2)
     return out.select("event_id", "hourly_n", "hourly_delayed", _r("hourly_rate").alias("hourly_rate"),
                       _r("hourly_mean").alias("hourly_mean"))
 
@@ -285,7 +286,7 @@ def interval_match(spark, sf):
 
 def interval_summary(spark, sf):
     ev = b.table(spark, sf, "events").select("event_id")
-    s = summarize.summarize(_matches(spark, sf), "event_id", means=["r_value"], modes=["r_cat"])
+    s = summarize.summarize(_matches(spark, sf), "event_id", means=["r_value"], modes=["r_cat"], scale=2)
     s = s.select("event_id", _r("r_value").alias("mean_value"), F.col("r_cat").alias("mode_cat"))
     return summarize.attach(ev, s, "event_id")
 
@@ -343,7 +344,7 @@ def tail_bounds(spark, sf):
 
 def measure_summary(spark, sf):
     li = b.table(spark, sf, "lineitem")
-    d = profile.describe_measure(li, ["l_quantity", "l_discount", "l_tax"])
+    d = profile.describe_measure(li, ["l_quantity", "l_discount", "l_tax"], scale=2)
     return d.select("column", "n", _r("mean").alias("mean"), _r("std").alias("std"), "min", "max")
 
 
@@ -354,7 +355,7 @@ def histogram(spark, sf):
 
 def mean_by_calendar(spark, sf):
     ev = b.flights(spark, sf).withColumn("dow", F.dayofweek("ts")).withColumn("hour", F.hour("ts"))
-    m = profile.mean_by(ev, ["dow", "hour"], "value", out="mean_value")
+    m = profile.mean_by(ev, ["dow", "hour"], "value", out="mean_value", scale=2)
     return m.select("dow", "hour", "n", _r("mean_value").alias("mean_value"))
 
 
@@ -496,6 +497,7 @@ def _model_input(spark, sf):
                   (F.col("l_returnflag") == "R").cast("double").alias("label"))
     train, test = features.split(d, ["l_orderkey", "l_linenumber"], 80, seed=7)
     train = features.class_weights(train, "label")
+    train = io.spread(train)  # iterated many times by MLlib: use every core
     fm, train_f = features.build_features(train, _NUM, ["l_linestatus"])
     return train_f, fm.transform(test)
 

@@ -127,12 +127,12 @@ c AS (SELECT score, tp, fp, sum(tp) OVER (ORDER BY score DESC) AS cum_tp, sum(fp
 def _metrics(src: str, model: str | None = None) -> str:
     m = f"'{model}' AS model, " if model else ""
     return f"""SELECT {m}tp, fp, tn, fn,
-  round((tp + tn) / (tp + fp + tn + fn), 6) AS accuracy,
-  round((p1 + p0) / 2, 6) AS precision_macro,
-  round((r1 + r0) / 2, 6) AS recall_macro,
-  round((coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) + coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0)) / 2, 6) AS f1_macro,
-  round((r1 + r0) / 2, 6) AS balanced_accuracy,
-  round((r1 + r0) / 2, 6) AS roc_auc_hard
+  (floor(((tp + tn) / (tp + fp + tn + fn)) * 1000000.0 + 0.5) / 1000000.0) AS accuracy,
+  (floor(((p1 + p0) / 2) * 1000000.0 + 0.5) / 1000000.0) AS precision_macro,
+  (floor(((r1 + r0) / 2) * 1000000.0 + 0.5) / 1000000.0) AS recall_macro,
+  (floor(((coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) + coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0)) / 2) * 1000000.0 + 0.5) / 1000000.0) AS f1_macro,
+  (floor(((r1 + r0) / 2) * 1000000.0 + 0.5) / 1000000.0) AS balanced_accuracy,
+  (floor(((r1 + r0) / 2) * 1000000.0 + 0.5) / 1000000.0) AS roc_auc_hard
 FROM (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tn / nullif(tn + fn, 0), 0) AS p0,
              coalesce(tp / nullif(tp + fn, 0), 0) AS r1, coalesce(tn / nullif(tn + fp, 0), 0) AS r0
       FROM (SELECT CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp, CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
@@ -146,7 +146,7 @@ def _hex8(expr: str) -> str:
 
 def _quantile_union(table: str, col: str, probs, by: str, measure: str) -> str:
     return " UNION ALL ".join(
-        f"SELECT {by}, '{measure}' AS measure, CAST({p} AS DOUBLE) AS prob, round(quantile_cont({col}, {p}), 6) AS value "
+        f"SELECT {by}, '{measure}' AS measure, CAST({p} AS DOUBLE) AS prob, (floor((quantile_cont({col}, {p})) * 1000000.0 + 0.5) / 1000000.0) AS value "
         f"FROM {table} GROUP BY {by}" for p in probs)
 
 
@@ -178,20 +178,20 @@ def _missing_sql() -> str:
     for c, extra in (("event_id", ""), ("event_type", ""), ("value", " OR isnan(value)"), ("ts", "")):
         miss = f"({c} IS NULL{extra})"
         parts.append(f"SELECT '{c}' AS \"column\", count(*) AS n_rows, CAST(count_if({miss}) AS BIGINT) AS n_missing, "
-                     f"round(CAST(count_if({miss}) AS BIGINT) / count(*), 6) AS missing_share FROM pf")
+                     f"(floor((CAST(count_if({miss}) AS BIGINT) / count(*)) * 1000000.0 + 0.5) / 1000000.0) AS missing_share FROM pf")
     return f"WITH {src} " + " UNION ALL ".join(parts)
 
 
 def _describe_sql(cols) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+        f"SELECT '{c}' AS \"column\", count({c}) AS n, (floor((CAST(sum(CAST({c} AS DECIMAL(38,2))) AS DOUBLE) / count({c})) * 1000000.0 + 0.5) / 1000000.0) AS mean, (floor((stddev_samp({c})) * 1000000.0 + 0.5) / 1000000.0) AS std, "
         f"CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in cols)
 
 
 def _corr_sql(cols) -> str:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS corr FROM lineitem" for a, b in pairs)
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, (floor((corr({a}, {b})) * 1000000.0 + 0.5) / 1000000.0) AS corr FROM lineitem" for a, b in pairs)
 
 
 def _ledger_sql() -> str:
@@ -202,8 +202,8 @@ def _ledger_sql() -> str:
         acc.append(cond)
         w = " AND ".join(acc)
         parts.append(f"SELECT {i} AS step, '{name}' AS name, count(*) AS n_rows, "
-                     f"round(CAST(sum(delayed) AS DOUBLE), 6) AS n_flagged, "
-                     f"round(sum(delayed) / count(*), 6) AS flag_rate FROM ev WHERE {w}")
+                     f"(floor((CAST(sum(delayed) AS DOUBLE)) * 1000000.0 + 0.5) / 1000000.0) AS n_flagged, "
+                     f"(floor((sum(delayed) / count(*)) * 1000000.0 + 0.5) / 1000000.0) AS flag_rate FROM ev WHERE {w}")
     return f"WITH {FLIGHTS} " + " UNION ALL ".join(parts)
 
 
@@ -216,7 +216,7 @@ lg AS (SELECT 'l_linestatus' AS feature, l_linestatus AS value, label FROM d
        UNION ALL SELECT 'disc_band', disc_band, label FROM d),
 c AS (SELECT feature, value, label, count(*) AS n FROM lg GROUP BY ALL),
 v AS (SELECT feature, value, sum(n) AS nv, sum(n * n) AS sq FROM c GROUP BY ALL)
-SELECT feature, round(sum(nv * (1 - sq / (nv * nv))) / sum(nv), 6) AS gini FROM v GROUP BY feature"""
+SELECT feature, (floor((sum(nv * (1 - sq / (nv * nv))) / sum(nv)) * 1000000.0 + 0.5) / 1000000.0) AS gini FROM v GROUP BY feature"""
 
 
 def _index_sql() -> str:
@@ -246,7 +246,7 @@ j AS (SELECT ev.event_id, ev.user_id, ev.ts, ev.value, coalesce(r.hourly_n, 0) A
              coalesce(r.hourly_rate, 0) AS hourly_rate, r.hourly_delayed
       FROM ev LEFT JOIN rate r ON ev.event_type = r.event_type AND date_trunc('hour', ev.ts) = r.hb),
 p AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_value FROM j)
-SELECT event_id, hourly_n, round(hourly_rate, 6) AS hourly_rate, prev_value FROM p
+SELECT event_id, hourly_n, (floor((hourly_rate) * 1000000.0 + 0.5) / 1000000.0) AS hourly_rate, prev_value FROM p
 WHERE prev_value IS NOT NULL AND hourly_rate IS NOT NULL AND hourly_delayed IS NOT NULL""",
     "outlier_trim": "SELECT event_id, value FROM events WHERE value > 5 AND value < 450 AND user_id > 0",
     "region_filter": """WITH c AS (SELECT c_custkey,
@@ -289,12 +289,12 @@ SELECT o_orderkey, tz, o_orderdate, timezone('UTC', timezone(tz, o_orderdate)) A
     "indicator_flags": """SELECT o_orderkey, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS f_urgent,
   CAST(o_orderpriority = '2-HIGH' AS INTEGER) AS f_high, CAST(o_orderpriority = '5-LOW' AS INTEGER) AS f_low,
   coalesce(CAST(nullif(o_custkey % 5, 4) = 0 AS INTEGER), 0) AS f_zero FROM orders""",
-    "haversine_pairs": f"WITH {NATION_PTS} SELECT n_nationkey, s_suppkey, round(dist, 6) AS distance_km FROM pairs WHERE dist < 60",
+    "haversine_pairs": f"WITH {NATION_PTS} SELECT n_nationkey, s_suppkey, (floor((dist) * 1000000.0 + 0.5) / 1000000.0) AS distance_km FROM pairs WHERE dist < 60",
     "nearest_three": f"""WITH {NATION_PTS},
 r AS (SELECT n_nationkey, s_suppkey, dist,
-        CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY round(dist, 6), s_suppkey) AS INTEGER) AS rank
+        CAST(row_number() OVER (PARTITION BY n_nationkey ORDER BY (floor((dist) * 1000000.0 + 0.5) / 1000000.0), s_suppkey) AS INTEGER) AS rank
       FROM pairs WHERE dist < 30)
-SELECT n_nationkey, s_suppkey, round(dist, 6) AS distance_km, rank FROM r WHERE rank <= 3""",
+SELECT n_nationkey, s_suppkey, (floor((dist) * 1000000.0 + 0.5) / 1000000.0) AS distance_km, rank FROM r WHERE rank <= 3""",
     "previous_event_one": """SELECT event_id, user_id, prev_event_id, prev_ts, prev_value FROM (
   SELECT event_id, user_id, lag(event_id) OVER w AS prev_event_id, lag(ts) OVER w AS prev_ts, lag(value) OVER w AS prev_value
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) x WHERE prev_event_id IS NOT NULL""",
@@ -303,28 +303,28 @@ SELECT a.l_orderkey, a.l_linenumber, a.l_suppkey, a.l_shipdate, p.l_orderkey AS
   p.l_linenumber AS prev_l_linenumber, p.l_quantity AS prev_l_quantity
 FROM r a JOIN r p ON a.l_suppkey = p.l_suppkey AND p.rk = a.rk + 1""",
     "hourly_rate": f"""WITH {FLIGHTS} SELECT event_type, date_trunc('hour', ts + INTERVAL 2 HOUR) AS hour_bucket, count(*) AS n,
-  CAST(sum(delayed) AS BIGINT) AS n_delayed, round(avg(value), 6) AS mean_value, round(sum(delayed) / count(*), 6) AS rate
+  CAST(sum(delayed) AS BIGINT) AS n_delayed, (floor((CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) / count(value)) * 1000000.0 + 0.5) / 1000000.0) AS mean_value, (floor((sum(delayed) / count(*)) * 1000000.0 + 0.5) / 1000000.0) AS rate
 FROM ev GROUP BY ALL""",
     "lagged_rate": f"""WITH {FLIGHTS},
 rate AS (SELECT event_type, date_trunc('hour', ts + INTERVAL 2 HOUR) AS hb, count(*) AS hourly_n,
-         CAST(sum(delayed) AS BIGINT) AS hourly_delayed, sum(delayed) / count(*) AS hourly_rate, avg(value) AS hourly_mean
+         CAST(sum(delayed) AS BIGINT) AS hourly_delayed, sum(delayed) / count(*) AS hourly_rate, CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) / count(value) AS hourly_mean
          FROM ev GROUP BY ALL)
-SELECT e.event_id, r.hourly_n, r.hourly_delayed, round(r.hourly_rate, 6) AS hourly_rate, round(r.hourly_mean, 6) AS hourly_mean
+SELECT e.event_id, r.hourly_n, r.hourly_delayed, (floor((r.hourly_rate) * 1000000.0 + 0.5) / 1000000.0) AS hourly_rate, (floor((r.hourly_mean) * 1000000.0 + 0.5) / 1000000.0) AS hourly_mean
 FROM ev e LEFT JOIN rate r ON e.event_type = r.event_type AND date_trunc('hour', e.ts) = r.hb""",
     "dim_inner": "SELECT c_custkey, c_nationkey AS n_nationkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
     "interval_match": f"WITH {MATCHES} SELECT event_id, r_event_id, r_value FROM m",
     "interval_summary": f"""WITH {MATCHES},
-mv AS (SELECT event_id, avg(r_value) AS mean_value FROM m GROUP BY event_id),
+mv AS (SELECT event_id, CAST(sum(CAST(r_value AS DECIMAL(38,2))) AS DOUBLE) / count(r_value) AS mean_value FROM m GROUP BY event_id),
 cnt AS (SELECT event_id, r_cat, count(*) AS c FROM m GROUP BY ALL),
 md AS (SELECT event_id, r_cat AS mode_cat FROM (
         SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY c DESC, r_cat) AS rn FROM cnt) x WHERE rn = 1)
-SELECT e.event_id, round(mv.mean_value, 6) AS mean_value, md.mode_cat
+SELECT e.event_id, (floor((mv.mean_value) * 1000000.0 + 0.5) / 1000000.0) AS mean_value, md.mode_cat
 FROM events e LEFT JOIN mv ON e.event_id = mv.event_id LEFT JOIN md ON e.event_id = md.event_id""",
-    "group_median": f"""WITH {GAPS} SELECT event_type, block, round(quantile_cont(value, 0.5), 6) AS median_value
+    "group_median": f"""WITH {GAPS} SELECT event_type, block, (floor((quantile_cont(value, 0.5)) * 1000000.0 + 0.5) / 1000000.0) AS median_value
 FROM gp GROUP BY event_type, block""",
     "impute_by_group": f"""WITH {GAPS},
 md AS (SELECT event_type, block, quantile_cont(value, 0.5) AS m FROM gp GROUP BY event_type, block)
-SELECT gp.event_id, round(coalesce(gp.value, md.m), 6) AS value_imp
+SELECT gp.event_id, (floor((coalesce(gp.value, md.m)) * 1000000.0 + 0.5) / 1000000.0) AS value_imp
 FROM gp LEFT JOIN md ON gp.event_type = md.event_type AND gp.block = md.block""",
     "mode_by_group": """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY ALL)
 SELECT user_id, event_type AS mode_type FROM (
@@ -332,29 +332,29 @@ SELECT user_id, event_type AS mode_type FROM (
     "distinct_pairs": "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem",
     "class_weights": f"""WITH {SCORED},
 r AS (SELECT CAST(count_if(label = 0) AS BIGINT) / count(*) AS ratio FROM s)
-SELECT label, count(*) AS n_rows, round(max(CASE WHEN label = 1 THEN r.ratio ELSE 1 - r.ratio END), 6) AS weight
+SELECT label, count(*) AS n_rows, (floor((max(CASE WHEN label = 1 THEN r.ratio ELSE 1 - r.ratio END)) * 1000000.0 + 0.5) / 1000000.0) AS weight
 FROM s CROSS JOIN r GROUP BY label""",
     "missing_profile": _missing_sql(),
-    "tail_bounds": """SELECT 'neg' AS side, CAST(0.01 AS DOUBLE) AS prob, round(quantile_cont(value - 50, 0.01), 6) AS bound
+    "tail_bounds": """SELECT 'neg' AS side, CAST(0.01 AS DOUBLE) AS prob, (floor((quantile_cont(value - 50, 0.01)) * 1000000.0 + 0.5) / 1000000.0) AS bound
   FROM events WHERE value - 50 < 0
-UNION ALL SELECT 'pos', CAST(0.99 AS DOUBLE), round(quantile_cont(value - 50, 0.99), 6) FROM events WHERE value - 50 > 0""",
+UNION ALL SELECT 'pos', CAST(0.99 AS DOUBLE), (floor((quantile_cont(value - 50, 0.99)) * 1000000.0 + 0.5) / 1000000.0) FROM events WHERE value - 50 > 0""",
     "measure_summary": _describe_sql(["l_quantity", "l_discount", "l_tax"]),
     "histogram": """SELECT CASE WHEN value < CAST(0.0 AS DOUBLE) THEN 0 WHEN value >= CAST(400.0 AS DOUBLE) THEN 21
   ELSE CAST(floor(20 * (value - CAST(0.0 AS DOUBLE)) / (CAST(400.0 AS DOUBLE) - CAST(0.0 AS DOUBLE))) AS BIGINT) + 1 END AS bucket,
   count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1""",
     "mean_by_calendar": """SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS dow, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n,
-  round(avg(value), 6) AS mean_value FROM events GROUP BY ALL""",
+  (floor((CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) / count(value)) * 1000000.0 + 0.5) / 1000000.0) AS mean_value FROM events GROUP BY ALL""",
     "rate_by_group": f"""WITH {FLIGHTS} SELECT event_type, count(*) AS n, CAST(sum(delayed) AS BIGINT) AS n_flagged,
-  round(avg(CAST(delayed AS DOUBLE)), 6) AS rate FROM ev GROUP BY event_type""",
+  (floor((avg(CAST(delayed AS DOUBLE))) * 1000000.0 + 0.5) / 1000000.0) AS rate FROM ev GROUP BY event_type""",
     "conditional_rate": f"""WITH {FLIGHTS},
 p AS (SELECT delayed, lag(delayed) OVER w AS prev_delayed, lag(event_id) OVER w AS pe
       FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
-SELECT prev_delayed, count(*) AS n, CAST(sum(delayed) AS BIGINT) AS n_flagged, round(avg(CAST(delayed AS DOUBLE)), 6) AS rate
+SELECT prev_delayed, count(*) AS n, CAST(sum(delayed) AS BIGINT) AS n_flagged, (floor((avg(CAST(delayed AS DOUBLE))) * 1000000.0 + 0.5) / 1000000.0) AS rate
 FROM p WHERE pe IS NOT NULL GROUP BY prev_delayed""",
     "box_summary": _quantile_union("events", "value", [0.0, 0.25, 0.5, 0.75, 1.0], "event_type", "value"),
     "correlation_matrix": _corr_sql(["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
     "category_share": """SELECT l_returnflag, l_linestatus, count(*) AS n,
-  round(count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag), 6) AS share FROM lineitem GROUP BY 1, 2""",
+  (floor((count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag)) * 1000000.0 + 0.5) / 1000000.0) AS share FROM lineitem GROUP BY 1, 2""",
     "audit_unique": """WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(count_if(n > 1) AS BIGINT) AS n_dup_keys,
   CAST(coalesce(sum(CASE WHEN n > 1 THEN n END), 0) AS BIGINT) AS n_rows_in_dups FROM k""",
@@ -364,13 +364,13 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(count_if(n > 1
     "confusion": f"WITH {SCORED} SELECT label, prediction, count(*) AS n FROM s2 GROUP BY ALL",
     "class_metrics": f"WITH {SCORED} " + _metrics("s2"),
     "average_precision": f"""WITH {SCORED}, {CUM}
-SELECT round(sum(tp / P * (cum_tp / (cum_tp + cum_fp))), 6) AS average_precision FROM c""",
+SELECT (floor((sum(tp / P * (cum_tp / (cum_tp + cum_fp)))) * 1000000.0 + 0.5) / 1000000.0) AS average_precision FROM c""",
     "roc_curve": f"""WITH {SCORED}, {CUM}
-SELECT score, round(cum_fp / N, 6) AS fpr, round(cum_tp / P, 6) AS tpr FROM c""",
+SELECT score, (floor((cum_fp / N) * 1000000.0 + 0.5) / 1000000.0) AS fpr, (floor((cum_tp / P) * 1000000.0 + 0.5) / 1000000.0) AS tpr FROM c""",
     "roc_auc": f"""WITH {SCORED}, {CUM}
-SELECT round(sum((fp / N) * ((cum_tp / P) + ((cum_tp - tp) / P)) / 2), 6) AS roc_auc FROM c""",
+SELECT (floor((sum((fp / N) * ((cum_tp / P) + ((cum_tp - tp) / P)) / 2)) * 1000000.0 + 0.5) / 1000000.0) AS roc_auc FROM c""",
     "pr_curve": f"""WITH {SCORED}, {CUM}
-SELECT score, round(cum_tp / (cum_tp + cum_fp), 6) AS precision, round(cum_tp / P, 6) AS recall FROM c""",
+SELECT score, (floor((cum_tp / (cum_tp + cum_fp)) * 1000000.0 + 0.5) / 1000000.0) AS precision, (floor((cum_tp / P) * 1000000.0 + 0.5) / 1000000.0) AS recall FROM c""",
     "model_compare": f"""WITH {SCORED}, s3 AS (SELECT label, CAST(score > 0.4 AS INTEGER) AS prediction FROM s)
 {_metrics("s3", "cut_0.4")} UNION ALL {_metrics("s2", "cut_0.6")}""",
     "hash_split": f"SELECT event_id, ({_hex8(chr(39) + '7:' + chr(39) + ' || CAST(event_id AS VARCHAR)')} % 100) < 80 AS is_train FROM events",

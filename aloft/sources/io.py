@@ -16,13 +16,29 @@ from aloft.session import scratch_path
 BROADCAST_MAX_ROWS = 100_000
 
 
-def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
-    """Parquet scan of a path or glob (S1).  A given schema skips footer inference."""
+def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
+               min_partitions: int | str | None = "auto") -> DataFrame:
+    """Parquet scan of a path or glob (S1).  A given schema skips footer inference.
+
+    ``min_partitions="auto"`` spreads a scan that yields fewer splits than
+    the cluster has cores (a few large unsplittable files/row groups) with
+    one round-robin repartition, so pre-shuffle work is not single-task.
+    A large input already has far more splits than cores and is left as is.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.parquet(*paths)
+    return spread(reader.parquet(*paths), min_partitions)
+
+
+def spread(df: DataFrame, min_partitions: int | str | None = "auto") -> DataFrame:
+    """Round-robin repartition only when ``df`` has fewer partitions than wanted
+    (``"auto"``: the cluster's default parallelism).  Planning only, no job."""
+    if min_partitions is None:
+        return df
+    want = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
 def read_csv_named(spark: SparkSession, path: str, schema: StructType | Sequence[str],
