@@ -37,8 +37,12 @@ def spread(df: DataFrame, min_partitions: int | str | None = "auto") -> DataFram
     (``"auto"``: the cluster's default parallelism).  Planning only, no job."""
     if min_partitions is None:
         return df
-    want = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism if min_partitions == "auto" else int(min_partitions)
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def read_csv_named(spark: SparkSession, path: str, schema: StructType | Sequence[str],
