@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from aloft.functions.stats import mean
 
 
+# Largest group (rows) whose values one aggregate buffer may hold.
+ONE_BUFFER_MAX_ROWS = 5_000_000
+
+
 def summarize(df: DataFrame, key: str | Sequence[str], means: Sequence[str] = (),
               modes: Sequence[str] = (), scale: int | None = None) -> DataFrame:
     """Mean of each numeric measure and mode of each category per key, in ONE aggregate.
@@ -45,14 +49,25 @@ def mode_by(df: DataFrame, key: str | Sequence[str], col: str, out: str | None =
 
 
 def group_percentile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                     suffix: str = "_md") -> DataFrame:
-    """Exact interpolated percentile of several columns per group, one aggregate.
-
-    For groups bounded by design (a place in a 6-hour block): each group's
-    values are buffered by the aggregate.  Nulls are ignored; an all-null
-    group gives null (not NaN).
+                     suffix: str = "_md", one_buffer_max_rows: int | None = None) -> DataFrame:
+    """Exact interpolated percentile of several columns per group.
+
+    One cheap aggregate finds the largest group.  Under the bound (groups
+    bounded by design, e.g. a place in a 6-hour block) a single aggregate
+    computes every column, each group's values in one buffer; above it each
+    column goes through ``exact_quantiles``, which never holds a whole group
+    in one task.  Nulls are ignored; an all-null group gives null (not NaN).
     """
-    return df.groupBy(*keys).agg(*[F.percentile(c, prob).alias(c + suffix) for c in cols])
+    keys = list(keys)
+    bound = ONE_BUFFER_MAX_ROWS if one_buffer_max_rows is None else one_buffer_max_rows
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= bound:
+        return df.groupBy(*keys).agg(*[F.percentile(c, prob).alias(c + suffix) for c in cols])
+    out = df.select(*keys).distinct()
+    for c in cols:
+        q = exact_quantiles(df, c, [prob], by=keys).select(*keys, F.col("value").alias(c + suffix))
+        out = out.join(q, on=keys, how="left")
+    return out
 
 
 def lower_bound(sorted_arr: Column, v: Column, length: int) -> Column:
@@ -74,10 +89,6 @@ def lower_bound(sorted_arr: Column, v: Column, length: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
-# Largest group (rows) whose values one aggregate buffer may hold.
-ONE_BUFFER_MAX_ROWS = 5_000_000
-
-
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
               one_buffer_max_rows: int = ONE_BUFFER_MAX_ROWS) -> DataFrame:
     """Exact interpolated quantiles per group, with the strategy picked by a size check.
@@ -203,14 +214,15 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequenc
 
 
 def impute_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                    suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False) -> DataFrame:
+                    suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False,
+                    one_buffer_max_rows: int | None = None) -> DataFrame:
     """``coalesce(value, percentile of its group)`` for each column.
 
     The group statistic is computed once per group and left-joined back on
     the group keys, so row count is unchanged.  All-null groups give null
     (the source's NaN), which a later ``drop_null`` removes.
     """
-    stats = group_percentile(df, keys, cols, prob, stat_suffix)
+    stats = group_percentile(df, keys, cols, prob, stat_suffix, one_buffer_max_rows)
     out = df.join(stats, on=list(keys), how="left")
     out = out.withColumns({c + suffix: F.coalesce(F.col(c), F.col(c + stat_suffix)) for c in cols})
     return out if keep_stats else out.drop(*[c + stat_suffix for c in cols])
