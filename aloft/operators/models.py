@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from aloft.operators.evaluate import class_metrics
 from aloft.operators.features import build_features, class_weights, split, subsample
+from aloft.sources.io import spread
 
 
 def logistic(label: str = "label", features: str = "features", weight: str | None = "classWeights",
@@ -81,7 +82,7 @@ def learning_curve(df: DataFrame, label: str, num_cols: Sequence[str], key: str,
     for frac in fracs:
         part = subsample(df, frac, key, seed) if frac < 1.0 else df
         train, test = split(part, key, 80, seed)
-        train = class_weights(train, label)
+        train = spread(class_weights(train, label))
         fm, train_f = build_features(train, num_cols)
         test_f = fm.transform(test)
         est = make_estimator() if make_estimator else forest(label=label, trees=10, depth=5, seed=seed)
