@@ -4,7 +4,7 @@ Each raw field is a comma-separated string such as ``"160,1,N,0046,1"``.
 A ``FieldSpec`` names the source column, the part holding the value, the
 part holding its quality code, the missing-value sentinel and the scale.
 ``decode_observations`` turns all specs into typed columns in one
-projection (``substring_index`` + ``try_cast``; no Python UDF), so the
+projection (``split`` + ``get`` + ``try_cast``; no Python UDF), so the
 whole decode stays inside whole-stage codegen and filters/projections
 above it still reach the Parquet scan.
 """
@@ -72,10 +72,10 @@ def field_spec(name: str, strict_parity: bool = False) -> FieldSpec:
 def part(col: Column, i: int, sep: str = ",") -> Column:
     """The ``i``-th (0-based) ``sep``-separated part of a string.
 
-    Two ``substring_index`` calls on a literal separator: no regex and no
-    array per row (``split`` goes through a regex split and is about twice
-    as slow).  Only meaningful when the string has more than ``i`` parts,
-    which callers check with ``n_parts``.
+    Two ``substring_index`` calls on a literal separator (no array per row;
+    cheaper than ``split`` when only one or two parts are needed).  Only
+    meaningful when the string has more than ``i`` parts, which callers
+    check with ``n_parts``.
     """
     return F.substring_index(F.substring_index(col, sep, i + 1), sep, -1)
 
@@ -86,14 +86,20 @@ def n_parts(col: Column, sep: str = ",") -> Column:
 
 
 def _components(spec: FieldSpec) -> dict[str, Column]:
-    """Boolean/value pieces of one field, shared by the decoder and the reject report."""
+    """Boolean/value pieces of one field, shared by the decoder and the reject report.
+
+    One ``split`` per source (common-subexpression elimination shares the
+    array between the parts and fields that use it), then ``get`` by index
+    (null when the part is missing) and ``try_cast``.
+    """
     raw = F.col(spec.source)
+    parts = F.split(raw, ",")
     empty = raw == F.lit("")
-    num = part(raw, spec.value_part).try_cast("double" if spec.dtype == "double" else "int")
-    well_formed = (n_parts(raw) == spec.parts) & num.isNotNull()
+    num = F.get(parts, spec.value_part).try_cast("double" if spec.dtype == "double" else "int")
+    well_formed = (F.size(parts) == spec.parts) & num.isNotNull()
     if spec.empty_is_missing:
         well_formed = well_formed & ~empty
-    bad = part(raw, spec.quality_part).isin(*BAD_QUALITY) if spec.quality_part is not None else F.lit(False)
+    bad = F.get(parts, spec.quality_part).isin(*BAD_QUALITY) if spec.quality_part is not None else F.lit(False)
     scaled = num / F.lit(spec.scale) if spec.scale != 1.0 else num
     sentinel = scaled == F.lit(spec.sentinel)
     return {"raw": raw, "empty": empty, "well_formed": well_formed, "bad": bad,

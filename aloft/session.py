@@ -32,8 +32,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a classic context (e.g. Spark Connect)
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -44,17 +53,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     fresh folder under the system temp dir; on a cluster an unset value is
     an error, because a machine-local folder is not visible to executors.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(d)
-        return sc.getCheckpointDir() or d
-    if not _is_local(spark):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-    d = tempfile.mkdtemp(prefix="aloft-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    sc = _context(spark)
+    d = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        d = tempfile.mkdtemp(prefix="aloft-ckpt-")
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return (sc.getCheckpointDir() if sc is not None else None) or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
