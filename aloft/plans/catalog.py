@@ -419,8 +419,8 @@ def confusion(spark, sf):
     return evaluate.confusion(b.scored_lines(spark, sf), "label", "prediction")
 
 
-def _metric_cols(df):
-    return df.select("tp", "fp", "tn", "fn", *[_r(c).alias(c) for c in (
+def _metric_cols(df, *lead):
+    return df.select(*lead, "tp", "fp", "tn", "fn", *[_r(c).alias(c) for c in (
         "accuracy", "precision_macro", "recall_macro", "f1_macro", "balanced_accuracy", "roc_auc_hard")])
 
 
@@ -452,9 +452,7 @@ def model_compare(spark, sf):
     sl = b.scored_lines(spark, sf)
     runs = {"cut_0.4": sl.withColumn("prediction", (F.col("score") > 0.4).cast("int")),
             "cut_0.6": sl}
-    m = evaluate.compare_models(runs, "label", "prediction")
-    return m.select("model", "tp", "fp", "tn", "fn", *[_r(c).alias(c) for c in (
-        "accuracy", "precision_macro", "recall_macro", "f1_macro", "balanced_accuracy", "roc_auc_hard")])
+    return _metric_cols(evaluate.compare_models(runs, "label", "prediction"), "model")
 
 
 # ---------------------------------------------------------------- splits and features
