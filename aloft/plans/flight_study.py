@@ -42,6 +42,7 @@ class FlightSpec:
     order: tuple[str, ...] = ("CRS_DEP_LOCAL", "DEP_LOCAL")
     completed: str | None = None        # SQL predicate for completed events
     ties: str = "one"
+    delay_scale: int | None = None      # decimals of the delay (exact hourly means when set)
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,7 @@ class ObsSpec:
     lon: str = "LONGITUDE"
     name: str = "NAME"
     condition_cols: tuple[str, ...] = ("AW1", "AW2", "AW3", "AW4", "AW5", "AW6", "AW7")
+    measure_scale: int | None = 1       # decoded measures have at most 1 decimal: exact, order-free means
 
 
 # Study parameters.
@@ -86,7 +88,8 @@ def prepare_flights(flights: DataFrame, s: FlightSpec, places: DataFrame, state_
     f = f.withColumn("PREV_GAP_MIN", gap).withColumn("PREP_TIME", gap - F.col("PREV_DURATION"))
     f = traffic.with_lagged_rate(f, "PLACE", "SCHED", "FLAG", {"DELAY": "HOURLY_MINUTE_OF_DELAY"},
                                  lag=TRAFFIC_LAG, count_name="HOURLY_NUM_OF_FLIGHTS",
-                                 flagged_name="HOURLY_NUM_OF_DELAY", rate_name="HOURLY_DELAY_RATE")
+                                 flagged_name="HOURLY_NUM_OF_DELAY", rate_name="HOURLY_DELAY_RATE",
+                                 scale=s.delay_scale)
     f = enrich.lookup(f, places, "PLACE", "inner")
     f = enrich.attach_timezone(f, "STATE", "CITY", state_tz, city_tz, out="PLACE_TZ")
     return enrich.with_utc(f, "SCHED", "PLACE_TZ", "SCHED_UTC")
@@ -105,7 +108,8 @@ def clean_observations(obs: DataFrame, s: ObsSpec, countries: Sequence[str] = de
                     F.col(s.ts).alias("READING_TS"), *NUMERIC_WEATHER, *MODE_WEATHER)
 
 
-def weather_for_flights(flights: DataFrame, weather: DataFrame, places: DataFrame) -> DataFrame:
+def weather_for_flights(flights: DataFrame, weather: DataFrame, places: DataFrame,
+                        measure_scale: int | None = 1) -> DataFrame:
     """Readings of the <= 3 nearest stations in the window before each flight, summarised per flight."""
     stations = weather.select("STATION_ID", "STATION_LAT", "STATION_LON")
     near = nearest.nearest_k(places, stations, "PLACE", "PLACE_LAT", "PLACE_LON",
@@ -114,7 +118,7 @@ def weather_for_flights(flights: DataFrame, weather: DataFrame, places: DataFram
     readings = weather.select(F.col("STATION_ID").alias("R_STATION"), "READING_TS", *NUMERIC_WEATHER, *MODE_WEATHER)
     m = interval.interval_join(fl, readings, "STATION_ID", "R_STATION", "SCHED_UTC", "READING_TS",
                                lo=WINDOW_LO, hi=WINDOW_HI)
-    per = summarize.summarize(m, "KEY", means=list(NUMERIC_WEATHER), modes=list(MODE_WEATHER))
+    per = summarize.summarize(m, "KEY", means=list(NUMERIC_WEATHER), modes=list(MODE_WEATHER), scale=measure_scale)
     return summarize.attach(flights, per, "KEY")
 
 
@@ -161,7 +165,7 @@ def feature_table(flights: DataFrame, obs: DataFrame, places: DataFrame, state_t
     """
     f = materialize(prepare_flights(flights, fspec, places, state_tz, city_tz), stages, "flights")
     w = materialize(clean_observations(obs, ospec), stages, "weather")
-    j = materialize(weather_for_flights(f, w, places), stages, "joined")
+    j = materialize(weather_for_flights(f, w, places, ospec.measure_scale), stages, "joined")
     return finish(j)
 
 
@@ -171,6 +175,6 @@ class TestBinding:
     fspec: FlightSpec = field(default_factory=lambda: FlightSpec(
         key="event_id", entity="user_id", place="event_type", sched="ts", actual="actual_ts",
         delay="value", flag="delayed", duration="duration", block="dep_block", state="state", city="city",
-        order=("ts", "actual_ts")))
+        order=("ts", "actual_ts"), delay_scale=2))
     ospec: ObsSpec = field(default_factory=lambda: ObsSpec(
         station="station", ts="reading_ts", lat="lat", lon="lon", name="name", condition_cols=("AW1", "AW2")))
