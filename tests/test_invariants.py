@@ -21,3 +21,16 @@ def test_partition_count_invariance(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert res[0] == res[1] == res[2]
+
+
+def test_study_features_bit_identical_across_partitionings(spark):
+    # exact fixed-point means make the whole ETL order-free: a retried task writes the same bits
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    res = []
+    try:
+        for n in (4, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            res.append(sorted(tuple(r) for r in E.queries()["study_features"](spark, SF_SMALL).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert res[0] == res[1] and len(res[0]) > 0
