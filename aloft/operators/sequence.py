@@ -7,7 +7,8 @@ ordered by the event clocks, with two scale measures:
 * **Split hot entities.**  A window partitioned by the entity alone sends a
   whole entity to one task; one entity may hold a third of all rows.  The
   window is therefore partitioned by ``(entity, segment)`` where ``segment``
-  is a coarse, order-monotone bucket of the first clock (default: the day).
+  is a coarse, order-monotone bucket of the first clock: the day, or a
+  finer unit when a size check finds a (entity, day) segment too large.
   The first event of each segment takes its predecessor from the previous
   segment's last event, found on a per-segment table (one row per entity
   and segment, pre-aggregated map-side) and joined back on the same
@@ -31,6 +32,27 @@ from pyspark.sql.types import TimestampNTZType, TimestampType
 from aloft.functions.clock import floor_to
 
 
+# Largest segment (rows of one entity in one split unit) a window task should sort.
+SEGMENT_MAX_ROWS = 2_000_000
+# Split units tried from coarse to fine by split="auto".
+AUTO_UNITS = ("day", "hour", "minute")
+
+
+def choose_split(df: DataFrame, entity: str, first_order: str, max_rows: int = SEGMENT_MAX_ROWS) -> str | None:
+    """Coarsest unit whose largest (entity, unit) segment holds at most ``max_rows`` rows.
+
+    One partial-aggregating count per unit tried (usually only "day").
+    """
+    if not isinstance(df.schema[first_order].dataType, TimestampNTZType):
+        return None
+    for unit in AUTO_UNITS:
+        largest = df.groupBy(entity, floor_to(F.col(first_order), unit).alias("__u")) \
+            .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if largest <= max_rows:
+            return unit
+    return AUTO_UNITS[-1]
+
+
 def _segment_expr(df: DataFrame, first_order: str, split) -> Column | None:
     if split is None:
         return None
@@ -46,7 +68,8 @@ def _segment_expr(df: DataFrame, first_order: str, split) -> Column | None:
 
 def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry: Sequence[str],
                   prefix: str = "PREV_", ties: str = "one", keep_first: bool = False,
-                  tie_break: Sequence[str] | None = None, split="day") -> DataFrame:
+                  tie_break: Sequence[str] | None = None, split="auto",
+                  segment_max_rows: int = SEGMENT_MAX_ROWS) -> DataFrame:
     """Attach columns of the previous event of the same entity.
 
     ``order_cols`` are the clocks, oldest first (ascending).  ``carry``
@@ -55,13 +78,17 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
     events without a predecessor (inner-join semantics of the source);
     ``True`` keeps them with nulls.  ``tie_break`` orders events that tie
     on all clocks (``ties="one"`` only; required there for determinism).
-    ``split`` is the segment unit (``"day"``, ``"month"``, ...), a Column,
-    or None for one window per entity.
+    ``split`` is the segment unit (``"day"``, ``"hour"``, ...), a Column,
+    None for one window per entity, or ``"auto"``: the coarsest of day /
+    hour / minute whose largest (entity, unit) segment holds at most
+    ``segment_max_rows`` rows (a size check, one cheap aggregate).
     """
     if ties not in ("one", "all"):
         raise ValueError("ties must be 'one' or 'all'")
     order_cols = list(order_cols)
     carry = list(carry)
+    if split == "auto":
+        split = choose_split(df, entity, order_cols[0], segment_max_rows)
     seg = _segment_expr(df, order_cols[0], split)
     keys = [entity] + (["__seg"] if seg is not None else [])
     base = df.withColumn("__seg", seg) if seg is not None else df

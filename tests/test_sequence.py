@@ -65,3 +65,12 @@ def test_segments_cross_day_boundaries(spark):
     c = ev.withColumn("PREV_event_id", F.lag("event_id").over(w)).where(F.col("PREV_event_id").isNotNull())
     cols = ["event_id", "PREV_event_id"]
     assert rows(a, *cols) == rows(b, *cols) == rows(c, *cols)
+
+
+def test_auto_split_narrows_for_a_huge_segment(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    assert sequence.choose_split(ev, "user_id", "ts") == "day"
+    assert sequence.choose_split(ev, "user_id", "ts", max_rows=1) == "minute"
+    a = sequence.with_previous(ev, "user_id", ["ts"], ["event_id"], tie_break=["event_id"], segment_max_rows=1)
+    b = sequence.with_previous(ev, "user_id", ["ts"], ["event_id"], tie_break=["event_id"], split=None)
+    assert rows(a, "event_id", "PREV_event_id") == rows(b, "event_id", "PREV_event_id")
