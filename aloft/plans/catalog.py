@@ -570,8 +570,9 @@ def study_features(spark, sf):
     out = fs.feature_table(b.study_flights(spark, sf), b.study_observations(spark, sf), b.study_places(spark, sf),
                            b.study_state_tz(spark), None, tb.fspec, tb.ospec)
     return out.select("KEY", "PLACE", "SCHED_UTC", "DELAY", "FLAG", "PREV_DELAY", "PREV_FLAG", "PREP_TIME",
-                      "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS", "WindSpeed_imp", "Temperature_imp",
-                      "Visibility_imp", "CloudMode", "AtmCondition", "CloudMode_binary", "BLOCK6", "BLOCK7")
+                      "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS",
+                      *[_r(c).alias(c) for c in ("WindSpeed_imp", "Temperature_imp", "Visibility_imp")],
+                      "CloudMode", "AtmCondition", "CloudMode_binary", "BLOCK6", "BLOCK7")
 
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in {

@@ -32,7 +32,7 @@ DAY_BLOCK = """strftime(ts - INTERVAL 150 MINUTE, '%Y-%m-%d') || ' ' ||
        WHEN hour(ts - INTERVAL 150 MINUTE) < 18 THEN 'afternoon' ELSE 'night' END"""
 
 OBS = """obs AS (
-  SELECT l_orderkey, l_linenumber,
+  SELECT l_orderkey, l_linenumber, l_suppkey,
     CASE WHEN l_orderkey % 101 = 0
          THEN concat_ws(',', lpad(CAST(angle AS VARCHAR), 3, '0'), q, 'N', lpad(CAST(speed AS VARCHAR), 4, '0'))
          ELSE concat_ws(',', lpad(CAST(angle AS VARCHAR), 3, '0'), q, 'N', lpad(CAST(speed AS VARCHAR), 4, '0'), q) END AS WND,
@@ -385,3 +385,77 @@ SELECT l.l_orderkey, l.l_linenumber,
   l.l_quantity + 0.0 AS f5, l.l_discount + 0.0 AS f6
 FROM lineitem l JOIN rf ON l.l_returnflag = rf.l_returnflag JOIN ls ON l.l_linestatus = ls.l_linestatus""",
 }
+
+
+def _study_sql() -> str:
+    """The whole ETL in SQL: lag for the predecessor, a cross join + row_number for the nearest
+    stations, a range join for the readings, quantile_cont for the medians."""
+    from aloft.plans.bindings import STUDY_STATE_ZONES
+    md5i = lambda e, m: f"(CAST(('0x' || substr(md5({e}), 1, 6)) AS BIGINT) % {m})"
+    exact1 = lambda c: f"CAST(sum(CAST({c} AS DECIMAL(38,1))) AS DOUBLE) / count({c})"
+    fields = ["WindAngle", "WindSpeed", "VerticalVisibility", "Visibility", "Temperature", "DewPointTemp",
+              "SeaLevelPressure", "CloudHeight", "CloudMode", "AtmCondition"]
+    numeric = fields[:8]
+    blk = lambda t: (f"strftime({t} - INTERVAL 150 MINUTE, '%Y-%m-%d') || ' ' || CASE WHEN hour({t} - INTERVAL 150 MINUTE) < 6 "
+                     f"THEN 'early' WHEN hour({t} - INTERVAL 150 MINUTE) < 12 THEN 'morning' "
+                     f"WHEN hour({t} - INTERVAL 150 MINUTE) < 18 THEN 'afternoon' ELSE 'night' END")
+    imp = ["WindSpeed", "VerticalVisibility", "Visibility", "Temperature", "DewPointTemp", "CloudHeight"]
+    return f"""WITH {OBS},
+fl AS (SELECT event_id AS KEY, user_id AS ENTITY, event_type AS PLACE, ts AS SCHED,
+         ts + to_microseconds(CAST(floor(value * 60) AS BIGINT) * 1000000) AS ACTUAL, value AS DELAY,
+         CAST(value > 80 AS INTEGER) AS FLAG, CAST(30.0 AS DOUBLE) + ((event_id * 7) % 150) AS DURATION,
+         lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || '00-' || lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || '59' AS BLOCK,
+         'S0' || CAST({md5i('event_type', 5)} AS VARCHAR) AS STATE FROM events),
+pv AS (SELECT *, lag(KEY) OVER w AS PREV_KEY, lag(ACTUAL) OVER w AS PREV_ACTUAL, lag(DELAY) OVER w AS PREV_DELAY,
+         lag(FLAG) OVER w AS PREV_FLAG, lag(DURATION) OVER w AS PREV_DURATION
+       FROM fl WINDOW w AS (PARTITION BY ENTITY ORDER BY SCHED, ACTUAL, KEY)),
+pv2 AS (SELECT *, CAST((epoch_us(SCHED) - epoch_us(PREV_ACTUAL)) // 60000000 AS INTEGER) - PREV_DURATION AS PREP_TIME
+        FROM pv WHERE PREV_KEY IS NOT NULL),
+hr AS (SELECT PLACE, date_trunc('hour', SCHED + INTERVAL 2 HOUR) AS HB, count(*) AS HOURLY_NUM_OF_FLIGHTS,
+         sum(FLAG) / count(*) AS HOURLY_DELAY_RATE FROM pv2 GROUP BY ALL),
+places AS (SELECT DISTINCT event_type AS PLACE FROM events),
+pl AS (SELECT PLACE, CAST(40.06 AS DOUBLE) + {md5i('PLACE', 10)} * CAST(0.23 AS DOUBLE) AS PLAT,
+         CAST(-99.97 AS DOUBLE) AS PLON FROM places),
+tz(state, zone) AS (VALUES {_values(STUDY_STATE_ZONES)}),
+f AS (SELECT p.*, h.HOURLY_NUM_OF_FLIGHTS, h.HOURLY_DELAY_RATE,
+        timezone('UTC', timezone(tz.zone, p.SCHED)) AS SCHED_UTC
+      FROM pv2 p JOIN pl ON p.PLACE = pl.PLACE
+      LEFT JOIN hr h ON p.PLACE = h.PLACE AND date_trunc('hour', p.SCHED) = h.HB
+      LEFT JOIN tz ON p.STATE = tz.state),
+w AS (SELECT l_suppkey AS STATION, CAST(40.01 AS DOUBLE) + (l_suppkey % 10) * CAST(0.23 AS DOUBLE) AS SLAT,
+        CAST(-100.02 AS DOUBLE) + (floor(l_suppkey / 10) % 10) * CAST(0.24 AS DOUBLE) AS SLON,
+        TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((l_orderkey * 37 + l_linenumber * 11) % 43200 AS BIGINT)) AS RTS,
+        {", ".join(_field(n) for n in fields)}
+      FROM obs2),
+st AS (SELECT STATION, min(SLAT) AS SLAT, min(SLON) AS SLON FROM w GROUP BY STATION),
+pairs AS (SELECT PLACE, STATION, CAST(6371.0 AS DOUBLE) * (2 * atan2(sqrt(a), sqrt(1 - a))) AS d FROM (
+          SELECT PLACE, STATION, sin(radians(SLAT - PLAT) / 2) * sin(radians(SLAT - PLAT) / 2)
+            + cos(radians(PLAT)) * cos(radians(SLAT)) * sin(radians(SLON - PLON) / 2) * sin(radians(SLON - PLON) / 2) AS a
+          FROM pl CROSS JOIN st) y),
+near AS (SELECT PLACE, STATION FROM (SELECT *, row_number() OVER (PARTITION BY PLACE ORDER BY round(d, 6), STATION) AS rn
+         FROM pairs WHERE d < 30) z WHERE rn <= 3),
+m AS (SELECT f.KEY, w.* FROM f JOIN near ON f.PLACE = near.PLACE JOIN w ON w.STATION = near.STATION
+        AND w.RTS > f.SCHED_UTC - INTERVAL 3 HOUR AND w.RTS < f.SCHED_UTC - INTERVAL 2 HOUR),
+mm AS (SELECT KEY, {", ".join(f"{exact1(c)} AS {c}" for c in numeric)} FROM m GROUP BY KEY),
+cm AS (SELECT KEY, CloudMode FROM (SELECT KEY, CloudMode, row_number() OVER (PARTITION BY KEY ORDER BY count(*) DESC, CloudMode) AS rn
+         FROM m WHERE CloudMode IS NOT NULL GROUP BY KEY, CloudMode) q WHERE rn = 1),
+am AS (SELECT KEY, AtmCondition FROM (SELECT KEY, AtmCondition, row_number() OVER (PARTITION BY KEY ORDER BY count(*) DESC, AtmCondition) AS rn
+         FROM m WHERE AtmCondition IS NOT NULL GROUP BY KEY, AtmCondition) q WHERE rn = 1),
+j AS (SELECT f.*, {", ".join(f"mm.{c}" for c in numeric)}, cm.CloudMode, am.AtmCondition, {blk("f.SCHED_UTC")} AS WB
+      FROM f LEFT JOIN mm ON f.KEY = mm.KEY LEFT JOIN cm ON f.KEY = cm.KEY LEFT JOIN am ON f.KEY = am.KEY),
+md AS (SELECT PLACE, WB, {", ".join(f"quantile_cont({c}, 0.5) AS {c}_md" for c in imp)} FROM j GROUP BY PLACE, WB),
+fin AS (SELECT j.*, {", ".join(f"coalesce(j.{c}, md.{c}_md) AS {c}_imp" for c in imp)},
+          coalesce(CAST(j.CloudMode = 0 AS INTEGER), 0) AS CloudMode_binary,
+          coalesce(CAST(j.BLOCK = '0600-0659' AS INTEGER), 0) AS BLOCK6, coalesce(CAST(j.BLOCK = '0700-0759' AS INTEGER), 0) AS BLOCK7
+        FROM j LEFT JOIN md ON j.PLACE = md.PLACE AND j.WB = md.WB)
+SELECT KEY, PLACE, SCHED_UTC, DELAY, FLAG, PREV_DELAY, PREV_FLAG, PREP_TIME, coalesce(HOURLY_DELAY_RATE, 0) AS HOURLY_DELAY_RATE,
+  coalesce(HOURLY_NUM_OF_FLIGHTS, 0) AS HOURLY_NUM_OF_FLIGHTS,
+  {", ".join(f"(floor(({c}_imp) * 1000000.0 + 0.5) / 1000000.0) AS {c}_imp" for c in ("WindSpeed", "Temperature", "Visibility"))},
+  CloudMode, AtmCondition, CloudMode_binary, BLOCK6, BLOCK7
+FROM fin
+WHERE PREP_TIME IS NOT NULL AND PREV_FLAG IS NOT NULL AND PREV_DURATION IS NOT NULL
+  AND {" AND ".join(f"{c}_imp IS NOT NULL" for c in ["WindSpeed", "VerticalVisibility", "Visibility", "Temperature", "DewPointTemp"])}
+  AND PREV_DURATION > 18 AND DURATION > 18 AND PREV_DELAY > -45 AND PREV_DELAY < 1609 AND DELAY > -45 AND DELAY < 1609"""
+
+
+ORACLE["study_features"] = _study_sql()
