@@ -82,3 +82,12 @@ def test_expect_schema(spark):
     io.expect_schema(nat, {"n_nationkey": "int", "n_name": "string"})
     with pytest.raises(ValueError):
         io.expect_schema(nat, {"n_nationkey": "bigint"})
+
+
+def test_persist_reuse_cache(spark):
+    nat = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    p = io.persist(nat)
+    try:
+        assert p.count() == 25 and p.storageLevel.useDisk and p.storageLevel.useMemory
+    finally:
+        p.unpersist()
