@@ -41,10 +41,14 @@ AUTO_UNITS = ("day", "hour", "minute")
 def choose_split(df: DataFrame, entity: str, first_order: str, max_rows: int = SEGMENT_MAX_ROWS) -> str | None:
     """Coarsest unit whose largest (entity, unit) segment holds at most ``max_rows`` rows.
 
-    One partial-aggregating count per unit tried (usually only "day").
+    A bounded count first (``limit(max_rows + 1)``: no shuffle, stops early
+    on large inputs): an input no larger than the bound cannot hold a larger
+    segment.  Otherwise one partial-aggregating count per unit tried.
     """
     if not isinstance(df.schema[first_order].dataType, TimestampNTZType):
         return None
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return AUTO_UNITS[0]
     for unit in AUTO_UNITS:
         largest = df.groupBy(entity, floor_to(F.col(first_order), unit).alias("__u")) \
             .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
