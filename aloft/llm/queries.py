@@ -3,12 +3,15 @@ production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import mixing, quality, secret_scan, sharding
+from aloft.llm import mixing, packing, quality, secret_scan, sharding
 from aloft.llm.common import table
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 # The table has no domain column; its sources are dealt to four domains by their number.
 DOMAIN_SQL = "concat('d', cast(coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 0) % 4 as string))"
 MIX_WEIGHTS = {("d0",): 5, ("d1",): 2, ("d2",): 2, ("d3",): 2,
@@ -43,6 +46,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                               mixing.word_count().alias("tokens"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs, VOCABULARY)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -51,5 +62,6 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
+    "op5_packing": op5_packing,
     "op10_secret_scan": op10_secret_scan,
 }

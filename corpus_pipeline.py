@@ -33,10 +33,16 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.mixed(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into training sequences; one row per piece."""
+    return queries.packed(docs)
+
+
 STAGES = [
     ("quality", keep_quality),
     ("secrets", redact_secrets),
     ("mixing", mix),
+    ("packing", pack),
 ]
 
 # The classifier is learnt by gradient descent, which SQL cannot express.
