@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import mixing, packing, quality, secret_scan, sharding
+from aloft.llm import jaccard_join, mixing, packing, quality, secret_scan, sharding
 from aloft.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -54,6 +54,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "n_links", "n_text_links")
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -63,5 +68,6 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
     "op5_packing": op5_packing,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_secret_scan": op10_secret_scan,
 }

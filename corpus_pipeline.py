@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import quality, queries, secret_scan
+from aloft.llm import jaccard_join, quality, queries, secret_scan
 from aloft.llm.common import table
 from aloft.sources.io import stage
 
@@ -23,6 +23,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.with_score(docs.select(*COLUMNS), model).where(F.col("score") >= 0.3).select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays: the one with the least id."""
+    docs = docs.select(*COLUMNS)
+    return jaccard_join.keep_one(docs, jaccard_join.jaccard_classes(docs))
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by its kind; documents without one stay as they are."""
     return secret_scan.redact(docs.select(*COLUMNS))
@@ -40,6 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", keep_quality),
+    ("near_copies", drop_near_copies),
     ("secrets", redact_secrets),
     ("mixing", mix),
     ("packing", pack),
