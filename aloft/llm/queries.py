@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import jaccard_join, mixing, packing, quality, secret_scan, sharding
+from aloft.llm import jaccard_join, mixing, packing, quality, secret_scan, sharding, substring_dedup
 from aloft.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +59,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "n_links", "n_text_links")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -69,5 +73,6 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_packing": op5_packing,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
