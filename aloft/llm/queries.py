@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import jaccard_join, mixing, packing, quality, secret_scan, sharding, substring_dedup
+from aloft.llm import jaccard_join, lm_score, mixing, packing, quality, secret_scan, sharding, substring_dedup
 from aloft.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +63,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -74,5 +79,6 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_lm_score": op9_lm_score,
     "op10_secret_scan": op10_secret_scan,
 }
