@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import jaccard_join, lm_score, mixing, packing, quality, secret_scan, sharding, substring_dedup
+from aloft.llm import jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup
 from aloft.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -46,6 +46,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                               mixing.word_count().alias("tokens"))
 
 
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, VOCABULARY)
 
@@ -54,6 +58,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "n_links", "n_text_links")
@@ -76,7 +84,9 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
     "op3_mixing": op3_mixing,
+    "op4_permutation_index": op4_permutation_index,
     "op5_packing": op5_packing,
+    "op6_maxscore": op6_maxscore,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_score": op9_lm_score,
