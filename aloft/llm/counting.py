@@ -21,7 +21,7 @@ REPLY = "chunk int, bucket int, keys binary, totals binary"
 
 def requests(chunk: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     """A chunk's sorted different ``keys`` with their ``counts`` (one column or several, 32 bits) as request rows."""
-    counts = np.ascontiguousarray(counts.reshape(len(keys), -1).astype("<u4"))
+    counts = (counts if counts.ndim > 1 else counts[:, None]).astype("<u4")
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     used, first = np.unique(bucket, return_index=True)
     ends = np.append(first[1:], len(keys))
