@@ -24,8 +24,7 @@ def requests(chunk: int, keys: np.ndarray, counts: np.ndarray, buckets: int) ->
     counts = (counts if counts.ndim > 1 else counts[:, None]).astype("<u4")
     bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     used, first = np.unique(bucket, return_index=True)
-    ends = np.append(first[1:], len(keys))
-    rows = list(zip(first.tolist(), ends.tolist(), strict=True))
+    rows = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False))      # none without keys
     return pa.RecordBatch.from_arrays([
         pa.array(used.astype(np.int32)), pa.array(np.full(len(used), chunk, dtype=np.int32)),
         pa.array([pack_keys(keys[a:b]) for a, b in rows], pa.binary()),

@@ -127,7 +127,7 @@ def _route(shards: int):
         ids = np.array([NULL_ID if i is None else i for i in chunk.ids], dtype="<i8")[chunk.rows]
         tids = np.array([np.frombuffer(x, dtype="<u8") for x in chunk.tids]).reshape(-1, 2)[chunk.rows]
         rows = []
-        for k, lo, hi in zip(which.tolist(), first.tolist(), np.append(first[1:], len(use)).tolist(), strict=True):
+        for k, lo, hi in zip(which.tolist(), first.tolist(), [*first[1:].tolist(), len(use)], strict=False):
             u = use[lo:hi]
             docs, local = np.unique(s.doc[u], return_inverse=True)
             of, place = spans_of(s.windows[u] + WINDOW - 1)
