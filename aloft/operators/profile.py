@@ -42,8 +42,7 @@ def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def tail_bounds(df: DataFrame, col: str, lo: float = 0.00001, hi: float = 0.99999) -> DataFrame:
     """Outlier bounds on signed halves: quantile ``lo`` of the negative values
-    and quantile ``hi`` of the positive values, exact (A11).  Two huge groups:
-    the size check picks the distributed quantile path at scale."""
+    and quantile ``hi`` of the positive values, exact (A11)."""
     signed = df.select(F.col(col)).withColumn("side", F.when(F.col(col) < 0, F.lit("neg"))
                                                .when(F.col(col) > 0, F.lit("pos")))
     q = quantiles(signed.where(F.col("side").isNotNull()), col, sorted({lo, hi}), by=["side"])
@@ -87,15 +86,9 @@ def conditional_rate(df: DataFrame, given: str, flag: str) -> DataFrame:
 
 def box_summary(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Min, quartiles, median, max of each measure per class, exact.
-    Classes are few and huge: above the size bound the distributed path runs."""
-    outs = []
-    for c in cols:
-        q = quantiles(df, c, [0.0, 0.25, 0.5, 0.75, 1.0], by=by)
-        outs.append(q.withColumn("measure", F.lit(c)))
-    res = outs[0]
-    for o in outs[1:]:
-        res = res.unionByName(o)
-    return res.select(*by, "measure", "prob", "value")
+    All measures go through one pass."""
+    q = quantiles(df, list(cols), [0.0, 0.25, 0.5, 0.75, 1.0], by=by)
+    return q.select(*by, F.col("column").alias("measure"), "prob", "value")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import math
 
@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from aloft.functions.stats import mean
 
 
-# Largest group (rows) whose values one aggregate buffer may hold.
-ONE_BUFFER_MAX_ROWS = 5_000_000
-
-
 def summarize(df: DataFrame, key: str | Sequence[str], means: Sequence[str] = (),
               modes: Sequence[str] = (), scale: int | None = None) -> DataFrame:
     """Mean of each numeric measure and mode of each category per key, in ONE aggregate.
@@ -48,26 +44,23 @@ def mode_by(df: DataFrame, key: str | Sequence[str], col: str, out: str | None =
     return counts.groupBy(*keys).agg(pick.alias(out or col))
 
 
+def _group(by: Sequence[str]) -> Column:
+    """The group of a row as one struct: null keys are a group like any other, in joins too."""
+    return F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(0).alias("all"))
+
+
 def group_percentile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                     suffix: str = "_md", one_buffer_max_rows: int | None = None) -> DataFrame:
-    """Exact interpolated percentile of several columns per group.
-
-    One cheap aggregate finds the largest group.  Under the bound (groups
-    bounded by design, e.g. a place in a 6-hour block) a single aggregate
-    computes every column, each group's values in one buffer; above it each
-    column goes through ``exact_quantiles``, which never holds a whole group
-    in one task.  Nulls are ignored; an all-null group gives null (not NaN).
+                     suffix: str = "_md") -> DataFrame:
+    """Exact interpolated percentile of several columns per group, all columns in one pass.
+
+    Nulls and NaN are missing values and ignored; a group without a value gives
+    null.  A null key is a group of its own.
     """
     keys = list(keys)
-    bound = ONE_BUFFER_MAX_ROWS if one_buffer_max_rows is None else one_buffer_max_rows
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= bound:
-        return df.groupBy(*keys).agg(*[F.percentile(c, prob).alias(c + suffix) for c in cols])
-    out = df.select(*keys).distinct()
-    for c in cols:
-        q = exact_quantiles(df, c, [prob], by=keys).select(*keys, F.col("value").alias(c + suffix))
-        out = out.join(q, on=keys, how="left")
-    return out
+    q = exact_quantiles(df, cols, [prob], by=keys)
+    wide = q.groupBy("__g").agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c + suffix) for c in cols])
+    return df.select(_group(keys).alias("__g")).distinct().join(wide, "__g", "left") \
+        .select(*[F.col("__g").getField(k).alias(k) for k in keys], *[c + suffix for c in cols])
 
 
 def lower_bound(sorted_arr: Column, v: Column, length: int) -> Column:
@@ -89,142 +82,72 @@ def lower_bound(sorted_arr: Column, v: Column, length: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              one_buffer_max_rows: int = ONE_BUFFER_MAX_ROWS) -> DataFrame:
-    """Exact interpolated quantiles per group, with the strategy picked by a size check.
+def quantiles(df: DataFrame, cols: str | Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact interpolated quantiles per group: ``by`` columns, ``column`` (for a list of columns), ``prob``, ``value``."""
+    by, one = list(by), isinstance(cols, str)
+    q = exact_quantiles(df, [cols] if one else list(cols), probs, by)
+    return q.select(*[F.col("__g").getField(k).alias(k) for k in by], *([] if one else ["column"]), "prob", "value")
 
-    One cheap aggregate finds the largest group.  Under ``one_buffer_max_rows``
-    a single ``percentile`` aggregate is used (each group's values in one
-    buffer, proven small); above it, ``exact_quantiles`` splits the groups
-    so that no task holds a whole group.  Both are exact and give the same
-    output (``by``, ``prob``, ``value``).
-    """
-    by = list(by)
-    v = F.col(col).cast("double")
-    src = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    sizes = src.groupBy(*by).agg(F.count(F.lit(1)).alias("n")) if by else src.agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > one_buffer_max_rows:
-        return exact_quantiles(df, col, probs, by)
-    ps = [float(p) for p in probs]
-    agg = src.groupBy(*by).agg(F.percentile("__v", ps).alias("__q")) if by else \
-        src.agg(F.percentile("__v", ps).alias("__q"))
-    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in ps]).alias("prob"), F.col("__q").alias("value"))
-    return agg.select(*by, F.explode(pairs).alias("__pq")).select(*by, "__pq.prob", "__pq.value")
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    buckets: int = 256, levels: int = 2, accuracy: int = 10_000) -> DataFrame:
-    """Exact interpolated quantiles of ``col`` (per ``by`` group), distributed.
-
-    Equal to ``percentile(col, p)`` (linear interpolation between the order
-    statistics at floor and ceil of (n-1)p), but no task ever holds a whole
-    group, so it suits a few huge groups (per class, or the whole table):
-
-    1. approximate splitters (``percentile_approx``: a mergeable sketch of
-       bounded size, partial-aggregated map-side) cut each group's values
-       into ``buckets`` ranges; a binary search assigns every row its range;
-    2. counts per range and their running sum (<= ``buckets`` rows per
-       group) locate the range holding each wanted rank;
-    3. steps 1-2 repeat inside the located ranges for ``levels`` levels, so
-       the final range holds about n / buckets**levels rows;
-    4. only those rows are reduced to (value, count) and ranked, which
-       yields the exact order statistics.
-
-    Output: ``by`` columns, ``prob``, ``value`` (one row per group and p).
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                    ranges: int = 1024, accuracy: int = 20_000) -> DataFrame:
+    """Exact interpolated quantiles of several columns per group: (__g, column, prob, value).
+
+    Equal to ``percentile(col, p)`` over the values that are neither null nor
+    NaN (linear interpolation between the order statistics at floor and ceil
+    of (n-1)p).  One path for groups of every size; no task holds a group:
+
+    1. the rows become one row per (group, column, value) with its count
+       (partially aggregated before the one shuffle, which all steps share);
+    2. splitters of each column (``percentile_approx``: a mergeable sketch,
+       ``ranges - 1`` numbers per column, broadcast) put each value into a range;
+    3. counts per (group, column, range), at most ``ranges`` of a group, and
+       their running sum locate the range of each wanted rank;
+    4. only the values of located ranges are ranked, range by range.
     """
-    by = list(by)
-    spark = df.sparkSession
-    v = F.col(col).cast("double")
-    src = df.select(*by, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    sp_probs = [i / buckets for i in range(1, buckets)]
-    n_sp = len(sp_probs)
-    count = F.count(F.lit(1))
-
-    def ranks(want: DataFrame) -> DataFrame:
-        w = want.withColumn("__pos", (F.col("__n") - 1) * F.col("prob"))
-        return w.withColumn("__k", F.explode(F.array_distinct(F.array(
-            F.floor("__pos").cast("long"), F.ceil("__pos").cast("long"))))).drop("__n")
-
-    # level 1
-    if by:
-        meta = src.groupBy(*by).agg(F.percentile_approx("__v", sp_probs, accuracy).alias("__sp"),
-                                    count.alias("__n"))
-        rows = src.join(meta.select(*by, "__sp"), on=by) \
-            .withColumn("__b1", lower_bound(F.col("__sp"), F.col("__v"), n_sp)).drop("__sp")
-        cnt = rows.groupBy(*by, "__b1").agg(count.alias("__c"))
-        wb = Window.partitionBy(*by).orderBy("__b1").rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.withColumn("__cb", F.coalesce(F.sum("__c").over(wb), F.lit(0)))
-        pr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-        need = ranks(meta.select(*by, "__n", pr)).join(cnt, on=by) \
-            .where((F.col("__k") >= F.col("__cb")) & (F.col("__k") < F.col("__cb") + F.col("__c"))) \
-            .withColumnRenamed("__cb", "__before").drop("__c")
-    else:
-        # whole table: the splitters and the <= buckets totals are bounded, so they
-        # come to the driver; the rows never do
-        m = src.agg(F.percentile_approx("__v", sp_probs, accuracy).alias("sp"), count.alias("n")).first()
-        n = int(m["n"])
-        if n == 0:
-            return spark.createDataFrame([(float(p), None) for p in probs], "prob double, value double")
-        arr = F.array(*[F.lit(float(x)) for x in sorted(m["sp"])])
-        rows = src.withColumn("__b1", lower_bound(arr, F.col("__v"), n_sp))
-        totals = sorted((r[0], r[1]) for r in rows.groupBy("__b1").agg(count).collect())
-        starts, acc = [], 0
-        for b, c in totals:
-            starts.append((b, acc, c))
-            acc += c
-        need_rows = []
-        for p in probs:
-            pos = (n - 1) * float(p)
-            for k in sorted({math.floor(pos), math.ceil(pos)}):
-                b, before, _ = next(t for t in starts if t[1] <= k < t[1] + t[2])
-                need_rows.append((float(p), float(pos), int(k), int(b), int(before)))
-        need = spark.createDataFrame(need_rows, "prob double, __pos double, __k long, __b1 int, __before long")
-    path = ["__b1"]
-    # deeper levels, inside the located ranges only
-    for lvl in range(2, levels + 1):
-        keys = by + path
-        rows = rows.join(F.broadcast(need.select(*keys).distinct()) if not by else need.select(*keys).distinct(),
-                         on=keys, how="left_semi")
-        meta = rows.groupBy(*keys).agg(F.percentile_approx("__v", sp_probs, accuracy).alias("__sp"))
-        bl = f"__b{lvl}"
-        rows = rows.join(meta, on=keys).withColumn(bl, lower_bound(F.col("__sp"), F.col("__v"), n_sp)).drop("__sp")
-        cnt = rows.groupBy(*keys, bl).agg(count.alias("__c"))
-        wb = Window.partitionBy(*keys).orderBy(bl).rowsBetween(Window.unboundedPreceding, -1)
-        cnt = cnt.withColumn("__cb", F.coalesce(F.sum("__c").over(wb), F.lit(0)))
-        off = F.col("__k") - F.col("__before")
-        need = need.join(cnt, on=keys).where((off >= F.col("__cb")) & (off < F.col("__cb") + F.col("__c"))) \
-            .withColumn("__before", F.col("__before") + F.col("__cb")).drop("__c", "__cb")
-        path.append(bl)
-    keys = by + path
-    sel = need.select(*keys).distinct()
-    cand = rows.join(F.broadcast(sel) if not by else sel, on=keys, how="left_semi") \
-        .groupBy(*keys, "__v").agg(count.alias("__c"))
-    wv = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    cand = cand.withColumn("__cum", F.sum("__c").over(wv))
+    v = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), (F.col(c).cast("double") + 0.0).alias("v")) for c in cols]))
+    src = df.select(_group(by).alias("__g"), v.alias("__x")).select("__g", "__x.column", F.col("__x.v").alias("__v")) \
+        .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    share = [i / ranges for i in range(1, ranges)]
+    splitters = src.groupBy("column").agg(F.percentile_approx("__v", share, accuracy).alias("__sp"))     # one row per column
+    per = src.groupBy("__g", "column", "__v").agg(F.count(F.lit(1)).alias("__c")).join(F.broadcast(splitters), "column") \
+        .withColumn("__r", lower_bound(F.col("__sp"), F.col("__v"), ranges - 1)).drop("__sp")
+    hist = per.groupBy("__g", "column", "__r").agg(F.sum("__c").alias("__n"))
+    w = Window.partitionBy("__g", "column")
+    hist = hist.withColumn("__all", F.sum("__n").over(w)) \
+        .withColumn("__before", F.sum("__n").over(w.orderBy("__r")) - F.col("__n"))
+    pos = (F.col("__all") - 1) * F.col("prob")
+    need = hist.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).withColumn("__pos", pos) \
+        .withColumn("__k", F.explode(F.array_distinct(F.array(F.floor("__pos").cast("long"), F.ceil("__pos").cast("long"))))) \
+        .where((F.col("__k") >= F.col("__before")) & (F.col("__k") < F.col("__before") + F.col("__n"))) \
+        .select("__g", "column", "__r", "__before", "prob", "__pos", "__k")
+    wanted = need.select("__g", "column", "__r").distinct()
+    inside = Window.partitionBy("__g", "column", "__r").orderBy("__v")
+    ranked = per.join(wanted, ["__g", "column", "__r"], "left_semi").withColumn("__upto", F.sum("__c").over(inside))
     off = F.col("__k") - F.col("__before")
-    hit = need.join(cand, on=keys).where((off < F.col("__cum")) & (off >= F.col("__cum") - F.col("__c")))
-    res = hit.groupBy(*by, "prob").agg(
-        F.min("__pos").alias("__pos"),
-        F.min_by("__v", "__k").alias("__lo"), F.max_by("__v", "__k").alias("__hi"),
+    hit = need.join(ranked, ["__g", "column", "__r"]).where((off < F.col("__upto")) & (off >= F.col("__upto") - F.col("__c")))
+    res = hit.groupBy("__g", "column", "prob").agg(
+        F.min("__pos").alias("__pos"), F.min_by("__v", "__k").alias("__lo"), F.max_by("__v", "__k").alias("__hi"),
         F.min("__k").alias("__klo"), F.max("__k").alias("__khi"))
     value = F.when(F.col("__klo") == F.col("__khi"), F.col("__lo")).otherwise(
         (F.col("__khi") - F.col("__pos")) * F.col("__lo") + (F.col("__pos") - F.col("__klo")) * F.col("__hi"))
-    return res.select(*by, "prob", value.alias("value"))
+    return res.select("__g", "column", "prob", value.alias("value"))
 
 
 def impute_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                    suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False,
-                    one_buffer_max_rows: int | None = None) -> DataFrame:
+                    suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False) -> DataFrame:
     """``coalesce(value, percentile of its group)`` for each column.
 
     The group statistic is computed once per group and left-joined back on
-    the group keys, so row count is unchanged.  All-null groups give null
-    (the source's NaN), which a later ``drop_null`` removes.
+    the group (null keys included), so row count is unchanged.  Nulls and NaN are
+    missing and get imputed; groups without a value give null (the source's
+    NaN), which a later ``drop_null`` removes.
     """
-    stats = group_percentile(df, keys, cols, prob, stat_suffix, one_buffer_max_rows)
-    out = df.join(stats, on=list(keys), how="left")
-    out = out.withColumns({c + suffix: F.coalesce(F.col(c), F.col(c + stat_suffix)) for c in cols})
+    stats = group_percentile(df, keys, cols, prob, stat_suffix)
+    stats = stats.select(_group(list(keys)).alias("__g"), *[c + stat_suffix for c in cols])
+    out = df.withColumn("__g", _group(list(keys))).join(stats, on="__g", how="left").drop("__g")
+    present = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    out = out.withColumns({c + suffix: F.coalesce(present(c), F.col(c + stat_suffix)) for c in cols})
     return out if keep_stats else out.drop(*[c + stat_suffix for c in cols])
 
 
@@ -237,8 +160,3 @@ def attach(df: DataFrame, summary: DataFrame, key: str | Sequence[str]) -> DataF
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct rows of a projection."""
     return df.select(*cols).distinct()
-
-
-def mean_of(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], scale: int | None = None) -> DataFrame:
-    """Mean of each measure per group, output names given (A4)."""
-    return df.groupBy(*keys).agg(*[mean(c, scale).alias(n) for c, n in cols.items()])

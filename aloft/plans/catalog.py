@@ -293,8 +293,10 @@ def interval_summary(spark, sf):
 
 def _with_gaps(spark, sf):
     ev = b.table(spark, sf, "events")
-    v = F.when(F.col("event_id") % 10 == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
-    return ev.select("event_id", "event_type", v.alias("value"), clock.day_block("ts").alias("block"))
+    v = F.when(F.col("event_id") % 10 == 0, F.lit(None).cast("double")).when(F.col("event_id") % 11 == 0, F.lit(float("nan"))) \
+        .otherwise(F.col("value"))
+    place = F.when(F.col("event_id") % 7 != 0, F.col("event_type"))          # a null group
+    return ev.select("event_id", place.alias("event_type"), v.alias("value"), clock.day_block("ts").alias("block"))
 
 
 def group_median(spark, sf):
@@ -337,7 +339,8 @@ def missing_profile(spark, sf):
 
 
 def tail_bounds(spark, sf):
-    ev = b.table(spark, sf, "events").select((F.col("value") - 50).alias("delay"))
+    ev = b.table(spark, sf, "events").select(F.when(F.col("event_id") % 11 != 0, F.col("value") - 50).when(
+        F.col("event_id") % 2 == 0, F.lit(float("nan"))).alias("delay"))
     t = profile.tail_bounds(ev, "delay", 0.01, 0.99)
     return t.select("side", "prob", _r("bound").alias("bound"))
 
@@ -373,6 +376,8 @@ def conditional_rate(spark, sf):
 
 def box_summary(spark, sf):
     ev = b.flights(spark, sf)
+    ev = ev.select(F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("event_type"),
+                   F.when(F.col("event_id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
     s = profile.box_summary(ev, ["event_type"], ["value"])
     return s.select("event_type", "measure", "prob", _r("value").alias("value"))
 

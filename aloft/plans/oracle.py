@@ -154,7 +154,9 @@ MATCHES = """m AS (SELECT l.event_id, r.event_id AS r_event_id, r.value AS r_val
   FROM events l JOIN events r ON l.event_type = r.event_type
    AND r.ts > l.ts - INTERVAL 3 HOUR AND r.ts < l.ts - INTERVAL 2 HOUR)"""
 
-GAPS = f"""gp AS (SELECT event_id, event_type, CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value,
+# missing values (null, and NaN in the Spark binding) are NULL here
+GAPS = f"""gp AS (SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type,
+  CASE WHEN event_id % 10 = 0 OR event_id % 11 = 0 THEN NULL ELSE value END AS value,
   {DAY_BLOCK} AS block FROM events)"""
 
 PREV = """p AS (SELECT event_id, ts, lag(event_id) OVER w AS prev_event_id, lag(ts) OVER w AS prev_ts,
@@ -325,7 +327,7 @@ FROM gp GROUP BY event_type, block""",
     "impute_by_group": f"""WITH {GAPS},
 md AS (SELECT event_type, block, quantile_cont(value, 0.5) AS m FROM gp GROUP BY event_type, block)
 SELECT gp.event_id, (floor((coalesce(gp.value, md.m)) * 1000000.0 + 0.5) / 1000000.0) AS value_imp
-FROM gp LEFT JOIN md ON gp.event_type = md.event_type AND gp.block = md.block""",
+FROM gp LEFT JOIN md ON gp.event_type IS NOT DISTINCT FROM md.event_type AND gp.block = md.block""",
     "mode_by_group": """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY ALL)
 SELECT user_id, event_type AS mode_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, event_type) AS rn FROM c) x WHERE rn = 1""",
@@ -336,8 +338,8 @@ SELECT label, count(*) AS n_rows, (floor((max(CASE WHEN label = 1 THEN r.ratio E
 FROM s CROSS JOIN r GROUP BY label""",
     "missing_profile": _missing_sql(),
     "tail_bounds": """SELECT 'neg' AS side, CAST(0.01 AS DOUBLE) AS prob, (floor((quantile_cont(value - 50, 0.01)) * 1000000.0 + 0.5) / 1000000.0) AS bound
-  FROM events WHERE value - 50 < 0
-UNION ALL SELECT 'pos', CAST(0.99 AS DOUBLE), (floor((quantile_cont(value - 50, 0.99)) * 1000000.0 + 0.5) / 1000000.0) FROM events WHERE value - 50 > 0""",
+  FROM events WHERE value - 50 < 0 AND event_id % 11 <> 0
+UNION ALL SELECT 'pos', CAST(0.99 AS DOUBLE), (floor((quantile_cont(value - 50, 0.99)) * 1000000.0 + 0.5) / 1000000.0) FROM events WHERE value - 50 > 0 AND event_id % 11 <> 0""",
     "measure_summary": _describe_sql(["l_quantity", "l_discount", "l_tax"]),
     "histogram": """SELECT CASE WHEN value < CAST(0.0 AS DOUBLE) THEN 0 WHEN value >= CAST(400.0 AS DOUBLE) THEN 21
   ELSE CAST(floor(20 * (value - CAST(0.0 AS DOUBLE)) / (CAST(400.0 AS DOUBLE) - CAST(0.0 AS DOUBLE))) AS BIGINT) + 1 END AS bucket,
@@ -351,7 +353,7 @@ p AS (SELECT delayed, lag(delayed) OVER w AS prev_delayed, lag(event_id) OVER w
       FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT prev_delayed, count(*) AS n, CAST(sum(delayed) AS BIGINT) AS n_flagged, (floor((avg(CAST(delayed AS DOUBLE))) * 1000000.0 + 0.5) / 1000000.0) AS rate
 FROM p WHERE pe IS NOT NULL GROUP BY prev_delayed""",
-    "box_summary": _quantile_union("events", "value", [0.0, 0.25, 0.5, 0.75, 1.0], "event_type", "value"),
+    "box_summary": _quantile_union("(SELECT CASE WHEN event_id % 7 <> 0 THEN event_type END AS event_type, value FROM events WHERE event_id % 11 <> 0)", "value", [0.0, 0.25, 0.5, 0.75, 1.0], "event_type", "value"),
     "correlation_matrix": _corr_sql(["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
     "category_share": """SELECT l_returnflag, l_linestatus, count(*) AS n,
   (floor((count(*) / sum(count(*)) OVER (PARTITION BY l_returnflag)) * 1000000.0 + 0.5) / 1000000.0) AS share FROM lineitem GROUP BY 1, 2""",

@@ -23,41 +23,44 @@ def test_median_groups(spark):
     df = spark.createDataFrame(data, "g string, v double")
     got = dict(rows(summarize.group_percentile(df, ["g"], ["v"])))
     assert got == {"odd": 2.0, "even": 2.5, "null": None, "one": 7.5}
-    big = dict(rows(summarize.group_percentile(df, ["g"], ["v"], one_buffer_max_rows=1)))
-    assert big == got                                   # the distributed path gives the same medians
     imp = summarize.impute_by_group(df.withColumn("id", F.monotonically_increasing_id()), ["g"], ["v"])
     assert imp.count() == df.count()
     assert sorted(r.v_imp for r in imp.where("g = 'even'").collect()) == [1.0, 4.0]
 
 
-@pytest.mark.parametrize("levels,buckets", [(1, 8), (2, 4), (3, 3)])
-def test_exact_quantiles_equal_percentile(spark, levels, buckets):
-    rnd = random.Random(levels)
-    data = [(g, float(rnd.choice([rnd.randint(0, 40), rnd.random() * 100]))) for g in ("a", "b", "c") for _ in range(700)]
-    data += [("a", None), ("d", 5.0)]
-    df = spark.createDataFrame(data, "g string, v double")
+@pytest.mark.parametrize("ranges", [1, 2, 7, 1024])
+def test_exact_quantiles_equal_percentile(spark, ranges):
+    rnd = random.Random(ranges)
+    data = [(g, float(rnd.choice([rnd.randint(0, 40), rnd.random() * 100])), -rnd.random()) for g in ("a", "b", None) for _ in range(700)]
+    data += [("a", None, 1.0), ("d", 5.0, float("nan")), (None, float("nan"), None), ("e", None, float("inf")), ("f", -0.0, 0.0)]
+    df = spark.createDataFrame(data, "g string, v double, w double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    ref = df.groupBy("g").agg(F.percentile("v", probs).alias("q")).collect()
-    want = {(r.g, p): q for r in ref for p, q in zip(probs, r.q)}
-    got = {(r.g, r.prob): r.value for r in
-           summarize.exact_quantiles(df, "v", probs, by=["g"], buckets=buckets, levels=levels).collect()}
+    clean = df.select("g", *[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in ("v", "w")])
+    want = {}
+    for c in ("v", "w"):
+        want |= {(r.g, c, p): q for r in clean.groupBy("g").agg(F.percentile(c, probs).alias("q")).collect() if r.q for p, q in zip(probs, r.q)}
+    got = {(r["__g"].g, r.column, r.prob): r.value for r in summarize.exact_quantiles(df, ["v", "w"], probs, by=["g"], ranges=ranges).collect()}
     assert set(got) == set(want)
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-9)
-    glob = {r.prob: r.value for r in summarize.exact_quantiles(df, "v", probs, buckets=buckets, levels=levels).collect()}
-    ref_g = df.agg(F.percentile("v", probs)).first()[0]
-    for p, q in zip(probs, ref_g):
+    glob = {r.prob: r.value for r in summarize.quantiles(df, "v", probs).collect()}
+    for p, q in zip(probs, clean.agg(F.percentile("v", probs)).first()[0]):
         assert glob[p] == pytest.approx(q, abs=1e-9)
+    assert summarize.quantiles(df.where("false"), "v", probs, ["g"]).count() == 0
+
+
+def test_null_group_and_nan_are_imputed(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (None, float("nan")), (None, None), ("x", 5.0)], "g string, v double")
+    out = sorted((r.g is None, r.v_imp) for r in summarize.impute_by_group(df, ["g"], ["v"]).collect())
+    assert out == [(False, 5.0), (True, 1.0), (True, 2.0), (True, 2.0), (True, 3.0)]
 
 
-def test_quantiles_paths_agree(spark):
-    rnd = random.Random(5)
-    df = spark.createDataFrame([(rnd.choice("xy"), rnd.gauss(0, 1)) for _ in range(3000)], "g string, v double")
-    small = {(r.g, r.prob): r.value for r in summarize.quantiles(df, "v", [0.1, 0.5], ["g"]).collect()}
-    big = {(r.g, r.prob): r.value for r in summarize.quantiles(df, "v", [0.1, 0.5], ["g"], one_buffer_max_rows=10).collect()}
-    assert small.keys() == big.keys()
-    for k in small:
-        assert big[k] == pytest.approx(small[k], abs=1e-12)
+def test_quantile_plan_reads_its_input_twice_whatever_the_columns(spark):
+    src = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    q = summarize.group_percentile(src, ["l_suppkey"], ["l_quantity", "l_tax", "l_discount"])
+    q.collect()
+    plan = q._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") <= 4 and "Cartesian" not in plan
 
 
 def test_gini_toy_golden(spark):
