@@ -19,16 +19,16 @@ def hhmm_to_ts(year: ColumnOrName, month: ColumnOrName, day: ColumnOrName, hhmm:
     ``2400`` means midnight at the end of the day: ``rollover="next_day"``
     gives 00:00 of the following day (the documented intent);
     ``"same_day"`` gives 00:00 of the same day (what the source code does).
-    Impossible clocks (minute >= 60, hour > 24) and nulls give null.
+    Impossible clocks (minute >= 60, hour > 24), text that is no number, and nulls give null.
     """
     if rollover not in ("next_day", "same_day"):
         raise ValueError("rollover must be 'next_day' or 'same_day'")
-    v = _c(hhmm).cast("int")
+    v = _c(hhmm).try_cast("int")
     hour = F.floor(v / 100).cast("int")
     minute = (v - hour * 100).cast("int")
     is_2400 = hour == 24
     h = F.when(is_2400, F.lit(0)).otherwise(hour)
-    ts = F.try_make_timestamp_ntz(_c(year).cast("int"), _c(month).cast("int"), _c(day).cast("int"),
+    ts = F.try_make_timestamp_ntz(_c(year).try_cast("int"), _c(month).try_cast("int"), _c(day).try_cast("int"),
                                   h, minute, F.lit(0))
     if rollover == "next_day":
         ts = F.when(is_2400, ts + F.expr("INTERVAL 1 DAY")).otherwise(ts)
@@ -112,7 +112,9 @@ def to_utc(ts: ColumnOrName, tz: ColumnOrName) -> Column:
 
     NTZ in, NTZ out; a null or unknown zone gives null rather than an error.
     """
-    return F.convert_timezone(_c(tz), F.lit("UTC"), _c(ts))
+    zone = _c(tz)
+    known = F.concat(F.lit("2000-01-01 00:00:00 "), F.nullif(F.trim(zone), F.lit(""))).try_cast("timestamp").isNotNull()
+    return F.when(known, F.convert_timezone(zone, F.lit("UTC"), _c(ts)))
 
 
 # Six-hour block names used by the day-block label.

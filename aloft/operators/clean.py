@@ -4,26 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def with_row_key(df: DataFrame, name: str = "ROW_KEY", cols: Sequence[str] | None = None,
-                 method: str = "xxhash64") -> DataFrame:
+                 unique: bool = False) -> DataFrame:
     """Add a row key.
 
-    With ``cols`` the key is a hash of those business columns: stable
-    across file layouts and reruns (a lost executor recomputes the same
-    value).  ``method="md5"`` takes the first 60 bits of the md5 of the
-    ':'-joined values (reproducible in SQL engines).  Without ``cols`` the
-    layout-dependent ``monotonically_increasing_id`` surrogate is used.
+    With ``cols`` the key is the 128-bit md5 (hex) of those business columns, each
+    written with its length and with a mark of its own for null: stable across
+    file layouts and reruns, and different for (a, null, b) and (a, b, null).
+    ``unique`` appends ``-2``, ``-3``, ... to the key of repeated rows, whose columns
+    are all equal, so no two rows share a key.  Without ``cols`` the layout-dependent
+    ``monotonically_increasing_id`` surrogate is used.
     """
-    if cols and method == "md5":
-        text = F.concat_ws(":", *[F.col(c).cast("string") for c in cols])
-        return df.withColumn(name, F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
-    if cols:
-        return df.withColumn(name, F.xxhash64(*[F.col(c) for c in cols]))
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if not cols:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    value = [F.col(c).cast("string") for c in cols]
+    key = F.md5(F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in value]))
+    if not unique:
+        return df.withColumn(name, key)
+    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return df.withColumn("__key", key).withColumn("__nth", nth) \
+        .withColumn(name, F.when(F.col("__nth") > 1, F.concat("__key", F.lit("-"), F.col("__nth").cast("string"))).otherwise(F.col("__key"))) \
+        .drop("__key", "__nth")
 
 
 def null_if(df: DataFrame, sentinels: Mapping[str, object]) -> DataFrame:
@@ -63,11 +68,6 @@ def between_open(df: DataFrame, bounds: Mapping[str, tuple]) -> DataFrame:
     return df.where(cond)
 
 
-def first_valid(*cols) -> Column:
-    """First non-null of several columns."""
-    return F.coalesce(*[F.col(c) if isinstance(c, str) else c for c in cols])
-
-
 def completed_events(df: DataFrame, predicate: str) -> DataFrame:
     """Filter by a SQL predicate string, e.g. ``"CANCELLED == 0 AND DEP_TIME IS NOT NULL"``."""
     return df.where(F.expr(predicate))

@@ -8,19 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aloft.functions.clock import to_utc
-from aloft.sources.io import BROADCAST_MAX_ROWS, maybe_broadcast
 
 
-def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join a dimension table (J4 inner: unmatched dropped; J5 left: kept).
 
-    The dimension is broadcast only after a bounded count proves it has at
-    most ``broadcast_max_rows`` rows; otherwise both sides are shuffled.
+    How is the planner's choice, by the sizes it knows when the query runs
+    (adaptive execution turns a join with a small side into a broadcast).
     """
-    on = [on] if isinstance(on, str) else list(on)
-    d = maybe_broadcast(dim, broadcast_max_rows) if broadcast_max_rows else dim
-    return df.join(d, on=on, how=how)
+    return df.join(dim, on=[on] if isinstance(on, str) else list(on), how=how)
+
+
+def _one_zone(zones: DataFrame, key: str, tz: str) -> DataFrame:
+    """One zone per key (the first in order), so that a repeated key multiplies no rows."""
+    named = zones.toDF(key, tz)
+    return named.groupBy(key).agg(F.min(tz).alias(tz))
 
 
 def attach_timezone(df: DataFrame, state_col: str, city_col: str, state_tz: DataFrame,
@@ -28,14 +30,11 @@ def attach_timezone(df: DataFrame, state_col: str, city_col: str, state_tz: Data
     """Zone per row: city override first, else the zone of the state (X11).
 
     ``state_tz`` has two columns (state, zone), ``city_tz`` (city, zone);
-    both are small literal inputs, broadcast, joined with left lookups (J5)
-    and coalesced (P14).
+    they are joined with left lookups (J5) and coalesced (P14).
     """
-    st = state_tz.toDF("__st_key", "__st_tz")
-    res = df.join(F.broadcast(st), F.col(state_col) == F.col("__st_key"), "left")
+    res = df.join(_one_zone(state_tz, "__st_key", "__st_tz"), F.col(state_col) == F.col("__st_key"), "left")
     if city_tz is not None:
-        ct = city_tz.toDF("__ct_key", "__ct_tz")
-        res = res.join(F.broadcast(ct), F.col(city_col) == F.col("__ct_key"), "left")
+        res = res.join(_one_zone(city_tz, "__ct_key", "__ct_tz"), F.col(city_col) == F.col("__ct_key"), "left")
         res = res.withColumn(out, F.coalesce("__ct_tz", "__st_tz")).drop("__ct_key", "__ct_tz")
     else:
         res = res.withColumn(out, F.col("__st_tz"))

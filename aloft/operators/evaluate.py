@@ -8,9 +8,10 @@ prediction table:
 * curves need cumulative TP/FP in descending score order.  A window without
   a partition would pull all rows into one task, so the prefix sum is two
   levels: rows are reduced to one row per distinct score (partial
-  aggregate), the scores are cut into ``buckets`` ranges by approximate
-  splitters, bucket totals (<= ``buckets`` rows, a proven bound) are
-  cumulated and broadcast, and each bucket runs its own window.  Exact.
+  aggregate, one shuffle that all steps share), the scores are cut into
+  ``ranges`` by approximate splitters (one broadcast row), range totals (at
+  most ``ranges`` rows) are cumulated and broadcast, and each range
+  runs its own window.  Exact, and no job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.operators.summarize import lower_bound
+
 
 def confusion(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Counts per (label, prediction) (V1)."""
@@ -56,70 +59,72 @@ def class_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
         ((rec1 + rec0) / 2).alias("roc_auc_hard"))
 
 
-def cumulative_counts(df: DataFrame, label: str, score: str, buckets: int = 64,
-                      accuracy: int = 10_000) -> DataFrame:
+def cumulative_counts(df: DataFrame, label: str, score: str, ranges: int = 1024,
+                      accuracy: int = 20_000) -> DataFrame:
     """Per distinct score (descending): tp/fp at that score and cumulative TP/FP
-    of all rows scoring >= it, plus totals P and N (W4)."""
-    y = F.col(label).cast("int")
-    per = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.sum(y).cast("long").alias("tp"), F.sum(1 - y).cast("long").alias("fp"))
-    # bounded side tables: splitters (buckets-1 values) and totals: collected, never the rows
-    meta = per.agg(F.percentile_approx("score", [i / buckets for i in range(1, buckets)], accuracy).alias("sp"),
-                   F.sum("tp").alias("P"), F.sum("fp").alias("N")).first()
-    sp = sorted(set(meta["sp"] or []))
-    P, N = int(meta["P"] or 0), int(meta["N"] or 0)
-    # bucket 0 holds the highest scores
-    b = F.size(F.filter(F.array(*[F.lit(float(s)) for s in sp]), lambda s: s >= F.col("score"))) if sp \
-        else F.lit(0)
-    per = per.withColumn("__b", b)
-    btot = per.groupBy("__b").agg(F.sum("tp").alias("__btp"), F.sum("fp").alias("__bfp"))
-    wall = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
-    btot = btot.select("__b", F.coalesce(F.sum("__btp").over(wall), F.lit(0)).alias("__tp0"),
-                       F.coalesce(F.sum("__bfp").over(wall), F.lit(0)).alias("__fp0"))
-    wb = Window.partitionBy("__b").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    out = per.join(F.broadcast(btot), on="__b", how="inner") \
-        .withColumn("cum_tp", F.col("__tp0") + F.sum("tp").over(wb)) \
-        .withColumn("cum_fp", F.col("__fp0") + F.sum("fp").over(wb))
-    return out.select("score", "tp", "fp", "cum_tp", "cum_fp",
-                      F.lit(P).cast("long").alias("P"), F.lit(N).cast("long").alias("N"))
-
-
-def roc_curve(df: DataFrame, label: str, score: str, buckets: int = 64) -> DataFrame:
-    """(score, fpr, tpr) at every distinct score threshold (V5)."""
-    c = cumulative_counts(df, label, score, buckets)
-    return c.select("score", F.coalesce(F.try_divide(F.col("cum_fp").cast("double"), F.col("N")), F.lit(0.0)).alias("fpr"),
-                    F.coalesce(F.try_divide(F.col("cum_tp").cast("double"), F.col("P")), F.lit(0.0)).alias("tpr"))
-
-
-def roc_auc(df: DataFrame, label: str, score: str, buckets: int = 64) -> DataFrame:
-    """Area under the ROC curve by the trapezoid rule, one row (V5).
+    of all rows scoring >= it, plus totals P and N (W4).  Rows with a null label or score are left out."""
+    y = F.col(label).try_cast("int")
+    src = df.select(y.alias("__y"), F.col(score).cast("double").alias("score")).where(F.col("score").isNotNull() & F.col("__y").isNotNull())
+    per = src.groupBy("score").agg(F.sum("__y").cast("long").alias("tp"), F.sum(1 - F.col("__y")).cast("long").alias("fp"))
+    splitters = src.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)], accuracy).alias("__sp"))   # one row
+    per = per.crossJoin(F.broadcast(splitters)).withColumn("__r", -lower_bound(F.col("__sp"), F.col("score"), ranges - 1)).drop("__sp")
+    # at most `ranges` rows: range 0 is the lowest scores
+    totals = per.groupBy("__r").agg(F.sum("tp").alias("__tp"), F.sum("fp").alias("__fp"))
+    every = Window.partitionBy(F.lit(0))
+    upto = every.orderBy("__r")
+    totals = totals.select("__r", (F.sum("__tp").over(upto) - F.col("__tp")).alias("__tp0"), (F.sum("__fp").over(upto) - F.col("__fp")).alias("__fp0"),
+                           F.sum("__tp").over(every).alias("P"), F.sum("__fp").over(every).alias("N"))
+    inside = Window.partitionBy("__r").orderBy(F.col("score").desc())
+    return per.join(F.broadcast(totals), "__r").select(
+        "score", "tp", "fp", (F.col("__tp0") + F.sum("tp").over(inside)).alias("cum_tp"),
+        (F.col("__fp0") + F.sum("fp").over(inside)).alias("cum_fp"), "P", "N")
+
+
+def _share(a, b):
+    return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+
+
+def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(score, fpr, tpr) at every distinct score, with the end points (0, 0) and (1, 1) (V5).
+
+    The end points have no score.  The rate of an absent class is 0 (and 1 at the end)."""
+    c = cumulative_counts(df, label, score)
+    curve = c.select("score", _share(F.col("cum_fp"), F.col("N")).alias("fpr"), _share(F.col("cum_tp"), F.col("P")).alias("tpr"))
+    ends = df.sparkSession.range(2).select(F.lit(None).cast("double").alias("score"), F.col("id").cast("double").alias("fpr"),
+                                           F.col("id").cast("double").alias("tpr"))
+    return curve.unionByName(ends)
+
+
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Area under the ROC curve by the trapezoid rule, one row (V5); null if a class is absent.
 
     The previous point of each threshold is (cum - own counts), so no lag
     over the global order is needed.
     """
-    c = cumulative_counts(df, label, score, buckets)
-    tpr = F.col("cum_tp") / F.col("P")
-    tpr_prev = (F.col("cum_tp") - F.col("tp")) / F.col("P")
-    area = (F.col("fp") / F.col("N")) * (tpr + tpr_prev) / 2
+    c = cumulative_counts(df, label, score)
+    area = F.try_divide(F.col("fp").cast("double"), F.col("N")) * F.try_divide((2 * F.col("cum_tp") - F.col("tp")).cast("double"), F.col("P")) / 2
     return c.agg(F.sum(area).alias("roc_auc"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str, buckets: int = 64) -> DataFrame:
-    """(score, precision, recall) at every distinct score threshold (V6)."""
-    c = cumulative_counts(df, label, score, buckets)
-    return c.select("score",
-                    (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"),
-                    F.coalesce(F.try_divide(F.col("cum_tp").cast("double"), F.col("P")), F.lit(0.0)).alias("recall"))
+def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(score, precision, recall) at every distinct score, with the end point precision 1, recall 0 (V6).
+
+    The end point has no score.  Without positives the recall is 0."""
+    c = cumulative_counts(df, label, score)
+    curve = c.select("score", (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"),
+                     _share(F.col("cum_tp"), F.col("P")).alias("recall"))
+    end = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("score"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return curve.unionByName(end)
 
 
-def average_precision(df: DataFrame, label: str, score: str, buckets: int = 64) -> DataFrame:
-    """AP = sum over thresholds of (R_n - R_(n-1)) * P_n, the step form (V4).
+def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
+    """AP = sum over thresholds of (R_n - R_(n-1)) * P_n, the step form (V4); 0 without positives.
 
     R_n - R_(n-1) is the threshold's own tp / P, so it is one aggregate
     over the cumulative table.
     """
-    c = cumulative_counts(df, label, score, buckets)
-    term = (F.col("tp") / F.col("P")) * (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp")))
+    c = cumulative_counts(df, label, score)
+    term = _share(F.col("tp"), F.col("P")) * (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp")))
     return c.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("average_precision"))
 
 

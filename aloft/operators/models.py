@@ -64,12 +64,6 @@ def tune(estimator, train: DataFrame, grid: dict, folds: int = 3, seed: int = 7,
     return cv.fit(train)
 
 
-def positive_score(df: DataFrame, prob: str = "probability", out: str = "score") -> DataFrame:
-    """Probability of the positive class as a plain double column."""
-    from pyspark.ml.functions import vector_to_array
-    return df.withColumn(out, vector_to_array(F.col(prob)).getItem(1))
-
-
 def learning_curve(df: DataFrame, label: str, num_cols: Sequence[str], key: str,
                    fracs: Sequence[float] = (1.0, 0.5, 0.25), make_estimator=None, seed: int = 7) -> DataFrame:
     """Retrain on shrinking hash subsamples; metrics and fit seconds per fraction.

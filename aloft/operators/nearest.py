@@ -51,8 +51,8 @@ def pairs_within(places: DataFrame, sites: DataFrame, place_id: str, place_lat:
     """
     ncx = _cells_per_circle(cell_deg)
     dlat = lat_span_deg(max_km)
-    pl = places.select(F.col(place_id), F.col(place_lat).cast("double").alias("__plat"),
-                       F.col(place_lon).cast("double").alias("__plon")) \
+    pl = places.select(F.col(place_id), F.col(place_lat).try_cast("double").alias("__plat"),
+                       F.col(place_lon).try_cast("double").alias("__plon")) \
         .where(F.col(place_id).isNotNull() & F.col("__plat").isNotNull() & F.col("__plon").isNotNull()) \
         .dropDuplicates([place_id, "__plat", "__plon"])
     dlon = lon_span_deg(F.col("__plat"), max_km)
@@ -64,8 +64,8 @@ def pairs_within(places: DataFrame, sites: DataFrame, place_id: str, place_lat:
     pl_cells = pl.withColumn("__cy", F.explode(cy)).withColumn("__cx", F.explode(cx))
 
     st = one_position_per_site(
-        sites.select(F.col(site_id), F.col(site_lat).cast("double").alias("__slat"),
-                     F.col(site_lon).cast("double").alias("__slon")),
+        sites.select(F.col(site_id), F.col(site_lat).try_cast("double").alias("__slat"),
+                     F.col(site_lon).try_cast("double").alias("__slon")),
         site_id, "__slat", "__slon")
     st_cells = st.withColumn("__cy", F.floor(F.col("__slat") / cell_deg).cast("long")) \
                  .withColumn("__cx", F.pmod(F.floor(F.col("__slon") / cell_deg).cast("long"), F.lit(ncx)))

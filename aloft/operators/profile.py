@@ -19,12 +19,6 @@ def _stack(wide: DataFrame, names: Sequence[str], fields: Sequence[str], name_co
     return wide.selectExpr(*keep, f"stack({len(names)}, {parts}) as ({name_col}, {', '.join(fields)})")
 
 
-def counts(df: DataFrame, condition: Column | str) -> DataFrame:
-    """Global and filtered row count in one job."""
-    cond = F.expr(condition) if isinstance(condition, str) else condition
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(cond).alias("n_match"))
-
-
 def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Null (and NaN, for floating columns) count and share per column (A10)."""
     cols = list(cols or df.columns)
@@ -118,11 +112,6 @@ def audit_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
                    F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("n_rows_in_dups"))
 
 
-def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The offending keys with their row counts."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-
-
 def gini_by_feature(df: DataFrame, label: str, features: Sequence[str]) -> DataFrame:
     """Weighted Gini impurity of the split on each categorical feature.
 

@@ -4,21 +4,24 @@ The source ranks each entity's events newest-first with ``dense_rank`` and
 self-joins on ``rank + 1``.  Here the predecessor comes from a window
 ordered by the event clocks, with two scale measures:
 
-* **Split hot entities.**  A window partitioned by the entity alone sends a
+* **Split entities.**  A window partitioned by the entity alone sends a
   whole entity to one task; one entity may hold a third of all rows.  The
-  window is therefore partitioned by ``(entity, segment)`` where ``segment``
-  is a coarse, order-monotone bucket of the first clock: the day, or a
-  finer unit when a size check finds a (entity, day) segment too large.
-  The first event of each segment takes its predecessor from the previous
-  segment's last event, found on a per-segment table (one row per entity
-  and segment, pre-aggregated map-side) and joined back on the same
-  ``(entity, segment)`` key the window is already partitioned by.
+  window is therefore always partitioned by ``(entity, segment)``, where
+  ``segment`` is a fixed, order-monotone bucket of the first clock (the hour
+  by default).  The first event of each segment takes its predecessor from
+  the previous segment's last event, found on a per-segment table (one row
+  per entity and segment, pre-aggregated map-side) and joined back on the
+  same ``(entity, segment)`` key the window is already partitioned by.
+  Nothing is counted beforehand, and no job runs while the plan is built.
 * **Ties.**  ``ties="one"`` gives every event exactly one predecessor: the
   event just before it in (clocks, tie-break) order.  ``ties="all"``
   reproduces the dense-rank semantics: an event is paired with *every*
   event of the previous distinct clock tuple, so events tied on all clocks
-  fan out (the source's behaviour).  That pairing is an equi-join on
-  ``(entity, clock tuple)``, never a join within a whole entity.
+  fan out (the source's behaviour).  The previous tuple is found on the table
+  of distinct tuples; the pairing is an equi-join on ``(entity, clock
+  tuple)``, never a join within a whole entity.
+
+Events without an entity are put aside before any window.
 """
 
 from __future__ import annotations
@@ -27,39 +30,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from aloft.functions.clock import floor_to
 
 
-# Largest segment (rows of one entity in one split unit) a window task should sort.
-SEGMENT_MAX_ROWS = 2_000_000
-# Split units tried from coarse to fine by split="auto".
-AUTO_UNITS = ("day", "hour", "minute")
-
-
-def choose_split(df: DataFrame, entity: str, first_order: str, max_rows: int = SEGMENT_MAX_ROWS) -> str | None:
-    """Coarsest unit whose largest (entity, unit) segment holds at most ``max_rows`` rows.
-
-    A bounded count first (``limit(max_rows + 1)``: no shuffle, stops early
-    on large inputs): an input no larger than the bound cannot hold a larger
-    segment.  Otherwise one partial-aggregating count per unit tried.
-    """
-    if not isinstance(df.schema[first_order].dataType, TimestampNTZType):
-        return None
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return AUTO_UNITS[0]
-    for unit in AUTO_UNITS:
-        largest = df.groupBy(entity, floor_to(F.col(first_order), unit).alias("__u")) \
-            .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        if largest <= max_rows:
-            return unit
-    return AUTO_UNITS[-1]
-
-
-def _segment_expr(df: DataFrame, first_order: str, split) -> Column | None:
+def _segment_expr(df: DataFrame, first_order: str, split: str | Column | None) -> Column:
     if split is None:
-        return None
+        return F.lit(0)
     if isinstance(split, Column):
         return split
     dtype = df.schema[first_order].dataType
@@ -67,13 +45,14 @@ def _segment_expr(df: DataFrame, first_order: str, split) -> Column | None:
         return floor_to(F.col(first_order), split)
     if isinstance(dtype, TimestampType):
         return F.date_trunc(split, F.col(first_order))
-    raise ValueError("split must be a time unit for timestamp clocks, a Column, or None")
+    if isinstance(dtype, DateType):
+        return F.col(first_order)
+    raise ValueError("split must be a time unit for date and timestamp clocks, a Column, or None")
 
 
 def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry: Sequence[str],
                   prefix: str = "PREV_", ties: str = "one", keep_first: bool = False,
-                  tie_break: Sequence[str] | None = None, split="auto",
-                  segment_max_rows: int = SEGMENT_MAX_ROWS) -> DataFrame:
+                  tie_break: Sequence[str] | None = None, split: str | Column | None = "hour") -> DataFrame:
     """Attach columns of the previous event of the same entity.
 
     ``order_cols`` are the clocks, oldest first (ascending).  ``carry``
@@ -82,71 +61,45 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
     events without a predecessor (inner-join semantics of the source);
     ``True`` keeps them with nulls.  ``tie_break`` orders events that tie
     on all clocks (``ties="one"`` only; required there for determinism).
-    ``split`` is the segment unit (``"day"``, ``"hour"``, ...), a Column,
-    None for one window per entity, or ``"auto"``: the coarsest of day /
-    hour / minute whose largest (entity, unit) segment holds at most
-    ``segment_max_rows`` rows (a size check, one cheap aggregate).
+    ``split`` is the segment: a unit of the first clock (``"hour"``,
+    ``"minute"``, ``"day"``; a date clock is its own segment), an order-monotone
+    Column for clocks of other types, or None for one window per entity.
     """
     if ties not in ("one", "all"):
         raise ValueError("ties must be 'one' or 'all'")
-    order_cols = list(order_cols)
-    carry = list(carry)
-    if split == "auto":
-        split = choose_split(df, entity, order_cols[0], segment_max_rows)
-    seg = _segment_expr(df, order_cols[0], split)
-    keys = [entity] + (["__seg"] if seg is not None else [])
-    base = df.withColumn("__seg", seg) if seg is not None else df
-    base = base.where(F.col(entity).isNotNull()) if not keep_first else base
+    order_cols, carry = list(order_cols), list(carry)
+    base = df.where(F.col(entity).isNotNull()).withColumn("__seg", _segment_expr(df, order_cols[0], split))
+    keys = [entity, "__seg"]
+    by_segment = Window.partitionBy(entity).orderBy("__seg")          # one row per (entity, segment)
 
     if ties == "one":
-        tb = list(tie_break or [])
-        order_all = order_cols + tb
-        ordkey = F.struct(*[F.col(c) for c in order_all])
+        order_all = order_cols + list(tie_break or [])
         payload = F.struct(*[F.col(c).alias(c) for c in carry])
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_all])
-        with_lag = base.withColumn("__prev", F.lag(payload).over(w)) \
-                       .withColumn("__first", F.row_number().over(w) == 1)
-        if seg is not None:
-            # per-segment last event, aggregated on the window's output: it is already
-            # hash-partitioned by (entity, segment), so this aggregate adds no shuffle
-            # (no null filter here: it would be pushed below the window and stop the
-            # two branches from sharing one shuffle; null entities never join back)
-            last = (with_lag
-                    .groupBy(entity, "__seg")
-                    .agg(F.max_by(payload, ordkey).alias("__last")))
-            wseg = Window.partitionBy(entity).orderBy("__seg")  # one row per (entity, segment)
-            carry_in = last.select(entity, "__seg", F.lag("__last").over(wseg).alias("__from_prev_seg"))
-            with_lag = with_lag.join(carry_in, on=[entity, "__seg"], how="left") \
-                .withColumn("__prev", F.when(F.col("__first"), F.col("__from_prev_seg"))
-                            .otherwise(F.col("__prev"))).drop("__from_prev_seg")
-        with_lag = with_lag.withColumn("__prev", F.when(F.col(entity).isNotNull(), F.col("__prev")))
-        out = with_lag.withColumns({prefix + c: F.col("__prev").getField(c) for c in carry})
-        if not keep_first:
-            out = out.where(F.col("__prev").isNotNull())
-        return out.drop("__prev", "__first", "__seg")
-
-    # ties == "all": previous distinct clock tuple per event, then equi-join on it.
-    tuple_cols = order_cols
-    tup = F.struct(*[F.col(c) for c in tuple_cols])
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in tuple_cols])
-    lagged = base.withColumn("__t", tup).withColumn("__lag_t", F.lag("__t").over(w))
-    head = F.col("__lag_t").isNull() | (F.col("__lag_t") != F.col("__t"))
-    # the head of a tie group carries the previous distinct tuple; share it with the group
-    wgrp = Window.partitionBy(*keys, *tuple_cols)
-    lagged = lagged.withColumn("__prev_t", F.max(F.when(head, F.col("__lag_t"))).over(wgrp))
-    if seg is not None:
-        last = (lagged.groupBy(entity, "__seg")
-                .agg(F.max("__t").alias("__last_t")))
-        wseg = Window.partitionBy(entity).orderBy("__seg")
-        carry_in = last.select(entity, "__seg", F.lag("__last_t").over(wseg).alias("__seg_prev_t"))
-        # only the first tuple group of a segment has no previous tuple inside it
-        lagged = (lagged.join(carry_in, on=[entity, "__seg"], how="left")
-                  .withColumn("__prev_t", F.coalesce("__prev_t", "__seg_prev_t"))
-                  .drop("__seg_prev_t"))
-    cur = lagged.drop("__lag_t", "__seg")
-    prev = df.where(F.col(entity).isNotNull()).select(
-        F.col(entity).alias("__pe"), tup.alias("__pt"),
-        *[F.col(c).alias(prefix + c) for c in carry])
-    cond = (F.col(entity) == F.col("__pe")) & (F.col("__prev_t") == F.col("__pt"))
-    out = cur.join(prev, cond, "left" if keep_first else "inner")
-    return out.drop("__t", "__prev_t", "__pe", "__pt")
+        w = Window.partitionBy(*keys).orderBy(*order_all)
+        lagged = base.withColumn("__prev", F.lag(payload).over(w)).withColumn("__first", F.row_number().over(w) == 1)
+        # aggregated on the window's output, which is partitioned by (entity, segment) already: no shuffle
+        last = lagged.groupBy(*keys).agg(F.max_by(payload, F.struct(*order_all)).alias("__last"))
+        carry_in = last.select(*keys, F.lag("__last").over(by_segment).alias("__before"))
+        lagged = lagged.join(carry_in, keys, "left") \
+            .withColumn("__prev", F.when(F.col("__first"), F.col("__before")).otherwise(F.col("__prev")))
+        out = lagged.withColumns({prefix + c: F.col("__prev").getField(c) for c in carry})
+        out = out if keep_first else out.where(F.col("__prev").isNotNull())
+        out = out.drop("__prev", "__first", "__seg", "__before")
+    else:
+        tup = F.struct(*[F.col(c) for c in order_cols])
+        base = base.withColumn("__t", tup)
+        tuples = base.select(*keys, "__t").distinct()
+        last = tuples.groupBy(*keys).agg(F.max("__t").alias("__last"))
+        carry_in = last.select(*keys, F.lag("__last").over(by_segment).alias("__before"))
+        before = F.coalesce(F.lag("__t").over(Window.partitionBy(*keys).orderBy("__t")), F.col("__before"))
+        steps = tuples.join(carry_in, keys, "left").withColumn("__prev_t", before).select(*keys, "__t", "__prev_t")
+        prev = df.where(F.col(entity).isNotNull()).select(
+            F.col(entity).alias("__pe"), tup.alias("__pt"), *[F.col(c).alias(prefix + c) for c in carry])
+        cond = (F.col(entity) == F.col("__pe")) & (F.col("__prev_t") == F.col("__pt"))
+        out = base.join(steps, [*keys, "__t"]).join(prev, cond, "left" if keep_first else "inner") \
+            .select(*df.columns, *[prefix + c for c in carry])
+    if not keep_first:
+        return out
+    types = {f.name: f.dataType for f in df.schema.fields}
+    aside = df.where(F.col(entity).isNull()).withColumns({prefix + c: F.lit(None).cast(types[c]) for c in carry})
+    return out.select(*aside.columns).unionByName(aside)

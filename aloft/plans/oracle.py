@@ -151,7 +151,7 @@ def _quantile_union(table: str, col: str, probs, by: str, measure: str) -> str:
 
 
 MATCHES = """m AS (SELECT l.event_id, r.event_id AS r_event_id, r.value AS r_value, r.user_id % 5 AS r_cat
-  FROM events l JOIN events r ON l.event_type = r.event_type
+  FROM events l JOIN events r ON l.user_id // 10 = r.user_id // 10
    AND r.ts > l.ts - INTERVAL 3 HOUR AND r.ts < l.ts - INTERVAL 2 HOUR)"""
 
 # missing values (null, and NaN in the Spark binding) are NULL here
@@ -235,8 +235,11 @@ ORACLE: dict[str, str] = {
     "csv_named_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
     "literal_dimension": f"""WITH {ZONES} SELECT n_nationkey, n_name, coalesce(nz.tt_tz, rz.state_tz) AS tz
   FROM nation LEFT JOIN rz ON n_regionkey = rz.state LEFT JOIN nz ON n_name = nz.tt_city""",
-    "stable_row_key": """SELECT event_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15)) AS BIGINT) AS row_key
-  FROM events""",
+    "stable_row_key": """WITH d AS (SELECT l_suppkey, nullif(l_linenumber, 3) AS line, nullif(l_returnflag, 'A') AS flag, l_linestatus FROM lineitem),
+k AS (SELECT *, md5(coalesce(length(CAST(l_suppkey AS VARCHAR)) || ':' || l_suppkey, '-') || coalesce(length(CAST(line AS VARCHAR)) || ':' || line, '-')
+  || coalesce(length(flag) || ':' || flag, '-') || coalesce(length(l_linestatus) || ':' || l_linestatus, '-')) AS key FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY key) AS nth FROM k)
+SELECT l_suppkey, line, flag, l_linestatus, CASE WHEN nth > 1 THEN key || '-' || nth ELSE key END AS row_key FROM n""",
     "sentinel_to_null": """SELECT l_orderkey, l_linenumber, nullif(l_discount, CAST(0.0 AS DOUBLE)) AS discount,
   nullif(l_tax, CAST(0.0 AS DOUBLE)) AS tax,
   CASE WHEN nullif(l_discount, CAST(0.0 AS DOUBLE)) IS NULL THEN 'none' WHEN l_discount >= 0.05 THEN 'high' ELSE 'low' END AS disc_band
@@ -300,10 +303,12 @@ SELECT n_nationkey, s_suppkey, (floor((dist) * 1000000.0 + 0.5) / 1000000.0) AS
     "previous_event_one": """SELECT event_id, user_id, prev_event_id, prev_ts, prev_value FROM (
   SELECT event_id, user_id, lag(event_id) OVER w AS prev_event_id, lag(ts) OVER w AS prev_ts, lag(value) OVER w AS prev_value
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) x WHERE prev_event_id IS NOT NULL""",
-    "previous_event_all": """WITH r AS (SELECT *, dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC) AS rk FROM lineitem)
+    "previous_event_all": """WITH t AS (SELECT l_suppkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS before
+  FROM (SELECT DISTINCT l_suppkey, l_shipdate FROM lineitem) d)
 SELECT a.l_orderkey, a.l_linenumber, a.l_suppkey, a.l_shipdate, p.l_orderkey AS prev_l_orderkey,
   p.l_linenumber AS prev_l_linenumber, p.l_quantity AS prev_l_quantity
-FROM r a JOIN r p ON a.l_suppkey = p.l_suppkey AND p.rk = a.rk + 1""",
+FROM t JOIN lineitem a ON a.l_suppkey = t.l_suppkey AND a.l_shipdate = t.l_shipdate
+JOIN lineitem p ON p.l_suppkey = t.l_suppkey AND p.l_shipdate = t.before""",
     "hourly_rate": f"""WITH {FLIGHTS} SELECT event_type, date_trunc('hour', ts + INTERVAL 2 HOUR) AS hour_bucket, count(*) AS n,
   CAST(sum(delayed) AS BIGINT) AS n_delayed, (floor((CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) / count(value)) * 1000000.0 + 0.5) / 1000000.0) AS mean_value, (floor((sum(delayed) / count(*)) * 1000000.0 + 0.5) / 1000000.0) AS rate
 FROM ev GROUP BY ALL""",
@@ -368,11 +373,13 @@ SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(count_if(n > 1
     "average_precision": f"""WITH {SCORED}, {CUM}
 SELECT (floor((sum(tp / P * (cum_tp / (cum_tp + cum_fp)))) * 1000000.0 + 0.5) / 1000000.0) AS average_precision FROM c""",
     "roc_curve": f"""WITH {SCORED}, {CUM}
-SELECT score, (floor((cum_fp / N) * 1000000.0 + 0.5) / 1000000.0) AS fpr, (floor((cum_tp / P) * 1000000.0 + 0.5) / 1000000.0) AS tpr FROM c""",
+SELECT score, (floor((cum_fp / N) * 1000000.0 + 0.5) / 1000000.0) AS fpr, (floor((cum_tp / P) * 1000000.0 + 0.5) / 1000000.0) AS tpr FROM c
+UNION ALL SELECT NULL, 0.0, 0.0 UNION ALL SELECT NULL, 1.0, 1.0""",
     "roc_auc": f"""WITH {SCORED}, {CUM}
 SELECT (floor((sum((fp / N) * ((cum_tp / P) + ((cum_tp - tp) / P)) / 2)) * 1000000.0 + 0.5) / 1000000.0) AS roc_auc FROM c""",
     "pr_curve": f"""WITH {SCORED}, {CUM}
-SELECT score, (floor((cum_tp / (cum_tp + cum_fp)) * 1000000.0 + 0.5) / 1000000.0) AS precision, (floor((cum_tp / P) * 1000000.0 + 0.5) / 1000000.0) AS recall FROM c""",
+SELECT score, (floor((cum_tp / (cum_tp + cum_fp)) * 1000000.0 + 0.5) / 1000000.0) AS precision, (floor((cum_tp / P) * 1000000.0 + 0.5) / 1000000.0) AS recall FROM c
+UNION ALL SELECT NULL, 1.0, 0.0""",
     "model_compare": f"""WITH {SCORED}, s3 AS (SELECT label, CAST(score > 0.4 AS INTEGER) AS prediction FROM s)
 {_metrics("s3", "cut_0.4")} UNION ALL {_metrics("s2", "cut_0.6")}""",
     "hash_split": f"SELECT event_id, ({_hex8(chr(39) + '7:' + chr(39) + ' || CAST(event_id AS VARCHAR)')} % 100) < 80 AS is_train FROM events",

@@ -11,11 +11,6 @@ from pyspark.sql.types import StructType
 
 from aloft.session import scratch_path
 
-# A dimension table is broadcast only below this many rows; above it the
-# join is left to the planner (sort-merge or AQE's runtime broadcast).
-BROADCAST_MAX_ROWS = 100_000
-
-
 def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
                min_partitions: int | str | None = "auto") -> DataFrame:
     """Parquet scan of a path or glob (S1).  A given schema skips footer inference.
@@ -34,7 +29,8 @@ def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructTyp
 
 def spread(df: DataFrame, min_partitions: int | str | None = "auto") -> DataFrame:
     """Round-robin repartition only when ``df`` has fewer partitions than wanted
-    (``"auto"``: the cluster's default parallelism).  Planning only, no job."""
+    (``"auto"``: the cluster's default parallelism).  Meant for scans, of which the
+    splits are known from planning; the rows are the same either way."""
     if min_partitions is None:
         return df
     try:
@@ -71,11 +67,8 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def dim_table(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
-    """A literal dimension table (S4); small by construction, so it is broadcast."""
-    rows = list(rows)
-    if len(rows) > BROADCAST_MAX_ROWS:
-        raise ValueError(f"literal dimension of {len(rows)} rows; write it as a table instead")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A literal dimension table (S4).  The planner knows its size and broadcasts it where that is small."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def stage(df: DataFrame, path: str | None = None, mode: str = "errorifexists") -> DataFrame:
@@ -104,14 +97,3 @@ def expect_schema(df: DataFrame, required: dict[str, str]) -> DataFrame:
     if missing or wrong:
         raise ValueError(f"schema mismatch: missing={missing} wrong={wrong}")
     return df
-
-
-def maybe_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``small`` only when its row count is proven under ``max_rows``.
-
-    The proof is a bounded count (``limit(max_rows + 1).count()``), a cheap
-    job that stops early; above the bound the side is returned unchanged and
-    the planner shuffles both sides.
-    """
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small

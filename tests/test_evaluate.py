@@ -13,7 +13,7 @@ def curve_toy(spark):
 
 
 def test_cumulative_counts_toy(curve_toy):
-    got = sorted(((r.score, r.cum_tp, r.cum_fp) for r in evaluate.cumulative_counts(curve_toy, "y", "score", buckets=2).collect()),
+    got = sorted(((r.score, r.cum_tp, r.cum_fp) for r in evaluate.cumulative_counts(curve_toy, "y", "score", ranges=2).collect()),
                  reverse=True)
     # cumulative TP 1,1,2,2 at 1, 2, 4, 5 rows
     assert got == [(0.9, 1, 0), (0.8, 1, 1), (0.7, 2, 2), (0.2, 2, 3)]
@@ -30,14 +30,14 @@ def test_roc_auc_brute_force(spark):
     pos = [s for s, y in data if y == 1]
     neg = [s for s, y in data if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    for b in (1, 4, 64):
-        assert evaluate.roc_auc(df, "y", "score", buckets=b).first()[0] == pytest.approx(brute, abs=1e-9)
+    assert evaluate.roc_auc(df, "y", "score").first()[0] == pytest.approx(brute, abs=1e-9)
 
 
-def test_two_level_equals_global_window(spark):
+@pytest.mark.parametrize("ranges", [1, 2, 16, 1024])
+def test_two_level_equals_global_window(spark, ranges):
     rnd = random.Random(4)
     df = spark.createDataFrame([(rnd.random(), int(rnd.random() < 0.5)) for _ in range(3000)], "score double, y int")
-    ours = evaluate.cumulative_counts(df, "y", "score", buckets=16).select("score", "cum_tp", "cum_fp")
+    ours = evaluate.cumulative_counts(df, "y", "score", ranges=ranges).select("score", "cum_tp", "cum_fp")
     per = df.groupBy("score").agg(F.sum("y").alias("tp"), F.sum(1 - F.col("y")).alias("fp"))
     w = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     ref = per.select("score", F.sum("tp").over(w).alias("cum_tp"), F.sum("fp").over(w).alias("cum_fp"))
@@ -56,3 +56,15 @@ def test_confusion_toy(spark):
     m = evaluate.class_metrics(empty, "y", "p").first()
     assert (m.tp, m.accuracy, m.f1_macro) == (0, 0.0, 0.0)
     assert sorted(tuple(r) for r in evaluate.confusion(one_class, "y", "p").collect()) == [(0, 0, 2), (1, 0, 1)]
+
+
+def test_curves_without_a_class_or_rows(spark):
+    def of(rows):
+        df = spark.createDataFrame(rows, "score double, y int")
+        return (evaluate.average_precision(df, "y", "score").first()[0], evaluate.roc_auc(df, "y", "score").first()[0],
+                sorted((r.fpr, r.tpr) for r in evaluate.roc_curve(df, "y", "score").collect()),
+                sorted((r.precision, r.recall) for r in evaluate.pr_curve(df, "y", "score").collect()))
+
+    assert of([]) == (0.0, None, [(0.0, 0.0), (1.0, 1.0)], [(1.0, 0.0)])
+    assert of([(0.3, 0), (0.7, 0)]) == (0.0, None, [(0.0, 0.0), (0.5, 0.0), (1.0, 0.0), (1.0, 1.0)], [(0.0, 0.0), (0.0, 0.0), (1.0, 0.0)])
+    assert of([(0.3, 1), (None, 1), (0.2, None)]) == (1.0, None, [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0)], [(1.0, 0.0), (1.0, 1.0)])

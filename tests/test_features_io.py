@@ -70,11 +70,6 @@ def test_stage_and_dims(spark):
     assert staged.count() == 5 and "FileScan" in staged._jdf.queryExecution().executedPlan().toString()
     dim = io.dim_table(spark, [(1, "x")], "k int, v string")
     assert dim.count() == 1
-    with pytest.raises(ValueError):
-        io.dim_table(spark, [(i, "x") for i in range(io.BROADCAST_MAX_ROWS + 1)], "k int, v string")
-    big = spark.range(50)
-    assert "ResolvedHint" not in io.maybe_broadcast(big, max_rows=10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in io.maybe_broadcast(big, max_rows=100)._jdf.queryExecution().analyzed().toString().lower()
 
 
 def test_expect_schema(spark):

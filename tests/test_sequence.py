@@ -21,14 +21,14 @@ def tie_chain(spark):
     return spark.createDataFrame(data, "id int, ent string, sched timestamp_ntz, actual timestamp_ntz")
 
 
-@pytest.mark.parametrize("split", ["day", None])
+@pytest.mark.parametrize("split", ["day", "hour", "minute", None])
 def test_ties_one(tie_chain, split):
     out = sequence.with_previous(tie_chain, "ent", ["sched", "actual"], ["id"], prefix="p_", tie_break=["id"],
                                  split=split)
     assert rows(out, "id", "p_id") == [(2, 1), (3, 2), (4, 3), (5, 4)]
 
 
-@pytest.mark.parametrize("split", ["day", None])
+@pytest.mark.parametrize("split", ["day", "hour", "minute", None])
 def test_ties_all_fans_out(tie_chain, split):
     # D3: both tied events pair with the previous tuple, and the next event pairs with both
     out = sequence.with_previous(tie_chain, "ent", ["sched", "actual"], ["id"], prefix="p_", ties="all", split=split)
@@ -67,10 +67,19 @@ def test_segments_cross_day_boundaries(spark):
     assert rows(a, *cols) == rows(b, *cols) == rows(c, *cols)
 
 
-def test_auto_split_narrows_for_a_huge_segment(spark):
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    assert sequence.choose_split(ev, "user_id", "ts") == "day"
-    assert sequence.choose_split(ev, "user_id", "ts", max_rows=1) == "minute"
-    a = sequence.with_previous(ev, "user_id", ["ts"], ["event_id"], tie_break=["event_id"], segment_max_rows=1)
-    b = sequence.with_previous(ev, "user_id", ["ts"], ["event_id"], tie_break=["event_id"], split=None)
+@pytest.mark.parametrize("clock", ["timestamp", "timestamp_ntz", "date"])
+def test_every_clock_type_is_split(spark, clock):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("c", F.col("ts").cast(clock))
+    a = sequence.with_previous(ev, "user_id", ["c", "event_id"], ["event_id"], tie_break=["event_id"])
+    b = sequence.with_previous(ev, "user_id", ["c", "event_id"], ["event_id"], tie_break=["event_id"], split=None)
     assert rows(a, "event_id", "PREV_event_id") == rows(b, "event_id", "PREV_event_id")
+    windows = [x for x in a._jdf.queryExecution().analyzed().toString().splitlines() if "windowspecdefinition" in x and "row_number" in x]
+    assert windows and all("__seg" in x for x in windows)
+
+
+def test_null_entities_stay_outside_the_window(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("u", F.when(F.col("event_id") % 3 > 0, F.col("user_id")))
+    for ties in ("one", "all"):
+        out = sequence.with_previous(ev, "u", ["ts", "event_id"], ["event_id"], tie_break=["event_id"], keep_first=True, ties=ties)
+        assert out.count() == ev.count()
+        assert out.where("u is null and PREV_event_id is not null").count() == 0
