@@ -112,24 +112,46 @@ def _md5_index(col: str, modulus: int):
     return F.pmod(F.conv(F.substring(F.md5(F.col(col).cast("string")), 1, 6), 16, 10).cast("long"), F.lit(modulus))
 
 
+# A city whose zone goes before its state's.
+STUDY_CITY_ZONES = [("City error", "Pacific/Guam")]
+
+
+def _hhmm(t):
+    """The hhmm text of a clock; midnight is written 2400."""
+    c = F.hour(t) * 100 + F.minute(t)
+    return F.lpad(F.when(c == 0, 2400).otherwise(c).cast("string"), 4, "0")
+
+
 def study_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as flights: actual clock = scheduled + delay, a scheduled duration, a departure block."""
-    ev = flights(spark, sf_dir)
+    """events as raw on-time records: dates in parts, clocks as hhmm text, some cancelled, some without a tail number."""
+    ev = table(spark, sf_dir, "events")
+    i, late = F.col("event_id"), F.floor("value")
+    ahead = lambda m: F.timestamp_add("MINUTE", m, F.col("ts"))
+    elapsed = 10 + F.pmod(i * 7, F.lit(150))
+    dep, arr = (late - 20).cast("double"), (late * 2 - 85 - F.pmod(i, F.lit(9))).cast("double")
     hour = F.hour("ts")
     return ev.select(
-        "event_id", "user_id", "event_type", "ts", "value", "delayed",
-        F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts")).alias("actual_ts"),
-        (F.lit(30.0) + F.pmod(F.col("event_id") * 7, F.lit(150))).alias("duration"),
-        F.format_string("%02d00-%02d59", hour, hour).alias("dep_block"),
-        F.concat(F.lit("S0"), _md5_index("event_type", 5).cast("string")).alias("state"),
-        F.col("event_type").alias("city"))
+        i.alias("FLIGHT_IDX"), F.year("ts").alias("YEAR"), F.quarter("ts").alias("QUARTER"), F.month("ts").alias("MONTH"),
+        F.dayofmonth("ts").alias("DAY_OF_MONTH"), (F.weekday("ts") + 1).alias("DAY_OF_WEEK"), F.to_date("ts").cast("string").alias("FL_DATE"),
+        F.concat(F.lit("C"), F.pmod(F.col("user_id"), F.lit(7)).cast("string")).alias("OP_UNIQUE_CARRIER"),
+        F.when(i % 40 != 0, F.concat(F.lit("N"), F.col("user_id").cast("string"))).alias("TAIL_NUM"),
+        F.col("event_type").alias("ORIGIN"), F.concat(F.lit("City "), F.col("event_type")).alias("ORIGIN_CITY_NAME"),
+        F.concat(F.lit("S0"), _md5_index("event_type", 5).cast("string")).alias("ORIGIN_STATE_ABR"),
+        F.concat(F.lit("D"), (i % 5).cast("string")).alias("DEST"), F.concat(F.lit("Town "), (i % 5).cast("string")).alias("DEST_CITY_NAME"),
+        _hhmm("ts").alias("CRS_DEP_TIME"), F.when(i % 37 != 0, _hhmm(ahead(late - 20))).alias("DEP_TIME"),
+        _hhmm(ahead(elapsed)).alias("CRS_ARR_TIME"), _hhmm(ahead(elapsed + late)).alias("ARR_TIME"),
+        F.when(i % 41 != 0, dep).alias("DEP_DELAY"), F.greatest(dep, F.lit(0.0)).alias("DEP_DELAY_NEW"), (dep >= 60).cast("int").alias("DEP_DEL15"),
+        F.format_string("%02d00-%02d59", hour, hour).alias("DEP_TIME_BLK"), elapsed.cast("double").alias("CRS_ELAPSED_TIME"),
+        arr.alias("ARR_DELAY"), F.greatest(arr, F.lit(0.0)).alias("ARR_DELAY_NEW"), F.when(i % 43 != 0, (arr >= 60).cast("int")).alias("ARR_DEL15"),
+        F.when(i % 30 == 0, 1.0).otherwise(0.0).alias("CANCELLED"))
 
 
 def study_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct places with a position a few km from a station of the supplier grid."""
-    p = table(spark, sf_dir, "events").select(F.col("event_type").alias("PLACE")).distinct()
-    return p.select("PLACE", (F.lit(40.06) + _md5_index("PLACE", 10) * 0.23).alias("PLACE_LAT"),
-                    F.lit(-99.97).alias("PLACE_LON"))
+    """Distinct places as text records with a position a few km from a station of the supplier grid; one has no position, one no altitude."""
+    p = table(spark, sf_dir, "events").select(F.col("event_type").alias("IATA")).distinct()
+    lat = (F.lit(40.06) + _md5_index("IATA", 10) * 0.23).cast("string")
+    return p.select("IATA", F.when(F.col("IATA") == "signup", "unknown").otherwise(lat).alias("Latitude"), F.lit("-99.97").alias("Longitude"),
+                    F.when(F.col("IATA") == "error", "none").otherwise("120").alias("Altitude"))
 
 
 def study_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,3 +173,8 @@ def study_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def study_state_tz(spark: SparkSession) -> DataFrame:
     from aloft.sources.io import dim_table
     return dim_table(spark, STUDY_STATE_ZONES, "state string, state_tz string")
+
+
+def study_city_tz(spark: SparkSession) -> DataFrame:
+    from aloft.sources.io import dim_table
+    return dim_table(spark, STUDY_CITY_ZONES, "tt_city string, tt_tz string")

@@ -576,15 +576,18 @@ def learning_curve(spark, sf):
 
 
 # ---------------------------------------------------------------- the study end to end (rows-only)
-def study_features(spark, sf):
+def _study_table(spark, sf):
     from aloft.plans import flight_study as fs
     tb = fs.TestBinding()
-    out = fs.feature_table(b.study_flights(spark, sf), b.study_observations(spark, sf), b.study_places(spark, sf),
-                           b.study_state_tz(spark), None, tb.fspec, tb.ospec)
-    return out.select("KEY", "PLACE", "SCHED_UTC", "DELAY", "FLAG", "PREV_DELAY", "PREV_FLAG", "PREP_TIME",
-                      "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS",
-                      *[_r(c).alias(c) for c in ("WindSpeed_imp", "Temperature_imp", "Visibility_imp")],
-                      "CloudMode", "AtmCondition", "CloudMode_binary", "BLOCK6", "BLOCK7")
+    return fs.feature_table(b.study_flights(spark, sf), b.study_observations(spark, sf), b.study_places(spark, sf),
+                            b.study_state_tz(spark), b.study_city_tz(spark), tb.fspec, tb.ospec)
+
+
+def study_features(spark, sf):
+    from aloft.plans import flight_study as fs
+    out = _study_table(spark, sf)
+    measures = {"HOURLY_DELAY_RATE", "WindAngle", "SeaLevelPressure", *[c + "_imp" for c in fs.IMPUTED]}
+    return out.select(*[_r(c).alias(c) if c in measures else F.col(c) for c in fs.FINAL])
 
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in {

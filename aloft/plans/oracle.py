@@ -399,7 +399,20 @@ FROM lineitem l JOIN rf ON l.l_returnflag = rf.l_returnflag JOIN ls ON l.l_lines
 def _study_sql() -> str:
     """The whole ETL in SQL: lag for the predecessor, a cross join + row_number for the nearest
     stations, a range join for the readings, quantile_cont for the medians."""
-    from aloft.plans.bindings import STUDY_STATE_ZONES
+    from aloft.plans.bindings import STUDY_CITY_ZONES, STUDY_STATE_ZONES
+    prev = ("FLIGHT_IDX CRS_DEP_LOCAL DEP_LOCAL DEP_DELAY DEP_DELAY_NEW DEP_DEL15 CRS_ELAPSED_TIME CRS_ARR_LOCAL ARR_LOCAL "
+            "ARR_DELAY ARR_DELAY_NEW ARR_DEL15").split()
+    same = ("FLIGHT_IDX QUARTER MONTH DAY_OF_WEEK FL_DATE CRS_DEP_TIME DEP_TIME_BLK CRS_DEP_UTC OP_UNIQUE_CARRIER TAIL_NUM ORIGIN "
+            "ORIGIN_CITY_NAME ORIGIN_TIMEZONE AIRPORT_LATITUDE AIRPORT_LONGITUDE AIRPORT_ALTITUDE DEST DEST_CITY_NAME CRS_ELAPSED_TIME "
+            "DEP_DELAY DEP_DELAY_NEW DEP_DEL15 PREV_DEP_TO_CURR_CRSDEP PREP_TIME HOURLY_NUM_OF_FLIGHTS HOURLY_NUM_OF_DELAY CloudMode "
+            "AtmCondition CloudMode_binary BLOCK6 BLOCK7 BLOCK0 BLOCK8").split() + [f"PREV_{c}" for c in prev]
+    rounded = ("HOURLY_DELAY_RATE WindAngle SeaLevelPressure WindSpeed_imp VerticalVisibility_imp Visibility_imp Temperature_imp "
+               "DewPointTemp_imp CloudHeight_imp").split()
+    needed = ("ORIGIN FL_DATE MONTH DAY_OF_WEEK DEP_TIME_BLK AIRPORT_ALTITUDE PREP_TIME PREV_DEP_DEL15 PREV_CRS_ELAPSED_TIME PREV_ARR_DEL15 "
+              "WindSpeed_imp VerticalVisibility_imp Visibility_imp Temperature_imp DewPointTemp_imp DEP_DELAY_NEW DEP_DEL15").split()
+    blocks = [("BLOCK6", "0600-0659"), ("BLOCK7", "0700-0759"), ("BLOCK0", "0001-0559"), ("BLOCK8", "0800-0859")]
+    local = lambda t: (f"date_trunc('day', ts) + to_minutes(CAST(CASE WHEN hour({t}) * 60 + minute({t}) = 0 THEN 1440 "
+                       f"ELSE hour({t}) * 60 + minute({t}) END AS BIGINT))")
     md5i = lambda e, m: f"(CAST(('0x' || substr(md5({e}), 1, 6)) AS BIGINT) % {m})"
     exact1 = lambda c: f"CAST(sum(CAST({c} AS DECIMAL(38,1))) AS DOUBLE) / count({c})"
     fields = ["WindAngle", "WindSpeed", "VerticalVisibility", "Visibility", "Temperature", "DewPointTemp",
@@ -410,61 +423,67 @@ def _study_sql() -> str:
                      f"WHEN hour({t} - INTERVAL 150 MINUTE) < 18 THEN 'afternoon' ELSE 'night' END")
     imp = ["WindSpeed", "VerticalVisibility", "Visibility", "Temperature", "DewPointTemp", "CloudHeight"]
     return f"""WITH {OBS},
-fl AS (SELECT event_id AS KEY, user_id AS ENTITY, event_type AS PLACE, ts AS SCHED,
-         ts + to_microseconds(CAST(floor(value * 60) AS BIGINT) * 1000000) AS ACTUAL, value AS DELAY,
-         CAST(value > 80 AS INTEGER) AS FLAG, CAST(30.0 AS DOUBLE) + ((event_id * 7) % 150) AS DURATION,
-         lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || '00-' || lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || '59' AS BLOCK,
-         'S0' || CAST({md5i('event_type', 5)} AS VARCHAR) AS STATE FROM events),
-pv AS (SELECT *, lag(KEY) OVER w AS PREV_KEY, lag(ACTUAL) OVER w AS PREV_ACTUAL, lag(DELAY) OVER w AS PREV_DELAY,
-         lag(FLAG) OVER w AS PREV_FLAG, lag(DURATION) OVER w AS PREV_DURATION
-       FROM fl WINDOW w AS (PARTITION BY ENTITY ORDER BY SCHED, ACTUAL, KEY)),
-pv2 AS (SELECT *, CAST((epoch_us(SCHED) - epoch_us(PREV_ACTUAL)) // 60000000 AS INTEGER) - PREV_DURATION AS PREP_TIME
-        FROM pv WHERE PREV_KEY IS NOT NULL),
-hr AS (SELECT PLACE, date_trunc('hour', SCHED + INTERVAL 2 HOUR) AS HB, count(*) AS HOURLY_NUM_OF_FLIGHTS,
-         sum(FLAG) / count(*) AS HOURLY_DELAY_RATE FROM pv2 GROUP BY ALL),
-places AS (SELECT DISTINCT event_type AS PLACE FROM events),
-pl AS (SELECT PLACE, CAST(40.06 AS DOUBLE) + {md5i('PLACE', 10)} * CAST(0.23 AS DOUBLE) AS PLAT,
-         CAST(-99.97 AS DOUBLE) AS PLON FROM places),
+raw AS (SELECT event_id AS FLIGHT_IDX, ts, user_id, event_type, CAST(floor(value) AS BIGINT) AS late, 10 + (event_id * 7) % 150 AS elapsed FROM events),
+c4 AS (SELECT *, ts + to_minutes(late - 20) AS dep_t, ts + to_minutes(elapsed) AS carr_t, ts + to_minutes(elapsed + late) AS arr_t FROM raw),
+-- a clock is the scheduled date with the clock's hour and minute; midnight (2400) is the next day's
+fl AS (SELECT FLIGHT_IDX, quarter(ts) AS QUARTER, month(ts) AS MONTH, isodow(ts) AS DAY_OF_WEEK, strftime(ts, '%Y-%m-%d') AS FL_DATE,
+         'C' || (user_id % 7) AS OP_UNIQUE_CARRIER, CASE WHEN FLIGHT_IDX % 40 <> 0 THEN 'N' || user_id END AS TAIL_NUM, event_type AS ORIGIN,
+         'City ' || event_type AS ORIGIN_CITY_NAME, 'S0' || CAST({md5i('event_type', 5)} AS VARCHAR) AS ST, 'D' || (FLIGHT_IDX % 5) AS DEST,
+         'Town ' || (FLIGHT_IDX % 5) AS DEST_CITY_NAME, CASE WHEN strftime(ts, '%H%M') = '0000' THEN '2400' ELSE strftime(ts, '%H%M') END AS CRS_DEP_TIME,
+         {local('ts')} AS CRS_DEP_LOCAL, {local('dep_t')} AS DEP_LOCAL, {local('carr_t')} AS CRS_ARR_LOCAL, {local('arr_t')} AS ARR_LOCAL,
+         CASE WHEN FLIGHT_IDX % 41 <> 0 THEN CAST(late - 20 AS DOUBLE) END AS DEP_DELAY, CAST(greatest(late - 20, 0) AS DOUBLE) AS DEP_DELAY_NEW,
+         CAST(late - 20 >= 60 AS INTEGER) AS DEP_DEL15, lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || '00-' || lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || '59' AS DEP_TIME_BLK,
+         CAST(elapsed AS DOUBLE) AS CRS_ELAPSED_TIME, CAST(late * 2 - 85 - FLIGHT_IDX % 9 AS DOUBLE) AS ARR_DELAY,
+         CAST(greatest(late * 2 - 85 - FLIGHT_IDX % 9, 0) AS DOUBLE) AS ARR_DELAY_NEW,
+         CASE WHEN FLIGHT_IDX % 43 <> 0 THEN CAST(late * 2 - 85 - FLIGHT_IDX % 9 >= 60 AS INTEGER) END AS ARR_DEL15
+       FROM c4 WHERE FLIGHT_IDX % 30 <> 0 AND FLIGHT_IDX % 37 <> 0),
+pv AS (SELECT *, {", ".join(f"lag({c}) OVER w AS PREV_{c}" for c in prev)}
+       FROM fl WHERE TAIL_NUM IS NOT NULL
+       WINDOW w AS (PARTITION BY TAIL_NUM ORDER BY CRS_DEP_LOCAL, DEP_LOCAL, CRS_ARR_LOCAL, ARR_LOCAL, FLIGHT_IDX)),
+pv2 AS (SELECT *, CAST((epoch_us(CRS_DEP_LOCAL) - epoch_us(PREV_DEP_LOCAL)) // 60000000 AS INTEGER) AS PREV_DEP_TO_CURR_CRSDEP
+        FROM pv WHERE PREV_FLIGHT_IDX IS NOT NULL),
+hr AS (SELECT ORIGIN, date_trunc('hour', CRS_DEP_LOCAL + INTERVAL 2 HOUR) AS HB, count(*) AS HOURLY_NUM_OF_FLIGHTS,
+         CAST(sum(DEP_DEL15) AS BIGINT) AS HOURLY_NUM_OF_DELAY, sum(DEP_DEL15) / count(*) AS HOURLY_DELAY_RATE FROM fl GROUP BY ALL),
+pl AS (SELECT event_type AS IATA, CASE WHEN event_type <> 'signup' THEN CAST(40.06 AS DOUBLE) + {md5i('event_type', 10)} * CAST(0.23 AS DOUBLE) END AS PLAT,
+         CAST(-99.97 AS DOUBLE) AS PLON, CASE WHEN event_type <> 'error' THEN CAST(120 AS DOUBLE) END AS ALT FROM (SELECT DISTINCT event_type FROM events) e),
 tz(state, zone) AS (VALUES {_values(STUDY_STATE_ZONES)}),
-f AS (SELECT p.*, h.HOURLY_NUM_OF_FLIGHTS, h.HOURLY_DELAY_RATE,
-        timezone('UTC', timezone(tz.zone, p.SCHED)) AS SCHED_UTC
-      FROM pv2 p JOIN pl ON p.PLACE = pl.PLACE
-      LEFT JOIN hr h ON p.PLACE = h.PLACE AND date_trunc('hour', p.SCHED) = h.HB
-      LEFT JOIN tz ON p.STATE = tz.state),
+cz(city, czone) AS (VALUES {_values(STUDY_CITY_ZONES)}),
+f0 AS (SELECT p.*, PREV_DEP_TO_CURR_CRSDEP - PREV_CRS_ELAPSED_TIME AS PREP_TIME, h.HOURLY_NUM_OF_FLIGHTS, h.HOURLY_NUM_OF_DELAY, h.HOURLY_DELAY_RATE,
+        PLAT AS AIRPORT_LATITUDE, PLON AS AIRPORT_LONGITUDE, ALT AS AIRPORT_ALTITUDE, coalesce(czone, zone) AS ORIGIN_TIMEZONE
+      FROM pv2 p JOIN pl ON p.ORIGIN = pl.IATA
+      LEFT JOIN hr h ON p.ORIGIN = h.ORIGIN AND date_trunc('hour', p.CRS_DEP_LOCAL) = h.HB
+      LEFT JOIN tz ON p.ST = tz.state LEFT JOIN cz ON p.ORIGIN_CITY_NAME = cz.city),
+f AS (SELECT *, timezone('UTC', timezone(ORIGIN_TIMEZONE, CRS_DEP_LOCAL)) AS CRS_DEP_UTC FROM f0),
 w AS (SELECT l_suppkey AS STATION, CAST(40.01 AS DOUBLE) + (l_suppkey % 10) * CAST(0.23 AS DOUBLE) AS SLAT,
         CAST(-100.02 AS DOUBLE) + (floor(l_suppkey / 10) % 10) * CAST(0.24 AS DOUBLE) AS SLON,
         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST((l_orderkey * 37 + l_linenumber * 11) % 43200 AS BIGINT)) AS RTS,
         {", ".join(_field(n) for n in fields)}
       FROM obs2),
 st AS (SELECT STATION, min(SLAT) AS SLAT, min(SLON) AS SLON FROM w GROUP BY STATION),
-pairs AS (SELECT PLACE, STATION, CAST(6371.0 AS DOUBLE) * (2 * atan2(sqrt(a), sqrt(1 - a))) AS d FROM (
-          SELECT PLACE, STATION, sin(radians(SLAT - PLAT) / 2) * sin(radians(SLAT - PLAT) / 2)
+pairs AS (SELECT IATA, STATION, CAST(6371.0 AS DOUBLE) * (2 * atan2(sqrt(a), sqrt(1 - a))) AS d FROM (
+          SELECT IATA, STATION, sin(radians(SLAT - PLAT) / 2) * sin(radians(SLAT - PLAT) / 2)
             + cos(radians(PLAT)) * cos(radians(SLAT)) * sin(radians(SLON - PLON) / 2) * sin(radians(SLON - PLON) / 2) AS a
-          FROM pl CROSS JOIN st) y),
-near AS (SELECT PLACE, STATION FROM (SELECT *, row_number() OVER (PARTITION BY PLACE ORDER BY round(d, 6), STATION) AS rn
+          FROM pl CROSS JOIN st WHERE PLAT IS NOT NULL) y),
+near AS (SELECT IATA, STATION FROM (SELECT *, row_number() OVER (PARTITION BY IATA ORDER BY round(d, 6), STATION) AS rn
          FROM pairs WHERE d < 30) z WHERE rn <= 3),
-m AS (SELECT f.KEY, w.* FROM f JOIN near ON f.PLACE = near.PLACE JOIN w ON w.STATION = near.STATION
-        AND w.RTS > f.SCHED_UTC - INTERVAL 3 HOUR AND w.RTS < f.SCHED_UTC - INTERVAL 2 HOUR),
-mm AS (SELECT KEY, {", ".join(f"{exact1(c)} AS {c}" for c in numeric)} FROM m GROUP BY KEY),
-cm AS (SELECT KEY, CloudMode FROM (SELECT KEY, CloudMode, row_number() OVER (PARTITION BY KEY ORDER BY count(*) DESC, CloudMode) AS rn
-         FROM m WHERE CloudMode IS NOT NULL GROUP BY KEY, CloudMode) q WHERE rn = 1),
-am AS (SELECT KEY, AtmCondition FROM (SELECT KEY, AtmCondition, row_number() OVER (PARTITION BY KEY ORDER BY count(*) DESC, AtmCondition) AS rn
-         FROM m WHERE AtmCondition IS NOT NULL GROUP BY KEY, AtmCondition) q WHERE rn = 1),
-j AS (SELECT f.*, {", ".join(f"mm.{c}" for c in numeric)}, cm.CloudMode, am.AtmCondition, {blk("f.SCHED_UTC")} AS WB
-      FROM f LEFT JOIN mm ON f.KEY = mm.KEY LEFT JOIN cm ON f.KEY = cm.KEY LEFT JOIN am ON f.KEY = am.KEY),
-md AS (SELECT PLACE, WB, {", ".join(f"quantile_cont({c}, 0.5) AS {c}_md" for c in imp)} FROM j GROUP BY PLACE, WB),
-fin AS (SELECT j.*, {", ".join(f"coalesce(j.{c}, md.{c}_md) AS {c}_imp" for c in imp)},
-          coalesce(CAST(j.CloudMode = 0 AS INTEGER), 0) AS CloudMode_binary,
-          coalesce(CAST(j.BLOCK = '0600-0659' AS INTEGER), 0) AS BLOCK6, coalesce(CAST(j.BLOCK = '0700-0759' AS INTEGER), 0) AS BLOCK7
-        FROM j LEFT JOIN md ON j.PLACE = md.PLACE AND j.WB = md.WB)
-SELECT KEY, PLACE, SCHED_UTC, DELAY, FLAG, PREV_DELAY, PREV_FLAG, PREP_TIME, coalesce(HOURLY_DELAY_RATE, 0) AS HOURLY_DELAY_RATE,
-  coalesce(HOURLY_NUM_OF_FLIGHTS, 0) AS HOURLY_NUM_OF_FLIGHTS,
-  {", ".join(f"(floor(({c}_imp) * 1000000.0 + 0.5) / 1000000.0) AS {c}_imp" for c in ("WindSpeed", "Temperature", "Visibility"))},
-  CloudMode, AtmCondition, CloudMode_binary, BLOCK6, BLOCK7
-FROM fin
-WHERE PREP_TIME IS NOT NULL AND PREV_FLAG IS NOT NULL AND PREV_DURATION IS NOT NULL
-  AND {" AND ".join(f"{c}_imp IS NOT NULL" for c in ["WindSpeed", "VerticalVisibility", "Visibility", "Temperature", "DewPointTemp"])}
-  AND PREV_DURATION > 18 AND DURATION > 18 AND PREV_DELAY > -45 AND PREV_DELAY < 1609 AND DELAY > -45 AND DELAY < 1609"""
+m AS (SELECT f.FLIGHT_IDX, w.* FROM f JOIN near ON f.ORIGIN = near.IATA JOIN w ON w.STATION = near.STATION
+        AND w.RTS > f.CRS_DEP_UTC - INTERVAL 3 HOUR AND w.RTS < f.CRS_DEP_UTC - INTERVAL 2 HOUR),
+mm AS (SELECT FLIGHT_IDX, {", ".join(f"{exact1(c)} AS {c}" for c in numeric)} FROM m GROUP BY FLIGHT_IDX),
+cm AS (SELECT FLIGHT_IDX, CloudMode FROM (SELECT FLIGHT_IDX, CloudMode, row_number() OVER (PARTITION BY FLIGHT_IDX ORDER BY count(*) DESC, CloudMode) AS rn
+         FROM m WHERE CloudMode IS NOT NULL GROUP BY FLIGHT_IDX, CloudMode) q WHERE rn = 1),
+am AS (SELECT FLIGHT_IDX, AtmCondition FROM (SELECT FLIGHT_IDX, AtmCondition, row_number() OVER (PARTITION BY FLIGHT_IDX ORDER BY count(*) DESC, AtmCondition) AS rn
+         FROM m WHERE AtmCondition IS NOT NULL GROUP BY FLIGHT_IDX, AtmCondition) q WHERE rn = 1),
+j AS (SELECT f.*, {", ".join(f"mm.{c}" for c in numeric)}, cm.CloudMode, am.AtmCondition, {blk("f.CRS_DEP_UTC")} AS WB
+      FROM f LEFT JOIN mm ON f.FLIGHT_IDX = mm.FLIGHT_IDX LEFT JOIN cm ON f.FLIGHT_IDX = cm.FLIGHT_IDX LEFT JOIN am ON f.FLIGHT_IDX = am.FLIGHT_IDX),
+md AS (SELECT ORIGIN, WB, {", ".join(f"quantile_cont({c}, 0.5) AS {c}_md" for c in imp)} FROM j GROUP BY ORIGIN, WB),
+fin AS (SELECT j.* EXCLUDE (HOURLY_DELAY_RATE, HOURLY_NUM_OF_FLIGHTS), coalesce(HOURLY_DELAY_RATE, 0) AS HOURLY_DELAY_RATE,
+          coalesce(HOURLY_NUM_OF_FLIGHTS, 0) AS HOURLY_NUM_OF_FLIGHTS, {", ".join(f"coalesce(j.{c}, md.{c}_md) AS {c}_imp" for c in imp)},
+          coalesce(CAST(j.CloudMode = 0 AS INTEGER), 0) AS CloudMode_binary, {", ".join(f"CAST(DEP_TIME_BLK = '{v}' AS INTEGER) AS {k}" for k, v in blocks)}
+        FROM j LEFT JOIN md ON j.ORIGIN = md.ORIGIN AND j.WB IS NOT DISTINCT FROM md.WB)
+SELECT {", ".join(same)}, {", ".join(f"(floor(({c}) * 1000000.0 + 0.5) / 1000000.0) AS {c}" for c in rounded)} FROM fin
+WHERE {" AND ".join(f"{c} IS NOT NULL" for c in needed)}
+  AND PREV_CRS_ELAPSED_TIME > 18 AND CRS_ELAPSED_TIME > 18 AND PREV_DEP_DELAY > -45 AND PREV_DEP_DELAY < 1609
+  AND PREV_ARR_DELAY > -81 AND PREV_ARR_DELAY < 1605 AND DEP_DELAY > -45 AND DEP_DELAY < 1609"""
 
 
 ORACLE["study_features"] = _study_sql()
