@@ -9,7 +9,7 @@ prediction table:
   a partition would pull all rows into one task, so the prefix sum is two
   levels: rows are reduced to one row per distinct score (partial
   aggregate, one shuffle that all steps share), the scores are cut into
-  ``ranges`` by approximate splitters (one broadcast row), range totals (at
+  ``ranges`` by approximate splitters (one scalar subquery), range totals (at
   most ``ranges`` rows) are cumulated and broadcast, and each range
   runs its own window.  Exact, and no job runs while the plan is built.
 """
@@ -66,8 +66,8 @@ def cumulative_counts(df: DataFrame, label: str, score: str, ranges: int = 1024,
     y = F.col(label).try_cast("int")
     src = df.select(y.alias("__y"), F.col(score).cast("double").alias("score")).where(F.col("score").isNotNull() & F.col("__y").isNotNull())
     per = src.groupBy("score").agg(F.sum("__y").cast("long").alias("tp"), F.sum(1 - F.col("__y")).cast("long").alias("fp"))
-    splitters = src.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)], accuracy).alias("__sp"))   # one row
-    per = per.crossJoin(F.broadcast(splitters)).withColumn("__r", -lower_bound(F.col("__sp"), F.col("score"), ranges - 1)).drop("__sp")
+    splitters = src.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)], accuracy).alias("__sp"))   # one value
+    per = per.withColumn("__sp", splitters.scalar()).withColumn("__r", -lower_bound(F.col("__sp"), F.col("score"), ranges - 1)).drop("__sp")
     # at most `ranges` rows: range 0 is the lowest scores
     totals = per.groupBy("__r").agg(F.sum("tp").alias("__tp"), F.sum("fp").alias("__fp"))
     every = Window.partitionBy(F.lit(0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +92,12 @@ def feature_importance(spark, model, df: DataFrame, col: str = "features") -> Da
     return spark.createDataFrame(rows, "name string, idx int, score double").orderBy(F.desc("score"), "idx")
 
 
-def select_features(importance: DataFrame, cutoff: float) -> list[str]:
-    """Names of the features scoring at least ``cutoff`` (F13); a bounded list."""
-    return [r["name"] for r in importance.where(F.col("score") >= cutoff).select("name").collect()]
+def select_features(importance: DataFrame, cutoff: float) -> list[tuple[int, str]]:
+    """(index, name) of the slots scoring at least ``cutoff`` (F13); a bounded list.  Category slots count like any other."""
+    return [(r["idx"], r["name"]) for r in importance.where(F.col("score") >= cutoff).select("idx", "name").orderBy("idx").collect()]
+
+
+def keep_slots(df: DataFrame, slots: Sequence[int], col: str = "features") -> DataFrame:
+    """``df`` with the vector ``col`` cut down to the given slots."""
+    cut = VectorSlicer(inputCol=col, outputCol="__kept", indices=sorted(slots)).transform(df)
+    return cut.drop(col).withColumnRenamed("__kept", col)

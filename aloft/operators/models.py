@@ -13,11 +13,9 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from aloft.operators.evaluate import class_metrics
+from aloft.operators.evaluate import class_metrics, compare_models
 from aloft.operators.features import build_features, class_weights, split, subsample
-from aloft.sources.io import spread
 
 
 def logistic(label: str = "label", features: str = "features", weight: str | None = "classWeights",
@@ -31,7 +29,7 @@ def logistic(label: str = "label", features: str = "features", weight: str | Non
 
 def forest(label: str = "label", features: str = "features", weight: str | None = "classWeights",
            trees: int = 60, depth: int = 8, bins: int = 32, seed: int = 7,
-           max_memory_mb: int = 1024) -> RandomForestClassifier:
+           max_memory_mb: int = 1024, bootstrap: bool = True, subset: str = "auto") -> RandomForestClassifier:
     """Weighted random forest, gini, bootstrap.
 
     ``max_memory_mb`` is the histogram-aggregation budget per pass: a larger
@@ -39,7 +37,7 @@ def forest(label: str = "label", features: str = "features", weight: str | None
     passes (sf0.1: 20.7 s -> 15.3 s for 60 trees of depth 8).
     """
     kw = dict(labelCol=label, featuresCol=features, numTrees=trees, maxDepth=depth, maxBins=bins,
-              impurity="gini", featureSubsetStrategy="auto", subsamplingRate=1.0, bootstrap=True, seed=seed,
+              impurity="gini", featureSubsetStrategy=subset, subsamplingRate=1.0, bootstrap=bootstrap, seed=seed,
               maxMemoryInMB=max_memory_mb)
     if weight:
         kw["weightCol"] = weight
@@ -64,26 +62,36 @@ def tune(estimator, train: DataFrame, grid: dict, folds: int = 3, seed: int = 7,
     return cv.fit(train)
 
 
-def learning_curve(df: DataFrame, label: str, num_cols: Sequence[str], key: str,
-                   fracs: Sequence[float] = (1.0, 0.5, 0.25), make_estimator=None, seed: int = 7) -> DataFrame:
-    """Retrain on shrinking hash subsamples; metrics and fit seconds per fraction.
+def best_parameters(cv_model, names: Sequence[str]) -> dict:
+    """The chosen values of the tuned parameters."""
+    best = cv_model.bestModel
+    return {n: best.getOrDefault(n) for n in names}
+
+
+def train_and_test_metrics(model, train: DataFrame, test: DataFrame, label: str = "label") -> DataFrame:
+    """One metrics row per side, ``side`` = train or test."""
+    return compare_models({"train": model.transform(train), "test": model.transform(test)}, label, "prediction") \
+        .withColumnRenamed("model", "side")
+
+
+def learning_curve(df: DataFrame, label: str, num_cols: Sequence[str], key: str | Sequence[str], cat_cols: Sequence[str] = (),
+                   fracs: Sequence[float] = (1.0, 0.5, 0.25), make_estimator=None, seed: int = 7,
+                   seconds: dict | None = None) -> DataFrame:
+    """Retrain on shrinking hash subsamples; metrics per fraction.
 
     A short driver loop over fractions (one Spark job chain each); every fit
-    and metric stays distributed.
+    and metric stays distributed.  ``seconds`` gets the time of each fit.
     """
-    spark = df.sparkSession
     rows = []
     for frac in fracs:
         part = subsample(df, frac, key, seed) if frac < 1.0 else df
         train, test = split(part, key, 80, seed)
-        train = spread(class_weights(train, label))
-        fm, train_f = build_features(train, num_cols)
-        test_f = fm.transform(test)
-        est = make_estimator() if make_estimator else forest(label=label, trees=10, depth=5, seed=seed)
+        fm, train_f = build_features(class_weights(train, label), num_cols, cat_cols)
+        est = make_estimator() if make_estimator else forest(label=label, seed=seed)
         t0 = time.time()
         model = est.fit(train_f)
-        secs = time.time() - t0
-        m = class_metrics(model.transform(test_f), label, "prediction").first().asDict()
-        rows.append((float(frac), float(secs), int(m["tp"] + m["fp"] + m["tn"] + m["fn"]),
-                     float(m["f1_macro"]), float(m["accuracy"])))
-    return spark.createDataFrame(rows, "fraction double, fit_seconds double, n_test long, f1_macro double, accuracy double")
+        if seconds is not None:
+            seconds[frac] = time.time() - t0
+        m = class_metrics(model.transform(fm.transform(test)), label, "prediction").first().asDict()
+        rows.append((float(frac), int(m["tp"] + m["fp"] + m["tn"] + m["fn"]), float(m["f1_macro"]), float(m["accuracy"])))
+    return df.sparkSession.createDataFrame(rows, "fraction double, n_test long, f1_macro double, accuracy double")

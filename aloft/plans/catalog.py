@@ -497,85 +497,87 @@ def onehot_features(spark, sf):
     return out.select("l_orderkey", "l_linenumber", *[(arr.getItem(i) + 0.0).alias(f"f{i}") for i in range(7)])
 
 
-# ---------------------------------------------------------------- models (rows-only checks)
-_NUM = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+# ---------------------------------------------------------------- models
+# On the slots of one category (and a constant number, which no model can use) the fitted models have a closed form:
+# the weighted share of positives per category; a tree keeps one leaf for categories that it predicts alike.
+_NUM, _CAT, _KEY = ["flat"], ["kind"], ["l_orderkey", "l_linenumber"]
+_PLAIN = dict(bootstrap=False, subset="all", seed=7)       # each tree sees all rows and slots; 60 trees, depth 8, 32 bins
 
 
-def _model_input(spark, sf):
+def _model_rows(spark, sf):
     li = b.table(spark, sf, "lineitem")
-    d = li.select("l_orderkey", "l_linenumber", *_NUM, "l_linestatus",
-                  (F.col("l_returnflag") == "R").cast("double").alias("label"))
-    train, test = features.split(d, ["l_orderkey", "l_linenumber"], 80, seed=7)
-    train = features.class_weights(train, "label")
-    train = io.spread(train)  # iterated many times by MLlib: use every core
-    fm, train_f = features.build_features(train, _NUM, ["l_linestatus"])
+    k = F.col("l_linenumber") % 3
+    label = F.col("l_discount") >= F.when(k == 0, 0.02).otherwise(0.08)
+    return li.select(*_KEY, F.concat(F.lit("k"), k.cast("string")).alias("kind"), F.lit(1.0).alias("flat"), label.cast("double").alias("label"))
+
+
+def _model_input(spark, sf):
+    train, test = features.split(_model_rows(spark, sf), _KEY, 80, seed=7)
+    fm, train_f = features.build_features(features.class_weights(train, "label"), _NUM, _CAT)
     return train_f, fm.transform(test)
 
 
-def _scores(scored):
+def _scores(scored, decimals, *more):
     from pyspark.ml.functions import vector_to_array
-    return scored.select("l_orderkey", "l_linenumber", F.col("label").cast("int").alias("label"),
-                         F.col("prediction").cast("int").alias("prediction"),
-                         vector_to_array("probability").getItem(1).alias("score"))
+    p = vector_to_array("probability").getItem(1)
+    return scored.select(*_KEY, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+                         _r(p, decimals).alias("score"), *more)
 
 
 def logistic_scores(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
     _, _, scored = models.fit_and_score(models.logistic(max_iter=50), train, test)
-    return _scores(scored)
+    return _scores(scored, 3)
 
 
 def logistic_threshold(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
     _, _, scored = models.fit_and_score(models.logistic(max_iter=50, threshold=0.6), train, test)
-    return _scores(scored)
+    return _scores(scored, 3)
 
 
 def logistic_tuned(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
-    cv = models.tune(models.logistic(threshold=0.6), train, {"regParam": [0.0, 1.0], "maxIter": [100]},
-                     folds=3, seed=7)
-    return _scores(cv.transform(test))
+    cv = models.tune(models.logistic(threshold=0.6), train, {"regParam": [0.0, 1.0], "maxIter": [100]}, folds=3, seed=7)
+    best = models.best_parameters(cv, ["regParam", "maxIter"])
+    return _scores(cv.transform(test), 3, F.lit(float(best["regParam"])).alias("reg_param"), F.lit(int(best["maxIter"])).alias("max_iter"))
 
 
 def forest_scores(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
-    _, _, scored = models.fit_and_score(models.forest(trees=10, depth=5, seed=7), train, test)
-    return _scores(scored)
+    _, _, scored = models.fit_and_score(models.forest(**_PLAIN), train, test)
+    return _scores(scored, 6)
 
 
 def forest_importance(spark, sf):
     from aloft.operators import models
-    train, test = _model_input(spark, sf)
-    model = models.forest(trees=10, depth=5, seed=7).fit(train)
-    return features.feature_importance(spark, model, train)
+    train, _ = _model_input(spark, sf)
+    imp = features.feature_importance(spark, models.forest(**_PLAIN).fit(train), train)
+    total = imp.agg(F.sum("score").alias("total"))
+    return imp.crossJoin(F.broadcast(total)).select("name", "idx", (F.col("score") >= 1.0).alias("selected"), _r("total").alias("total"))
 
 
 def forest_selected(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
-    model = models.forest(trees=10, depth=5, seed=7).fit(train)
-    keep = [n for n in features.select_features(features.feature_importance(spark, model, train), 1.0) if n in _NUM]
-    keep = keep or _NUM
-    fm, train2 = features.build_features(train.drop("features"), keep)
-    _, _, scored = models.fit_and_score(models.forest(trees=10, depth=5, seed=7), train2,
-                                        fm.transform(test.drop("features")))
-    return _scores(scored)
+    imp = features.feature_importance(spark, models.forest(**_PLAIN).fit(train), train)
+    slots = [i for i, _ in features.select_features(imp, 1.0)]
+    _, _, scored = models.fit_and_score(models.forest(**_PLAIN), features.keep_slots(train, slots), features.keep_slots(test, slots))
+    return _scores(scored, 6)
 
 
 def learning_curve(spark, sf):
     from aloft.operators import models
-    li = b.table(spark, sf, "lineitem")
-    d = li.select("l_orderkey", "l_linenumber", *_NUM, (F.col("l_returnflag") == "R").cast("double").alias("label"))
-    d = d.withColumn("row_key", F.concat_ws(":", "l_orderkey", "l_linenumber"))
-    return models.learning_curve(d, "label", _NUM, "row_key", fracs=(1.0, 0.5, 0.25), seed=7)
+    c = models.learning_curve(_model_rows(spark, sf), "label", _NUM, _KEY, _CAT, fracs=(1.0, 0.5, 0.25),
+                              make_estimator=lambda: models.forest(**_PLAIN), seed=7)
+    return c.select("fraction", "n_test", _r("f1_macro").alias("f1_macro"), _r("accuracy").alias("accuracy"))
 
 
-# ---------------------------------------------------------------- the study end to end (rows-only)
+# ---------------------------------------------------------------- the study end to end
 def _study_table(spark, sf):
     from aloft.plans import flight_study as fs
     tb = fs.TestBinding()
@@ -590,6 +592,25 @@ def study_features(spark, sf):
     return out.select(*[_r(c).alias(c) if c in measures else F.col(c) for c in fs.FINAL])
 
 
+# The columns of the study's basic model.
+_STUDY_CAT = ["MONTH", "DAY_OF_WEEK", "DEP_TIME_BLK"]
+_STUDY_NUM = ["PREV_DEP_DELAY", "PREV_DEP_DEL15", "PREP_TIME", "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS", "PREV_CRS_ELAPSED_TIME",
+              "Temperature_imp", "WindSpeed_imp", "CloudMode_binary", "VerticalVisibility_imp", "DewPointTemp_imp"]
+
+
+def study_model(spark, sf):
+    """The study's basic models on its own feature table: metrics of train and test for each."""
+    from aloft.operators import models
+    rows = io.stage(_study_table(spark, sf).select("FLIGHT_IDX", F.col("DEP_DEL15").cast("double").alias("label"), *_STUDY_CAT, *_STUDY_NUM))
+    train, test = features.split(rows, "FLIGHT_IDX", 80, seed=7)
+    fm, train_f = features.build_features(features.class_weights(train, "label"), _STUDY_NUM, _STUDY_CAT)
+    test_f, out = fm.transform(test), None
+    for name, est in (("logistic", models.logistic(max_iter=50)), ("forest", models.forest(seed=7))):
+        m = models.train_and_test_metrics(est.fit(train_f), train_f, test_f).withColumn("model", F.lit(name))
+        out = m if out is None else out.unionByName(m)
+    return _metric_cols(out, "model", "side")
+
+
 QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "scan_project_filter": scan_project_filter, "csv_named_roundtrip": csv_named_roundtrip,
     "literal_dimension": literal_dimension, "stable_row_key": stable_row_key,
@@ -621,5 +642,5 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "logistic_scores": logistic_scores, "logistic_threshold": logistic_threshold,
     "logistic_tuned": logistic_tuned, "forest_scores": forest_scores,
     "forest_importance": forest_importance, "forest_selected": forest_selected,
-    "learning_curve": learning_curve, "study_features": study_features,
+    "learning_curve": learning_curve, "study_features": study_features, "study_model": study_model,
 }.items()}

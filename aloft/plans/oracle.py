@@ -487,3 +487,49 @@ WHERE {" AND ".join(f"{c} IS NOT NULL" for c in needed)}
 
 
 ORACLE["study_features"] = _study_sql()
+
+
+# ---------------------------------------------------------------- models: what a fit on one category must come to
+_MODEL = f"""d AS (SELECT l_orderkey, l_linenumber, 'k' || (l_linenumber % 3) AS kind, CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE 1 END AS leaf,
+  CAST(l_discount >= CASE WHEN l_linenumber % 3 = 0 THEN CAST(0.02 AS DOUBLE) ELSE CAST(0.08 AS DOUBLE) END AS INTEGER) AS label,
+  {_hex8("'7:' || l_orderkey || ':' || l_linenumber")} AS h FROM lineitem)"""
+
+
+def _shares(where: str, by: str) -> str:
+    """Weighted share of positives of the train rows: positives weigh the share of negatives, negatives the rest.
+    By category (logistic regression), or by the categories that a tree predicts alike (``leaf``)."""
+    return f"""r AS (SELECT count_if(label = 0) / count(*) AS r FROM d WHERE h % 100 < 80 AND {where}),
+sh AS (SELECT {by}, sum(CASE WHEN label = 1 THEN r ELSE 0 END) / sum(CASE WHEN label = 1 THEN r ELSE 1 - r END) AS p
+       FROM d CROSS JOIN r WHERE h % 100 < 80 AND {where} GROUP BY {by})"""
+
+
+def _model_sql(threshold: float, decimals: int, by: str, more: str = "") -> str:
+    k = f"1{'0' * decimals}.0"
+    return f"""WITH {_MODEL}, {_shares("TRUE", by)}
+SELECT l_orderkey, l_linenumber, label, CAST(p > {threshold} AS INTEGER) AS prediction, floor(p * {k} + 0.5) / {k} AS score{more}
+FROM d JOIN sh USING ({by}) WHERE h % 100 >= 80"""
+
+
+def _curve_sql() -> str:
+    parts = []
+    for frac, bound in ((1.0, 1_000_000), (0.5, 500_000), (0.25, 250_000)):
+        where = f"h % 1000000 < {bound}"
+        parts.append(f"""SELECT CAST({frac} AS DOUBLE) AS fraction, tp + fp + tn + fn AS n_test, f1_macro, accuracy FROM (
+WITH {_MODEL}, {_shares(where, "leaf")}, t AS (SELECT label, CAST(p > 0.5 AS INTEGER) AS prediction FROM d JOIN sh USING (leaf) WHERE h % 100 >= 80 AND {where})
+{_metrics("t")}) q""")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE |= {
+    "logistic_scores": _model_sql(0.5, 3, "kind"),
+    "logistic_threshold": _model_sql(0.6, 3, "kind"),
+    "logistic_tuned": _model_sql(0.6, 3, "kind", ", CAST(0.0 AS DOUBLE) AS reg_param, 100 AS max_iter"),
+    "forest_scores": _model_sql(0.5, 6, "leaf"),
+    "forest_selected": _model_sql(0.5, 6, "leaf"),
+    # slots in order of frequency (ties by name), then the one for unseen kinds and the constant; the first kind tells all
+    "forest_importance": f"""WITH {_MODEL},
+c AS (SELECT kind, row_number() OVER (ORDER BY count(*) DESC, kind) - 1 AS idx FROM d WHERE h % 100 < 80 GROUP BY kind)
+SELECT 'kind_indexed_classVec_' || kind AS name, CAST(idx AS INTEGER) AS idx, kind = 'k0' AS selected, CAST(100 AS DOUBLE) AS total FROM c
+UNION ALL SELECT 'kind_indexed_classVec___unknown', 3, FALSE, 100.0 UNION ALL SELECT 'flat', 4, FALSE, 100.0""",
+    "learning_curve": _curve_sql(),
+}

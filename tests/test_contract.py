@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from aloft.plans.catalog import QUERIES
+from aloft.plans.oracle import ORACLE
 from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-ROWS_ONLY = {"logistic_scores", "logistic_threshold", "logistic_tuned", "forest_scores", "forest_importance",
-             "forest_selected", "learning_curve"}
+ROWS_ONLY = {"study_model"}
 
 
 def _norm(v):
@@ -49,12 +50,11 @@ def test_entry_runs(spark):
 
 
 def test_oracle_keys():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY and set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle_matches(spark, duck, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     s_cols, s_rows = _canon(sdf.columns, [tuple(r) for r in sdf.collect()])

@@ -3,14 +3,17 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
+from aloft.plans import bindings
+from aloft.plans.catalog import QUERIES
 from aloft.operators import traffic
 from aloft.session import scratch_path
 from aloft.streaming.traffic import hourly_rate_stream
 from conftest import SF_SMALL, rows
 
 MODEL = {"logistic_scores", "logistic_threshold", "logistic_tuned", "forest_scores", "forest_importance",
-         "forest_selected", "learning_curve", "study_features", "csv_named_roundtrip"}
+         "forest_selected", "learning_curve", "study_features", "study_model", "csv_named_roundtrip"}
+# index_categories and onehot_features fit an indexer, class_weights and gini_by_feature read one ratio
+FITTED = MODEL | {"index_categories", "onehot_features", "class_weights"}
 
 
 def test_stream_equals_batch(spark):
@@ -31,9 +34,24 @@ def test_stream_equals_batch(spark):
 
 
 def test_no_cross_join_or_python_in_plans(spark):
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if name in MODEL:
             continue
         plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_building_a_query_runs_no_job(spark, monkeypatch):
+    reads, table = [], bindings.table
+    monkeypatch.setattr(bindings, "table", lambda *a: reads.append(a) or table(*a))
+    tracker = spark.sparkContext.statusTracker()
+    for name, fn in QUERIES.items():
+        if name in FITTED:
+            continue
+        reads.clear()
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        fn(spark, SF_SMALL)
+        jobs = tracker.getJobIdsForGroup(f"build-{name}")
+        assert len(jobs) <= len(reads), (name, len(jobs))          # Spark reads one footer per scan for its schema
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
