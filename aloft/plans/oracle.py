@@ -3,16 +3,30 @@
 Written from the operator semantics, not generated from the Spark code:
 rank self-joins where Spark uses windows, cross joins where Spark uses the
 grid, plain ``quantile_cont`` where Spark uses bucketed exact quantiles,
-``lag`` where Spark uses segmented windows.  Model queries have no oracle
-(rows-only check).
+``lag`` where Spark uses segmented windows, the closed form of a fit on one
+category where Spark trains a model.
 """
 
 from __future__ import annotations
 
-from aloft.functions.decode import BAD_QUALITY, WEATHER_FIELDS
 from aloft.plans.catalog import NAME_ZONES, REGION_ZONES
 
-_BAD = ", ".join(f"'{q}'" for q in BAD_QUALITY)
+# The layout of the composite fields, spelled out for the SQL side: source, parts of a well-formed
+# value, the value and its quality code (counted from 1), the missing marker, type, divisor.  An empty
+# GD1 or AW means missing.
+_LAYOUT = {
+    "WindAngle": ("WND", 5, 1, 2, "999", "INTEGER", ""),
+    "WindSpeed": ("WND", 5, 4, 5, "9999", "INTEGER", ""),
+    "VerticalVisibility": ("CIG", 4, 1, 2, "99999", "INTEGER", ""),
+    "Visibility": ("VIS", 4, 1, 2, "999999", "INTEGER", ""),
+    "Temperature": ("TMP", 2, 1, 2, "999.9", "DOUBLE", " / CAST(10 AS DOUBLE)"),
+    "DewPointTemp": ("DEW", 2, 1, 2, "999.9", "DOUBLE", " / CAST(10 AS DOUBLE)"),
+    "SeaLevelPressure": ("SLP", 2, 1, 2, "99999", "INTEGER", ""),
+    "CloudMode": ("GD1", 6, 1, 3, "9", "INTEGER", ""),
+    "CloudHeight": ("GD1", 6, 4, 5, "99999", "INTEGER", ""),
+    "AtmCondition": ("AW", 2, 1, 2, "9999", "INTEGER", ""),
+}
+_BAD = "'2', '3', '6', '7'"
 
 
 def _values(rows) -> str:
@@ -61,23 +75,13 @@ OBS = """obs AS (
 obs2 AS (SELECT *, coalesce(nullif(trim(AW1), ''), nullif(trim(AW2), '')) AS AW FROM obs)"""
 
 
-def _spec(name):
-    return next(s for s in WEATHER_FIELDS if s.name == name)
-
-
 def _field_parts(name):
-    s = _spec(name)
-    src = s.source
-    arr = f"string_split({src}, ',')"
-    typ = "DOUBLE" if s.dtype == "double" else "INTEGER"
-    val = f"TRY_CAST({arr}[{s.value_part + 1}] AS {typ})"
-    scaled = f"({val} / CAST({s.scale} AS DOUBLE))" if s.scale != 1.0 else val
-    ok = f"len({arr}) = {s.parts} AND {val} IS NOT NULL"
-    if s.empty_is_missing:
-        ok += f" AND {src} <> ''"
-    bad = f"{arr}[{s.quality_part + 1}] IN ({_BAD})"
-    sent = f"{scaled} = CAST({s.sentinel} AS {typ})"
-    return src, f"({ok})", f"({bad})", f"({sent})", scaled, s.empty_is_missing
+    src, parts, value, quality, missing, typ, divide = _LAYOUT[name]
+    arr, blank = f"string_split({src}, ',')", src in ("GD1", "AW")
+    val = f"TRY_CAST({arr}[{value}] AS {typ})"
+    ok = f"len({arr}) = {parts} AND {val} IS NOT NULL" + (f" AND {src} <> ''" if blank else "")
+    scaled = f"({val}{divide})"
+    return src, f"({ok})", f"({arr}[{quality}] IN ({_BAD}))", f"({scaled} = CAST({missing} AS {typ}))", scaled, blank
 
 
 def _field(name):
@@ -91,11 +95,11 @@ def _decode_sql(names):
 
 def _reject_sql():
     parts = []
-    for s in WEATHER_FIELDS:
-        src, ok, bad, sent, _, em = _field_parts(s.name)
+    for name in _LAYOUT:
+        src, ok, bad, sent, _, em = _field_parts(name)
         empty = f"({src} = '')" if em else "FALSE"
         parts.append(
-            f"SELECT count(*) AS n_rows, '{s.name}' AS field, "
+            f"SELECT count(*) AS n_rows, '{name}' AS field, "
             f"CAST(count_if({src} IS NULL) AS BIGINT) AS n_null_source, "
             f"CAST(count_if({src} IS NOT NULL AND NOT {empty} AND NOT coalesce({ok}, FALSE)) AS BIGINT) AS n_malformed, "
             f"CAST(count_if({src} IS NOT NULL AND {empty}) AS BIGINT) AS n_empty, "
