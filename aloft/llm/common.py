@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,13 +112,21 @@ def spans_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, place
 
 
+def pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys as byte planes of their differences (the high planes are mostly zero and compress away)."""
-    return np.diff(keys, prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted 64-bit keys, compressed as the byte planes of their differences (the planes of high and unused bits all but vanish)."""
+    return pack(np.diff(keys, prepend=U64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpack_keys(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(8, -1)
+    planes = np.frombuffer(unpack(data), dtype=np.uint8).reshape(8, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=U64)
 
 

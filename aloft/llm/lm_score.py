@@ -29,17 +29,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aloft.llm.common import Rolling, Words, text_id
-from aloft.llm.counting import REQUEST, answered, requests, totals
-from aloft.sources.io import stage
+from aloft.llm.counting import REQUEST, answered, key_bits, requests, totals
 
 _START = np.uint64(0x5BD1E995A7C3F00D)
 SCORES = "doc_id long, n_words long, target_loss double, background_loss double, score double"
 
 
+def _key(h: np.ndarray, bits: int, word: bool) -> np.ndarray:
+    """The high ``bits`` of a hash, the lowest of them set for words and clear for pairs."""
+    low = np.uint64(1 << (64 - bits))
+    return (h & ~(low + (low - np.uint64(1)))) | (low if word else np.uint64(0))
+
+
 class _Counted:
-    """Keys of a chunk: words (odd) and word pairs (even), by place and as sorted different keys with counts."""
+    """Keys of a chunk: words (lowest bit of the key set) and word pairs, by place and as sorted different keys with counts."""
 
-    def __init__(self, texts: pa.Array, target: np.ndarray):
+    def __init__(self, texts: pa.Array, target: np.ndarray, bits: int):
         words = Words(texts)
         self.n_docs, self.doc, self.counts = len(texts), words.doc, words.counts
         h = words.hashes()
@@ -48,17 +53,17 @@ class _Counted:
         self.first = first = np.zeros(len(h), dtype=bool)
         first[words.starts[words.counts > 0]] = True
         before[first] = _START
-        pair = Rolling(np.column_stack([before, h]).ravel()).run(2 * np.arange(len(h)), 2) & ~np.uint64(1)
-        one = np.uint64(1)
-        self.keys, index = np.unique(np.concatenate([h | one, pair, before | one]), return_inverse=True)
+        pair = Rolling(np.column_stack([before, h]).ravel()).run(2 * np.arange(len(h)), 2)
+        start = _key(_START, bits, True)
+        self.keys, index = np.unique(np.concatenate([_key(h, bits, True), _key(pair, bits, False), _key(before, bits, True)]), return_inverse=True)
         n = len(h)
         self.word, self.pair, self.history = index[:n], index[n: 2 * n], index[2 * n:]
         weight = target[self.doc].astype(float)
         # a word counts once as itself; the history of a pair is counted apart from it, as the word before
         all_ = np.bincount(self.word, minlength=len(self.keys)) + np.bincount(self.pair, minlength=len(self.keys))
         inside = np.bincount(self.word, weights=weight, minlength=len(self.keys)) + np.bincount(self.pair, weights=weight, minlength=len(self.keys))
-        started = np.searchsorted(self.keys, _START | one)
-        if n and self.keys[min(started, len(self.keys) - 1)] == (_START | one):
+        started = np.searchsorted(self.keys, start)
+        if n and self.keys[min(started, len(self.keys) - 1)] == start:
             all_[started] += int(first.sum())
             inside[started] += weight[first].sum()
         self.local = np.column_stack([all_, inside.astype(np.int64)])
@@ -74,9 +79,9 @@ def _is_target(t: pa.Table, side: pa.Table) -> np.ndarray:
     return np.isin(t.column("doc_id").fill_null(-1).to_numpy(), side.column("doc_id").drop_null().to_numpy())
 
 
-def _count(buckets: int):
+def _count(buckets: int, bits: int):
     def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
-        c = _Counted(t.column("text").combine_chunks(), _is_target(t, side))
+        c = _Counted(t.column("text").combine_chunks(), _is_target(t, side), bits)
         return pa.Table.from_batches([requests(key[0].as_py(), c.keys, c.local, buckets)])
     return run
 
@@ -86,10 +91,11 @@ def _differs(own: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return (own != whole).any(axis=1)
 
 
-def _score(words: tuple[int, int], vocabulary: int, m: float, a: float):
+def _score(bits: int, m: float, a: float):
     def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
         target = _is_target(t, side.filter(side.column("keys").is_null()))
-        c = _Counted(t.column("text").combine_chunks(), target)
+        c = _Counted(t.column("text").combine_chunks(), target, bits)
+        vocabulary, *words = side.column("stats").drop_null()[0].as_py()
         known, whole = answered(side.filter(side.column("keys").is_valid()), 2)
         counts = c.local.copy()
         counts[np.searchsorted(c.keys, known)] = whole
@@ -118,7 +124,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
                              chunk_bytes: int = 4 << 20, m: float = 2.0, a: float = 0.5) -> DataFrame:
     """One row per document (see SCORES); ``target_ids`` has the ids of the target's documents in ``doc_id``."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    n = max(1, -(-(d.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // chunk_bytes))
+    total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n, bits = max(1, -(-total // chunk_bytes)), key_bits(total)
 
     def chunk(spread: Column) -> Column:
         return F.pmod(F.xxhash64(F.lit(13), spread), F.lit(n)).cast("int").alias("chunk")
@@ -127,13 +134,12 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     texts = d.select("doc_id", "text", chunk(F.coalesce(F.col("doc_id"), F.xxhash64(text_id())))).groupBy("chunk")
     wanted = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     wanted = wanted.select(chunk(F.col("doc_id")), F.col("doc_id").alias("doc_id"))
-    sent = texts.cogroup(wanted.groupBy("chunk")).applyInArrow(_count(n), REQUEST)
-    back = stage(totals(sent, _differs))
-    # the sums over all chunks: words in each model, and different words (one key is the start mark)
-    sizes = d.select("doc_id", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n"))
-    every = sizes.agg(F.sum("n")).first()[0] or 0
-    inside = sizes.join(wanted.select("doc_id"), "doc_id", "left_semi").agg(F.sum("n")).first()[0] or 0
-    vocabulary = sum(np.frombuffer(r["totals"], "<i8")[0] for r in back.where("chunk = -1").select("totals").toLocalIterator())
-    side = wanted.select("chunk", "doc_id", F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("totals")).unionByName(
-        back.where("chunk >= 0").select("chunk", F.lit(None).cast("long").alias("doc_id"), "keys", "totals"))
-    return texts.cogroup(side.groupBy("chunk")).applyInArrow(_score((int(every), int(inside)), max(0, int(vocabulary) - 1), m, a), SCORES)
+    sent = texts.cogroup(wanted.groupBy("chunk")).applyInArrow(_count(max(1, n // 2), bits), REQUEST)
+    back = totals(sent, _differs, 1 << (64 - bits), int(_key(_START, bits, True)))
+    # the sums over all chunks: different words, words in each model.  One row, given to every chunk.
+    stats = back.where("chunk = -1").agg(F.array(*[F.coalesce(F.sum(F.element_at("stats", i)), F.lit(0)) for i in (1, 2, 3)]).alias("stats"))
+    stats = d.sparkSession.range(n).select(F.col("id").cast("int").alias("chunk")).crossJoin(F.broadcast(stats))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("keys", "binary"), ("totals", "binary"), ("stats", "array<long>"))]
+    side = (wanted.select("chunk", "doc_id", *none[1:]).unionByName(back.where("chunk >= 0").select("chunk", none[0], "keys", "totals", none[3]))
+            .unionByName(stats.select("chunk", *none[:3], "stats")))
+    return texts.cogroup(side.groupBy("chunk")).applyInArrow(_score(bits, m, a), SCORES)
