@@ -31,12 +31,15 @@ def water(children, budget):
     return got
 
 
-def brute(rows, weights, share, epochs, seed):
+def two_domains(source):
+    return "d" + str(int((re.search("([0-9]+)$", source or "") or [0, 0])[1]) % 2)
+
+
+def brute(rows, weights, share, epochs, seed, domain=two_domains):
     leaf = defaultdict(list)
     for i, t, lang, source, *_ in rows:
         text = t or ""
-        d = "d" + str(int((re.search("([0-9]+)$", source or "") or [0, 0])[1]) % 2)
-        leaf[d, lang or "", source or ""].append((i, text, len(re.findall(r"[^\x20\x09-\x0D]+", text))))
+        leaf[domain(source), lang or "", source or ""].append((i, text, len(re.findall(r"[^\x20\x09-\x0D]+", text))))
 
     def weight(path):
         for p in (path, ("*",) * (len(path) - 1) + path[-1:]):
