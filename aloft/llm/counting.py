@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from aloft.llm.common import pack, pack_keys, unpack, unpack_keys
 
 REQUEST = "bucket int, chunk int, keys binary, counts binary"
-REPLY = "chunk int, bucket int, keys binary, totals binary, stats array<long>"
+REPLY = "chunk int, bucket int, answered binary, totals binary, stats array<long>"
 
 
 def key_bits(total_bytes: int) -> int:
@@ -27,16 +27,21 @@ def key_bits(total_bytes: int) -> int:
     return min(64, max(1, total_bytes).bit_length() + 20)
 
 
+def _buckets(keys: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end): the runs of sorted ``keys`` that go to each bucket."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    used, first = np.unique(bucket, return_index=True)
+    return list(zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(keys)], strict=False))
+
+
 def requests(chunk: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     """A chunk's sorted different ``keys`` with their ``counts`` (one column or several, 32 bits) as request rows."""
     counts = (counts if counts.ndim > 1 else counts[:, None]).astype("<u4")
-    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    used, first = np.unique(bucket, return_index=True)
-    rows = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=False))      # none without keys
+    rows = _buckets(keys, buckets)
     return pa.RecordBatch.from_arrays([
-        pa.array(used.astype(np.int32)), pa.array(np.full(len(used), chunk, dtype=np.int32)),
-        pa.array([pack_keys(keys[a:b]) for a, b in rows], pa.binary()),
-        pa.array([pack(counts[a:b].T.tobytes()) for a, b in rows], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
+        pa.array([k for k, _, _ in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int32()),
+        pa.array([pack_keys(keys[a:b]) for _, a, b in rows], pa.binary()),
+        pa.array([pack(counts[a:b].T.tobytes()) for _, a, b in rows], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
 
 
 def totals(sent: DataFrame, reply, flag: int = 0, skip: int | None = None) -> DataFrame:
@@ -56,7 +61,7 @@ def totals(sent: DataFrame, reply, flag: int = 0, skip: int | None = None) -> Da
             at += len(k)
             use = reply(c, whole)
             if use.any():
-                out.append((chunk, pack_keys(k[use]), pack(np.ascontiguousarray(whole[use].T.astype("<i8")).view(np.uint8).reshape(-1, 8).T.tobytes()), None))
+                out.append((chunk, pack(np.packbits(use).tobytes()), pack(np.ascontiguousarray(whole[use].T.astype("<i8")).view(np.uint8).reshape(-1, 8).T.tobytes()), None))
         flagged = every & np.uint64(flag) != 0
         if skip is not None:
             flagged &= every != np.uint64(skip)
@@ -64,18 +69,18 @@ def totals(sent: DataFrame, reply, flag: int = 0, skip: int | None = None) -> Da
         bucket = t.column("bucket")[0].as_py()
         return pa.Table.from_arrays([pa.array([o[0] for o in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()),
                                      pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.binary()),
-                                     pa.array([o[3] for o in out], pa.list_(pa.int64()))], names=["chunk", "bucket", "keys", "totals", "stats"])
+                                     pa.array([o[3] for o in out], pa.list_(pa.int64()))], names=["chunk", "bucket", "answered", "totals", "stats"])
 
     return sent.groupBy("bucket").applyInArrow(run, REPLY)
 
 
-def answered(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The keys and totals that a chunk got back, sorted by key."""
-    keys = [unpack_keys(k) for k in t.column("keys").to_pylist()]
-    got = [np.ascontiguousarray(np.frombuffer(unpack(c), dtype=np.uint8).reshape(8, -1).T).view("<i8").reshape(width, -1).T
-           for c in t.column("totals").to_pylist()]
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros((0, width), np.int64)
-    key, total = np.concatenate(keys), np.concatenate(got)
-    order = np.argsort(key)
-    return key[order], total[order]
+def answered(t: pa.Table, keys: np.ndarray, buckets: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places in a chunk's sorted ``keys`` that were answered, and their totals.  The chunk knows what it asked for, so
+    an answer is a bit per key and the totals of those set."""
+    span = {k: (a, b) for k, a, b in _buckets(keys, buckets)}
+    at, got = [np.zeros(0, np.int64)], [np.zeros((0, width), np.int64)]
+    for bucket, mask, c in zip(*(t.column(n).to_pylist() for n in ("bucket", "answered", "totals")), strict=True):
+        a, b = span[bucket]
+        at.append(a + np.flatnonzero(np.unpackbits(np.frombuffer(unpack(mask), dtype=np.uint8), count=b - a)))
+        got.append(np.ascontiguousarray(np.frombuffer(unpack(c), dtype=np.uint8).reshape(8, -1).T).view("<i8").reshape(width, -1).T)
+    return np.concatenate(at), np.concatenate(got)

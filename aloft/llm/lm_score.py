@@ -91,14 +91,14 @@ def _differs(own: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return (own != whole).any(axis=1)
 
 
-def _score(bits: int, m: float, a: float):
+def _score(buckets: int, bits: int, m: float, a: float):
     def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
-        target = _is_target(t, side.filter(side.column("keys").is_null()))
+        target = _is_target(t, side.filter(side.column("bucket").is_null()))
         c = _Counted(t.column("text").combine_chunks(), target, bits)
         vocabulary, *words = side.column("stats").drop_null()[0].as_py()
-        known, whole = answered(side.filter(side.column("keys").is_valid()), 2)
+        known, whole = answered(side.filter(side.column("bucket").is_valid()), c.keys, buckets, 2)
         counts = c.local.copy()
-        counts[np.searchsorted(c.keys, known)] = whole
+        counts[known] = whole
         loss = []
         in_target = target[c.doc].astype(np.int64)
         own_word = c.own(c.word)
@@ -134,12 +134,13 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     texts = d.select("doc_id", "text", chunk(F.coalesce(F.col("doc_id"), F.xxhash64(text_id())))).groupBy("chunk")
     wanted = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     wanted = wanted.select(chunk(F.col("doc_id")), F.col("doc_id").alias("doc_id"))
-    sent = texts.cogroup(wanted.groupBy("chunk")).applyInArrow(_count(max(1, n // 2), bits), REQUEST)
+    buckets = max(1, n // 2)
+    sent = texts.cogroup(wanted.groupBy("chunk")).applyInArrow(_count(buckets, bits), REQUEST)
     back = totals(sent, _differs, 1 << (64 - bits), int(_key(_START, bits, True)))
     # the sums over all chunks: different words, words in each model.  One row, given to every chunk.
     stats = back.where("chunk = -1").agg(F.array(*[F.coalesce(F.sum(F.element_at("stats", i)), F.lit(0)) for i in (1, 2, 3)]).alias("stats"))
     stats = d.sparkSession.range(n).select(F.col("id").cast("int").alias("chunk")).crossJoin(F.broadcast(stats))
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("keys", "binary"), ("totals", "binary"), ("stats", "array<long>"))]
-    side = (wanted.select("chunk", "doc_id", *none[1:]).unionByName(back.where("chunk >= 0").select("chunk", none[0], "keys", "totals", none[3]))
-            .unionByName(stats.select("chunk", *none[:3], "stats")))
-    return texts.cogroup(side.groupBy("chunk")).applyInArrow(_score(bits, m, a), SCORES)
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("bucket", "int"), ("answered", "binary"), ("totals", "binary"), ("stats", "array<long>"))]
+    side = (wanted.select("chunk", "doc_id", *none[1:]).unionByName(back.where("chunk >= 0").select("chunk", none[0], "bucket", "answered", "totals", none[4]))
+            .unionByName(stats.select("chunk", *none[:4], "stats")))
+    return texts.cogroup(side.groupBy("chunk")).applyInArrow(_score(buckets, bits, m, a), SCORES)

@@ -107,19 +107,18 @@ def _repeated(own: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return whole[:, 0] > 1
 
 
-def _route(shards: int):
+def _route(shards: int, buckets: int):
     names = [f.split()[0] for f in SEGMENTS.split(", ")]
     schema = pa.schema([(n, pa.int32() if n in ("shard", "chunk") else pa.binary()) for n in names])
 
     def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
-        mine = side.filter(side.column("keys").is_valid())
-        wanted, _ = answered(mine, 1)
-        chunk = _Chunk(t, side.filter(side.column("keys").is_null()))
-        if not len(wanted):
-            return schema.empty_table()
+        chunk = _Chunk(t, side.filter(side.column("bucket").is_null()))
         s = chunk.segments(t)
-        at = np.minimum(np.searchsorted(wanted, s.anchor), len(wanted) - 1)
-        use = np.flatnonzero(wanted[at] == s.anchor)
+        anchors, which = np.unique(s.anchor, return_inverse=True)
+        again, _ = answered(side.filter(side.column("bucket").is_valid()), anchors, buckets, 1)
+        if not len(again):
+            return schema.empty_table()
+        use = np.flatnonzero(np.isin(which, again))
         shard = (s.anchor[use] % np.uint64(shards)).astype(np.int32)
         order = np.argsort(shard, kind="stable")
         use, shard = use[order], shard[order]
@@ -242,8 +241,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return out.groupBy("chunk")
 
     by_chunk = texts.groupBy("chunk")
-    sent = by_chunk.cogroup(side("keys binary")).applyInArrow(_anchors(max(1, n // 4)), REQUEST)
+    buckets = max(1, n // 4)
+    sent = by_chunk.cogroup(side("bucket int")).applyInArrow(_anchors(buckets), REQUEST)
     again = totals(sent, _repeated).where("chunk >= 0")
-    segments = by_chunk.cogroup(side("keys binary, totals binary", again)).applyInArrow(_route(n), SEGMENTS)
+    segments = by_chunk.cogroup(side("bucket int, answered binary, totals binary", again)).applyInArrow(_route(n, buckets), SEGMENTS)
     flags = segments.groupBy("shard").applyInArrow(_search, FLAGS)
     return by_chunk.cogroup(side("ids binary, tids binary, doc binary, start binary, length binary", flags)).applyInArrow(_remove, RESULT)
