@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.sources.io import stage
+
 FAN_OUT = 32
 
 
@@ -106,7 +108,7 @@ def shuffle_to_shards(rows: DataFrame, columns: list[str], shards: int = 24, see
     The columns should name all that tells rows apart; they are hashed.
     ``rows_per_partition`` sets how many logical partitions there are; at
     100 TB take some 100,000."""
-    rows = rows.select(*columns)
+    rows = stage(rows.select(*columns))              # the input is read once; the columns should be slim
     total = rows.count()
     parts = max(1, -(-total // rows_per_partition))
     blocks = max(1, -(-total // (shards * rows_per_partition)))
