@@ -44,8 +44,10 @@ def main():
     out = {}
     naive = sk.withColumn("prev", F.lag("event_id").over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
     out["previous_event: window by entity"] = largest_share(naive, "prev")
-    ours = sequence.with_previous(sk, "user_id", ["ts"], ["event_id"], tie_break=["event_id"], keep_first=True)
-    out["previous_event: window by (entity, day)"] = largest_share(ours, "PREV_event_id")
+    for kind in ("timestamp_ntz", "timestamp"):
+        typed = sk.withColumn("ts", F.col("ts").cast(kind))
+        ours = sequence.with_previous(typed, "user_id", ["ts"], ["event_id"], tie_break=["event_id"], keep_first=True)
+        out[f"previous_event: window by (entity, hour), {kind}"] = largest_share(ours, "PREV_event_id")
     left = sk.select("event_id", "event_type", "ts")
     right = sk.select(F.col("event_id").alias("rid"), F.col("event_type").alias("rt"), F.col("ts").alias("rts"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
