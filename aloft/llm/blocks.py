@@ -18,12 +18,12 @@ def usable(rows: DataFrame, id_col: str, vector_col: str, nonzero: bool) -> Data
 
 
 def least_ids(rows: DataFrame, keep: int) -> DataFrame:
-    """(vector, ids): each different vector with the ``keep`` least ids that have it, ascending.
+    """(vector, ids): each different vector with the ``keep`` least different ids that have it, ascending.
 
     Equal vectors score alike and ties go to the smaller id, so no other id can be among the ``keep`` best.  The limit
     per vector works before the shuffle already, so a vector that many rows share does no harm."""
     w = Window.partitionBy("vector").orderBy("vec_id")
-    return (rows.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep)
+    return (rows.dropDuplicates(["vec_id", "vector"]).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep)
             .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
 
 

@@ -15,8 +15,8 @@ Scores are exact integers; nothing is approximated or cut.
 
 Odd input: vectors that are null, empty, or hold a null or non-finite component take no part;
 vectors of different lengths are compared as if padded with zeros; repeated rows (same id and
-vector) are one candidate each and are not cut off by equal ids (a query's own id is no candidate); an
-empty table gives an empty result; other columns are ignored.
+vector) are one candidate; a query's own id is no candidate; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations

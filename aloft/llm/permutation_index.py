@@ -15,7 +15,7 @@ stated in the README.
 
 Odd input: vectors that are null, empty, zero, or hold a null or non-finite component
 take no part; vectors of different lengths are compared as if padded with zeros; equal vectors tie and the
-smaller ids win; repeated rows are candidates once an id; a query's own id is no candidate; an empty table gives an empty
+smaller ids win; repeated rows are one candidate; a query's own id is no candidate; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -92,9 +92,12 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, pivots: int = 128, le
             id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 8192, query_rows: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found, by cosine.
 
-    The pivots are the ``pivots`` different vectors of least hash: a bounded sample."""
+    The pivots are the ``pivots`` different vectors of least hash among a hashed sample: bounded."""
     vectors = usable(rows, id_col, vector_col, nonzero=True)
-    chosen = vectors.groupBy("vector").agg(F.min("vec_id").alias("vec_id")).orderBy(F.xxhash64(F.lit(9), "vector"), "vector").limit(pivots).toArrow()
+    h = F.xxhash64(F.lit(9), "vector")
+    # about 64 candidates a pivot pass the first filter, so the ordering that picks the least sees no more than these
+    some = F.pmod(h, F.lit(max(1, vectors.count() // (64 * pivots)))) == 0
+    chosen = vectors.where(some).select("vector").distinct().orderBy(h, "vector").limit(pivots).toArrow()
     fixed = matrix(chosen.column("vector")) if chosen.num_rows else np.zeros((1, 1))
     fixed = fixed / np.maximum(np.linalg.norm(fixed, axis=1), 1e-300)[:, None]
     items, queries = in_blocks(least_ids(vectors, k + 1), vectors.where(is_query).distinct(), block_rows, query_rows)

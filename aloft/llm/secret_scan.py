@@ -18,7 +18,6 @@ ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass

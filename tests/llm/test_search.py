@@ -13,7 +13,7 @@ def vectors(seed=0, n=600, d=16):
     for i in range(0, 200, 3):
         rows[i] = (i, rows[150][1])                       # one vector that many rows share, queries among them
     odd = [(n, None), (n + 1, []), (n + 50, [0.0] * d), (n + 3, [float("nan")] + [0.1] * (d - 1)), (n + 4, [None] + [0.1] * (d - 1)),
-           (n + 5, [float("inf")] + [0.1] * (d - 1)), (None, rows[7][1]), (7, rows[7][1])]
+           (n + 5, [float("inf")] + [0.1] * (d - 1)), (None, rows[7][1]), (7, rows[7][1]), *[(0, rows[150][1])] * 9, *[(3, rows[150][1])] * 9]
     return [(i, v, "s", "b", "v") for i, v in rows + odd]
 
 
