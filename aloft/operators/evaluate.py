@@ -60,13 +60,13 @@ def class_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def cumulative_counts(df: DataFrame, label: str, score: str, ranges: int = 1024,
-                      accuracy: int = 20_000) -> DataFrame:
+                      accuracy: int = 10_000) -> DataFrame:
     """Per distinct score (descending): tp/fp at that score and cumulative TP/FP
     of all rows scoring >= it, plus totals P and N (W4).  Rows with a null label or score are left out."""
     y = F.col(label).try_cast("int")
     src = df.select(y.alias("__y"), F.col(score).cast("double").alias("score")).where(F.col("score").isNotNull() & F.col("__y").isNotNull())
     per = src.groupBy("score").agg(F.sum("__y").cast("long").alias("tp"), F.sum(1 - F.col("__y")).cast("long").alias("fp"))
-    splitters = src.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)], accuracy).alias("__sp"))   # one value
+    splitters = per.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)], accuracy).alias("__sp"))   # one value
     per = per.withColumn("__sp", splitters.scalar()).withColumn("__r", -lower_bound(F.col("__sp"), F.col("score"), ranges - 1)).drop("__sp")
     # at most `ranges` rows: range 0 is the lowest scores
     totals = per.groupBy("__r").agg(F.sum("tp").alias("__tp"), F.sum("fp").alias("__fp"))

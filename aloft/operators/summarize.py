@@ -79,7 +79,8 @@ def lower_bound(sorted_arr: Column, v: Column, length: int) -> Column:
         left = F.struct(lo.alias("lo"), mid.alias("hi"))
         return F.when(lo < hi, F.when(F.get(sorted_arr, mid) < v, right).otherwise(left)).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
+    # never null: else joins on the result would test it for null on every row below the aggregates
+    return F.coalesce(F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"]), F.lit(0))
 
 
 def quantiles(df: DataFrame, cols: str | Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -90,7 +91,7 @@ def quantiles(df: DataFrame, cols: str | Sequence[str], probs: Sequence[float],
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    ranges: int = 1024, accuracy: int = 20_000) -> DataFrame:
+                    ranges: int = 1024, accuracy: int = 10_000) -> DataFrame:
     """Exact interpolated quantiles of several columns per group: (__g, column, prob, value).
 
     Equal to ``percentile(col, p)`` over the values that are neither null nor
@@ -109,8 +110,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     src = df.select(_group(by).alias("__g"), v.alias("__x")).select("__g", "__x.column", F.col("__x.v").alias("__v")) \
         .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     share = [i / ranges for i in range(1, ranges)]
-    splitters = src.groupBy("column").agg(F.percentile_approx("__v", share, accuracy).alias("__sp"))     # one row per column
-    per = src.groupBy("__g", "column", "__v").agg(F.count(F.lit(1)).alias("__c")).join(F.broadcast(splitters), "column") \
+    counted = src.groupBy("__g", "column", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    splitters = counted.groupBy("column").agg(F.percentile_approx("__v", share, accuracy).alias("__sp"))     # one row per column
+    per = counted.join(F.broadcast(splitters), "column") \
         .withColumn("__r", lower_bound(F.col("__sp"), F.col("__v"), ranges - 1)).drop("__sp")
     hist = per.groupBy("__g", "column", "__r").agg(F.sum("__c").alias("__n"))
     w = Window.partitionBy("__g", "column")
@@ -121,9 +123,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         .withColumn("__k", F.explode(F.array_distinct(F.array(F.floor("__pos").cast("long"), F.ceil("__pos").cast("long"))))) \
         .where((F.col("__k") >= F.col("__before")) & (F.col("__k") < F.col("__before") + F.col("__n"))) \
         .select("__g", "column", "__r", "__before", "prob", "__pos", "__k")
-    wanted = need.select("__g", "column", "__r").distinct()
     inside = Window.partitionBy("__g", "column", "__r").orderBy("__v")
-    ranked = per.join(wanted, ["__g", "column", "__r"], "left_semi").withColumn("__upto", F.sum("__c").over(inside))
+    ranked = per.join(need, ["__g", "column", "__r"], "left_semi").withColumn("__upto", F.sum("__c").over(inside))
     off = F.col("__k") - F.col("__before")
     hit = need.join(ranked, ["__g", "column", "__r"]).where((off < F.col("__upto")) & (off >= F.col("__upto") - F.col("__c")))
     res = hit.groupBy("__g", "column", "prob").agg(
