@@ -100,8 +100,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     1. the rows become one row per (group, column, value) with its count
        (partially aggregated before the one shuffle, which all steps share);
-    2. splitters of each column (``percentile_approx``: a mergeable sketch,
-       ``ranges - 1`` numbers per column, broadcast) put each value into a range;
+    2. splitters of each column (``percentile_approx`` over these rows: a mergeable
+       sketch, ``ranges - 1`` numbers per column, broadcast) put each value into a range;
     3. counts per (group, column, range), at most ``ranges`` of a group, and
        their running sum locate the range of each wanted rank;
     4. only the values of located ranges are ranked, range by range.

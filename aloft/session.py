@@ -41,7 +41,7 @@ def _context(spark: SparkSession):
 
 def _is_local(spark: SparkSession) -> bool:
     sc = _context(spark)
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
     return master.startswith("local")
 
 

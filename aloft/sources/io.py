@@ -76,14 +76,30 @@ def stage(df: DataFrame, path: str | None = None, mode: str = "errorifexists") -
 
     Cuts the lineage: a lost executor re-reads the files instead of
     recomputing the plan.  Without a path the stage goes to a unique folder
-    under the shared checkpoint dir.
+    under the shared checkpoint dir, which ``clear_stages`` removes when the
+    results that read it are done.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, "stage")
+    if path is None:
+        path = scratch_path(spark, "stage")
+        _STAGES.append(path)
     write_table(df, path, mode=mode)
     return spark.read.parquet(path)
 
 
+_STAGES: list[str] = []
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Remove the unique stage folders that this driver has written; returns how many there were."""
+    context = spark.sparkContext
+    done = len(_STAGES)
+    while _STAGES:
+        path = context._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return done
+
+
 def persist(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Reuse cache for a branch read more than once."""
     return df.persist(level)

@@ -70,6 +70,9 @@ def test_stage_and_dims(spark):
     assert staged.count() == 5 and "FileScan" in staged._jdf.queryExecution().executedPlan().toString()
     dim = io.dim_table(spark, [(1, "x")], "k int, v string")
     assert dim.count() == 1
+    path = staged.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path.replace("///", "/")) and io.clear_stages(spark) > 0
+    assert not os.path.exists(os.path.dirname(path.replace("///", "/"))) and io.clear_stages(spark) == 0
 
 
 def test_expect_schema(spark):
