@@ -83,10 +83,10 @@ def signatures(values: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, tid, n_words, n_bytes, sig): one narrow pass over the texts."""
+    """(doc_id, tid, n_shingles, n_bytes, sig): one narrow pass over the texts; ``n_shingles`` counts different ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            values, n = shingles(b.column("text"))
+            values, n = _sets(*shingles(b.column("text")))
             sig = signatures(values, n, TREES * LABELS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("tid"), pa.array(n), pc.binary_length(b.column("text")).cast(pa.int64()),

@@ -59,6 +59,15 @@ def test_large_group_of_near_copies(spark):
     assert {(r["class_id"], r["n_text_links"]) for r in out} == {(0, 149)}
 
 
+def test_repeats_within_a_text(spark):
+    once = " ".join(f"w{i}" for i in range(300))
+    phrase = "one two three four five six seven eight "
+    texts = [once, once + " " + once, phrase * 20, phrase * 60]
+    rows = [(i, t, "en", "s", 1, 1, "", "", "", "", "") for i, t in enumerate(texts)]
+    out = J.jaccard_classes(frame(spark, rows)).select("doc_id", "class_id", "n_links", "n_text_links").collect()
+    assert ordered(tuple(r) for r in out) == brute(rows) == [(0, 0, 1, 1), (1, 0, 1, 1), (2, 2, 1, 1), (3, 2, 1, 1)]
+
+
 def test_keep_one(spark):
     rows = corpus(seed=8, n=200)
     docs = frame(spark, rows)
