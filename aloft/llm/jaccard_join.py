@@ -260,8 +260,9 @@ def links(texts: DataFrame, docs: DataFrame, text_col: str, threshold: float, re
 
 def jaccard_classes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9995, id_col: str = "doc_id",
                     text_col: str = "text", block_rows: int = 1024, block_bytes: int = 4 << 20) -> DataFrame:
-    """One row per document: doc_id, tid (its text's identity), class_id (the least doc_id of its class), n_links (other
-    documents linked to it, copies of its own text included), n_text_links (other texts linked to its text)."""
+    """One row per document: doc_id, tid (its text's identity), root (its class: the least tid in it, never null), class_id
+    (the least doc_id of its class, null if it has none; classes may share one), n_links (other documents linked to it,
+    copies of its own text included), n_text_links (other texts linked to its text)."""
     signed = stage(sign(docs, id_col, text_col))
     texts = signed.groupBy("tid").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_docs"), F.first("n_shingles").alias("n_shingles"),
                                       F.first("n_bytes").alias("n_bytes"), F.first("sig").alias("sig"))
@@ -272,16 +273,16 @@ def jaccard_classes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     per_text = least.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
     per_class = per_text.groupBy("root").agg(F.min("least").alias("class_id"))
     per_text = per_text.join(per_class, "root").join(counts, "tid", "left") \
-        .select("tid", "class_id", (F.col("n_docs") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    return signed.select("doc_id", "tid").join(per_text, "tid").select("doc_id", "tid", "class_id", "n_links", "n_text_links")
+        .select("tid", "root", "class_id", (F.col("n_docs") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("n_text_links"))
+    return signed.select("doc_id", "tid").join(per_text, "tid").select("doc_id", "tid", "root", "class_id", "n_links", "n_text_links")
 
 
 def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each class: the one with the least id (a null id last)."""
+    """``docs`` with one document of each class (by its root): the one with the least id (a null id last)."""
     names = docs.columns
     slim = [c for c in names if c != text_col]
     keyed = docs.select("*", text_id(text_col).alias("_tid"))
-    by_text = classes.groupBy("tid").agg(F.first("class_id").alias("_class")).withColumnRenamed("tid", "_tid")
+    by_text = classes.groupBy("tid").agg(F.first("root").alias("_class")).withColumnRenamed("tid", "_tid")
     kept = (keyed.select(*slim, "_tid").join(by_text, "_tid")
             .groupBy("_class").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "_tid", *slim)).alias("k"))
             .select("k._tid", *[F.col(f"k.{c}").alias(c) for c in slim]))

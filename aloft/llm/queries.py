@@ -64,7 +64,7 @@ def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
-    return classes.select("doc_id", "class_id", "n_links", "n_text_links")
+    return classes.select("doc_id", F.lower(F.hex("root")).alias("class_root"), "class_id", "n_links", "n_text_links")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from corpus import corpus, frame, ordered
 
 from aloft.llm import jaccard_join as J
 from aloft.llm.graph import components
+from aloft.llm.queries import op7_jaccard_join
 
 
 def brute(rows):
@@ -78,6 +79,28 @@ def test_keep_one(spark):
     assert J.keep_one(docs, classes).columns == docs.columns
 
 
+def test_classes_that_share_an_id_or_have_none(spark):
+    text = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcdefg"]
+    near = text[0].replace("a39", "x")
+    ids = [(None, text[0]), (None, near), (None, text[1]), (None, text[2]), (None, ""), (5, text[3]), (5, text[4]), (9, text[4] + " x"), (7, text[5]), (None, text[5]), (8, text[6])]
+    docs = frame(spark, [(i, t, "en", "s", 1, 1, "", "", "", "", "") for i, t in ids])
+    classes = J.jaccard_classes(docs)
+    by_tid = {}
+    for r in classes.collect():
+        by_tid.setdefault(bytes(r["root"]), set()).add(r["class_id"])
+    assert len(by_tid) == 8 and ordered((c,) for v in by_tid.values() for c in v) == ordered([(5,), (5,), (7,), (8,)] + [(None,)] * 4)
+    out = J.keep_one(docs, classes).collect()
+    assert len(out) == 8
+    kept = ordered((r["doc_id"], r["text"]) for r in out if r["text"] not in (text[0], near))
+    assert kept == ordered([(None, text[1]), (None, text[2]), (None, ""), (5, text[3]), (5, text[4]), (7, text[5]), (8, text[6])])
+
+
+def test_op7_tells_classes_without_an_id_apart(spark, tmp_path):
+    rows = [(None, " ".join(f"{c}{k}" for k in range(40)), "en", "s", 1, 1, "", "", "", "", "") for c in "abc"]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert len({r["class_root"] for r in op7_jaccard_join(spark, str(tmp_path)).collect()}) == 3
+
+
 def test_stop_depth():
     assert J.stop_depth(16, 6, 0.8, 0.9995) == 4
     with pytest.raises(ValueError):
