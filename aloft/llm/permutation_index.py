@@ -63,11 +63,10 @@ class InvertedFiles:
         return distance
 
 
-def _search(pivots: np.ndarray, length: int, share: float, keep: int):
+def _search(pivots: np.ndarray, width: int, length: int, share: float, keep: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return as_table([], pa.float64())
-        width = pivots.shape[1]
         held, asked = matrix(left.column("vector"), width), matrix(right.column("vector"), width)
         files = InvertedFiles(orders(held, pivots, length), len(pivots))
         ids, row = flat_ids(left.column("ids"))
@@ -88,19 +87,30 @@ def _search(pivots: np.ndarray, length: int, share: float, keep: int):
     return run
 
 
+def chosen_pivots(vectors: DataFrame, pivots: int) -> tuple[np.ndarray, int]:
+    """The ``pivots`` different vectors of least hash among a hashed sample (unit length, padded to the longest vector), and
+    the length of the longest vector."""
+    h = F.xxhash64(F.lit(9), "vector")
+    different, width = vectors.agg(F.approx_count_distinct(h), F.coalesce(F.max(F.size("vector")), F.lit(1))).first()
+    # about 64 candidates a pivot pass the first filter, so the ordering that picks the least sees no more than these
+    modulus = max(1, different // (64 * pivots))
+    while True:
+        chosen = vectors.where(F.pmod(h, F.lit(modulus)) == 0).select("vector").distinct().orderBy(h, "vector").limit(pivots).toArrow()
+        if chosen.num_rows == pivots or modulus == 1:
+            break
+        modulus = max(1, modulus // 8)                                         # too few: a wider sample
+    fixed = matrix(chosen.column("vector"), width) if chosen.num_rows else np.zeros((1, width))
+    return fixed / np.maximum(np.linalg.norm(fixed, axis=1), 1e-300)[:, None], width
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 5, pivots: int = 128, length: int = 32, share: float = 0.25,
             id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 8192, query_rows: int = 2048) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found, by cosine.
 
-    The pivots are the ``pivots`` different vectors of least hash among a hashed sample: bounded."""
+    The pivots are ``pivots`` different vectors out of a hashed sample (all different vectors if there are fewer)."""
     vectors = usable(rows, id_col, vector_col, nonzero=True)
-    h = F.xxhash64(F.lit(9), "vector")
-    # about 64 candidates a pivot pass the first filter, so the ordering that picks the least sees no more than these
-    some = F.pmod(h, F.lit(max(1, vectors.count() // (64 * pivots)))) == 0
-    chosen = vectors.where(some).select("vector").distinct().orderBy(h, "vector").limit(pivots).toArrow()
-    fixed = matrix(chosen.column("vector")) if chosen.num_rows else np.zeros((1, 1))
-    fixed = fixed / np.maximum(np.linalg.norm(fixed, axis=1), 1e-300)[:, None]
+    fixed, width = chosen_pivots(vectors, pivots)
     items, queries = in_blocks(least_ids(vectors, k + 1), vectors.where(is_query).distinct(), block_rows, query_rows)
-    search = _search(fixed, min(length, len(fixed)), share, k)
+    search = _search(fixed, width, min(length, len(fixed)), share, k)
     found = items.groupBy("block", "part").cogroup(queries.groupBy("block", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
     return ranked(found, k)

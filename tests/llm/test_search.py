@@ -103,3 +103,25 @@ def test_few_and_none(spark):
         assert len(op(three, F.col("vec_id") % 50 == 0).collect()) == 2
         assert op(three.where("false"), F.col("vec_id") % 50 == 0).count() == 0
         assert op(three.where("vec_id = 50"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_nearest_with_many_copies_of_each_vector(spark):
+    rng = np.random.default_rng(2)
+    base = [[float(np.float32(x)) for x in rng.normal(0, 0.3, 16)] for _ in range(20)]
+    df = spark.createDataFrame([(i, base[i % 20], "", "", "") for i in range(10_000)], SCHEMA)
+    got = collected(permutation_index.nearest(df, F.col("vec_id") % 1009 == 0, pivots=2))
+    want = {q: [i for i in range(q % 20, 140, 20) if i != q][:5] for q in range(0, 10_000, 1009)}
+    assert {q: [x[1] for x in v] for q, v in got.items()} == want
+    for n in (2, 20, 128):
+        fixed, _ = permutation_index.chosen_pivots(df.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")), n)
+        assert len(np.unique(fixed, axis=0)) == len(fixed) == min(n, 20)
+
+
+def test_nearest_pads_vectors_of_different_lengths(spark):
+    rng = np.random.default_rng(3)
+    size = [16] * 290 + [5] * 7 + [24, 24, 40]
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, d)], "", "", "") for i, d in enumerate(size)]
+    table = {i: np.pad(v, (0, 40 - len(v))) for i, v in usable(rows, False).items()}
+    got = collected(permutation_index.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, pivots=4, share=1.0, block_rows=64))
+    want = brute(table, lambda a, b: round(float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b))), 12))
+    assert {q: [x[:2] for x in v] for q, v in got.items()} == {q: [x[:2] for x in v] for q, v in want.items()}
