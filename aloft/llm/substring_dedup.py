@@ -9,6 +9,9 @@ or earlier in the same document (windows are judged on the input).
    each other with the same anchor form a segment.
 2. The anchors are counted over all chunks (``counting``).  An anchor met once
    belongs to no repeated window; segments of the others go to the shard of their anchor.
+   An anchor met more than ``HOT`` times would make its shard grow with the corpus: its windows go by their own
+   128-bit hashes instead, each different one once from a chunk with its first place there (the chunk flags the
+   others itself), and the shard of a hash flags all but the first of these.
 3. A shard builds a compressed FM-index (BWT in a wavelet matrix) of its different
    segments, streams the segments through it by backward search, and gets for each
    position the match length and the rows of its matches.  Matches of ``WINDOW`` words
@@ -34,13 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import Rolling, Words, chunk_of, chunked, spans_of
+from aloft.llm.common import Rolling, Words, chunk_of, chunked, mix, spans_of
 from aloft.llm.counting import REQUEST, answered, requests, totals
 from aloft.llm.fm_index import FmIndex, matching_statistics
 
 WINDOW, RUN = 20, 6
+HOT = 256
 NULL_ID = np.iinfo(np.int64).max
-SEGMENTS = "shard int, chunk int, ids binary, tids binary, doc binary, start binary, windows binary, words binary"
+SEGMENT, FIRST, FLAGGED = range(3)              # kinds of rows that a chunk sends
+SEGMENTS = "shard int, chunk int, kind int, ids binary, tids binary, doc binary, start binary, windows binary, words binary"
 FLAGS = "chunk int, ids binary, tids binary, doc binary, start binary, length binary"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -107,38 +112,106 @@ def _repeated(own: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return whole[:, 0] > 1
 
 
-def _route(shards: int, buckets: int):
+def _ranks(ids: np.ndarray, tids: np.ndarray) -> np.ndarray:
+    """The documents' order by id, then text (equal ones have one rank)."""
+    every = np.column_stack([ids.astype(np.uint64) ^ np.uint64(1 << 63), tids.reshape(-1, 2)])
+    return np.unique(every, axis=0, return_inverse=True)[1].ravel()
+
+
+def _least(key: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which places are the least of their key (keys: two columns)."""
+    order = np.lexsort((place, key[:, 1], key[:, 0]))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (key[order[1:]] != key[order[:-1]]).any(axis=1)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    out = np.zeros(len(order), dtype=bool)
+    out[order] = place[order] == place[order[head]]
+    return out
+
+
+def _route(shards: int, buckets: int, hot: int):
     names = [f.split()[0] for f in SEGMENTS.split(", ")]
-    schema = pa.schema([(n, pa.int32() if n in ("shard", "chunk") else pa.binary()) for n in names])
+    schema = pa.schema([(n, pa.int32() if n in ("shard", "chunk", "kind") else pa.binary()) for n in names])
 
     def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
         chunk = _Chunk(t, side.filter(side.column("bucket").is_null()))
         s = chunk.segments(t)
         anchors, which = np.unique(s.anchor, return_inverse=True)
-        again, _ = answered(side.filter(side.column("bucket").is_valid()), anchors, buckets, 1)
+        again, total = answered(side.filter(side.column("bucket").is_valid()), anchors, buckets, 1)
         if not len(again):
             return schema.empty_table()
-        use = np.flatnonzero(np.isin(which, again))
-        shard = (s.anchor[use] % np.uint64(shards)).astype(np.int32)
-        order = np.argsort(shard, kind="stable")
-        use, shard = use[order], shard[order]
-        which, first = np.unique(shard, return_index=True)
         ids = np.array([NULL_ID if i is None else i for i in chunk.ids], dtype="<i8")[chunk.rows]
         tids = np.array([np.frombuffer(x, dtype="<u8") for x in chunk.tids]).reshape(-1, 2)[chunk.rows]
         rows = []
-        for k, lo, hi in zip(which.tolist(), first.tolist(), [*first[1:].tolist(), len(use)], strict=False):
-            u = use[lo:hi]
-            docs, local = np.unique(s.doc[u], return_inverse=True)
-            of, place = spans_of(s.windows[u] + WINDOW - 1)
-            words = s.words[(s.starts[s.doc[u]] + s.start[u])[of] + place]
-            rows.append((k, key[0].as_py(), ids[docs].tobytes(), tids[docs].tobytes(), local.astype("<i4").tobytes(),
-                         s.start[u].astype("<i4").tobytes(), s.windows[u].astype("<i4").tobytes(), words.astype("<u8").tobytes()))
+
+        def send(shard: np.ndarray, kind: int, doc: np.ndarray, start: np.ndarray, windows: np.ndarray, words) -> None:
+            order = np.argsort(shard, kind="stable")
+            used, first = np.unique(shard[order], return_index=True)
+            for k, lo, hi in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=False):
+                u = order[lo:hi]
+                docs, local = np.unique(doc[u], return_inverse=True)
+                rows.append((k, key[0].as_py(), kind, ids[docs].tobytes(), tids[docs].tobytes(), local.astype("<i4").tobytes(),
+                             start[u].astype("<i4").tobytes(), windows[u].astype("<i4").tobytes(), words(u).astype("<u8").tobytes()))
+
+        often = total[:, 0] > hot
+        use = np.flatnonzero(np.isin(which, again[~often]))
+        doc, start, windows = s.doc[use], s.start[use], s.windows[use]
+
+        def words(u: np.ndarray) -> np.ndarray:
+            of, place = spans_of(windows[u] + WINDOW - 1)
+            return s.words[(s.starts[doc[u]] + start[u])[of] + place]
+
+        send((s.anchor[use] % np.uint64(shards)).astype(np.int32), SEGMENT, doc, start, windows, words)
+        use = np.flatnonzero(np.isin(which, again[often]))
+        if len(use):
+            of, place = spans_of(s.windows[use])
+            at_doc, at = s.doc[use][of], s.start[use][of] + place
+            begin = s.starts[at_doc] + at
+            content = np.column_stack([Rolling(s.words).run(begin, WINDOW), Rolling(mix(s.words)).run(begin, WINDOW)])
+            first = _least(content, (_ranks(ids, tids)[at_doc] << 32) | at)
+            u = np.flatnonzero(first)
+            hashes = content[u]
+            send((hashes[:, 0] % np.uint64(shards)).astype(np.int32), FIRST, at_doc[u], at[u], np.ones(len(u), np.int64), lambda v: hashes[v])
+            u = np.flatnonzero(~first)
+            new = np.ones(len(u), dtype=bool)
+            new[1:] = (at_doc[u[1:]] != at_doc[u[:-1]]) | (at[u[1:]] != at[u[:-1]] + 1)
+            head = np.flatnonzero(new)
+            send(np.full(len(head), key[0].as_py() % shards), FLAGGED, at_doc[u[head]], at[u[head]], np.diff(np.append(head, len(u))),
+                 lambda v: np.zeros(0))
         return pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=schema)
     return run
 
 
 def _search(t: pa.Table) -> pa.Table:
-    """One shard: FM-index of its different segments, matching statistics, flagged windows as intervals."""
+    """One shard: flagged windows as intervals, of all kinds of rows."""
+    kind = t.column("kind").to_numpy()
+    own = {k: t.filter(pa.array(kind == k)) for k in (SEGMENT, FIRST, FLAGGED)}
+    out = [f(own[k]) for k, f in ((SEGMENT, _indexed), (FIRST, _later), (FLAGGED, _told)) if own[k].num_rows]
+    return pa.concat_tables(out)
+
+
+def _told(t: pa.Table) -> pa.Table:
+    """What chunks have flagged themselves."""
+    length = [(np.frombuffer(x, "<i4") + WINDOW - 1).astype("<i4").tobytes() for x in t.column("windows").to_pylist()]
+    return t.select(["chunk", "ids", "tids", "doc", "start"]).append_column("length", pa.array(length, pa.binary()))
+
+
+def _later(t: pa.Table) -> pa.Table:
+    """All but the first place of each window, out of the chunks' first places."""
+    ids, tids, doc, start, key = ([np.frombuffer(x, kind) for x in t.column(name).to_pylist()] for name, kind in (
+        ("ids", "<i8"), ("tids", "<u8"), ("doc", "<i4"), ("start", "<i4"), ("words", "<u8")))
+    offset = np.cumsum([0, *(len(i) for i in ids)])[:-1]
+    size = [len(d) for d in doc]
+    place = (_ranks(np.concatenate(ids), np.concatenate(tids))[np.repeat(offset, size) + np.concatenate(doc)] << 32) | np.concatenate(start)
+    late = np.split(~_least(np.concatenate(key).reshape(-1, 2), place), np.cumsum(size)[:-1])
+    return pa.Table.from_arrays([
+        t.column("chunk"), t.column("ids"), t.column("tids"), pa.array([d[x].tobytes() for d, x in zip(doc, late, strict=True)], pa.binary()),
+        pa.array([a[x].tobytes() for a, x in zip(start, late, strict=True)], pa.binary()),
+        pa.array([np.full(x.sum(), WINDOW, "<i4").tobytes() for x in late], pa.binary())], names=["chunk", "ids", "tids", "doc", "start", "length"])
+
+
+def _indexed(t: pa.Table) -> pa.Table:
+    """FM-index of its different segments, matching statistics, flagged windows as intervals."""
     def numbers(name: str, kind: str) -> list[np.ndarray]:
         return [np.frombuffer(x, dtype=kind) for x in t.column(name).to_pylist()]
 
@@ -146,9 +219,7 @@ def _search(t: pa.Table) -> pa.Table:
     start, windows = np.concatenate(numbers("start", "<i4")).astype(np.int64), np.concatenate(numbers("windows", "<i4")).astype(np.int64)
     row = np.repeat(np.arange(t.num_rows), [len(d) for d in doc])
     offset = np.cumsum([0, *(len(i) for i in ids)])[:-1]
-    every = np.column_stack([np.concatenate(ids).astype(np.uint64) ^ np.uint64(1 << 63), np.concatenate(tids).reshape(-1, 2)])
-    _, rank = np.unique(every, axis=0, return_inverse=True)           # documents by id, then text
-    own = (rank.ravel()[offset[row] + np.concatenate(doc)] << 32) | start
+    own = (_ranks(np.concatenate(ids), np.concatenate(tids))[offset[row] + np.concatenate(doc)] << 32) | start
     _, words = np.unique(np.concatenate(numbers("words", "<u8")), return_inverse=True)
     words = words + 1
     length = windows + WINDOW - 1
@@ -225,8 +296,8 @@ def _remove(key, t: pa.Table, side: pa.Table) -> pa.Table:
         names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
+def _routed(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, hot: int):
+    """What the chunks send to the shards (see SEGMENTS), the texts by chunk, and what makes the other side of a cogroup with them."""
     texts, n = chunked(docs, id_col, text_col, chunk_bytes)
     # the first document of each text: the others are wholly repeated
     firsts = (texts.groupBy("tid").agg(F.min("doc_id").alias("doc_id"))
@@ -244,6 +315,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = max(1, n // 4)
     sent = by_chunk.cogroup(side("bucket int")).applyInArrow(_anchors(buckets), REQUEST)
     again = totals(sent, _repeated).where("chunk >= 0")
-    segments = by_chunk.cogroup(side("bucket int, answered binary, totals binary", again)).applyInArrow(_route(n, buckets), SEGMENTS)
+    segments = by_chunk.cogroup(side("bucket int, answered binary, totals binary", again)).applyInArrow(_route(n, buckets, hot), SEGMENTS)
+    return segments, by_chunk, side
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, hot: int = HOT) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
+    segments, by_chunk, side = _routed(docs, id_col, text_col, chunk_bytes, hot)
     flags = segments.groupBy("shard").applyInArrow(_search, FLAGS)
     return by_chunk.cogroup(side("ids binary, tids binary, doc binary, start binary, length binary", flags)).applyInArrow(_remove, RESULT)

@@ -1,10 +1,12 @@
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from corpus import corpus, frame, ordered
 
 from aloft.llm.fm_index import FmIndex, WaveletMatrix, matching_statistics
+from aloft.llm import substring_dedup
 from aloft.llm.substring_dedup import remove_repeats
 
 
@@ -66,5 +68,24 @@ def test_matches_plain_windows(spark, chunk_bytes):
     assert ordered(tuple(r) for r in got) == brute(rows)
 
 
+@pytest.mark.parametrize("chunk_bytes", [3000, 4 << 20])
+@pytest.mark.parametrize("hot", [0, 5])
+def test_frequent_anchors_match_plain_windows(spark, chunk_bytes, hot):
+    rows = corpus(seed=11, n=200)
+    got = remove_repeats(frame(spark, rows), chunk_bytes=chunk_bytes, hot=hot).collect()
+    assert ordered(tuple(r) for r in got) == brute(rows)
+
+
+def test_a_passage_of_all_documents_is_in_no_single_shard(spark):
+    passage = " ".join(f"p{i}" for i in range(22))
+    rows = [(i, " ".join([*(f"a{i}x{k}" for k in range(30)), passage, *(f"b{i}x{k}" for k in range(30))]), "en", "s", 1, 1, "", "", "", "", "")
+            for i in range(1500)]
+    sent = Counter()
+    for r in substring_dedup._routed(frame(spark, rows), "doc_id", "text", 20_000, substring_dedup.HOT)[0].collect():
+        sent[r["shard"]] += len(r["start"]) // 4
+    assert len(sent) > 20 and max(sent.values()) < 0.12 * sum(sent.values())
+    assert ordered(tuple(r) for r in remove_repeats(frame(spark, rows), chunk_bytes=20_000).collect()) == brute(rows)
+
+
 def test_empty(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
