@@ -33,6 +33,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,8 @@ from aloft.sources.io import stage
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "source string, round long")
+# cells of (round, source) looked at together
+CELLS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -67,40 +70,75 @@ class RoundRobin:
     def rounds(self) -> int:
         return -(-int(self.totals.sum()) // self.window)
 
-    def _sent_by(self, v: np.ndarray) -> np.ndarray:
-        """Tokens of the whole stream up to virtual time ``v``."""
-        return np.minimum(self.totals, self.weights * v[:, None]).sum(axis=1)
+    @cached_property
+    def _dry(self) -> tuple[np.ndarray, np.ndarray]:
+        """The virtual times at which queues run dry, from 0 and ascending, and the tokens of the whole stream up to each."""
+        at = self.totals / self.weights
+        order = np.argsort(at, kind="stable")
+        at, weights = at[order], self.weights[order]
+        left = weights[::-1].cumsum()[::-1] - weights
+        sent = np.maximum.accumulate(np.cumsum(self.totals[order]) + at * left)
+        return np.concatenate([[0.0], at]), np.concatenate([[0.0], sent])
+
+    def _time(self, b: np.ndarray) -> np.ndarray:
+        """Virtual time at the beginning of round ``b``."""
+        dry, sent = self._dry
+        return np.interp(b.astype(float) * self.window, sent, dry)
+
+    def _sent(self, b: np.ndarray, v: np.ndarray, weights: np.ndarray, totals: np.ndarray) -> np.ndarray:
+        credit = weights * v
+        out = np.minimum(np.floor(credit / self.grain).astype(np.int64) * self.grain, totals)
+        return np.where((credit >= totals) | (b >= self.rounds), totals, out)
 
     def sent(self, b: np.ndarray) -> np.ndarray:
         """Tokens that each source has sent before round ``b`` (rows: rounds, columns: sources)."""
-        dry = np.sort(self.totals / self.weights)                 # virtual times at which queues run dry
-        v = np.interp(b.astype(float) * self.window, np.concatenate([[0.0], self._sent_by(dry)]), np.concatenate([[0.0], dry]))
-        credit = self.weights * v[:, None]
-        out = np.minimum(np.floor(credit / self.grain).astype(np.int64) * self.grain, self.totals)
-        done = (credit >= self.totals) | (b >= self.rounds)[:, None]
-        return np.where(done, self.totals, out)
+        return self._sent(b[:, None], self._time(b)[:, None], self.weights, self.totals)
+
+    def _sent_of(self, source: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Tokens that one source has sent before round ``b``, for pairs of them."""
+        return self._sent(b, self._time(b), self.weights[source], self.totals[source])
 
     def _round(self, source: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """About the round in which token ``x`` of a source is sent (one off at most): the credit that its grain needs."""
+        """The round in which token ``x`` of a source is sent: about where its grain's credit is reached, then corrected."""
+        dry, sent = self._dry
         need = np.minimum((x // self.grain + 1) * self.grain, self.totals[source])
-        return np.ceil(self._sent_by(need / self.weights[source]) / self.window).astype(np.int64) - 1
+        b = np.ceil(np.interp(need / self.weights[source], dry, sent) / self.window).astype(np.int64) - 1
+        b = np.clip(b, 0, self.rounds - 1)
+        while True:
+            off = (self._sent_of(source, b + 1) <= x).astype(np.int64) - (self._sent_of(source, b) > x)
+            if not off.any():
+                return b
+            b = b + off
+
+    def _ahead(self, source: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Where in the stream a source's part of round ``b`` begins."""
+        rounds, row = np.unique(b, return_inverse=True)
+        order = np.argsort(row, kind="stable")
+        out = np.empty(len(b), dtype=np.int64)
+        step = max(1, CELLS // len(self.totals))
+        for lo in range(0, len(rounds), step):
+            here = order[slice(*np.searchsorted(row, [lo, lo + step], sorter=order))]
+            before, after = self.sent(rounds[lo: lo + step]), self.sent(rounds[lo: lo + step] + 1)
+            part = after - before
+            ahead = np.cumsum(part, axis=1) - part
+            out[here] = before.sum(axis=1)[row[here] - lo] + ahead[row[here] - lo, source[here]]
+        return out
 
     def pieces(self, source: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
         """Where the runs start..start+n of sources' queues go, cut by rounds and sequences:
         (run, first token in the run, tokens, place in the stream, round)."""
-        lo = np.maximum(self._round(source, start) - 2, 0)
-        hi = np.minimum(self._round(source, start + n - 1) + 2, self.rounds - 1)
-        run, b = spans_of(hi - lo + 1)
-        b = b + lo[run]
-        before, after = self.sent(b), self.sent(b + 1)
-        k = source[run]
-        row = np.arange(len(b))
-        first = np.maximum(before[row, k], start[run])
-        length = np.minimum(after[row, k], (start + n)[run]) - first
-        ahead = np.cumsum(after - before, axis=1)[row, k] - (after - before)[row, k]
-        place = before.sum(axis=1) + ahead + first - before[row, k]
-        use = length > 0
-        run, b, first, length, place = (z[use] for z in (run, b, first - start[run], length, place))
+        lowest = start // self.grain
+        run, grain = spans_of((start + n - 1) // self.grain - lowest + 1)
+        begin = (grain + lowest[run]) * self.grain
+        b = self._round(source[run], np.maximum(begin, start[run]))
+        head = np.ones(len(run), dtype=bool)                  # grains of a run that go in one round are one piece
+        head[1:] = (run[1:] != run[:-1]) | (b[1:] != b[:-1])
+        last = np.append(np.flatnonzero(head)[1:], len(run))[: int(head.sum())] - 1
+        end = np.minimum(begin[last] + self.grain, (start + n)[run[last]])
+        run, b, first = run[head], b[head], np.maximum(begin, start[run])[head]
+        length = end - first
+        place = self._ahead(source[run], b) + first - self._sent_of(source[run], b)
+        first = first - start[run]
         cuts = (place + length - 1) // self.window - place // self.window
         of, i = spans_of(cuts + 1)
         begin = np.maximum(place[of], (place[of] // self.window + i) * self.window)

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -52,6 +53,25 @@ def test_every_window_has_the_target_proportions():
     assert (np.abs(got - plan.totals / plan.totals.sum() * 2048) < 128 + 1).all()
 
 
+@pytest.mark.parametrize("totals,names", [({"hot": 2_000_000_000, "small": 500}, ["small"]), ({f"s{i:03}": 3000 for i in range(300)}, None)])
+def test_pieces_look_at_their_own_grains_only(totals, names):
+    plan = RoundRobin.of(totals, None, 2048, 128)
+    source = np.concatenate([np.full(-(-totals[n] // 500), plan.names.index(n)) for n in names or plan.names])
+    start = np.concatenate([np.arange(0, totals[n], 500) for n in names or plan.names])
+    tracemalloc.start()
+    run, first, length, place, b = plan.pieces(source, start, np.full(len(start), 500))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    assert (np.bincount(run, weights=length) == 500).all()
+    k, x = source[run], start[run] + first
+    rows = np.arange(len(b))
+    assert (plan.sent(b)[rows, k] <= x).all() and (x + length <= plan.sent(b + 1)[rows, k]).all()
+    if names is None:
+        order = np.argsort(place)
+        assert (place[order] == np.cumsum(length[order]) - length[order]).all() and length.sum() == sum(totals.values())
+
+
 def test_pieces(spark):
     rows = corpus()
     plain = Tokenizer.from_file(PATH)
