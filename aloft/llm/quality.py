@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from aloft.llm.common import Words, mix, slices, spans_of
+from aloft.llm.common import Words, mix, slices, spans_of, text_id
 
 PASSAGE = 64
 PROJECTED = 16
@@ -158,7 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_labell
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.avg(label).alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")   # at most max_labelled rows
+    # one text per chosen id, so max_labelled bounds the rows that the driver gets and no id outweighs the others
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y")
+              .agg(F.min(F.struct(text_id().alias("tid"), "text")).alias("k")).select("doc_id", "k.text", "y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

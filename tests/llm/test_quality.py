@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import zlib
@@ -50,3 +52,18 @@ def test_odd_input(spark):
         assert all(0 <= r["score"] <= 1 for r in Q.with_score(docs, model).collect())
     empty = frame(spark, [])
     assert Q.with_score(empty, Q.train(empty, labels)).count() == 0
+
+
+def test_repeated_rows_of_a_labelled_id_teach_once(spark):
+    rows = corpus(n=60)
+    ids = [i for i, t, *_ in rows if i is not None and 0 <= i < 60 and t and t.split() and zlib.crc32(str(i).encode()) % 5]
+    once = [r for r in {r[0]: r for r in rows if r[0] in ids}.values()]
+    labels = spark.createDataFrame([(i, k % 2, 0) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    texts = [f"other text {k} of this id" for k in range(400)]
+    least = min(texts, key=lambda t: hashlib.md5(t.encode()).digest())
+    rest = [r for r in once if r[0] != ids[0]]
+    many = frame(spark, rest + [(ids[0], t, *once[0][2:]) for t in texts])
+    single = frame(spark, rest + [(ids[0], least, *once[0][2:])])
+    a, b = Q.train(many, labels), Q.train(single, labels)
+    probe = Q.encode(pa.array([t for _, t, *_ in rows], pa.string()))
+    assert np.allclose(a.score(*probe), b.score(*probe))
