@@ -86,10 +86,12 @@ def sign(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, tid, n_shingles, n_bytes, sig): one narrow pass over the texts; ``n_shingles`` counts different ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            values, n = _sets(*shingles(b.column("text")))
+            values, n = shingles(b.column("text"))
+            ends = np.cumsum(n)
+            different = np.array([len(np.unique(values[e - m: e])) for e, m in zip(ends.tolist(), n.tolist(), strict=True)], dtype=np.int64)
             sig = signatures(values, n, TREES * LABELS)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("tid"), pa.array(n), pc.binary_length(b.column("text")).cast(pa.int64()),
+                [b.column("doc_id"), b.column("tid"), pa.array(different), pc.binary_length(b.column("text")).cast(pa.int64()),
                  pa.array([x.tobytes() for x in sig.astype("<u4")], pa.binary())], names=["doc_id", "tid", "n_shingles", "n_bytes", "sig"])
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
