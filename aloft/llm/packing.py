@@ -149,13 +149,13 @@ class RoundRobin:
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """(doc_id, source, n, ids): the ids of each whole text with ``end_id`` behind, as little-endian 16-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = token_table(vocabulary)
-        for b in slices(batches, "text", 4 << 20):
-            ids, counts = tokens.encode(b.column("text"), end_id)
-            ends = np.concatenate([[0], np.cumsum(counts) * 2]).astype(np.int32)
-            blob = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u2"))])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(counts), blob],
-                                             names=["doc_id", "source", "n", "ids"])
+        with token_table(vocabulary) as tokens:
+            for b in slices(batches, "text", 1 << 20):
+                ids, counts = tokens.encode(b.column("text"), end_id)
+                ends = np.concatenate([[0], np.cumsum(counts) * 2]).astype(np.int32)
+                blob = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u2"))])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(counts), blob],
+                                                 names=["doc_id", "source", "n", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"),
                        F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, source string, n long, ids binary")

@@ -2,8 +2,8 @@
 
 The vocabulary drops white space and never merges across it, so the ids of a
 text are those of its white-space-free pieces, one after another.  Pieces seen
-before come from a table that a worker keeps (emptied when it is full).  New
-pieces made of printable ASCII and Latin-1 letters only are lower-cased, cut by
+before come from a table of bounded size that lasts as long as a task (emptied when
+it is full, and when the task ends: Spark keeps worker processes).  New pieces made of printable ASCII and Latin-1 letters only are lower-cased, cut by
 the vocabulary's own pattern and merged directly; for these, normalisation does
 nothing else.  All other pieces go through the whole tokenizer.
 """
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -21,7 +23,8 @@ import pyarrow.compute as pc
 _SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 # Fixed value: the pattern by which this vocabulary cuts a piece, for the characters of _SIMPLE.
 _CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-_TABLE_SIZE = 2_000_000
+_TABLE_BYTES = 16 << 20
+_PIECE_BYTES = 150        # of Python objects for a piece, besides its letters and ids
 
 
 def _byte_letters() -> dict[int, str]:
@@ -43,6 +46,7 @@ class TokenTable:
         self.at: dict[str, int] = {}
         self.ids = np.zeros(0, dtype=np.uint16)
         self.ends = np.zeros(1, dtype=np.int64)
+        self.held = 0                                       # bytes, about
 
     def _new(self, piece: str) -> list[int]:
         if not _SIMPLE.fullmatch(piece) or "<|" in piece:
@@ -56,7 +60,7 @@ class TokenTable:
 
     def _rows(self, pieces: list[str]) -> np.ndarray:
         """The table rows of ``pieces``, with new pieces added."""
-        if len(self.at) + len(pieces) > _TABLE_SIZE:
+        if self.held > _TABLE_BYTES:
             self.clear()
         rows = [self.at.get(p, -1) for p in pieces]
         new = [p for p, r in zip(pieces, rows, strict=True) if r < 0]
@@ -66,6 +70,7 @@ class TokenTable:
             self.at.update(zip(new, range(base, base + len(new)), strict=True))
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in ids])])
             self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], dtype=np.uint16)])
+            self.held += sum(_PIECE_BYTES + len(p) for p in new) + 2 * int(self.ends[-1] - self.ends[base])
             fresh = iter(range(base, base + len(new)))
             rows = [r if r >= 0 else next(fresh) for r in rows]
         return np.array(rows, dtype=np.int64)
@@ -87,6 +92,17 @@ class TokenTable:
 
 
 @lru_cache(maxsize=1)
-def token_table(path: str) -> TokenTable:
+def _table(path: str) -> TokenTable:
     """The table of this worker process."""
     return TokenTable(path)
+
+
+@contextmanager
+def token_table(path: str) -> Iterator[TokenTable]:
+    """The table of this worker process, for one task: it is empty afterwards and Arrow's free memory is given back."""
+    table = _table(path)
+    try:
+        yield table
+    finally:
+        table.clear()
+        pa.default_memory_pool().release_unused()

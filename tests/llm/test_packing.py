@@ -10,7 +10,8 @@ from corpus import corpus, frame
 from tokenizers import Tokenizer
 
 from aloft.llm.packing import RoundRobin, pack
-from aloft.llm.tokens import TokenTable
+from aloft.llm import tokens
+from aloft.llm.tokens import TokenTable, token_table
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -105,3 +106,17 @@ def test_pieces(spark):
     assert pack(frame(spark, []), PATH).count() == 0
     with pytest.raises(ValueError):
         pack(frame(spark, rows), PATH, max_sources=2)
+
+
+def test_a_workers_table_is_bounded_and_empty_after_a_task(monkeypatch):
+    monkeypatch.setattr(tokens, "_TABLE_BYTES", 20_000)
+    plain = Tokenizer.from_file(PATH)
+    with token_table(PATH) as table:
+        most = 0
+        for i in range(20):
+            texts = [f"word{i}x{j} common words ÜBER" for j in range(30)]
+            ids, counts = table.encode(pa.array(texts), 1)
+            assert ids.tolist() == [x for t in texts for x in [*plain.encode(t, add_special_tokens=False).ids, 1]]
+            most = max(most, len(table.at))
+        assert 0 < most < 300 and table.held > 0
+    assert not table.at and not len(table.ids) and not table.held
