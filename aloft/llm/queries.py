@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup
+from aloft.llm import jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup, whitening
 from aloft.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
@@ -91,4 +95,5 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_secret_scan": op10_secret_scan,
+    "op11_whitening": op11_whitening,
 }
