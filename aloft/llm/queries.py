@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup, whitening
+from aloft.llm import jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup, token_store, whitening
 from aloft.llm.common import table
+from aloft.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -84,6 +85,12 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "tokens")
+    token_store.write_store(docs, VOCABULARY, path)
+    return token_store.fetch(spark, path, docs)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
@@ -96,4 +103,5 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_secret_scan": op10_secret_scan,
     "op11_whitening": op11_whitening,
+    "op12_token_store": op12_token_store,
 }

@@ -106,3 +106,8 @@ def token_table(path: str) -> Iterator[TokenTable]:
     finally:
         table.clear()
         pa.default_memory_pool().release_unused()
+
+
+def vocabulary_size(path: str) -> int:
+    """Ids that the vocabulary can give, special ones included."""
+    return _table(path).tokenizer.get_vocab_size(with_added_tokens=True)
