@@ -32,4 +32,27 @@ n AS (SELECT *, whole + CASE WHEN start < rest THEN 1 ELSE 0 END AS copies FROM
 SELECT doc_id, domain, lang, source, CAST(unnest(range(copies)) AS INT) AS epoch, tokens FROM n
 """
 
-ORACLE = {"op3_mixing": OP3}
+_WHOLE = """list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v"""
+_FINITE = """embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+
+OP6 = f"""
+WITH e AS (SELECT DISTINCT vec_id, {_WHOLE} FROM embeddings WHERE {_FINITE}),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_dot_product(q.v, e.v) AS BIGINT) AS score FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+OP13 = f"""
+WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} FROM embeddings
+    WHERE label IS NOT NULL AND {_FINITE}),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+    FROM e a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+    FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLE = {"op3_mixing": OP3, "op6_maxscore": OP6, "op13_hard_negatives": OP13}

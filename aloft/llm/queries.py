@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup, token_store, whitening
+from aloft.llm import hard_negatives, jaccard_join, lm_score, maxscore, mixing, packing, permutation_index, quality, secret_scan, sharding, substring_dedup, token_store, whitening
 from aloft.llm.common import table
 from aloft.session import scratch_path
 
@@ -15,6 +15,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 # The table has no domain column; its sources are dealt to four domains by their number.
 DOMAIN_SQL = "concat('d', cast(coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) as int), 0) % 4 as string))"
+# what the mining contract makes of a label
+SHIFTED_LABEL = "case when vec_id % 7 = 0 then (label + 1) % 10 else label end"
 MIX_WEIGHTS = {("d0",): 5, ("d1",): 2, ("d2",): 2, ("d3",): 2,
                ("*", "en"): 6, ("*", "de"): 2, ("*", "fr"): 2, ("*", "es"): 1,
                ("*", "*", "src0"): 8}
@@ -91,6 +93,10 @@ def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.fetch(spark, path, docs)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, F.expr(SHIFTED_LABEL))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_sharding": op2_sharding,
@@ -104,4 +110,5 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_whitening": op11_whitening,
     "op12_token_store": op12_token_store,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert E.queries()["pipeline"] is corpus_pipeline.run and len(corpus_pipeline.STAGES) == 5
 
@@ -18,7 +18,8 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle_matches(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(E.oracle_sql()[name])
     columns = sorted(d[0] for d in want.description)
     at = {d[0]: i for i, d in enumerate(want.description)}
@@ -35,6 +36,9 @@ RESULTS = {
     "op5_packing": "doc_id:bigint start:bigint length:bigint ids_crc32:bigint doc_tokens:bigint sequence_id:bigint offset:bigint",
     "op6_maxscore": "query_id:bigint rank:int vec_id:bigint score:bigint",
     "op8_substring_dedup": "doc_id:bigint n_words:bigint n_removed:bigint kept_sha256:string",
+    "op11_whitening": "vec_id:bigint component:int n:bigint deviation:bigint whitened:double explained:double identity_error:double",
+    "op12_token_store": "doc_id:bigint start:bigint n_tokens:bigint ids_crc32:bigint",
+    "op13_hard_negatives": "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
     "op10_secret_scan": "doc_id:bigint n_assign:bigint n_access:bigint n_hex:bigint base_sha256:string spans:string",
 }
 
