@@ -32,8 +32,8 @@ n AS (SELECT *, whole + CASE WHEN start < rest THEN 1 ELSE 0 END AS copies FROM
 SELECT doc_id, domain, lang, source, CAST(unnest(range(copies)) AS INT) AS epoch, tokens FROM n
 """
 
-_WHOLE = """list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v"""
-_FINITE = """embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0"""
+_WHOLE = """[CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v"""
+_FINITE = """embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0"""
 
 OP6 = f"""
 WITH e AS (SELECT DISTINCT vec_id, {_WHOLE} FROM embeddings WHERE {_FINITE}),
