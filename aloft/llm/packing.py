@@ -150,7 +150,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_c
     """(doc_id, source, n, ids): the ids of each whole text with ``end_id`` behind, as little-endian 16-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with token_table(vocabulary) as tokens:
-            for b in slices(batches, "text", 1 << 20):
+            for b in slices(batches, "text", 2 << 20):
                 ids, counts = tokens.encode(b.column("text"), end_id)
                 ends = np.concatenate([[0], np.cumsum(counts) * 2]).astype(np.int32)
                 blob = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u2"))])

@@ -122,7 +122,7 @@ def _write_shards(path: str, vocabulary: str, end_id: int, shard_ids: int, width
         folder, writer = Folder(path), None
         shard = TaskContext.get().partitionId() * ROLLS
         with token_table(vocabulary) as tokens:
-            for b in slices(batches, "text", 1 << 20):
+            for b in slices(batches, "text", 2 << 20):
                 ids, counts = tokens.encode(b.column("text"), end_id)
                 ends = np.cumsum(counts)
                 out_shard, out_first, lo = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.int64), 0
