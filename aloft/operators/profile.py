@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from aloft.functions.stats import mean
-from aloft.operators.summarize import quantiles
+from aloft.operators.summarize import exact_quantiles, quantiles
 
 
 def _stack(wide: DataFrame, names: Sequence[str], fields: Sequence[str], name_col: str = "column",
@@ -36,12 +36,12 @@ def profile_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
 def tail_bounds(df: DataFrame, col: str, lo: float = 0.00001, hi: float = 0.99999) -> DataFrame:
     """Outlier bounds on signed halves: quantile ``lo`` of the negative values
-    and quantile ``hi`` of the positive values, exact (A11)."""
-    signed = df.select(F.col(col)).withColumn("side", F.when(F.col(col) < 0, F.lit("neg"))
-                                               .when(F.col(col) > 0, F.lit("pos")))
-    q = quantiles(signed.where(F.col("side").isNotNull()), col, sorted({lo, hi}), by=["side"])
-    q = q.where(((F.col("side") == "neg") & (F.col("prob") == lo)) | ((F.col("side") == "pos") & (F.col("prob") == hi)))
-    return q.select("side", "prob", F.col("value").alias("bound"))
+    and quantile ``hi`` of the positive values, exact (A11).  Both halves go through one
+    pass, and only the rows of the two tails are shuffled."""
+    v = F.col(col)
+    signed = df.select(F.when(v < 0, v).alias("neg"), F.when(v > 0, v).alias("pos"))
+    q = exact_quantiles(signed, ["neg", "pos"], {"neg": [lo], "pos": [hi]})
+    return q.select(F.col("column").alias("side"), "prob", F.col("value").alias("bound"))
 
 
 def describe_measure(df: DataFrame, cols: Sequence[str], scale: int | None = None) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import math
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aloft.functions.stats import mean
+from aloft.sources.io import dim_table, stage, stage_counted
 
 
 def summarize(df: DataFrame, key: str | Sequence[str], means: Sequence[str] = (),
@@ -90,49 +91,84 @@ def quantiles(df: DataFrame, cols: str | Sequence[str], probs: Sequence[float],
     return q.select(*[F.col("__g").getField(k).alias(k) for k in by], *([] if one else ["column"]), "prob", "value")
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    ranges: int = 1024, accuracy: int = 10_000) -> DataFrame:
-    """Exact interpolated quantiles of several columns per group: (__g, column, prob, value).
+# Error of a rank, as a share of the rows, that a sketch of parameter k exceeds once in a hundred times (the sketch's published rule).
+def rank_error(k: int) -> float:
+    return 2.296 / k**0.9021
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] | Mapping[str, Sequence[float]], by: Sequence[str] = (),
+                    sketch_k: int = 8192, margin: float = 1.5) -> DataFrame:
+    """Exact interpolated quantiles of several columns per group: (__g, column, prob, value); ``probs`` for all or per column.
 
     Equal to ``percentile(col, p)`` over the values that are neither null nor
     NaN (linear interpolation between the order statistics at floor and ceil
     of (n-1)p).  One path for groups of every size; no task holds a group:
 
-    1. the rows become one row per (group, column, value) with its count
-       (partially aggregated before the one shuffle, which all steps share);
-    2. splitters of each column (``percentile_approx`` over these rows: a mergeable
-       sketch, ``ranges - 1`` numbers per column, broadcast) put each value into a range;
-    3. counts per (group, column, range), at most ``ranges`` of a group, and
-       their running sum locate the range of each wanted rank;
-    4. only the values of located ranges are ranked, range by range.
+    1. one scan makes a mergeable sketch (KLL) and a count per group and column, kept in a written table: it
+       brackets each wanted rank by two values, about ``2 * margin * rank_error(sketch_k)`` of the group apart
+       (a group of up to ``sketch_k`` values is its own bracket);
+    2. a second scan counts the values below a bracket (partially aggregated to one row per task) and keeps the
+       bracket's own values with their counts, the only rows that are shuffled; their running sum gives the ranks.
+
+    The counts are exact, so they show whether a bracket held its rank; where one did not, step 2 is run again for that
+    group with four times the margin, until the bracket is the whole group.  The result does not depend on the sketches.
     """
-    v = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), (F.col(c).cast("double") + 0.0).alias("v")) for c in cols]))
-    src = df.select(_group(by).alias("__g"), v.alias("__x")).select("__g", "__x.column", F.col("__x.v").alias("__v")) \
-        .where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    share = [i / ranges for i in range(1, ranges)]
-    counted = src.groupBy("__g", "column", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    splitters = counted.groupBy("column").agg(F.percentile_approx("__v", share, accuracy).alias("__sp"))     # one row per column
-    per = counted.join(F.broadcast(splitters), "column") \
-        .withColumn("__r", lower_bound(F.col("__sp"), F.col("__v"), ranges - 1)).drop("__sp")
-    hist = per.groupBy("__g", "column", "__r").agg(F.sum("__c").alias("__n"))
-    w = Window.partitionBy("__g", "column")
-    hist = hist.withColumn("__all", F.sum("__n").over(w)) \
-        .withColumn("__before", F.sum("__n").over(w.orderBy("__r")) - F.col("__n"))
-    pos = (F.col("__all") - 1) * F.col("prob")
-    need = hist.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).withColumn("__pos", pos) \
-        .withColumn("__k", F.explode(F.array_distinct(F.array(F.floor("__pos").cast("long"), F.ceil("__pos").cast("long"))))) \
-        .where((F.col("__k") >= F.col("__before")) & (F.col("__k") < F.col("__before") + F.col("__n"))) \
-        .select("__g", "column", "__r", "__before", "prob", "__pos", "__k")
-    inside = Window.partitionBy("__g", "column", "__r").orderBy("__v")
-    ranked = per.join(need, ["__g", "column", "__r"], "left_semi").withColumn("__upto", F.sum("__c").over(inside))
-    off = F.col("__k") - F.col("__before")
-    hit = need.join(ranked, ["__g", "column", "__r"]).where((off < F.col("__upto")) & (off >= F.col("__upto") - F.col("__c")))
-    res = hit.groupBy("__g", "column", "prob").agg(
-        F.min("__pos").alias("__pos"), F.min_by("__v", "__k").alias("__lo"), F.max_by("__v", "__k").alias("__hi"),
-        F.min("__k").alias("__klo"), F.max("__k").alias("__khi"))
-    value = F.when(F.col("__klo") == F.col("__khi"), F.col("__lo")).otherwise(
-        (F.col("__khi") - F.col("__pos")) * F.col("__lo") + (F.col("__pos") - F.col("__klo")) * F.col("__hi"))
-    return res.select("__g", "column", "prob", value.alias("value"))
+    probs = {c: list(probs[c] if isinstance(probs, Mapping) else probs) for c in cols}
+    names = list(cols)
+    spark = df.sparkSession
+    values = [F.nanvl(F.col(c).cast("double") + 0.0, F.lit(None).cast("double")).alias(f"__v{i}") for i, c in enumerate(names)]
+    src = df.select(_group(by).alias("__g"), *values)
+    made = [x for i in range(len(names)) for x in (F.count(f"__v{i}").alias(f"__n{i}"), F.kll_sketch_agg_double(f"__v{i}", F.lit(sketch_k)).alias(f"__s{i}"))]
+    sketches = stage(src.groupBy("__g").agg(*made))
+    parts, width = [], margin * rank_error(sketch_k) + 1 / sketch_k
+    rest = sketches
+    while True:
+        located = _between(src, _brackets(rest, [probs[c] for c in names], width, sketch_k), [probs[c] for c in names])
+        outside = F.col("lo").isNull() | F.col("hi").isNull()
+        found, counts = stage_counted(located, lost=F.count_if(outside))
+        if not counts["lost"]:
+            parts.append(found)
+            break
+        lost = found.where(outside).select("__g").distinct()
+        parts.append(found.join(lost, "__g", "left_anti"))
+        rest = sketches.join(lost, "__g", "left_semi")
+        width *= 4
+    res = reduce(DataFrame.unionByName, parts)
+    at = (F.col("n") - 1) * F.col("prob")
+    value = F.when(F.floor(at) == F.ceil(at), F.col("lo")).otherwise((F.ceil(at) - at) * F.col("lo") + (at - F.floor(at)) * F.col("hi"))
+    name = dim_table(spark, list(enumerate(names)), "i int, column string")
+    return res.join(F.broadcast(name), "i").select("__g", "column", "prob", value.alias("value"))
+
+
+def _brackets(sketches: DataFrame, probs: Sequence[Sequence[float]], width: float, small: int) -> DataFrame:
+    """Per group, for each column an array ``__b<i>`` of (prob, n, lo, hi): lo <= the wanted order statistics <= hi, most likely."""
+    out = []
+    for i, ps in enumerate(probs):
+        wide = (F.col(f"__n{i}") > small) & F.lit(width < 1)
+        ends = [[min(1.0, max(0.0, p + sign * width)) for p in ps] for sign in (-1, 1)]
+        q = [F.when(wide, F.kll_sketch_get_quantile_double(F.col(f"__s{i}"), F.array(*[F.lit(float(x)) for x in e]))) for e in ends]
+        slots = [F.struct(F.lit(float(p)).alias("prob"), F.col(f"__n{i}").alias("n"), F.get(q[0], F.lit(j)).alias("lo"), F.get(q[1], F.lit(j)).alias("hi"))
+                 for j, p in enumerate(ps)]
+        out.append(F.when(F.col(f"__n{i}") > 0, F.array(*slots)).alias(f"__b{i}"))
+    return sketches.select("__g", *out)
+
+
+def _between(src: DataFrame, brackets: DataFrame, probs: Sequence[Sequence[float]]) -> DataFrame:
+    """(__g, i, prob, n, lo, hi): the order statistics at floor and ceil of (n-1)*prob, null where the bracket did not hold them."""
+    def kept(i: int) -> Column:
+        v = F.col(f"__v{i}")
+        inside = F.filter(F.col(f"__b{i}"), lambda b: v.isNotNull() & (b["hi"].isNull() | (v <= b["hi"])))
+        rows = F.transform(inside, lambda b: F.struct(F.lit(i).alias("i"), b["prob"].alias("prob"), b["n"].alias("n"),
+                                                      F.when(b["lo"].isNull() | (v >= b["lo"]), v).alias("v")))       # null: below the bracket
+        return F.coalesce(rows, F.array().cast("array<struct<i:int,prob:double,n:bigint,v:double>>"))
+
+    rows = src.join(brackets, "__g").select("__g", F.explode(F.concat(*[kept(i) for i in range(len(probs))])).alias("x"))
+    counted = rows.groupBy("__g", "x.i", "x.prob", "x.n", "x.v").agg(F.count(F.lit(1)).alias("c"))
+    slot = ["__g", "i", "prob", "n"]
+    upto = counted.withColumn("upto", F.sum("c").over(Window.partitionBy(*slot).orderBy(F.col("v").asc_nulls_first())))
+    at = (F.col("n") - 1) * F.col("prob")
+    hit = lambda k: F.max(F.when((k.cast("long") < F.col("upto")) & (k.cast("long") >= F.col("upto") - F.col("c")), F.col("v")))
+    return upto.groupBy(*slot).agg(hit(F.floor(at)).alias("lo"), hit(F.ceil(at)).alias("hi"))
 
 
 def impute_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -87,6 +87,13 @@ def stage(df: DataFrame, path: str | None = None, mode: str = "errorifexists") -
     return spark.read.parquet(path)
 
 
+def stage_counted(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stage`` with aggregates over the rows, taken on the way while they are written: no further pass."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]))
+    return staged, seen.get
+
+
 _STAGES: list[str] = []
 
 

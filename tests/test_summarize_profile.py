@@ -28,9 +28,10 @@ def test_median_groups(spark):
     assert sorted(r.v_imp for r in imp.where("g = 'even'").collect()) == [1.0, 4.0]
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 7, 1024])
-def test_exact_quantiles_equal_percentile(spark, ranges):
-    rnd = random.Random(ranges)
+# small sketches and margins: brackets of a part of a group, brackets that fail and are widened; large ones: whole groups
+@pytest.mark.parametrize("sketch_k,margin", [(8, 0.0), (8, 1.5), (32, 0.01), (64, 1.5), (8192, 1.5)])
+def test_exact_quantiles_equal_percentile(spark, sketch_k, margin):
+    rnd = random.Random(sketch_k)
     data = [(g, float(rnd.choice([rnd.randint(0, 40), rnd.random() * 100])), -rnd.random()) for g in ("a", "b", None) for _ in range(700)]
     data += [("a", None, 1.0), ("d", 5.0, float("nan")), (None, float("nan"), None), ("e", None, float("inf")), ("f", -0.0, 0.0)]
     df = spark.createDataFrame(data, "g string, v double, w double")
@@ -39,7 +40,7 @@ def test_exact_quantiles_equal_percentile(spark, ranges):
     want = {}
     for c in ("v", "w"):
         want |= {(r.g, c, p): q for r in clean.groupBy("g").agg(F.percentile(c, probs).alias("q")).collect() if r.q for p, q in zip(probs, r.q)}
-    got = {(r["__g"].g, r.column, r.prob): r.value for r in summarize.exact_quantiles(df, ["v", "w"], probs, by=["g"], ranges=ranges).collect()}
+    got = {(r["__g"].g, r.column, r.prob): r.value for r in summarize.exact_quantiles(df, ["v", "w"], probs, by=["g"], sketch_k=sketch_k, margin=margin).collect()}
     assert set(got) == set(want)
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-9)
