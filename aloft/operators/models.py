@@ -8,14 +8,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from aloft.operators.evaluate import class_metrics, compare_models
-from aloft.operators.features import build_features, class_weights, split, subsample
+from aloft.operators.features import build_features, class_weights, hash_bucket, split, subsample
+from aloft.session import scratch_path
+from aloft.sources.io import persist
 
 
 def logistic(label: str = "label", features: str = "features", weight: str | None = "classWeights",
@@ -51,15 +56,76 @@ def fit_and_score(estimator, train: DataFrame, test: DataFrame):
 
 
 def tune(estimator, train: DataFrame, grid: dict, folds: int = 3, seed: int = 7, parallelism: int = 2,
-         label: str = "label"):
-    """Grid search by k-fold cross-validation on weighted F1 (F9); returns the CrossValidatorModel."""
+         label: str = "label", fold_key: str | Sequence[str] | None = None, keep_models: bool = False):
+    """Grid search by k-fold cross-validation on weighted F1 (F9); returns the CrossValidatorModel.
+
+    With ``fold_key`` a row's fold comes from a hash of its key (``with_folds``), so the folds are the same for any
+    layout of the rows; else from MLlib's seeded sample.  ``train`` is read by every fit and is kept meanwhile."""
     b = ParamGridBuilder()
     for param, values in grid.items():
         b = b.addGrid(getattr(estimator, param), list(values))
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=b.build(),
                         evaluator=MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction"),
-                        numFolds=folds, seed=seed, parallelism=parallelism)
-    return cv.fit(train)
+                        numFolds=folds, seed=seed, parallelism=parallelism, collectSubModels=keep_models)
+    if fold_key is not None:
+        train = with_folds(train, fold_key, folds, seed)
+        cv = cv.setFoldCol("fold")
+    kept = persist(train)
+    try:
+        return cv.fit(kept)
+    finally:
+        kept.unpersist()
+
+
+def with_folds(df: DataFrame, key: str | Sequence[str], folds: int = 3, seed: int = 7) -> DataFrame:
+    """``df`` with the fold of each row, 0 to ``folds - 1``, from a hash of its key."""
+    return df.withColumn("fold", hash_bucket(key, seed, folds).cast("int"))
+
+
+def fold_scores(cv_model, train: DataFrame, key: str | Sequence[str], seed: int = 7, label: str = "label") -> DataFrame:
+    """Metrics of every fold and point of the grid on the rows that its model did not see (F9): one row each with
+    ``fold`` and the grid's parameters.  Needs ``tune(..., fold_key=key, keep_models=True)``."""
+    folds, out = len(cv_model.subModels), []
+    train = with_folds(train, key, folds, seed)
+    for fold, row in enumerate(cv_model.subModels):
+        unseen = train.where(F.col("fold") == fold)
+        for params, model in zip(cv_model.getEstimatorParamMaps(), row, strict=True):
+            m = class_metrics(model.transform(unseen), label, "prediction").withColumn("fold", F.lit(fold))
+            out.append(m.withColumns({p.name: F.lit(v) for p, v in params.items()}))
+    return reduce(DataFrame.unionByName, out)
+
+
+def log_loss_gradient(model, df: DataFrame, label: str = "label", features: str = "features", weight: str | None = "classWeights") -> DataFrame:
+    """(slot, gradient): the mean weighted log loss's derivative at a fitted logistic model, slot -1 the intercept.
+
+    It is zero at the optimum of a fit without regularisation.  One aggregate over the rows, bounded by the slots."""
+    w = F.col(weight) if weight else F.lit(1.0)
+    off = w * (F.element_at(vector_to_array(model.getProbabilityCol()), 2) - F.col(label))
+    x = F.concat(F.array(F.lit(1.0)), vector_to_array(features))
+    rows = model.transform(df).select(w.alias("w"), off.alias("off"), F.posexplode(x).alias("slot", "x"))
+    return rows.groupBy((F.col("slot") - 1).alias("slot")).agg((F.sum(F.col("off") * F.col("x")) / F.sum("w")).alias("gradient"))
+
+
+def forest_nodes(spark: SparkSession, model) -> DataFrame:
+    """The nodes of a fitted forest as a table (tree, id, feature, gain, weight, leaf, share), read back from the saved model."""
+    path = scratch_path(spark, "forest")
+    model.save(path)
+    n = F.col("nodeData")
+    weight = F.aggregate(n["impurityStats"], F.lit(0.0), lambda a, b: a + b)
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("id"), n["split"]["featureIndex"].alias("feature"), n["gain"].alias("gain"),
+        weight.alias("weight"), (n["leftChild"] < 0).alias("leaf"), (F.element_at(n["impurityStats"], 2) / weight).alias("share"))
+
+
+def importance_from_nodes(nodes: DataFrame) -> DataFrame:
+    """(idx, score): each slot's share of the gain, weighted by the rows of its nodes and brought to 1 tree by tree, times 100.
+
+    The plain definition over the node table; a check of what the model reports."""
+    by = nodes.where(~F.col("leaf")).groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("g"))
+    share = by.withColumn("s", F.try_divide("g", F.sum("g").over(Window.partitionBy("tree"))))
+    slots = share.groupBy(F.col("feature").alias("idx")).agg(F.sum("s").alias("s"))
+    total = slots.agg(F.sum("s").alias("total"))
+    return slots.crossJoin(F.broadcast(total)).select("idx", (F.col("s") / F.col("total") * 100.0).alias("score"))
 
 
 def best_parameters(cv_model, names: Sequence[str]) -> dict:
@@ -95,3 +161,19 @@ def learning_curve(df: DataFrame, label: str, num_cols: Sequence[str], key: str
         m = class_metrics(model.transform(fm.transform(test)), label, "prediction").first().asDict()
         rows.append((float(frac), int(m["tp"] + m["fp"] + m["tn"] + m["fn"]), float(m["f1_macro"]), float(m["accuracy"])))
     return df.sparkSession.createDataFrame(rows, "fraction double, n_test long, f1_macro double, accuracy double")
+
+
+def nested_learning_curve(train: DataFrame, test: DataFrame, key: str | Sequence[str], fracs: Sequence[float] = (1.0, 0.5, 0.25),
+                          make_estimator=None, seed: int = 7, label: str = "label") -> DataFrame:
+    """Metrics per fraction and side (F14) of fits on nested fractions of prepared feature tables.
+
+    A fraction is a range of the key's hash, so the smaller ones lie inside the larger ones and all fits share the tables
+    given (written ones, best).  Class weights are those of the fraction."""
+    out = []
+    for frac in fracs:
+        part_train, part_test = (subsample(t, frac, key, seed) if frac < 1.0 else t for t in (train, test))
+        kept = persist(class_weights(part_train, label))
+        model = (make_estimator() if make_estimator else forest(label=label, seed=seed)).fit(kept)
+        kept.unpersist()
+        out.append(train_and_test_metrics(model, part_train, part_test, label).withColumn("fraction", F.lit(float(frac))))
+    return reduce(DataFrame.unionByName, out)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aloft.functions.stats import mean
-from aloft.sources.io import dim_table, stage, stage_counted
+from aloft.sources.io import dim_table, stage
 
 
 def summarize(df: DataFrame, key: str | Sequence[str], means: Sequence[str] = (),
@@ -124,12 +124,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] |
     rest = sketches
     while True:
         located = _between(src, _brackets(rest, [probs[c] for c in names], width, sketch_k), [probs[c] for c in names])
-        outside = F.col("lo").isNull() | F.col("hi").isNull()
-        found, counts = stage_counted(located, lost=F.count_if(outside))
-        if not counts["lost"]:
+        found = stage(located)
+        lost = found.where(F.col("lo").isNull() | F.col("hi").isNull()).select("__g").distinct()
+        # counted on the written table: an Observation would leave the session unable to ship fitted models (Spark 4.1)
+        if lost.isEmpty():
             parts.append(found)
             break
-        lost = found.where(outside).select("__g").distinct()
         parts.append(found.join(lost, "__g", "left_anti"))
         rest = sketches.join(lost, "__g", "left_semi")
         width *= 4

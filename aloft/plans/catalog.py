@@ -541,11 +541,18 @@ def logistic_threshold(spark, sf):
 def logistic_tuned(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
-    cv = models.tune(models.logistic(threshold=0.6), train, {"regParam": [0.0, 1.0], "maxIter": [100]}, folds=3, seed=7)
+    cv = models.tune(models.logistic(threshold=0.6), train, {"regParam": [0.0, 1.0], "maxIter": [100]}, folds=3, seed=7, fold_key=_KEY)
     best = models.best_parameters(cv, ["regParam", "maxIter"])
     return _scores(cv.transform(test), 3, F.lit(float(best["regParam"])).alias("reg_param"), F.lit(int(best["maxIter"])).alias("max_iter"))
 
 
+def logistic_fold_scores(spark, sf):
+    from aloft.operators import models
+    train, _ = _model_input(spark, sf)
+    cv = models.tune(models.logistic(threshold=0.6), train, {"regParam": [0.0], "maxIter": [100]}, folds=3, seed=8, fold_key=_KEY, keep_models=True)
+    return _metric_cols(models.fold_scores(cv, train, _KEY, seed=8), "fold")
+
+
 def forest_scores(spark, sf):
     from aloft.operators import models
     train, test = _model_input(spark, sf)
@@ -592,18 +599,13 @@ def study_features(spark, sf):
     return out.select(*[_r(c).alias(c) if c in measures else F.col(c) for c in fs.FINAL])
 
 
-# The columns of the study's basic model.
-_STUDY_CAT = ["MONTH", "DAY_OF_WEEK", "DEP_TIME_BLK"]
-_STUDY_NUM = ["PREV_DEP_DELAY", "PREV_DEP_DEL15", "PREP_TIME", "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS", "PREV_CRS_ELAPSED_TIME",
-              "Temperature_imp", "WindSpeed_imp", "CloudMode_binary", "VerticalVisibility_imp", "DewPointTemp_imp"]
-
-
 def study_model(spark, sf):
     """The study's basic models on its own feature table: metrics of train and test for each."""
     from aloft.operators import models
-    rows = io.stage(_study_table(spark, sf).select("FLIGHT_IDX", F.col("DEP_DEL15").cast("double").alias("label"), *_STUDY_CAT, *_STUDY_NUM))
-    train, test = features.split(rows, "FLIGHT_IDX", 80, seed=7)
-    fm, train_f = features.build_features(features.class_weights(train, "label"), _STUDY_NUM, _STUDY_CAT)
+    from aloft.plans import study_models as sm
+    rows = sm.model_rows(_study_table(spark, sf))
+    train, test = features.split(rows, sm.KEY, 80, seed=7)
+    fm, train_f = features.build_features(features.class_weights(train, "label"), sm.NUMBERS, sm.CATEGORIES)
     test_f, out = fm.transform(test), None
     for name, est in (("logistic", models.logistic(max_iter=50)), ("forest", models.forest(seed=7))):
         m = models.train_and_test_metrics(est.fit(train_f), train_f, test_f).withColumn("model", F.lit(name))
@@ -611,6 +613,46 @@ def study_model(spark, sf):
     return _metric_cols(out, "model", "side")
 
 
+def study_importance(spark, sf):
+    from aloft.plans import study_models as sm
+    return sm.importance(spark, _study_table(spark, sf))
+
+
+def study_selected(spark, sf):
+    from aloft.plans import study_models as sm
+    return _metric_cols(sm.selected(spark, _study_table(spark, sf)), "side", "n_slots", "slots")
+
+
+def study_learning_curve(spark, sf):
+    from aloft.plans import study_models as sm
+    return _metric_cols(sm.learning_curve(_study_table(spark, sf)), "fraction", "side")
+
+
+def study_fraction_rows(spark, sf):
+    from aloft.plans import study_models as sm
+    return sm.fraction_rows(_study_table(spark, sf))
+
+
+def study_tuned(spark, sf):
+    from aloft.plans import study_models as sm
+    return _metric_cols(sm.tuned(_study_table(spark, sf)), "side", F.col("regParam").alias("reg_param"), F.col("maxIter").alias("max_iter"))
+
+
+def study_gradient(spark, sf):
+    from aloft.plans import study_models as sm
+    return sm.gradient(_study_table(spark, sf))
+
+
+def study_curve_areas(spark, sf):
+    from aloft.plans import study_models as sm
+    return sm.curve_areas(_study_table(spark, sf)).select("model", "side", _r("average_precision").alias("average_precision"), _r("roc_auc").alias("roc_auc"))
+
+
+def study_roc_curve(spark, sf):
+    from aloft.plans import study_models as sm
+    return sm.roc_curve(_study_table(spark, sf))
+
+
 QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "scan_project_filter": scan_project_filter, "csv_named_roundtrip": csv_named_roundtrip,
     "literal_dimension": literal_dimension, "stable_row_key": stable_row_key,
@@ -640,7 +682,10 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "hash_split": hash_split, "hash_subsample": hash_subsample,
     "index_categories": index_categories, "onehot_features": onehot_features,
     "logistic_scores": logistic_scores, "logistic_threshold": logistic_threshold,
-    "logistic_tuned": logistic_tuned, "forest_scores": forest_scores,
+    "logistic_tuned": logistic_tuned, "logistic_fold_scores": logistic_fold_scores, "forest_scores": forest_scores,
     "forest_importance": forest_importance, "forest_selected": forest_selected,
     "learning_curve": learning_curve, "study_features": study_features, "study_model": study_model,
+    "study_importance": study_importance, "study_selected": study_selected, "study_learning_curve": study_learning_curve,
+    "study_fraction_rows": study_fraction_rows, "study_tuned": study_tuned, "study_gradient": study_gradient,
+    "study_curve_areas": study_curve_areas, "study_roc_curve": study_roc_curve,
 }.items()}

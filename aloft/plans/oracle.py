@@ -514,6 +514,27 @@ SELECT l_orderkey, l_linenumber, label, CAST(p > {threshold} AS INTEGER) AS pred
 FROM d JOIN sh USING ({by}) WHERE h % 100 >= 80"""
 
 
+def _fold_sql() -> str:
+    """Metrics of each fold by the weighted shares of the other folds' train rows (class weights of the whole train side)."""
+    base = f"""WITH {_MODEL}, f AS (SELECT *, {_hex8("'8:' || l_orderkey || ':' || l_linenumber")} % 3 AS fold FROM d WHERE h % 100 < 80),
+r AS (SELECT count_if(label = 0) / count(*) AS r FROM f)"""
+    parts = []
+    for fold in range(3):
+        parts.append(f"""SELECT {fold} AS fold, q.* FROM ({base},
+sh AS (SELECT kind, sum(CASE WHEN label = 1 THEN r ELSE 0 END) / sum(CASE WHEN label = 1 THEN r ELSE 1 - r END) AS p FROM f CROSS JOIN r WHERE fold <> {fold} GROUP BY kind),
+t AS (SELECT label, CAST(p > 0.6 AS INTEGER) AS prediction FROM f JOIN sh USING (kind) WHERE fold = {fold})
+{_metrics("t")}) q""")
+    return " UNION ALL ".join(parts)
+
+
+def _fractions_sql() -> str:
+    """Rows per fraction and side of the study's table, by the key's hash."""
+    h = _hex8("'7:' || FLIGHT_IDX")
+    parts = [f"""SELECT CAST({frac} AS DOUBLE) AS fraction, CASE WHEN h % 100 < 80 THEN 'train' ELSE 'test' END AS side, count(*) AS n,
+CAST(sum(y) AS BIGINT) AS n_positive FROM t WHERE h % 1000000 < {bound} GROUP BY ALL""" for frac, bound in ((1.0, 1_000_000), (0.5, 500_000), (0.25, 250_000))]
+    return f"WITH t AS (SELECT {h} AS h, DEP_DEL15 AS y FROM ({_study_sql()}) q) " + " UNION ALL ".join(parts)
+
+
 def _curve_sql() -> str:
     parts = []
     for frac, bound in ((1.0, 1_000_000), (0.5, 500_000), (0.25, 250_000)):
@@ -536,4 +557,6 @@ c AS (SELECT kind, row_number() OVER (ORDER BY count(*) DESC, kind) - 1 AS idx F
 SELECT 'kind_indexed_classVec_' || kind AS name, CAST(idx AS INTEGER) AS idx, kind = 'k0' AS selected, CAST(100 AS DOUBLE) AS total FROM c
 UNION ALL SELECT 'kind_indexed_classVec___unknown', 3, FALSE, 100.0 UNION ALL SELECT 'flat', 4, FALSE, 100.0""",
     "learning_curve": _curve_sql(),
+    "logistic_fold_scores": _fold_sql(),
+    "study_fraction_rows": _fractions_sql(),
 }
