@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -177,6 +177,9 @@ class _Nfa:
         return out
 
 
+LONG = 4096                  # bytes; longer pieces are stepped in stretches of this size
+
+
 @dataclass(frozen=True)
 class Automaton:
     byte_class: np.ndarray   # 256 -> class
@@ -267,11 +270,24 @@ def compile_rules(patterns: Sequence[str]) -> Automaton:
                      cut_class[byte_class], shortest)
 
 
+def bytes_of(pattern: str) -> np.ndarray:
+    """256 booleans: the bytes that a text matching ``pattern`` can hold."""
+    nfa = _Nfa()
+    nfa.add(pattern, 0)
+    out = np.zeros(256, dtype=bool)
+    for move in nfa.moves:
+        if move:
+            out[list(move[0])] = True
+    return out
+
+
 # ------------------------------------------------------------------- scanning
 
 
 def scan_bytes(data: np.ndarray, bounds: np.ndarray, dfa: Automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pieces of ``data`` in which a rule ends: (begin, end, mask of rules).  No piece crosses ``bounds``."""
+    """Pieces of ``data`` in which a rule ends: (begin, end, mask of rules).  No piece crosses ``bounds``.
+
+    Pieces are stepped side by side; those longer than ``LONG`` one by one, their stretches side by side."""
     stop = dfa.cuts[data]
     inner = bounds[(bounds > 0) & (bounds < len(data))]
     begin = np.unique(np.concatenate([[0], np.flatnonzero(stop) + 1, inner]))
@@ -286,25 +302,67 @@ def scan_bytes(data: np.ndarray, bounds: np.ndarray, dfa: Automaton) -> tuple[np
     classes, width = dfa.byte_class[data], dfa.classes
     state = np.zeros(len(begin), dtype=np.int32)
     hits = np.zeros(len(begin), dtype=np.int32)
-    top = int(length[0]) if len(length) else 0
+    n_long = int((length > LONG).sum())
+    for i in range(n_long):
+        hits[i] = _scan_long(classes[begin[i]: end[i]], dfa)
+    top = int(length[n_long]) if len(length) > n_long else 0
     live = len(length) - np.searchsorted(length[::-1], np.arange(top), side="right")
     for t in range(top):
         k = live[t]
-        now = dfa.moves[state[:k] * width + classes[begin[:k] + t]]
-        state[:k] = now
-        hits[:k] |= dfa.ends[now]
+        now = dfa.moves[state[n_long:k] * width + classes[begin[n_long:k] + t]]
+        state[n_long:k] = now
+        hits[n_long:k] |= dfa.ends[now]
     found = np.flatnonzero(hits)
     found = found[np.argsort(begin[found])]
     return begin[found], end[found], hits[found]
 
 
+def _scan_long(classes: np.ndarray, dfa: Automaton, step: int = LONG) -> int:
+    """The rules that end in one long piece: its stretches of ``step`` bytes run side by side from the start state; a stretch
+    whose true entry state turns out to be another is run again, up to where it meets the states it had before."""
+    k = -(-len(classes) // step)
+    grid = np.zeros(k * step, dtype=classes.dtype)
+    grid[: len(classes)] = classes
+    grid = grid.reshape(k, step)
+    path = np.empty((step, k), dtype=np.int32)
+    entry, state = np.zeros(k, dtype=np.int32), np.zeros(k, dtype=np.int32)
+    for t in range(step):
+        path[t] = state = dfa.moves[state * dfa.classes + grid[:, t]]
+    while True:
+        true = np.append(np.int32(0), path[-1, :-1])
+        live = np.flatnonzero(true != entry)
+        if not len(live):
+            break
+        entry, state = true, true[live]
+        for t in range(step):
+            state = dfa.moves[state * dfa.classes + grid[live, t]]
+            apart = path[t, live] != state
+            live, state = live[apart], state[apart]
+            if not len(live):
+                break
+            path[t, live] = state
+    return int(np.bitwise_or.reduce(dfa.ends[path.T.ravel()[: len(classes)]]))
+
+
 class Scanner:
+    """Finds all ``rules``, also one alone, side by side in one pass over the bytes (none: finds nothing).
+
+    The automaton marks the pieces in which a rule ends; the spans of a marked piece come from the rule's ``exact`` expression
+    by Python's ``re``.  ``exact`` uses the same syntax as ``scan`` (literals, classes, groups, ``| ? * + {n}``) and has the group that the rule names.
+    Two rules of one kind both give their spans under it."""
+
     def __init__(self, rules: Sequence[Rule] = RULES):
         if len(rules) > 31:
             raise ValueError("a scan takes at most 31 rules; scan twice for more")
         self.rules = tuple(rules)
-        self.dfa = compile_rules([r.scan for r in rules])
         self.exact = [re.compile(r.exact, re.ASCII) for r in rules]
+        for r, x in zip(rules, self.exact, strict=True):
+            if r.group > x.groups:
+                raise ValueError(f"rule {r.kind} has no group {r.group}")
+        if rules:
+            dfa = compile_rules([r.scan for r in rules])
+            # a piece must not end at a byte that one of its secrets can hold
+            self.dfa = replace(dfa, cuts=dfa.cuts & ~np.logical_or.reduce([bytes_of(r.exact) for r in rules]))
 
     def spans(self, texts: pa.Array) -> list[list[tuple[int, int, int]]]:
         """For each text its (start, rule, end) by start, then rule; code points, end exclusive."""
@@ -313,7 +371,7 @@ class Scanner:
         upto = np.cumsum(sizes)
         data = np.frombuffer(b"".join(texts.to_pylist()), dtype=np.uint8)
         out: list[list[tuple[int, int, int]]] = [[] for _ in sizes]
-        if not len(data):
+        if not len(data) or not self.rules:
             return out
         begin, end, mask = scan_bytes(data, upto, self.dfa)
         of = np.searchsorted(upto, begin, side="right")

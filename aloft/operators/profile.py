@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from aloft.functions.stats import mean
 from aloft.operators.summarize import exact_quantiles, quantiles
+from aloft.sources.io import dim_table
 
 
 def _stack(wide: DataFrame, names: Sequence[str], fields: Sequence[str], name_col: str = "column",
@@ -86,11 +91,31 @@ def box_summary(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFr
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (a <= b by position), one job, long form."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
-    parts = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
-    return wide.selectExpr(f"stack({len(pairs)}, {parts}) as (col_a, col_b, corr)")
+    """Pearson correlation of every pair (a <= b by position), long form.
+
+    One Gram matrix on vectors in place of an aggregate per pair: a row becomes (1 where a value is there, the value less its
+    column's mean, its square), so the products of these hold the counts, sums and squares of all pairs at once, pairwise
+    over the rows that have both values.  The tasks add up the matrix, (3 x columns)^2 numbers that never grow with the
+    rows.  Null and NaN are missing; a pair without variance gives null."""
+    names, spark = list(cols), df.sparkSession
+    v = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in names]
+    means = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(v)]).first()
+    there = [F.when(x.isNotNull(), 1.0).otherwise(0.0) for x in v]
+    moved = [F.coalesce(x - F.lit(m), F.lit(0.0)) if m is not None else F.lit(0.0) for x, m in zip(v, means, strict=True)]
+    rows = df.select(array_to_vector(F.array(*there, *moved, *[x * x for x in moved])).alias("v"))
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v")).computeGramianMatrix().toArray()
+    d = len(names)
+    n, sums, squares, cross = gram[:d, :d], gram[:d, d: 2 * d], gram[:d, 2 * d:], gram[d: 2 * d, d: 2 * d]
+    out = []
+    for i in range(d):
+        for j in range(i, d):
+            x, y, m = sums[j, i], sums[i, j], n[i, j]         # sums over the rows that have both
+            var = [m * squares[j, i] - x * x, m * squares[i, j] - y * y]
+            # what rounding leaves of a constant column is no variance
+            flat = any(t <= 1e-24 * m * m * (means[k] or 0.0) ** 2 or t <= 0 for t, k in zip(var, (i, j), strict=True))
+            corr = None if m < 2 or flat else float((m * cross[i, j] - x * y) / math.sqrt(var[0] * var[1]))
+            out.append((names[i], names[j], corr))
+    return dim_table(spark, out, "col_a string, col_b string, corr double")
 
 
 def share_by(df: DataFrame, by: str, cat: str) -> DataFrame:

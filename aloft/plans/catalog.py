@@ -599,6 +599,12 @@ def study_features(spark, sf):
     return out.select(*[_r(c).alias(c) if c in measures else F.col(c) for c in fs.FINAL])
 
 
+def study_correlation(spark, sf):
+    """All pairs of the numeric columns of the study's table."""
+    from aloft.plans import flight_study as fs
+    return profile.correlation_matrix(io.stage(study_features(spark, sf)), fs.NUMERIC).select("col_a", "col_b", _r("corr").alias("corr"))
+
+
 def study_model(spark, sf):
     """The study's basic models on its own feature table: metrics of train and test for each."""
     from aloft.operators import models
@@ -685,6 +691,7 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "logistic_tuned": logistic_tuned, "logistic_fold_scores": logistic_fold_scores, "forest_scores": forest_scores,
     "forest_importance": forest_importance, "forest_selected": forest_selected,
     "learning_curve": learning_curve, "study_features": study_features, "study_model": study_model,
+    "study_correlation": study_correlation,
     "study_importance": study_importance, "study_selected": study_selected, "study_learning_curve": study_learning_curve,
     "study_fraction_rows": study_fraction_rows, "study_tuned": study_tuned, "study_gradient": study_gradient,
     "study_curve_areas": study_curve_areas, "study_roc_curve": study_roc_curve,

@@ -75,6 +75,10 @@ FINAL = ("FLIGHT_IDX", "QUARTER", "MONTH", "DAY_OF_WEEK", "FL_DATE", "CRS_DEP_TI
          "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS", "HOURLY_NUM_OF_DELAY", *[f"PREV_{c}" for c in CARRIED],
          "WindAngle", "WindSpeed_imp", "VerticalVisibility_imp", "Visibility_imp", "Temperature_imp", "DewPointTemp_imp",
          "SeaLevelPressure", "CloudHeight_imp", "CloudMode", "AtmCondition", "CloudMode_binary", *BLOCK_FLAGS)
+# those of FINAL that are numbers
+NUMERIC = tuple(c for c in FINAL if c not in {
+    "FL_DATE", "CRS_DEP_TIME", "DEP_TIME_BLK", "CRS_DEP_UTC", "OP_UNIQUE_CARRIER", "TAIL_NUM", "ORIGIN", "ORIGIN_CITY_NAME", "ORIGIN_TIMEZONE",
+    "DEST", "DEST_CITY_NAME", "PREV_CRS_DEP_LOCAL", "PREV_DEP_LOCAL", "PREV_CRS_ARR_LOCAL", "PREV_ARR_LOCAL"})
 DROP_IF_NULL = ("ORIGIN", "FL_DATE", "MONTH", "DAY_OF_WEEK", "DEP_TIME_BLK", "AIRPORT_ALTITUDE", "PREP_TIME", "HOURLY_DELAY_RATE",
                 "HOURLY_NUM_OF_FLIGHTS", "PREV_DEP_DEL15", "PREV_CRS_ELAPSED_TIME", "PREV_ARR_DEL15", "WindSpeed_imp",
                 "VerticalVisibility_imp", "Visibility_imp", "Temperature_imp", "DewPointTemp_imp", "DEP_DELAY_NEW", "DEP_DEL15")

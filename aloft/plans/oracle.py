@@ -535,6 +535,14 @@ CAST(sum(y) AS BIGINT) AS n_positive FROM t WHERE h % 1000000 < {bound} GROUP BY
     return f"WITH t AS (SELECT {h} AS h, DEP_DEL15 AS y FROM ({_study_sql()}) q) " + " UNION ALL ".join(parts)
 
 
+def _study_corr_sql() -> str:
+    """corr() of every pair of the study table's numeric columns."""
+    from aloft.plans.flight_study import NUMERIC
+    pairs = [(a, c) for i, a in enumerate(NUMERIC) for c in NUMERIC[i:]]
+    rows = ", ".join(f"{{'col_a': '{a}', 'col_b': '{c}', 'corr': floor(corr(CAST({a} AS DOUBLE), CAST({c} AS DOUBLE)) * 1000000.0 + 0.5) / 1000000.0}}" for a, c in pairs)
+    return f"SELECT unnest([{rows}], recursive := true) FROM ({_study_sql()}) q"
+
+
 def _curve_sql() -> str:
     parts = []
     for frac, bound in ((1.0, 1_000_000), (0.5, 500_000), (0.25, 250_000)):
@@ -559,4 +567,5 @@ UNION ALL SELECT 'kind_indexed_classVec___unknown', 3, FALSE, 100.0 UNION ALL SE
     "learning_curve": _curve_sql(),
     "logistic_fold_scores": _fold_sql(),
     "study_fraction_rows": _fractions_sql(),
+    "study_correlation": _study_corr_sql(),
 }

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -77,3 +79,31 @@ def test_redaction(spark):
     clean = [(i, t) for i, t, *_ in rows if not base(t or "")]
     assert ordered((r["doc_id"], r["text"]) for r in out if r["doc_id"] not in (1004, 1005, 1007)) == ordered(clean)
     assert S.redact(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("rule", S.RULES, ids=lambda r: r.kind)
+def test_each_rule_alone_finds_what_all_find(rule):
+    texts = TRICKY + [t for _, t, *_ in corpus()]
+    k = S.RULES.index(rule)
+    alone = S.Scanner([rule]).spans(pa.array(texts, pa.string()))
+    together = S.Scanner().spans(pa.array(texts, pa.string()))
+    assert [[(a, z) for a, _, z in x] for x in alone] == [[(a, z) for a, i, z in x if i == k] for x in together]
+    for text, spans in zip(texts, alone, strict=True):
+        assert [(a, z) for a, _, z in spans] == [m.span() for m in re.compile(rule.exact, re.ASCII).finditer(text or "") if len(m[rule.group]) >= rule.least]
+
+
+def test_no_rules_and_wrong_groups():
+    assert S.Scanner([]).spans(pa.array(["token=abcdef"])) == [[]]
+    with pytest.raises(ValueError):
+        S.Scanner([S.Rule("x", "ab", "ab", 1)])
+
+
+def test_long_pieces_without_a_cut_byte():
+    r = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    blob = "".join(r.choices(alphabet, k=10_000_000))
+    blob = blob[:4090] + "token=AKIA" + "Z" * 20 + blob[4120:9_000_000] + "0123456789abcdef" * 3 + blob[9_000_048:]
+    begin = time.process_time()
+    got = S.Scanner(S.BASE_RULES).spans(pa.array([blob, "password" + " " * 9000 + "=" + "a" * 9]))
+    assert time.process_time() - begin < 10
+    assert got[0] == base(blob) and got[1] == [(0, 0, 9018)]
