@@ -8,6 +8,10 @@ expanded to the cells its search circle overlaps (longitude wraps at
 pole); the two meet by an equi-join on the cell.  The exact haversine
 distance and the strict radius test follow, then ``row_number`` per place
 (Catalyst turns ``rn <= k`` into a partial + final ``WindowGroupLimit``).
+A cell with more than ``max_sites`` sites (a city) is split into four, and so on
+(a quad tree): a site lies in the first cell of its path that is not over-full, a place is expanded
+into the parts of over-full cells that its circle overlaps.  So no task gets a dense city as one key,
+and far parts of a city are not compared with each other.
 The radius test runs before the ranking: the k nearest among sites inside
 the radius are the same sites as the k nearest overall, then cut.
 """
@@ -16,10 +20,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aloft.functions.geo import haversine_km, lat_span_deg, lon_span_deg
+from aloft.sources.io import stage
 
 # Distances are ranked after rounding to this many decimals of a km (1 mm),
 # so ulp-level differences between math libraries never reorder equal sites.
@@ -40,14 +45,32 @@ def one_position_per_site(sites: DataFrame, site_id: str, lat: str, lon: str) ->
     return p.select(site_id, F.col("p.la").alias(lat), F.col("p.lo").alias(lon))
 
 
+def _cell(lat: str, lon: str, level: int | Column, cell_deg: float, ncx: int) -> tuple[Column, Column]:
+    """(cy, cx) of a point in the grid of ``cell_deg / 2**level`` degrees."""
+    n = F.pow(F.lit(2.0), level if isinstance(level, Column) else F.lit(level))
+    return (F.floor(F.col(lat) * n / cell_deg).cast("long"),
+            F.pmod(F.floor(F.col(lon) * n / cell_deg).cast("long"), (F.lit(ncx) * n).cast("long")))
+
+
+def _overfull(sites: DataFrame, cell_deg: float, ncx: int, max_sites: int, max_level: int) -> tuple[DataFrame | None, int]:
+    """The cells (__lv, __cy, __cx) with more than ``max_sites`` sites, in a written table of few rows, and how many levels they have."""
+    cy, cx = _cell("__slat", "__slon", F.col("__lv"), cell_deg, ncx)
+    levels = sites.select("__slat", "__slon", F.explode(F.sequence(F.lit(0), F.lit(max_level - 1))).alias("__lv"))
+    counted = levels.groupBy("__lv", cy.alias("__cy"), cx.alias("__cx")).agg(F.count(F.lit(1)).alias("n"))
+    full = stage(counted.where(F.col("n") > max_sites).select("__lv", "__cy", "__cx"))
+    deepest = full.agg(F.max("__lv")).first()[0]
+    return (None, 0) if deepest is None else (full, deepest + 1)
+
+
 def pairs_within(places: DataFrame, sites: DataFrame, place_id: str, place_lat: str, place_lon: str,
                  site_id: str, site_lat: str, site_lon: str, max_km: float,
-                 cell_deg: float = 1.0, distance: str = "distance_km") -> DataFrame:
+                 cell_deg: float = 1.0, distance: str = "distance_km", max_sites: int = 4096, max_level: int = 12) -> DataFrame:
     """All (place, site) pairs closer than ``max_km`` with their distance.
 
     Exact: equal to filtering the full cross product by ``distance <
     max_km``, without forming it.  Places and sites are reduced to one row
-    per id first (distinct before the join).
+    per id first (distinct before the join).  Cells of more than ``max_sites`` sites are split, ``max_level``
+    times at most (12: cells of 30 m).
     """
     ncx = _cells_per_circle(cell_deg)
     dlat = lat_span_deg(max_km)
@@ -67,10 +90,30 @@ def pairs_within(places: DataFrame, sites: DataFrame, place_id: str, place_lat:
         sites.select(F.col(site_id), F.col(site_lat).try_cast("double").alias("__slat"),
                      F.col(site_lon).try_cast("double").alias("__slon")),
         site_id, "__slat", "__slon")
-    st_cells = st.withColumn("__cy", F.floor(F.col("__slat") / cell_deg).cast("long")) \
-                 .withColumn("__cx", F.pmod(F.floor(F.col("__slon") / cell_deg).cast("long"), F.lit(ncx)))
-
-    pairs = pl_cells.join(st_cells, on=["__cy", "__cx"], how="inner")
+    full, depth = _overfull(st, cell_deg, ncx, max_sites, max_level)
+    on = ["__cy", "__cx"]
+    if depth:
+        on = ["__lv", *on]
+        own_cy, own_cx = _cell("__slat", "__slon", F.col("__lv"), cell_deg, ncx)
+        path = st.withColumn("__lv", F.explode(F.sequence(F.lit(0), F.lit(depth - 1)))).withColumns({"__cy": own_cy, "__cx": own_cx})
+        deeper = path.join(full, on, "left_semi").groupBy(site_id).agg(F.count(F.lit(1)).cast("int").alias("__lv"))
+        st = st.join(deeper, site_id, "left").withColumn("__lv", F.coalesce("__lv", F.lit(0)))
+        level = pl_cells.withColumn("__lv", F.lit(0))
+        pl_cells = level
+        for lv in range(1, depth + 1):
+            side = cell_deg / 2**lv
+            parts = F.array(*[F.struct((F.col("__cy") * 2 + a).alias("cy"), (F.col("__cx") * 2 + c).alias("cx")) for a in (0, 1) for c in (0, 1)])
+            parts = level.join(full, on, "left_semi").withColumn("__p", F.explode(parts)) \
+                .withColumns({"__lv": F.lit(lv), "__cy": F.col("__p.cy"), "__cx": F.col("__p.cx")}).drop("__p")
+            away = F.pmod((F.col("__cx") + 0.5) * side - F.col("__plon"), F.lit(360.0))         # of the cell's middle, around the globe
+            near = (F.abs((F.col("__cy") + 0.5) * side - F.col("__plat")) <= dlat + side / 2 + 1e-9) \
+                & (F.least(away, 360.0 - away) <= lon_span_deg(F.col("__plat"), max_km) + side / 2 + 1e-9)
+            level = parts.where(near)
+            pl_cells = pl_cells.unionByName(level)
+    else:
+        st = st.withColumn("__lv", F.lit(0))
+    st_cy, st_cx = _cell("__slat", "__slon", F.col("__lv"), cell_deg, ncx)
+    pairs = pl_cells.join(st.withColumns({"__cy": st_cy, "__cx": st_cx}), on=on, how="inner")
     d = haversine_km("__plat", "__plon", "__slat", "__slon")
     return (pairs.withColumn(distance, d)
             .where(F.col(distance) < F.lit(max_km))

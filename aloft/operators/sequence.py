@@ -13,6 +13,8 @@ ordered by the event clocks, with two scale measures:
   per entity and segment, pre-aggregated map-side) and joined back on the
   same ``(entity, segment)`` key the window is already partitioned by.
   Nothing is counted beforehand, and no job runs while the plan is built.
+  Clocks that are neither dates nor timestamps (numbers, strings, ...) have no hour: their segments are the ranges
+  between splitters over (entity, clocks), taken from a bounded sample of the rows (``_with_range_segment``).
 * **Ties.**  ``ties="one"`` gives every event exactly one predecessor: the
   event just before it in (clocks, tie-break) order.  ``ties="all"``
   reproduces the dense-rank semantics: an event is paired with *every*
@@ -33,9 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from aloft.functions.clock import floor_to
+from aloft.operators.summarize import lower_bound
 
 
-def _segment_expr(df: DataFrame, first_order: str, split: str | Column | None) -> Column:
+def _segment_expr(df: DataFrame, first_order: str, split: str | Column | None) -> Column | None:
     if split is None:
         return F.lit(0)
     if isinstance(split, Column):
@@ -47,7 +50,21 @@ def _segment_expr(df: DataFrame, first_order: str, split: str | Column | None) -
         return F.date_trunc(split, F.col(first_order))
     if isinstance(dtype, DateType):
         return F.col(first_order)
-    raise ValueError("split must be a time unit for date and timestamp clocks, a Column, or None")
+    return None
+
+
+def _with_range_segment(base: DataFrame, entity: str, order_cols: Sequence[str], splitters: int = 1024) -> DataFrame:
+    """``base`` with ``__seg``: the range of a row's (entity, clocks) between at most ``splitters`` sampled tuples: within an entity it never falls as
+    the clocks rise, and a hot entity with many clocks spreads over many ranges.
+
+    The sample is the tuple of least hash in each of ``splitters`` hash buckets (partially aggregated, one row that
+    a scalar subquery hands to all tasks), so it is bounded and the same for any layout of the rows."""
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate([entity, *order_cols])])
+    h = F.xxhash64(key)
+    least = base.select(F.pmod(h, F.lit(splitters)).alias("b"), F.struct(F.xxhash64(F.lit(1), key).alias("h"), key.alias("k")).alias("s")) \
+        .groupBy("b").agg(F.min("s").alias("s"))
+    ranges = least.agg(F.sort_array(F.collect_list("s.k"))).scalar()
+    return base.withColumn("__sp", ranges).withColumn("__seg", lower_bound(F.col("__sp"), key, splitters)).drop("__sp")
 
 
 def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry: Sequence[str],
@@ -62,13 +79,15 @@ def with_previous(df: DataFrame, entity: str, order_cols: Sequence[str], carry:
     ``True`` keeps them with nulls.  ``tie_break`` orders events that tie
     on all clocks (``ties="one"`` only; required there for determinism).
     ``split`` is the segment: a unit of the first clock (``"hour"``,
-    ``"minute"``, ``"day"``; a date clock is its own segment), an order-monotone
-    Column for clocks of other types, or None for one window per entity.
+    ``"minute"``, ``"day"``; a date clock is its own segment, clocks of other types are split by
+    sampled ranges), an order-monotone Column, or None for one window per entity.
     """
     if ties not in ("one", "all"):
         raise ValueError("ties must be 'one' or 'all'")
     order_cols, carry = list(order_cols), list(carry)
-    base = df.where(F.col(entity).isNotNull()).withColumn("__seg", _segment_expr(df, order_cols[0], split))
+    base = df.where(F.col(entity).isNotNull())
+    segment = _segment_expr(df, order_cols[0], split)
+    base = _with_range_segment(base, entity, order_cols) if segment is None else base.withColumn("__seg", segment)
     keys = [entity, "__seg"]
     by_segment = Window.partitionBy(entity).orderBy("__seg")          # one row per (entity, segment)
 

@@ -17,6 +17,7 @@ from aloft.functions import clock, decode, flags, stats
 from aloft.operators import clean, enrich, evaluate, features, interval, nearest, profile, sequence, \
     summarize, traffic
 from aloft.plans import bindings as b
+from aloft.session import scratch_path
 from aloft.sources import io
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +224,13 @@ def haversine_pairs(spark, sf):
     return p.select("n_nationkey", "s_suppkey", _r("distance_km").alias("distance_km"))
 
 
+def dense_pairs(spark, sf):
+    """As haversine_pairs, with cells that are split from nine sites on."""
+    p = nearest.pairs_within(b.nation_points(spark, sf), b.supplier_points(spark, sf), "n_nationkey", "lat", "lon",
+                             "s_suppkey", "lat", "lon", max_km=60.0, max_sites=8)
+    return p.select("n_nationkey", "s_suppkey", _r("distance_km").alias("distance_km"))
+
+
 def nearest_three(spark, sf):
     p = nearest.nearest_k(b.nation_points(spark, sf), b.supplier_points(spark, sf),
                           "n_nationkey", "lat", "lon", "s_suppkey", "lat", "lon", k=3, max_km=30.0, rank="rank")
@@ -237,6 +245,13 @@ def previous_event_one(spark, sf):
     return p.select("event_id", "user_id", "prev_event_id", "prev_ts", "prev_value")
 
 
+def previous_event_number(spark, sf):
+    """A clock that is a number: the customer's order before by order key."""
+    o = b.table(spark, sf, "orders")
+    p = sequence.with_previous(o, "o_custkey", ["o_orderkey"], ["o_orderkey", "o_totalprice"], prefix="prev_", tie_break=["o_orderkey"])
+    return p.select("o_orderkey", "o_custkey", "prev_o_orderkey", "prev_o_totalprice")
+
+
 def previous_event_all(spark, sf):
     li = b.table(spark, sf, "lineitem")
     p = sequence.with_previous(li, "l_suppkey", ["l_shipdate"], ["l_orderkey", "l_linenumber", "l_quantity"],
@@ -253,6 +268,16 @@ def hourly_rate(spark, sf):
                     _r("rate").alias("rate"))
 
 
+def rate_sink_restart(spark, sf):
+    """Hourly rates in a table by day, the even days written a second time; read through a small table of days."""
+    h = hourly_rate(spark, sf).withColumn("day", F.to_date("hour_bucket"))
+    path = io.replace_partitions(h, scratch_path(spark, "rates"), ["day"])
+    io.replace_partitions(h.where(F.dayofmonth("day") % 2 == 0), path, ["day"])
+    back = spark.read.parquet(path)
+    days = h.select("day").where(F.dayofmonth("day") <= 10).distinct()
+    return back.join(days, "day").select("event_type", "hour_bucket", "n", "n_delayed", "mean_value", "rate", F.col("day").cast("string").alias("day"))
+
+
 def lagged_rate(spark, sf):
     ev = b.flights(spark, sf)
     out = traffic.with_lagged_rate(ev, "event_type", "ts", "delayed", {"value": "hourly_mean"}, lag="2 hours",
@@ -672,6 +697,7 @@ QUERIES: dict[str, Query] = {name: fn for name, fn in {
     "minutes_signed": minutes_signed, "minutes_wrapped": minutes_wrapped,
     "local_to_utc": local_to_utc, "day_block": day_block, "indicator_flags": indicator_flags,
     "haversine_pairs": haversine_pairs, "nearest_three": nearest_three,
+    "dense_pairs": dense_pairs, "previous_event_number": previous_event_number, "rate_sink_restart": rate_sink_restart,
     "previous_event_one": previous_event_one, "previous_event_all": previous_event_all,
     "hourly_rate": hourly_rate, "lagged_rate": lagged_rate, "dim_inner": dim_inner,
     "interval_match": interval_match, "interval_summary": interval_summary,

@@ -491,6 +491,10 @@ WHERE {" AND ".join(f"{c} IS NOT NULL" for c in needed)}
 
 
 ORACLE["study_features"] = _study_sql()
+ORACLE["dense_pairs"] = ORACLE["haversine_pairs"]
+ORACLE["previous_event_number"] = """SELECT * FROM (SELECT o_orderkey, o_custkey, lag(o_orderkey) OVER w AS prev_o_orderkey, lag(o_totalprice) OVER w AS prev_o_totalprice
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)) x WHERE prev_o_orderkey IS NOT NULL"""
+ORACLE["rate_sink_restart"] = f"""SELECT *, strftime(hour_bucket, '%Y-%m-%d') AS day FROM ({ORACLE["hourly_rate"]}) q WHERE day(hour_bucket) <= 10"""
 
 
 # ---------------------------------------------------------------- models: what a fit on one category must come to

@@ -66,6 +66,16 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+    """Restartable Parquet sink (S3): the partitions that ``df`` has rows for are replaced, all others stay.
+
+    Running a day again gives the same table, however often; a run that fails midway changes nothing, as partitions are
+    swapped when the job commits.  Readers that join the partition columns with a filtered table skip the other partitions
+    (dynamic pruning)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def dim_table(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
     """A literal dimension table (S4).  The planner knows its size and broadcasts it where that is small."""
     return spark.createDataFrame(list(rows), schema)

@@ -89,3 +89,17 @@ def test_persist_reuse_cache(spark):
         assert p.count() == 25 and p.storageLevel.useDisk and p.storageLevel.useMemory
     finally:
         p.unpersist()
+
+
+def test_a_partition_is_replaced_and_pruned(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "value", F.pmod("event_id", F.lit(5)).cast("int").alias("day"))
+    path = io.scratch_path(spark, "test-days")
+    for part in (ev, ev.where("day = 2"), ev.where("day in (2, 4)")):
+        io.replace_partitions(part, path, ["day"])
+    back = spark.read.parquet(path).select(*ev.columns)
+    assert back.count() == ev.count() and back.exceptAll(ev).count() == 0
+    io.replace_partitions(ev.where("day = 3 and value > 50"), path, ["day"])
+    assert spark.read.parquet(path).where("day = 3 and value <= 50").count() == 0 and spark.read.parquet(path).where("day = 1").count() > 0
+    days = spark.range(5).select(F.col("id").cast("int").alias("day")).where(F.rand(1) >= 0)
+    joined = spark.read.parquet(path).join(F.broadcast(io.stage(days).where("day < 2")), "day")
+    assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString()

@@ -49,3 +49,30 @@ def test_grid_equals_brute_force(spark, seed, radius):
     got = sorted((r.p, r.s) for r in nearest.pairs_within(places, sites, "p", "la", "lo", "s", "la", "lo",
                                                           max_km=radius, cell_deg=2.0).collect())
     assert got == expect
+
+
+@pytest.mark.parametrize("max_sites,max_level", [(1, 3), (4, 12), (50, 6)])
+def test_dense_cells_are_split(spark, max_sites, max_level):
+    rnd = random.Random(max_sites)
+    city = [(f"c{i}", 48.0 + rnd.gauss(0, 0.05), 2.0 + rnd.gauss(0, 0.05)) for i in range(400)]
+    line = [(f"d{i}", rnd.gauss(0, 0.2), ((179.9 + rnd.gauss(0, 0.2) + 180) % 360) - 180) for i in range(200)]
+    same = [(f"e{i}", -33.0, 18.5) for i in range(60)]                        # more than any split can part
+    sts = city + line + same + [(f"s{i}", rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(100)] + [("pole", 89.99, 5.0)]
+    pts = [("a", 48.02, 2.01), ("b", 47.0, 2.9), ("c", 0.05, -179.95), ("d", -33.1, 18.4), ("p", 89.9, -170.0)]
+    pts += [(f"p{i}", 48.0 + rnd.gauss(0, 0.1), 2.0 + rnd.gauss(0, 0.1)) for i in range(20)]
+    for radius in (3.0, 40.0):
+        expect = sorted((p, s) for p, pa, po in pts for s, sa, so in sts if hav(pa, po, sa, so) < radius)
+        places = spark.createDataFrame(pts, "p string, la double, lo double")
+        sites = spark.createDataFrame(sts, "s string, la double, lo double")
+        found = nearest.pairs_within(places, sites, "p", "la", "lo", "s", "la", "lo", max_km=radius, max_sites=max_sites, max_level=max_level)
+        assert sorted((r.p, r.s) for r in found.collect()) == expect
+
+
+def test_a_city_spreads_over_cells(spark):
+    rnd = random.Random(9)
+    sites = spark.createDataFrame([(i, 10.5 + rnd.gauss(0, 0.1), 20.5 + rnd.gauss(0, 0.1)) for i in range(20_000)], "s int, __slat double, __slon double")
+    full, depth = nearest._overfull(sites, 1.0, 360, 500, 12)
+    assert depth > 2 and full.where("__lv = 0").count() >= 1
+    lv = depth                                                                # at the deepest level no cell is over-full any more
+    cy, cx = nearest._cell("__slat", "__slon", lv, 1.0, 360)
+    assert sites.groupBy(cy, cx).count().agg({"count": "max"}).first()[0] <= 500

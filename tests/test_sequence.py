@@ -83,3 +83,18 @@ def test_null_entities_stay_outside_the_window(spark):
         out = sequence.with_previous(ev, "u", ["ts", "event_id"], ["event_id"], tie_break=["event_id"], keep_first=True, ties=ties)
         assert out.count() == ev.count()
         assert out.where("u is null and PREV_event_id is not null").count() == 0
+
+
+@pytest.mark.parametrize("clock", ["bigint", "double", "decimal(20,3)", "string"])
+def test_clocks_without_an_hour_are_split_by_sampled_ranges(spark, clock):
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev = ev.withColumn("c", F.date_format(F.col("ts").cast("timestamp"), "yyyyMMddHHmm") if clock == "string" else seconds.cast(clock))
+    ev = ev.withColumn("u", F.when(F.col("event_id") % 3 > 0, F.lit(-1)).otherwise(F.col("user_id")))       # a hot entity
+    for ties in ("one", "all"):
+        a = sequence.with_previous(ev, "u", ["c", "event_id"], ["event_id"], tie_break=["event_id"], ties=ties)
+        b = sequence.with_previous(ev, "u", ["c", "event_id"], ["event_id"], tie_break=["event_id"], ties=ties, split=None)
+        assert rows(a, "event_id", "PREV_event_id") == rows(b, "event_id", "PREV_event_id")
+    seg = sequence._with_range_segment(ev, "u", ["c"])
+    assert seg.groupBy("u", "__seg").count().agg(F.max("count")).first()[0] < 0.05 * ev.count()
+    assert sequence.with_previous(ev.where("false"), "u", ["c"], ["event_id"], tie_break=["event_id"]).count() == 0
