@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.sources.io import stage
+
 
 def with_row_key(df: DataFrame, name: str = "ROW_KEY", cols: Sequence[str] | None = None,
                  unique: bool = False) -> DataFrame:
@@ -16,7 +18,9 @@ def with_row_key(df: DataFrame, name: str = "ROW_KEY", cols: Sequence[str] | Non
     written with its length and with a mark of its own for null: stable across
     file layouts and reruns, and different for (a, null, b) and (a, b, null).
     ``unique`` appends ``-2``, ``-3``, ... to the key of repeated rows, whose columns
-    are all equal, so no two rows share a key.  Without ``cols`` the layout-dependent
+    are all equal, so no two rows share a key.  The rows are written once with a number of
+    their own (part and place); repeats are numbered part by part, behind the counts of the parts before, so a row that
+    is a third of the table is no task of its own.  Without ``cols`` the layout-dependent
     ``monotonically_increasing_id`` surrogate is used.
     """
     if not cols:
@@ -25,10 +29,16 @@ def with_row_key(df: DataFrame, name: str = "ROW_KEY", cols: Sequence[str] | Non
     key = F.md5(F.concat(*[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in value]))
     if not unique:
         return df.withColumn(name, key)
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
-    return df.withColumn("__key", key).withColumn("__nth", nth) \
-        .withColumn(name, F.when(F.col("__nth") > 1, F.concat("__key", F.lit("-"), F.col("__nth").cast("string"))).otherwise(F.col("__key"))) \
-        .drop("__key", "__nth")
+    kept = stage(df.withColumn("__key", key).withColumn("__at", F.monotonically_increasing_id()))
+    kept = kept.withColumn("__part", F.shiftright("__at", 33))
+    counts = kept.groupBy("__key", "__part").agg(F.count(F.lit(1)).alias("__n"))           # a row per key and part at most
+    before = F.sum("__n").over(Window.partitionBy("__key").orderBy("__part")) - F.col("__n")
+    counts = counts.withColumn("__before", before).select("__key", "__part", "__before")
+    inside = F.row_number().over(Window.partitionBy("__key", "__part").orderBy("__at"))
+    nth = F.col("__before") + F.col("__nth")
+    return kept.withColumn("__nth", inside).join(counts, ["__key", "__part"]) \
+        .withColumn(name, F.when(nth > 1, F.concat("__key", F.lit("-"), nth.cast("string"))).otherwise(F.col("__key"))) \
+        .select(*[c for c in df.columns if c != name], name)
 
 
 def null_if(df: DataFrame, sentinels: Mapping[str, object]) -> DataFrame:

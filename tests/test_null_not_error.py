@@ -37,3 +37,12 @@ def test_a_repeated_state_multiplies_no_rows(spark):
     st = spark.createDataFrame([("NY", "America/New_York"), ("NY", "America/New_York")], "s string, tz string")
     ct = spark.createDataFrame([("Guam, TT", "Pacific/Guam")] * 2, "c string, tz string")
     assert sorted(r.tz for r in enrich.attach_timezone(df, "s", "c", st, ct, out="tz").collect()) == ["America/New_York", "Pacific/Guam"]
+
+
+def test_many_repeats_are_numbered_without_gaps(spark):
+    rows = [("a", 1)] * 500 + [("b", i) for i in range(100)] + [(None, 2)] * 7
+    df = spark.createDataFrame(rows, "x string, y int").repartition(5)
+    out = clean.with_row_key(df, "k", ["x", "y"], unique=True).collect()
+    assert len(out) == len({r.k for r in out}) == len(rows)
+    numbers = sorted(int(r.k.split("-")[1]) if "-" in r.k else 1 for r in out if r.x == "a")
+    assert numbers == list(range(1, 501))
