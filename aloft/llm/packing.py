@@ -20,8 +20,10 @@ sequence is padded.  A sequence differs from its round by less than a grain
 per source.  A document is cut where its source's turn or a sequence ends.
 
 Tokens go through one written table (ids as 16-bit numbers), one shuffle and
-small running totals per (source, part); the driver gets the totals of the
-sources only, ``max_sources`` at most.
+small running totals per (queue, part); the driver gets the totals of the
+queues only, ``max_sources`` at most.  With more sources than that the larger ones keep queues of their own and the
+others share queues by a hash of their names (a shared queue has its sources' tokens and targets added up): a window
+holds window / grain grains, so it could not show more sources at once anyway.
 
 Odd input: a null or empty text is one token (the end id); a null source is the
 queue named ''; a null id is kept; repeated rows are packed as often as they
@@ -161,6 +163,24 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_c
                        F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, source string, n long, ids binary")
 
 
+def with_queue(rows: DataFrame, targets: Mapping[str, float] | None, max_sources: int) -> tuple[DataFrame, dict[str, int], Mapping[str, float] | None]:
+    """``rows`` with the ``queue`` of their source, and the queues' totals and targets (see the module's head)."""
+    held = rows.groupBy("source").agg(F.sum("n").alias("held"))
+    largest = held.orderBy(F.desc("held"), "source").limit(max_sources + 1).collect()
+    if len(largest) <= max_sources:
+        return rows.withColumn("queue", F.col("source")), {r["source"]: r["held"] for r in largest}, targets
+    spark, own = rows.sparkSession, max_sources // 2
+    alone = spark.createDataFrame([(r["source"], True) for r in largest[:own]], "source string, alone boolean")
+    shared = F.concat(F.lit("\0shared "), F.pmod(F.xxhash64("source"), F.lit(max_sources - own)).cast("string"))
+
+    def queued(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(alone), "source", "left").withColumn("queue", F.when(F.col("alone"), F.col("source")).otherwise(shared)).drop("alone")
+
+    wanted = spark.createDataFrame([(k, float(v)) for k, v in (targets or {}).items()], "source string, target double")
+    queues = queued(held).join(wanted, "source", "left").groupBy("queue").agg(F.sum("held").alias("held"), F.coalesce(F.sum("target"), F.lit(0.0)).alias("target")).collect()
+    return queued(rows), {r["queue"]: r["held"] for r in queues}, targets and {r["queue"]: r["target"] for r in queues}
+
+
 def pack(docs: DataFrame, vocabulary: str, window: int = 2048, grain: int = 128, end_id: int = 1,
          targets: Mapping[str, float] | None = None, max_sources: int = 10_000, id_col: str = "doc_id",
          text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -168,21 +188,19 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 2048, grain: int = 128,
     rows = stage(tokenized(docs, vocabulary, end_id, id_col, text_col, source_col)
                  .withColumn("rid", F.monotonically_increasing_id()))       # a written id: the same for every reader
     rows = rows.withColumn("part", F.shiftright("rid", 33))
-    held = rows.groupBy("source", "part").agg(F.sum("n").alias("held"))
-    totals = {r["source"]: r["held"] for r in held.groupBy("source").agg(F.sum("held").alias("held")).limit(max_sources + 1).collect()}
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources; group them first")
+    rows, totals, targets = with_queue(rows, targets, max_sources)
     plan = RoundRobin.of(totals, targets, window, grain)
-    base = held.withColumn("before", F.sum("held").over(Window.partitionBy("source").orderBy("part")) - F.col("held"))
-    inside = Window.partitionBy("source", "part").orderBy("rid")
-    queued = (rows.withColumn("upto", F.sum("n").over(inside)).join(base.select("source", "part", "before"), ["source", "part"])
-              .select("doc_id", "source", "n", "ids", (F.col("before") + F.col("upto") - F.col("n")).alias("start")))
+    held = rows.groupBy("queue", "part").agg(F.sum("n").alias("held"))
+    base = held.withColumn("before", F.sum("held").over(Window.partitionBy("queue").orderBy("part")) - F.col("held"))
+    inside = Window.partitionBy("queue", "part").orderBy("rid")
+    queued = (rows.withColumn("upto", F.sum("n").over(inside)).join(base.select("queue", "part", "before"), ["queue", "part"])
+              .select("doc_id", "source", "queue", "n", "ids", (F.col("before") + F.col("upto") - F.col("n")).alias("start")))
     number = {n: i for i, n in enumerate(plan.names)}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ids", 1 << 20):
             n, start = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "start"))
-            source = np.array([number[x] for x in batch.column("source").to_pylist()])
+            source = np.array([number[x] for x in batch.column("queue").to_pylist()])
             ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype="<u2").astype("<u4")
             run, at, length, place, b = plan.pieces(source, start, n)
             begin = (np.cumsum(n) - n)[run] + at

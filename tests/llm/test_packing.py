@@ -73,10 +73,9 @@ def test_pieces_look_at_their_own_grains_only(totals, names):
         assert (place[order] == np.cumsum(length[order]) - length[order]).all() and length.sum() == sum(totals.values())
 
 
-def test_pieces(spark):
-    rows = corpus()
+def check_pieces(rows, out, window):
+    """Sequences are full and gapless, and every id of every document lies in one piece."""
     plain = Tokenizer.from_file(PATH)
-    out = pack(frame(spark, rows), PATH, window=256, grain=16).collect()
     length = Counter()
     by_seq = defaultdict(list)
     for r in out:
@@ -87,25 +86,43 @@ def test_pieces(spark):
         for o, n in sorted(pieces):
             assert o == at
             at += n
-        assert at == 256 or s == max(by_seq)
+        assert at == window or s == max(by_seq)
     assert sorted(by_seq) == list(range(len(by_seq)))
     ids = {}
     for i, t, *_ in rows:
         ids.setdefault(i, []).append(plain.encode(t or "", add_special_tokens=False).ids + [1])
     assert sum(length.values()) == sum(len(x) for v in ids.values() for x in v)
+    of = defaultdict(list)
+    for r in out:
+        of[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"]))
     for i, v in ids.items():
-        pieces = sorted((r["start"], r["length"], r["ids_crc32"]) for r in out if r["doc_id"] == i)
         if len(v) == 1:
             at = 0
-            for s, n, crc in pieces:
+            for s, n, crc in sorted(of[i]):
                 assert s == at and crc == zlib.crc32(np.array(v[0][s: s + n], dtype="<u4").tobytes())
                 at += n
             assert at == len(v[0])
         else:
-            assert sum(p[1] for p in pieces) == sum(map(len, v))
+            assert sum(p[1] for p in of[i]) == sum(map(len, v))
+
+
+def test_pieces(spark):
+    rows = corpus()
+    check_pieces(rows, pack(frame(spark, rows), PATH, window=256, grain=16).collect(), 256)
     assert pack(frame(spark, []), PATH).count() == 0
-    with pytest.raises(ValueError):
-        pack(frame(spark, rows), PATH, max_sources=2)
+
+
+@pytest.mark.parametrize("targets", [None, {"src0": 2, "src1": 1, "other": 5}])
+def test_more_sources_than_queues(spark, targets):
+    rows = corpus()
+    out = pack(frame(spark, rows), PATH, window=256, grain=16, max_sources=3, targets=targets).collect()
+    check_pieces(rows, out, 256)
+    assert {r["source"] for r in out} == {r[3] or "" for r in rows}
+
+
+def test_twenty_thousand_sources(spark):
+    rows = [(i, f"a few words {i}", "en", f"s{i}", 1, 7, *"tsxkn") for i in range(20_000)] + [(-i - 1, "the hot source", "en", "hot", 1, 7, *"tsxkn") for i in range(10_000)]
+    check_pieces(rows, pack(frame(spark, rows), PATH).collect(), 2048)
 
 
 def test_a_workers_table_is_bounded_and_empty_after_a_task(monkeypatch):
