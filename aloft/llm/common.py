@@ -141,10 +141,3 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> tu
 
 def chunk_of(n: int, doc_id: str = "doc_id", tid: Column | None = None) -> Column:
     return F.pmod(F.xxhash64(F.lit(11), F.col(doc_id), text_id() if tid is None else tid), F.lit(n)).cast("int")
-
-
-def checked_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` to be broadcast if it has at most ``max_rows`` rows, else as it is.
-
-    ``df`` must be cheap to count (a written or checkpointed table)."""
-    return F.broadcast(df) if df.count() <= max_rows else df

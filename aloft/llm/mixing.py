@@ -30,12 +30,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aloft.llm.common import checked_small
 from aloft.session import ensure_checkpoint_dir
+from aloft.sources.io import stage
 
 LEVELS = ("domain", "lang", "source")
 RANGE_DIGITS = 3            # ranges of the order: 16**3 per leaf
-MAX_BROADCAST_LEAVES = 20_000
+SALTS = 32                  # parts of a leaf's documents, where the plan is too large to be broadcast
 
 
 def word_count(text: str | Column = "text") -> Column:
@@ -108,13 +108,13 @@ def mix_sources(docs: DataFrame, domain: Column, weights: Mapping[tuple[str, ...
     slim = docs.select(*branch, F.col(id_col).alias("_id"), word_count(text_col).alias("tokens"), F.md5(blank(F.col(text_col))).alias("_text"))
     slim = slim.checkpoint()          # read several times below; the texts are read once
     leaves = slim.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
-    budgets = leaf_budgets(leaves, weights, share, max_epochs).withColumn("full", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("int")) \
-        .withColumn("rest", F.col("budget") - F.col("full") * F.col("tokens")).checkpoint()
+    budgets = stage(leaf_budgets(leaves, weights, share, max_epochs).withColumn("full", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("int")) \
+        .withColumn("rest", F.col("budget") - F.col("full") * F.col("tokens")))
 
     def key(text_digest: Column) -> Column:
         return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("full").cast("string"), F.coalesce(F.col("_id").cast("string"), F.lit("")), text_digest))
 
-    last = (slim.join(checked_small(budgets.select(*LEVELS, "full", "rest"), MAX_BROADCAST_LEAVES), list(LEVELS)).where("rest > 0")
+    last = (slim.join(budgets.select(*LEVELS, "full", "rest"), list(LEVELS)).where("rest > 0")
             .select(*LEVELS, "rest", "tokens", key(F.col("_text")).alias("key"))
             .groupBy(*LEVELS, "rest", "key").agg(F.sum("tokens").alias("tokens"))            # equal rows together
             .withColumn("range", F.substring("key", 1, RANGE_DIGITS)))
@@ -125,11 +125,14 @@ def mix_sources(docs: DataFrame, domain: Column, weights: Mapping[tuple[str, ...
     placed = last.join(ranges, [*LEVELS, "range"]).where("before < rest") \
         .withColumn("start", F.col("before") + F.sum("tokens").over(inside) - F.col("tokens"))
     cut = placed.where("start < rest").groupBy(*LEVELS).agg(F.max("key").alias("cut"))
-    plan = budgets.select(*LEVELS, "full").join(cut, list(LEVELS), "left").checkpoint()
     rename = {c: f"_mix_{c}" for c in (*LEVELS, "full", "cut")}
-    plan = checked_small(plan.withColumnsRenamed(rename), MAX_BROADCAST_LEAVES)
-    keyed = docs.select("*", F.struct(*branch).alias("_mix_leaf"))
-    on = [F.col(f"_mix_leaf.{c}") == F.col(f"_mix_{c}") for c in LEVELS]
+    # a written table: the planner knows its size and broadcasts it where that is small; where it is not, texts meet it by
+    # leaf and salt, so a hot leaf is many keys
+    plan = stage(budgets.select(*LEVELS, "full").join(cut, list(LEVELS), "left").withColumnsRenamed(rename))
+    plan = plan.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(SALTS)).cast("int")
+    keyed = docs.select("*", F.struct(*branch, salt.alias("salt")).alias("_mix_leaf"))
+    on = [F.col(f"_mix_leaf.{c}") == F.col(f"_mix_{c}") for c in (*LEVELS, "salt")]
     own = order_key(seed, F.col("_mix_full"), F.col(id_col), F.col(text_col))
     copies = F.col("_mix_full") + F.when(own <= F.col("_mix_cut"), 1).otherwise(0)
     out = keyed.join(plan, on).withColumn("_mix_n", copies).where("_mix_n > 0") \

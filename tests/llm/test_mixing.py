@@ -101,3 +101,21 @@ def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "x", "s1", 10), ("a", "x", "s2", 1000), ("b", "x", "s3", 1000)], "domain string, lang string, source string, tokens long")
     got = {r["source"]: r["budget"] for r in M.leaf_budgets(leaves, {}, 0.5, 1).collect()}
     assert got == {"s1": 10, "s2": 492, "s3": 503} or got == {"s1": 10, "s2": 493, "s3": 502}
+
+
+def test_many_leaves_and_a_hot_one_without_broadcast(spark):
+    rows = [(i, f"a few words {i}", "en", f"leaf{i}", 1, 7, *"tsxkn") for i in range(2_000)] + [(-i - 1, f"hot {i % 50}", "en", "hot", 1, 7, *"tsxkn") for i in range(1_000)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = M.mix_sources(frame(spark, rows), F.lit("d0"), {("*", "*", "hot"): 500}, 0.7, 2, seed=4)
+        got = Counter((r["doc_id"], r["text"] or "", r["_mix"]["domain"], r["_mix"]["lang"], r["_mix"]["source"], r["_mix"]["epoch"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute(rows, {("*", "*", "hot"): 500}, 0.7, 2, 4, lambda s: "d0")
+
+
+def test_thirty_thousand_leaves(spark):
+    rows = [(i, f"a few words {i}", "en", f"leaf{i}", 1, 7, *"tsxkn") for i in range(30_000)] + [(-i - 1, "hot words", "en", "hot", 1, 7, *"tsxkn") for i in range(5_000)]
+    out = M.mix_sources(frame(spark, rows), F.lit("d0"), {}, 1.0, 1)
+    assert out.count() == len(rows)
