@@ -1,12 +1,16 @@
-"""A stated query set against all rows, in blocks of both."""
+"""A stated query set against all rows: rows in shards, queries streamed through them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.sources.io import stage
+
 
 def usable(rows: DataFrame, id_col: str, vector_col: str, nonzero: bool) -> DataFrame:
     """(vec_id, vector) with the vectors that take part: not null, all components finite, not all zero if so wanted."""
@@ -27,16 +31,44 @@ def least_ids(rows: DataFrame, keep: int) -> DataFrame:
             .groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
 
 
-def in_blocks(items: DataFrame, queries: DataFrame, block_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the columns ``block`` and ``part``, one pair for each block of items and block of queries.
-
-    An item goes to one block and all query blocks, a query the other way round."""
-    n, q = items.count(), queries.count()
-    blocks, parts = max(1, -(-n // block_rows)), max(1, -(-q // query_rows))
-    block = F.pmod(F.xxhash64(F.lit(3), "vector"), F.lit(blocks)).cast("int")
-    part = F.pmod(F.xxhash64(F.lit(4), "vec_id"), F.lit(parts)).cast("int")
-    return (items.select("*", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")),
-            queries.select("*", part.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
+def in_shards(rows: DataFrame, keep: int, shard_rows: int) -> tuple[DataFrame, int]:
+    """``least_ids`` of ``rows`` with their ``shard`` in a written table, and the number of shards."""
+    shards = max(1, -(-rows.count() // shard_rows))
+    return stage(least_ids(rows, keep).withColumn("shard", F.pmod(F.xxhash64(F.lit(3), "vector"), F.lit(shards)).cast("int"))), shards
+
+
+def searched(items: DataFrame, queries: DataFrame, shards: int, build: Callable[[pa.Table], Callable[[pa.Table], pa.Table]], schema: str) -> DataFrame:
+    """Every query (vec_id, vector) against every shard of ``items`` (shard, vector, ids).
+
+    A row moves once, to its shard; only the queries are copied, one copy a shard, and stream through its task
+    batch by batch.  ``build`` makes a shard's index, once, and gives the function that answers a batch."""
+    columns = ["shard", "is_query", "vector", "ids", "vec_id"]
+    held = items.select("shard", F.lit(False).alias("is_query"), "vector", "ids", F.lit(None).cast("long").alias("vec_id"))
+    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("is_query"), "vector",
+                           F.lit(None).cast("array<long>").alias("ids"), "vec_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, answer = None, [], None
+        for b in batches:
+            shard = b.column("shard").to_numpy()
+            asks = b.column("is_query").to_numpy(zero_copy_only=False)
+            cuts = np.append(np.append(0, np.flatnonzero(np.diff(shard) | (asks[1:] != asks[:-1])) + 1), b.num_rows)
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                if shard[lo] != now:
+                    now, parts, answer = shard[lo], [], None
+                part = b.slice(lo, hi - lo)
+                if not asks[lo]:
+                    parts.append(part)
+                    continue
+                if answer is None and parts:
+                    answer, parts = build(pa.Table.from_batches(parts)), []
+                if answer is not None:
+                    yield from answer(pa.Table.from_batches([part])).to_batches()
+
+    both = held.unionByName(asked).select(*columns)
+    return both.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "is_query").mapInArrow(run, schema)
 
 
 def matrix(column: pa.ChunkedArray, width: int | None = None) -> np.ndarray:

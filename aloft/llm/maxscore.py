@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.blocks import as_table, best, flat_ids, in_blocks, least_ids, matrix, ranked, usable
+from aloft.llm.blocks import as_table, best, flat_ids, in_shards, matrix, ranked, searched, usable
 
 SLICE = 2048
 
@@ -69,39 +69,43 @@ class Shard:
 
 
 def _search(keep: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return as_table([], pa.int64())
-        asked = matrix(right.column("vector")).astype(np.int64)
-        held = matrix(left.column("vector"), asked.shape[1]).astype(np.int64)
-        asked = np.pad(asked, ((0, 0), (0, held.shape[1] - asked.shape[1])))
+    def build(left: pa.Table):
+        held = matrix(left.column("vector")).astype(np.int64)
         ids, row = flat_ids(left.column("ids"))
         first = np.searchsorted(row, np.arange(len(held) + 1))
-        names = right.column("vec_id").to_numpy()
-        got = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in names]
-        for lo in range(0, len(held), SLICE):
-            shard = Shard(held[lo: lo + SLICE])
-            for k, (name, q) in enumerate(zip(names.tolist(), asked, strict=True)):
-                found, score = got[k]
-                bar = score[-1] if len(score) == keep else -np.inf
-                rows, new = shard.search(q, bar)
-                if not len(rows):
-                    continue
-                rows = rows + lo
-                n = first[rows + 1] - first[rows]
-                at = np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                other = ids[at] != name
-                found, score = np.concatenate([found, ids[at][other]]), np.concatenate([score, np.repeat(new, n)[other]])
-                top = best(score, found, keep)
-                got[k] = found[top], score[top]
-        return as_table([(q, i, s) for q, (i, s) in zip(names.tolist(), got, strict=True)], pa.int64())
-    return run
+        shards: dict[int, list[Shard]] = {}                     # by width: queries may be longer than all rows
+
+        def answer(right: pa.Table) -> pa.Table:
+            asked = matrix(right.column("vector"), held.shape[1]).astype(np.int64)
+            width = asked.shape[1]
+            if width not in shards:
+                wide = np.pad(held, ((0, 0), (0, width - held.shape[1])))
+                shards[width] = [Shard(wide[lo: lo + SLICE]) for lo in range(0, len(held), SLICE)]
+            names = right.column("vec_id").to_numpy()
+            got = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in names]
+            for i, shard in enumerate(shards[width]):
+                for k, (name, q) in enumerate(zip(names.tolist(), asked, strict=True)):
+                    found, score = got[k]
+                    bar = score[-1] if len(score) == keep else -np.inf
+                    rows, new = shard.search(q, bar)
+                    if not len(rows):
+                        continue
+                    rows = rows + i * SLICE
+                    n = first[rows + 1] - first[rows]
+                    at = np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    other = ids[at] != name
+                    found, score = np.concatenate([found, ids[at][other]]), np.concatenate([score, np.repeat(new, n)[other]])
+                    top = best(score, found, keep)
+                    got[k] = found[top], score[top]
+            return as_table([(q, i, s) for q, (i, s) in zip(names.tolist(), got, strict=True)], pa.int64())
+        return answer
+    return build
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding",
-          block_rows: int = 16_384, query_rows: int = 2048) -> DataFrame:
+          shard_rows: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` highest inner products of floor(scale * component)."""
     vectors = usable(rows, id_col, vector_col, nonzero=False).withColumn("vector", F.transform("vector", lambda x: F.floor(x * scale).cast("double")))
-    items, queries = in_blocks(least_ids(vectors, k + 1), vectors.where(is_query).distinct(), block_rows, query_rows)
-    found = items.groupBy("block", "part").cogroup(queries.groupBy("block", "part")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+    items, shards = in_shards(vectors, k + 1, shard_rows)
+    found = searched(items, vectors.where(is_query).distinct(), shards, _search(k), "query_id long, vec_id long, score long")
     return ranked(found, k)

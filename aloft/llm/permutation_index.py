@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.blocks import as_table, best, flat_ids, in_blocks, least_ids, matrix, ranked, usable
+from aloft.llm.blocks import as_table, best, flat_ids, in_shards, matrix, ranked, searched, usable
 
 
 def cosine(queries: np.ndarray, items: np.ndarray) -> np.ndarray:
@@ -64,27 +64,28 @@ class InvertedFiles:
 
 
 def _search(pivots: np.ndarray, width: int, length: int, share: float, keep: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return as_table([], pa.float64())
-        held, asked = matrix(left.column("vector"), width), matrix(right.column("vector"), width)
+    def build(left: pa.Table):
+        held = matrix(left.column("vector"), width)
         files = InvertedFiles(orders(held, pivots, length), len(pivots))
         ids, row = flat_ids(left.column("ids"))
         first = np.searchsorted(row, np.arange(len(held) + 1))
         n = min(len(held), max(4 * keep, int(np.ceil(share * len(held)))))
-        out = []
-        for name, q, order in zip(right.column("vec_id").to_pylist(), asked, orders(asked, pivots, length), strict=True):
-            distance = files.footrule(order)
-            rows = np.flatnonzero(distance <= np.partition(distance, n - 1)[n - 1])      # ties included
-            size = first[rows + 1] - first[rows]
-            score = np.repeat(cosine(q, held[rows]), size)
-            at = np.repeat(first[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            other = ids[at] != name
-            found, score = ids[at][other], score[other]
-            top = best(score, found, keep)
-            out.append((name, found[top], score[top]))
-        return as_table(out, pa.float64())
-    return run
+
+        def answer(right: pa.Table) -> pa.Table:
+            asked, out = matrix(right.column("vector"), width), []
+            for name, q, order in zip(right.column("vec_id").to_pylist(), asked, orders(asked, pivots, length), strict=True):
+                distance = files.footrule(order)
+                rows = np.flatnonzero(distance <= np.partition(distance, n - 1)[n - 1])      # ties included
+                size = first[rows + 1] - first[rows]
+                score = np.repeat(cosine(q, held[rows]), size)
+                at = np.repeat(first[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+                other = ids[at] != name
+                found, score = ids[at][other], score[other]
+                top = best(score, found, keep)
+                out.append((name, found[top], score[top]))
+            return as_table(out, pa.float64())
+        return answer
+    return build
 
 
 def chosen_pivots(vectors: DataFrame, pivots: int) -> tuple[np.ndarray, int]:
@@ -104,13 +105,13 @@ def chosen_pivots(vectors: DataFrame, pivots: int) -> tuple[np.ndarray, int]:
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 5, pivots: int = 128, length: int = 32, share: float = 0.25,
-            id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 8192, query_rows: int = 2048) -> DataFrame:
+            id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest found, by cosine.
 
     The pivots are ``pivots`` different vectors out of a hashed sample (all different vectors if there are fewer)."""
     vectors = usable(rows, id_col, vector_col, nonzero=True)
     fixed, width = chosen_pivots(vectors, pivots)
-    items, queries = in_blocks(least_ids(vectors, k + 1), vectors.where(is_query).distinct(), block_rows, query_rows)
+    items, shards = in_shards(vectors, k + 1, shard_rows)
     search = _search(fixed, width, min(length, len(fixed)), share, k)
-    found = items.groupBy("block", "part").cogroup(queries.groupBy("block", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = searched(items, vectors.where(is_query).distinct(), shards, search, "query_id long, vec_id long, score double")
     return ranked(found, k)

@@ -41,11 +41,11 @@ def collected(df):
     return out
 
 
-@pytest.mark.parametrize("block_rows,query_rows", [(50, 4), (16_384, 2048)])
-def test_maxscore_is_exact(spark, block_rows, query_rows):
+@pytest.mark.parametrize("shard_rows", [50, 8192])
+def test_maxscore_is_exact(spark, shard_rows):
     rows = vectors()
     table = {i: np.floor(256 * v).astype(int) for i, v in usable(rows, True).items()}
-    got = collected(maxscore.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, block_rows=block_rows, query_rows=query_rows))
+    got = collected(maxscore.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, shard_rows=shard_rows))
     assert got == brute(table, lambda a, b: int(a @ b))
 
 
@@ -59,11 +59,11 @@ def test_maxscore_skips_rows():
     assert sorted(zip(rows, score)) == sorted((i, exact[i]) for i in np.flatnonzero(exact >= bar))
 
 
-@pytest.mark.parametrize("block_rows,query_rows", [(64, 4), (8192, 2048)])
-def test_nearest_with_everything_reranked(spark, block_rows, query_rows):
+@pytest.mark.parametrize("shard_rows", [64, 8192])
+def test_nearest_with_everything_reranked(spark, shard_rows):
     rows = vectors(1)
     table = usable(rows, False)
-    got = collected(permutation_index.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, share=1.0, block_rows=block_rows, query_rows=query_rows))
+    got = collected(permutation_index.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, share=1.0, shard_rows=shard_rows))
     want = brute(table, lambda a, b: round(float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b))), 12))
     assert {q: [x[:2] for x in v] for q, v in got.items()} == {q: [x[:2] for x in v] for q, v in want.items()}
     assert all(abs(a[2] - b[2]) < 1e-11 for q in want for a, b in zip(got[q], want[q]))
@@ -122,6 +122,6 @@ def test_nearest_pads_vectors_of_different_lengths(spark):
     size = [16] * 290 + [5] * 7 + [24, 24, 40]
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, d)], "", "", "") for i, d in enumerate(size)]
     table = {i: np.pad(v, (0, 40 - len(v))) for i, v in usable(rows, False).items()}
-    got = collected(permutation_index.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, pivots=4, share=1.0, block_rows=64))
+    got = collected(permutation_index.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, pivots=4, share=1.0, shard_rows=64))
     want = brute(table, lambda a, b: round(float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b))), 12))
     assert {q: [x[:2] for x in v] for q, v in got.items()} == {q: [x[:2] for x in v] for q, v in want.items()}
