@@ -124,8 +124,7 @@ def importance_from_nodes(nodes: DataFrame) -> DataFrame:
     by = nodes.where(~F.col("leaf")).groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("weight")).alias("g"))
     share = by.withColumn("s", F.try_divide("g", F.sum("g").over(Window.partitionBy("tree"))))
     slots = share.groupBy(F.col("feature").alias("idx")).agg(F.sum("s").alias("s"))
-    total = slots.agg(F.sum("s").alias("total"))
-    return slots.crossJoin(F.broadcast(total)).select("idx", (F.col("s") / F.col("total") * 100.0).alias("score"))
+    return slots.select("idx", (F.col("s") / slots.agg(F.sum("s")).scalar() * 100.0).alias("score"))
 
 
 def best_parameters(cv_model, names: Sequence[str]) -> dict:

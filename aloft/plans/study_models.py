@@ -94,8 +94,8 @@ def curve_areas(table: DataFrame) -> DataFrame:
         model = est.fit(train)
         for side, rows in (("train", train), ("test", test)):
             scored = stage(model.transform(rows).select("label", F.element_at(vector_to_array("probability"), 2).alias("score")))
-            areas = evaluate.average_precision(scored, "label", "score").crossJoin(evaluate.roc_auc(scored, "label", "score"))
-            out.append(areas.withColumns({"model": F.lit(name), "side": F.lit(side)}))
+            area = evaluate.roc_auc(scored, "label", "score").select("roc_auc").scalar()
+            out.append(evaluate.average_precision(scored, "label", "score").withColumns({"roc_auc": area, "model": F.lit(name), "side": F.lit(side)}))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -64,7 +64,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() if sc is not None else None) or d
 
 
+# folders that this driver has named, for clear_scratch
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
+    """A fresh, unique path under the shared checkpoint folder; ``clear_scratch`` removes it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/aloft-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base}/aloft-{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the folders that this driver has named by ``scratch_path``; returns how many there were.
+
+    Queries return DataFrames that read them, so only the caller knows when results are done: the bench calls this after
+    each query, a pipeline's owner after its last read."""
+    context, done = spark.sparkContext, len(_SCRATCH)
+    while _SCRATCH:
+        path = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return done

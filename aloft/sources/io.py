@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from aloft.session import scratch_path
+from aloft.session import clear_scratch, scratch_path
 
 def read_table(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
                min_partitions: int | str | None = "auto") -> DataFrame:
@@ -92,22 +92,13 @@ def stage(df: DataFrame, path: str | None = None, mode: str = "errorifexists") -
     spark = df.sparkSession
     if path is None:
         path = scratch_path(spark, "stage")
-        _STAGES.append(path)
     write_table(df, path, mode=mode)
     return spark.read.parquet(path)
 
 
-_STAGES: list[str] = []
-
-
 def clear_stages(spark: SparkSession) -> int:
     """Remove the unique stage folders that this driver has written; returns how many there were."""
-    context = spark.sparkContext
-    done = len(_STAGES)
-    while _STAGES:
-        path = context._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    return done
+    return clear_scratch(spark)
 
 
 def persist(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:

@@ -11,9 +11,13 @@ from aloft.streaming.traffic import hourly_rate_stream
 from conftest import SF_SMALL, rows
 
 MODEL = {"logistic_scores", "logistic_threshold", "logistic_tuned", "forest_scores", "forest_importance",
-         "forest_selected", "learning_curve", "study_features", "study_model", "csv_named_roundtrip"}
+         "forest_selected", "learning_curve", "logistic_fold_scores", "study_features", "study_model", "csv_named_roundtrip",
+         "study_selected", "study_learning_curve", "study_tuned", "study_gradient", "study_roc_curve"}
+# these write a bounded table on the way: sketches and order statistics, over-full cells, numbered rows, a Gram matrix, partitions
+STAGED = {"group_median", "impute_by_group", "box_summary", "tail_bounds", "haversine_pairs", "dense_pairs", "nearest_three", "stable_row_key",
+          "correlation_matrix", "rate_sink_restart", "study_correlation", "study_importance", "study_fraction_rows", "study_curve_areas"}
 # index_categories and onehot_features fit an indexer, class_weights and gini_by_feature read one ratio
-FITTED = MODEL | {"index_categories", "onehot_features", "class_weights"}
+FITTED = MODEL | STAGED | {"index_categories", "onehot_features", "class_weights"}
 
 
 def test_stream_equals_batch(spark):
