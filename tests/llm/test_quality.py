@@ -1,4 +1,6 @@
 import hashlib
+import math
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -67,3 +69,41 @@ def test_repeated_rows_of_a_labelled_id_teach_once(spark):
     a, b = Q.train(many, labels), Q.train(single, labels)
     probe = Q.encode(pa.array([t for _, t, *_ in rows], pa.string()))
     assert np.allclose(a.score(*probe), b.score(*probe))
+
+
+def test_score_equals_plain_loops():
+    r = np.random.default_rng(0)
+    width, gates, counts = 5, 3, np.array([1, 4, 2])
+    h = r.normal(size=(counts.sum(), width))
+    model = Q.Model(r.normal(size=width), r.random(width) + 0.5, r.normal(size=(width, gates)), r.normal(size=(width, gates)), r.normal(size=gates),
+                          r.normal(size=width), 0.3)
+    want, at = [], 0
+    for n in counts:
+        rows = [(x - model.mean) / model.scale for x in h[at: at + n]]
+        at += n
+        e = [sum(model.w[g] * math.tanh(x @ model.v[:, g]) / (1 + math.exp(-(x @ model.u[:, g]))) for g in range(gates)) for x in rows]
+        a = [math.exp(v) / sum(map(math.exp, e)) for v in e]
+        z = sum(w * x for w, x in zip(a, rows))
+        want.append(1 / (1 + math.exp(-(z @ model.c + model.b))))
+    assert np.allclose(model.score(h, counts), want, rtol=1e-12)
+
+
+def test_fit_descends_along_the_gradient():
+    """Each parameter's first Adam step is rate * sign(gradient): compared with finite differences of the plain loss."""
+    r = np.random.default_rng(1)
+    width, counts = 4, np.array([3, 1, 5, 2, 4, 3])
+    h, y = r.normal(size=(counts.sum(), width)), np.array([1.0, 0, 1, 0, 0, 1])
+    zero, one = (Q.fit(h, counts, y, gates=2, steps=n, rate=1e-4, decay=0.0) for n in (0, 1))
+
+    def loss(**change):
+        s = np.clip(replace(zero, **change).score(h, counts), 1e-12, 1 - 1e-12)
+        return -np.mean(y * np.log(s) + (1 - y) * np.log(1 - s))
+
+    for name in ("v", "u", "w", "c"):
+        p, q = getattr(zero, name), getattr(one, name)
+        for i in np.ndindex(p.shape):
+            step = np.zeros_like(p)
+            step[i] = 1e-5
+            slope = (loss(**{name: p + step}) - loss(**{name: p - step})) / 2e-5
+            if abs(slope) > 1e-6:
+                assert np.sign(q[i] - p[i]) == -np.sign(slope), (name, i)
