@@ -5,19 +5,22 @@ lies in a window whose words also start earlier: in a document with a smaller id
 or earlier in the same document (windows are judged on the input).
 
 1. Documents are dealt to chunks.  In each window the least hash of its runs of
-   ``RUN`` words is its anchor; equal windows have equal anchors.  Windows next to
-   each other with the same anchor form a segment.
-2. The anchors are counted over all chunks (``counting``).  An anchor met once
-   belongs to no repeated window; segments of the others go to the shard of their anchor.
-   An anchor met more than ``HOT`` times would make its shard grow with the corpus: its windows go by their own
-   128-bit hashes instead, each different one once from a chunk with its first place there (the chunk flags the
-   others itself), and the shard of a hash flags all but the first of these.
-3. A shard builds a compressed FM-index (BWT in a wavelet matrix) of its different
-   segments, streams the segments through it by backward search, and gets for each
-   position the match length and the rows of its matches.  Matches of ``WINDOW`` words
-   or more are reported: the least (document, position) among the suffixes that share
-   them is the window's first place; all others are flagged.
-4. Chunks get their flagged intervals back and drop the words they cover.
+   ``RUN`` words is its anchor; equal windows have equal anchors.  The anchors are counted over all chunks
+   (``counting``): an anchor met once belongs to no repeated window.
+2. The windows of the other anchors are counted in the same way.  Windows next to each other that are
+   repeated and have the same anchor form a segment, so a passage that many documents share is cut off
+   where it ends and is the same segment in all of them.
+3. A chunk sends each different segment once, with its first place there, to the shard of the anchor; its other
+   occurrences start later and are flagged as a whole.
+4. A shard takes its different segments by first place, in parts.  Each part is streamed through
+   the compressed FM-indexes (BWT in a wavelet matrix) of the parts before it: backward search gives the matching
+   statistics, and where they reach ``WINDOW`` words, the interval's least place is where the window comes first.
+   The stretches that are not found there make the part's own index, and are streamed through it.
+   All windows after their first place are flagged.
+5. Chunks get their flagged intervals back and drop the words they cover.
+
+No step depends on how often an anchor is met.  A shard grows with the different repeated segments of its anchors, and with
+one row per chunk for a segment that is met everywhere.
 
 Equal texts are aggregated before: only the first document with a text is
 streamed.  Each window of the others starts earlier in that one.
@@ -34,6 +37,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +46,10 @@ from aloft.llm.counting import REQUEST, answered, requests, totals
 from aloft.llm.fm_index import FmIndex, matching_statistics
 
 WINDOW, RUN = 20, 6
-HOT = 256
+PART_WORDS = 1 << 18                            # words of a shard that are indexed together
 NULL_ID = np.iinfo(np.int64).max
-SEGMENT, FIRST, FLAGGED = range(3)              # kinds of rows that a chunk sends
+SEGMENT, FLAGGED = range(2)                     # kinds of rows that a chunk sends
+ANSWER = "round int, bucket int, answered binary, totals binary"
 SEGMENTS = "shard int, chunk int, kind int, ids binary, tids binary, doc binary, start binary, windows binary, words binary"
 FLAGS = "chunk int, ids binary, tids binary, doc binary, start binary, length binary"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -118,76 +123,85 @@ def _ranks(ids: np.ndarray, tids: np.ndarray) -> np.ndarray:
     return np.unique(every, axis=0, return_inverse=True)[1].ravel()
 
 
-def _least(key: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Which places are the least of their key (keys: two columns)."""
-    order = np.lexsort((place, key[:, 1], key[:, 0]))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (key[order[1:]] != key[order[:-1]]).any(axis=1)
-    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    out = np.zeros(len(order), dtype=bool)
-    out[order] = place[order] == place[order[head]]
-    return out
+def _again(s: _Segments, side: pa.Table, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows whose anchors are repeated: segment, place in the text, begin among all words, hash."""
+    anchors, which = np.unique(s.anchor, return_inverse=True)
+    again, _ = answered(_round(side, 0), anchors, buckets, 1)
+    use = np.flatnonzero(np.isin(which, again))
+    of, place = spans_of(s.windows[use])
+    segment = use[of]
+    at = s.start[segment] + place
+    begin = s.starts[s.doc[segment]] + at
+    return segment, at, begin, Rolling(s.words).run(begin, WINDOW) if len(begin) else np.zeros(0, np.uint64)
 
 
-def _route(shards: int, buckets: int, hot: int):
+def _round(side: pa.Table, k: int) -> pa.Table:
+    return side.filter(pc.fill_null(pc.equal(side.column("round"), k), False))
+
+
+def _windows(buckets: int):
+    def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
+        s = _Chunk(t, side.filter(side.column("round").is_null())).segments(t)
+        keys, counts = np.unique(_again(s, side, buckets)[3], return_counts=True)
+        return pa.Table.from_batches([requests(key[0].as_py(), keys, counts, buckets)])
+    return run
+
+
+def _route(shards: int, buckets: int):
     names = [f.split()[0] for f in SEGMENTS.split(", ")]
     schema = pa.schema([(n, pa.int32() if n in ("shard", "chunk", "kind") else pa.binary()) for n in names])
 
     def run(key, t: pa.Table, side: pa.Table) -> pa.Table:
-        chunk = _Chunk(t, side.filter(side.column("bucket").is_null()))
+        chunk = _Chunk(t, side.filter(side.column("round").is_null()))
         s = chunk.segments(t)
-        anchors, which = np.unique(s.anchor, return_inverse=True)
-        again, total = answered(side.filter(side.column("bucket").is_valid()), anchors, buckets, 1)
-        if not len(again):
+        segment, at, begin, h = _again(s, side, buckets)
+        keys, which = np.unique(h, return_inverse=True)
+        use = np.flatnonzero(np.isin(which, answered(_round(side, 1), keys, buckets, 1)[0]))
+        if not len(use):
             return schema.empty_table()
+        segment, at, begin = segment[use], at[use], begin[use]
+        new = np.ones(len(use), dtype=bool)
+        new[1:] = (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + 1)
+        head = np.flatnonzero(new)
+        windows = np.diff(np.append(head, len(use)))
+        doc, start, begin, anchor = s.doc[segment[head]], at[head], begin[head], s.anchor[segment[head]]
         ids = np.array([NULL_ID if i is None else i for i in chunk.ids], dtype="<i8")[chunk.rows]
         tids = np.array([np.frombuffer(x, dtype="<u8") for x in chunk.tids]).reshape(-1, 2)[chunk.rows]
+        # the first occurrence of each different segment; the others are repeated as a whole
+        length = windows + WINDOW - 1
+        content = np.column_stack([Rolling(s.words).run(begin, length), Rolling(mix(s.words)).run(begin, length)])
+        order = np.lexsort((start, _ranks(ids, tids)[doc], content[:, 1], content[:, 0]))
+        first = np.ones(len(order), dtype=bool)
+        first[1:] = (content[order[1:]] != content[order[:-1]]).any(axis=1)
         rows = []
 
-        def send(shard: np.ndarray, kind: int, doc: np.ndarray, start: np.ndarray, windows: np.ndarray, words) -> None:
-            order = np.argsort(shard, kind="stable")
-            used, first = np.unique(shard[order], return_index=True)
-            for k, lo, hi in zip(used.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=False):
-                u = order[lo:hi]
+        def send(shard: np.ndarray, kind: int, of: np.ndarray, words) -> None:
+            of = of[np.argsort(shard[of], kind="stable")]
+            used, head = np.unique(shard[of], return_index=True)
+            for k, lo, hi in zip(used.tolist(), head.tolist(), [*head[1:].tolist(), len(of)], strict=False):
+                u = of[lo:hi]
                 docs, local = np.unique(doc[u], return_inverse=True)
                 rows.append((k, key[0].as_py(), kind, ids[docs].tobytes(), tids[docs].tobytes(), local.astype("<i4").tobytes(),
                              start[u].astype("<i4").tobytes(), windows[u].astype("<i4").tobytes(), words(u).astype("<u8").tobytes()))
 
-        often = total[:, 0] > hot
-        use = np.flatnonzero(np.isin(which, again[~often]))
-        doc, start, windows = s.doc[use], s.start[use], s.windows[use]
-
         def words(u: np.ndarray) -> np.ndarray:
-            of, place = spans_of(windows[u] + WINDOW - 1)
-            return s.words[(s.starts[doc[u]] + start[u])[of] + place]
-
-        send((s.anchor[use] % np.uint64(shards)).astype(np.int32), SEGMENT, doc, start, windows, words)
-        use = np.flatnonzero(np.isin(which, again[often]))
-        if len(use):
-            of, place = spans_of(s.windows[use])
-            at_doc, at = s.doc[use][of], s.start[use][of] + place
-            begin = s.starts[at_doc] + at
-            content = np.column_stack([Rolling(s.words).run(begin, WINDOW), Rolling(mix(s.words)).run(begin, WINDOW)])
-            first = _least(content, (_ranks(ids, tids)[at_doc] << 32) | at)
-            u = np.flatnonzero(first)
-            hashes = content[u]
-            send((hashes[:, 0] % np.uint64(shards)).astype(np.int32), FIRST, at_doc[u], at[u], np.ones(len(u), np.int64), lambda v: hashes[v])
-            u = np.flatnonzero(~first)
-            new = np.ones(len(u), dtype=bool)
-            new[1:] = (at_doc[u[1:]] != at_doc[u[:-1]]) | (at[u[1:]] != at[u[:-1]] + 1)
-            head = np.flatnonzero(new)
-            send(np.full(len(head), key[0].as_py() % shards), FLAGGED, at_doc[u[head]], at[u[head]], np.diff(np.append(head, len(u))),
-                 lambda v: np.zeros(0))
+            of, place = spans_of(length[u])
+            return s.words[begin[u][of] + place]
+
+        send((anchor % np.uint64(shards)).astype(np.int32), SEGMENT, order[first], words)
+        send(np.full(len(head), key[0].as_py() % shards), FLAGGED, order[~first], lambda u: np.zeros(0))
         return pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=schema)
     return run
 
 
-def _search(t: pa.Table) -> pa.Table:
-    """One shard: flagged windows as intervals, of all kinds of rows."""
-    kind = t.column("kind").to_numpy()
-    own = {k: t.filter(pa.array(kind == k)) for k in (SEGMENT, FIRST, FLAGGED)}
-    out = [f(own[k]) for k, f in ((SEGMENT, _indexed), (FIRST, _later), (FLAGGED, _told)) if own[k].num_rows]
-    return pa.concat_tables(out)
+def _search(part_words: int):
+    def run(t: pa.Table) -> pa.Table:
+        """One shard: flagged windows as intervals, of both kinds of rows."""
+        kind = t.column("kind").to_numpy()
+        own = {k: t.filter(pa.array(kind == k)) for k in (SEGMENT, FLAGGED)}
+        out = [_told(own[FLAGGED])] if own[FLAGGED].num_rows else []
+        return pa.concat_tables([*out, _indexed(own[SEGMENT], part_words)] if own[SEGMENT].num_rows else out)
+    return run
 
 
 def _told(t: pa.Table) -> pa.Table:
@@ -196,22 +210,50 @@ def _told(t: pa.Table) -> pa.Table:
     return t.select(["chunk", "ids", "tids", "doc", "start"]).append_column("length", pa.array(length, pa.binary()))
 
 
-def _later(t: pa.Table) -> pa.Table:
-    """All but the first place of each window, out of the chunks' first places."""
-    ids, tids, doc, start, key = ([np.frombuffer(x, kind) for x in t.column(name).to_pylist()] for name, kind in (
-        ("ids", "<i8"), ("tids", "<u8"), ("doc", "<i4"), ("start", "<i4"), ("words", "<u8")))
-    offset = np.cumsum([0, *(len(i) for i in ids)])[:-1]
-    size = [len(d) for d in doc]
-    place = (_ranks(np.concatenate(ids), np.concatenate(tids))[np.repeat(offset, size) + np.concatenate(doc)] << 32) | np.concatenate(start)
-    late = np.split(~_least(np.concatenate(key).reshape(-1, 2), place), np.cumsum(size)[:-1])
-    return pa.Table.from_arrays([
-        t.column("chunk"), t.column("ids"), t.column("tids"), pa.array([d[x].tobytes() for d, x in zip(doc, late, strict=True)], pa.binary()),
-        pa.array([a[x].tobytes() for a, x in zip(start, late, strict=True)], pa.binary()),
-        pa.array([np.full(x.sum(), WINDOW, "<i4").tobytes() for x in late], pa.binary())], names=["chunk", "ids", "tids", "doc", "start", "length"])
-
-
-def _indexed(t: pa.Table) -> pa.Table:
-    """FM-index of its different segments, matching statistics, flagged windows as intervals."""
+def first_places(symbols: np.ndarray, size: np.ndarray, first: np.ndarray, part_words: int) -> np.ndarray:
+    """For each window of different segments (runs of ``symbols`` of the given sizes, each at a place of its own): the least place
+    at which it starts.  Segments are taken by place in parts (two at least); see the module's step 4."""
+    begin, n_windows = np.cumsum(size) - size, size - WINDOW + 1
+    base = np.cumsum(n_windows) - n_windows
+    found = np.full(int(n_windows.sum()), -1, dtype=np.int64)
+    order = np.argsort(first, kind="stable")
+    before = np.cumsum(size[order]) - size[order]
+    parts = max(2, -(-int(size.sum()) // part_words))
+    part = before * parts // int(size.sum())
+    indexes: list[FmIndex] = []
+
+    def stream(index: FmIndex, at: np.ndarray, length: np.ndarray, window: np.ndarray) -> None:
+        of, place = spans_of(length)
+        for run, position, _, low, _ in matching_statistics(index, symbols[at[of] + place], length, WINDOW):
+            found[window[run] + position] = index.first_place(low)
+
+    def missing(seg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Stretches of windows not found yet: begin among the symbols, length, first window, place."""
+        of, j = spans_of(n_windows[seg])
+        open_ = found[base[seg][of] + j] < 0
+        of, j = of[open_], j[open_]
+        new = np.ones(len(of), dtype=bool)
+        new[1:] = (of[1:] != of[:-1]) | (j[1:] != j[:-1] + 1)
+        head = np.flatnonzero(new)
+        s, j = seg[of[head]], j[head]
+        return begin[s] + j, np.diff(np.append(head, len(of))) + WINDOW - 1, base[s] + j, first[s] + j
+
+    for p in range(parts):
+        seg = order[part == p]
+        for index in indexes:
+            at, length, window, _ = missing(seg)
+            if len(at):
+                stream(index, at, length, window)
+        at, length, window, place = missing(seg)
+        if len(at):
+            of, j = spans_of(length)
+            indexes.append(FmIndex(symbols[at[of] + j], length, WINDOW, place[of] + j))
+            stream(indexes[-1], at, length, window)
+    return found
+
+
+def _indexed(t: pa.Table, part_words: int) -> pa.Table:
+    """First places of the windows of its different segments, flagged windows as intervals."""
     def numbers(name: str, kind: str) -> list[np.ndarray]:
         return [np.frombuffer(x, dtype=kind) for x in t.column(name).to_pylist()]
 
@@ -231,19 +273,9 @@ def _indexed(t: pa.Table) -> pa.Table:
     size = length[sample]
     of, place = spans_of(size)
     symbols = words[begin[sample][of] + place]
-    index = FmIndex(symbols, size, WINDOW)
-    # the first place of each class of suffixes that share a window
-    ends = np.cumsum(size + 1)
-    segment = np.searchsorted(ends, index.suffixes, side="right")
-    at = index.suffixes - (ends - size - 1)[segment]
-    least = np.full(int(index.match_class[-1]) + 1, np.iinfo(np.int64).max)
-    whole = at + WINDOW <= size[segment]
-    np.minimum.at(least, index.match_class[whole], (first[segment] + at)[whole])
+    place_of = first_places(symbols, size, first, part_words)
     n_windows = size - WINDOW + 1
     base = np.cumsum(n_windows) - n_windows
-    place_of = np.zeros(int(n_windows.sum()), dtype=np.int64)
-    for run, position, _, low, _ in matching_statistics(index, symbols, size, WINDOW):
-        place_of[base[run] + position] = least[index.match_class[low]]
     # every occurrence of every segment against the first places
     occ, j = spans_of(windows)
     late = own[occ] + j > place_of[base[kind][occ] + j]
@@ -296,7 +328,7 @@ def _remove(key, t: pa.Table, side: pa.Table) -> pa.Table:
         names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
-def _routed(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, hot: int):
+def _routed(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int):
     """What the chunks send to the shards (see SEGMENTS), the texts by chunk, and what makes the other side of a cogroup with them."""
     texts, n = chunked(docs, id_col, text_col, chunk_bytes)
     # the first document of each text: the others are wholly repeated
@@ -314,13 +346,16 @@ def _routed(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, hot:
     by_chunk = texts.groupBy("chunk")
     buckets = max(1, n // 4)
     sent = by_chunk.cogroup(side("bucket int")).applyInArrow(_anchors(buckets), REQUEST)
-    again = totals(sent, _repeated).where("chunk >= 0")
-    segments = by_chunk.cogroup(side("bucket int, answered binary, totals binary", again)).applyInArrow(_route(n, buckets, hot), SEGMENTS)
+    anchors = totals(sent, _repeated).where("chunk >= 0").withColumn("round", F.lit(0))
+    sent = by_chunk.cogroup(side(ANSWER, anchors)).applyInArrow(_windows(buckets), REQUEST)
+    windows = totals(sent, _repeated).where("chunk >= 0").withColumn("round", F.lit(1))
+    segments = by_chunk.cogroup(side(ANSWER, anchors.unionByName(windows))).applyInArrow(_route(n, buckets), SEGMENTS)
     return segments, by_chunk, side
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = 4 << 20,
+                   part_words: int = PART_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
-    segments, by_chunk, side = _routed(docs, id_col, text_col, chunk_bytes, hot)
-    flags = segments.groupBy("shard").applyInArrow(_search, FLAGS)
+    segments, by_chunk, side = _routed(docs, id_col, text_col, chunk_bytes)
+    flags = segments.groupBy("shard").applyInArrow(_search(part_words), FLAGS)
     return by_chunk.cogroup(side("ids binary, tids binary, doc binary, start binary, length binary", flags)).applyInArrow(_remove, RESULT)
