@@ -8,7 +8,8 @@ shared vocabulary: every word of the corpus, and one place for words unseen.
     P(w | h) = (c(h w) + m * U(w)) / (c(h) + m),    U(w) = (c(w) + a) / (N + a (V + 1))
 
 A document's own counts are taken out of each model that counted it, so a
-document is not scored by itself.  Its score is the mean over its words of
+document is not scored by itself; those of its copies stay in, as they are documents of their own, so a text that comes twice
+has a low loss under each model that counted the other copy.  Its score is the mean over its words of
 loss under the target minus loss under the background (nats): the lower, the
 closer to the target.  The first word of a text follows a start mark.
 
@@ -18,17 +19,17 @@ cannot know by itself.  No table of the vocabulary or the pairs exists in one pl
 
 Odd input: a null or empty text has no words and null losses; a null id is scored and
 never in the target; repeated rows count as often as they come and get equal scores; without a
-target, its model is flat; an empty table gives an empty result; other columns are ignored.
+target, its model is flat; any number of texts may share an id, or have none; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import Rolling, Words, text_id
+from aloft.llm.common import Rolling, Words, chunk_of
 from aloft.llm.counting import REQUEST, answered, key_bits, requests, totals
 
 _START = np.uint64(0x5BD1E995A7C3F00D)
@@ -127,13 +128,11 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n, bits = max(1, -(-total // chunk_bytes)), key_bits(total)
 
-    def chunk(spread: Column) -> Column:
-        return F.pmod(F.xxhash64(F.lit(13), spread), F.lit(n)).cast("int").alias("chunk")
-
-    # by id, so that labels find their documents; documents without an id are spread by their texts
-    texts = d.select("doc_id", "text", chunk(F.coalesce(F.col("doc_id"), F.xxhash64(text_id())))).groupBy("chunk")
-    wanted = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    wanted = wanted.select(chunk(F.col("doc_id")), F.col("doc_id").alias("doc_id"))
+    # by id and text: the texts under one id, or under none, are spread; labels go to the chunks that have their id
+    d = d.withColumn("chunk", chunk_of(n))
+    texts = d.select("doc_id", "text", "chunk").groupBy("chunk")
+    target = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    wanted = d.where("doc_id is not null").select(F.col("chunk").alias("chunk"), F.col("doc_id").alias("doc_id")).distinct().join(target, "doc_id", "left_semi").select("chunk", "doc_id")
     buckets = max(1, n // 2)
     sent = texts.cogroup(wanted.groupBy("chunk")).applyInArrow(_count(buckets, bits), REQUEST)
     back = totals(sent, _differs, 1 << (64 - bits), int(_key(_START, bits, True)))

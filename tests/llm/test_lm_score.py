@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from corpus import corpus, frame
 
+from aloft.llm.common import chunk_of
 from aloft.llm.lm_score import cross_entropy_difference
 
 
@@ -46,6 +47,17 @@ def test_matches_plain_models(spark, chunk_bytes, target):
             assert r["score"] == pytest.approx(t - b, abs=1e-5)
 
 
+def test_many_texts_under_one_id_and_under_none(spark):
+    rows = [(7 if k % 2 else None, f"w{k % 50} v{k % 7} u{k}", "en", "s", 1, 1, "", "", "", "", "") for k in range(5000)]
+    docs = frame(spark, rows)
+    chunks = docs.groupBy(chunk_of(20).alias("chunk"), "doc_id").count().collect()
+    assert len(chunks) == 40 and max(r["count"] for r in chunks) < 250
+    ids = spark.createDataFrame([(7,)], "doc_id long")
+    got = {chunk_bytes: sorted((r["doc_id"] or 0, r["n_words"], round(r["target_loss"], 9), round(r["background_loss"], 9)) for r in
+                               cross_entropy_difference(docs, ids, chunk_bytes=chunk_bytes).collect()) for chunk_bytes in (4000, 4 << 20)}
+    assert len(got[4000]) == 5000 and got[4000] == got[4 << 20]      # the chunks don't show in the scores
+
+
 def test_empty(spark):
     ids = spark.createDataFrame([], "doc_id long")
     assert cross_entropy_difference(frame(spark, []), ids).count() == 0
