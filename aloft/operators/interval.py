@@ -33,9 +33,14 @@ def _bin(ts: Column, width_us: int) -> Column:
     return floor_div(epoch_micros(ts), width_us)
 
 
+def bin_of(ts: str, bin_width: str = "1 hour") -> Column:
+    """The time bin of a clock: stored beside it, tables can be bucketed on (key, bin) for ``interval_join``."""
+    return _bin(F.col(ts), interval_us(bin_width))
+
+
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_ts: str, right_ts: str, lo: str = "-3 hours", hi: str = "-2 hours",
-                  closed: str = "none", bin_width: str = "1 hour") -> DataFrame:
+                  closed: str = "none", bin_width: str = "1 hour", right_bin: str | None = None) -> DataFrame:
     """Pairs with equal keys and ``left_ts + lo <(=) right_ts <(=) left_ts + hi``.
 
     ``closed`` in {"none", "left", "right", "both"} says which window ends
@@ -43,6 +48,8 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     dropped from the output (it equals the left key); other right columns
     must not share names with left columns.  Any ``bin_width`` gives the
     same result; the window width keeps it at two bins per left row.
+    ``right_bin`` names a column of ``right`` that holds ``bin_of(right_ts, bin_width)``, so that a table
+    bucketed on (key, bin) is read without an exchange; it is dropped from the output.
     """
     if closed not in ("none", "left", "right", "both"):
         raise ValueError("closed must be none|left|right|both")
@@ -55,7 +62,8 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
         (set(left.columns) & set(right.columns)) - {left_key}
     if clash:
         raise ValueError(f"rename right columns first; shared names: {sorted(clash)}")
-    rb = right.withColumn("__rbin", _bin(F.col(right_ts), width)).withColumnRenamed(right_key, "__rkey")
+    binned = right.withColumn("__rbin", _bin(F.col(right_ts), width)) if right_bin is None else right.withColumnRenamed(right_bin, "__rbin")
+    rb = binned.withColumnRenamed(right_key, "__rkey")
     r = F.col(right_ts)
     lower = (r >= start) if closed in ("left", "both") else (r > start)
     upper = (r <= end) if closed in ("right", "both") else (r < end)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from aloft.functions import clock, decode, flags
 from aloft.operators import clean, enrich, interval, nearest, sequence, summarize, traffic
-from aloft.sources.io import stage
+from aloft.sources.io import stage, stage_bucketed
 
 
 @dataclass(frozen=True)
@@ -53,6 +53,7 @@ class ObsSpec:
 NEAREST_K = 3
 NEAREST_MAX_KM = 30.0
 WINDOW_LO, WINDOW_HI = "-3 hours", "-2 hours"
+BIN = "READING_BIN"                             # hours of the readings, stored to bucket the weather
 TRAFFIC_LAG = "2 hours"
 NUMERIC_WEATHER = ("WindAngle", "WindSpeed", "VerticalVisibility", "Visibility", "Temperature",
                    "DewPointTemp", "SeaLevelPressure", "CloudHeight")
@@ -130,14 +131,18 @@ def clean_observations(obs: DataFrame, s: ObsSpec, countries: Sequence[str] = de
 
 def weather_for_flights(flights: DataFrame, weather: DataFrame, places: DataFrame,
                         measure_scale: int | None = 1) -> DataFrame:
-    """Readings of the <= 3 nearest stations in the window before each flight, summarised per flight."""
+    """Readings of the <= 3 nearest stations in the window before each flight, summarised per flight.
+
+    ``flights`` bucketed on FLIGHT_IDX and ``weather`` bucketed on (STATION_ID, READING_BIN) are read without an exchange;
+    ``weather`` without READING_BIN gets its bins here."""
     stations = weather.select("STATION_ID", "STATION_LAT", "STATION_LON")
     near = nearest.nearest_k(places, stations, "IATA", "Latitude", "Longitude",
                              "STATION_ID", "STATION_LAT", "STATION_LON", k=NEAREST_K, max_km=NEAREST_MAX_KM)
     fl = flights.select("FLIGHT_IDX", F.col("ORIGIN").alias("IATA"), "CRS_DEP_UTC").join(near.select("IATA", "STATION_ID"), "IATA", "inner")
-    readings = weather.select(F.col("STATION_ID").alias("R_STATION"), "READING_TS", *NUMERIC_WEATHER, *MODE_WEATHER)
+    bins = [BIN] if BIN in weather.columns else []
+    readings = weather.select(F.col("STATION_ID").alias("R_STATION"), "READING_TS", *bins, *NUMERIC_WEATHER, *MODE_WEATHER)
     m = interval.interval_join(fl, readings, "STATION_ID", "R_STATION", "CRS_DEP_UTC", "READING_TS",
-                               lo=WINDOW_LO, hi=WINDOW_HI)
+                               lo=WINDOW_LO, hi=WINDOW_HI, right_bin=BIN if bins else None)
     per = summarize.summarize(m, "FLIGHT_IDX", means=list(NUMERIC_WEATHER), modes=list(MODE_WEATHER), scale=measure_scale)
     return summarize.attach(flights, per, "FLIGHT_IDX")
 
@@ -162,11 +167,13 @@ def feature_table(flights: DataFrame, obs: DataFrame, places: DataFrame, state_t
     by two or more later steps, so they are written as Parquet under the shared
     checkpoint folder and read again (a lost executor re-reads instead of
     recomputing; pruning and pushdown still apply); ``stages=False`` keeps one lazy plan.
+    Prepared flights and weather are bucketed on the keys of the joins that follow.
     """
     keep = stage if stages else (lambda df: df)
+    bucketed = stage_bucketed if stages else (lambda df, keys: df)
     done = keep(completed_flights(flights, fspec))
-    f = keep(prepare_flights(done, fspec, places, state_tz, city_tz))
-    w = keep(clean_observations(obs, ospec))
+    f = bucketed(prepare_flights(done, fspec, places, state_tz, city_tz), ["FLIGHT_IDX"])
+    w = bucketed(clean_observations(obs, ospec).withColumn(BIN, interval.bin_of("READING_TS")), ["STATION_ID", BIN])
     j = keep(weather_for_flights(f, w, places, ospec.measure_scale))
     return finish(j)
 

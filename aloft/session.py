@@ -82,6 +82,9 @@ def clear_scratch(spark: SparkSession) -> int:
     each query, a pipeline's owner after its last read."""
     context, done = spark.sparkContext, len(_SCRATCH)
     while _SCRATCH:
-        path = context._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        name = _SCRATCH.pop()
+        if "/aloft-bucketed-" in name:
+            spark.sql(f"DROP TABLE IF EXISTS {name.rsplit('/', 1)[-1].replace('-', '_')}")
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
     return done

@@ -6,6 +6,7 @@ from aloft.functions.clock import hour_start
 from aloft.operators import interval, nearest
 from aloft.plans import bindings as b
 from aloft.plans import flight_study as fs
+from aloft.sources.io import clear_stages, stage, stage_bucketed
 from conftest import SF_SMALL
 
 
@@ -77,3 +78,57 @@ def test_weather_matches_per_flight_are_bounded(spark):
     assert 0 < per_flight <= fs.NEAREST_K * 2 * per_hour
     joined = fs.weather_for_flights(f, w, places)
     assert joined.count() == f.count()                                      # attach is a left join
+
+
+def test_bucketed_stages_are_read_without_an_exchange(spark):
+    tb = fs.TestBinding()
+    places = b.study_places(spark, SF_SMALL)
+    f = fs.prepare_flights(fs.completed_flights(b.study_flights(spark, SF_SMALL), tb.fspec), tb.fspec, places, *_zones(spark))
+    w = fs.clean_observations(b.study_observations(spark, SF_SMALL), tb.ospec)
+    binned = w.withColumn(fs.BIN, interval.bin_of("READING_TS"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    held = {k: spark.conf.get(k) for k in conf}
+    plain = fs.weather_for_flights(stage(f), stage(w), places)
+    bucketed = fs.weather_for_flights(stage_bucketed(f, ["FLIGHT_IDX"]), stage_bucketed(binned, ["STATION_ID", fs.BIN]), places)
+    assert bucketed.columns == plain.columns
+    assert bucketed.exceptAll(plain).count() == 0 and plain.exceptAll(bucketed).count() == 0
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = [fs.weather_for_flights(stage_bucketed(f, ["FLIGHT_IDX"]), stage_bucketed(binned, ["STATION_ID", fs.BIN]), places),
+                fs.weather_for_flights(stage(f), stage(w), places)]
+        wide = [p._jdf.queryExecution().executedPlan().toString() for p in plan]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    # the wide sides: attaching to the flights, and the readings of a station's hour
+    sides = [_exchanged(p, "TAIL_NUM") + _exchanged(p, "READING_TS") for p in wide]
+    assert sides == [0, 2], wide
+
+
+def _exchanged(plan: str, column: str) -> int:
+    """Exchanges right above a scan of ``column`` (with only projections, filters and sorts between)."""
+    found, above = 0, ""
+    for line in plan.splitlines():
+        node = line.lstrip(" :+-*()0123456789")
+        if node.startswith("Exchange"):
+            above = node
+        elif node.startswith("FileScan"):
+            found += bool(above) and column in node
+            above = ""
+        elif not node.startswith(("Project", "Filter", "Sort ", "ColumnarToRow", "Generate")):
+            above = ""
+    return found
+
+
+def test_bucketed_stage(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    t = stage_bucketed(ev, ["user_id", "event_type"], 4)
+    assert t.count() == ev.count() and t.select(*ev.columns).exceptAll(ev).count() == 0
+    assert len(t.inputFiles()) <= 4
+    counted = t.groupBy("event_type", "user_id").count()
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    empty = stage_bucketed(ev.where("false"), ["user_id"])
+    assert empty.count() == 0 and empty.columns == ev.columns
+    before = spark.sql("show tables like 'aloft_bucketed*'").count()
+    assert before >= 2 and clear_stages(spark) >= 2 and spark.sql("show tables like 'aloft_bucketed*'").count() == 0
