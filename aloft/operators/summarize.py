@@ -181,7 +181,8 @@ def impute_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], pro
     NaN), which a later ``drop_null`` removes.
     """
     stats = group_percentile(df, keys, cols, prob, stat_suffix)
-    stats = stats.select(_group(list(keys)).alias("__g"), *[c + stat_suffix for c in cols])
+    # written (its parts are, already): the planner knows its size and does not shuffle the rows for a small one
+    stats = stage(stats.select(_group(list(keys)).alias("__g"), *[c + stat_suffix for c in cols]))
     out = df.withColumn("__g", _group(list(keys))).join(stats, on="__g", how="left").drop("__g")
     present = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
     out = out.withColumns({c + suffix: F.coalesce(present(c), F.col(c + stat_suffix)) for c in cols})

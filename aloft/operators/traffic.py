@@ -10,7 +10,7 @@ event-to-event window join the authors rejected (~20x rows) never happens.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +40,8 @@ def hourly_rate(df: DataFrame, place: str, ts: str, flag: str,
 def with_lagged_rate(df: DataFrame, place: str, ts: str, flag: str,
                      means: Mapping[str, str] | None = None, lag: str = "2 hours",
                      count_name: str = "HOURLY_NUM", flagged_name: str = "HOURLY_NUM_FLAGGED",
-                     rate_name: str = "HOURLY_RATE", scale: int | None = None, of: DataFrame | None = None) -> DataFrame:
+                     rate_name: str = "HOURLY_RATE", scale: int | None = None, of: DataFrame | None = None,
+                     keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Attach to every event the traffic of its place ``lag`` earlier.
 
     The traffic is that of the events ``of`` (default: of ``df`` itself): pass
@@ -49,9 +50,11 @@ def with_lagged_rate(df: DataFrame, place: str, ts: str, flag: str,
     Left outer join on (place, hour): the row count of ``df`` is unchanged
     and events whose earlier hour had no traffic get nulls.  Both sides are
     shuffled on (place, hour), which spreads a hot place over its hours.
+    ``keep`` (``sources.io.stage``) writes the traffic, so that the planner knows
+    its size and moves the events only if it is too large to broadcast.
     """
     rate = hourly_rate(df if of is None else of, place, ts, flag, means, lag=lag, bucket="__hour",
                        count_name=count_name, flagged_name=flagged_name, rate_name=rate_name, scale=scale)
     return (df.withColumn("__hour", hour_start(ts))
-            .join(rate, on=[place, "__hour"], how="left")
+            .join(keep(rate), on=[place, "__hour"], how="left")
             .drop("__hour"))

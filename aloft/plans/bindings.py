@@ -129,7 +129,7 @@ def study_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     ahead = lambda m: F.timestamp_add("MINUTE", m, F.col("ts"))
     elapsed = 10 + F.pmod(i * 7, F.lit(150))
     dep, arr = (late - 20).cast("double"), (late * 2 - 85 - F.pmod(i, F.lit(9))).cast("double")
-    hour = F.hour("ts")
+    hour = F.lpad(F.hour("ts").cast("string"), 2, "0")
     return ev.select(
         i.alias("FLIGHT_IDX"), F.year("ts").alias("YEAR"), F.quarter("ts").alias("QUARTER"), F.month("ts").alias("MONTH"),
         F.dayofmonth("ts").alias("DAY_OF_MONTH"), (F.weekday("ts") + 1).alias("DAY_OF_WEEK"), F.to_date("ts").cast("string").alias("FL_DATE"),
@@ -141,7 +141,7 @@ def study_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         _hhmm("ts").alias("CRS_DEP_TIME"), F.when(i % 37 != 0, _hhmm(ahead(late - 20))).alias("DEP_TIME"),
         _hhmm(ahead(elapsed)).alias("CRS_ARR_TIME"), _hhmm(ahead(elapsed + late)).alias("ARR_TIME"),
         F.when(i % 41 != 0, dep).alias("DEP_DELAY"), F.greatest(dep, F.lit(0.0)).alias("DEP_DELAY_NEW"), (dep >= 60).cast("int").alias("DEP_DEL15"),
-        F.format_string("%02d00-%02d59", hour, hour).alias("DEP_TIME_BLK"), elapsed.cast("double").alias("CRS_ELAPSED_TIME"),
+        F.concat(hour, F.lit("00-"), hour, F.lit("59")).alias("DEP_TIME_BLK"), elapsed.cast("double").alias("CRS_ELAPSED_TIME"),
         arr.alias("ARR_DELAY"), F.greatest(arr, F.lit(0.0)).alias("ARR_DELAY_NEW"), F.when(i % 43 != 0, (arr >= 60).cast("int")).alias("ARR_DEL15"),
         F.when(i % 30 == 0, 1.0).otherwise(0.0).alias("CANCELLED"))
 

@@ -16,7 +16,7 @@ the station records.  The stages are materialised with ``sources.io.stage``
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -90,28 +90,33 @@ TRIMS = {"PREV_CRS_ELAPSED_TIME": (18, None), "CRS_ELAPSED_TIME": (18, None), "P
 def completed_flights(flights: DataFrame, s: FlightSpec = FlightSpec()) -> DataFrame:
     """Completed flights with their local clocks."""
     f = clean.completed_events(flights, s.completed).withColumn("FLIGHT_IDX", F.col(s.key))
-    f = f.withColumns({ts: clock.hhmm_to_ts("YEAR", "MONTH", "DAY_OF_MONTH", hhmm, s.rollover) for hhmm, ts in CLOCKS.items()})
-    return f.select(*FLIGHT_COLUMNS, *CLOCKS.values())
+    # one lambda for the four clocks: written out four times they make a method too long for the JIT
+    local = F.transform(F.array(*[F.col(c).cast("string") for c in CLOCKS]),
+                        lambda hhmm: clock.hhmm_to_ts(F.col("YEAR"), F.col("MONTH"), F.col("DAY_OF_MONTH"), hhmm, s.rollover))
+    f = f.select(*FLIGHT_COLUMNS, local.alias("__local"))
+    return f.withColumns({ts: F.get("__local", F.lit(i)) for i, ts in enumerate(CLOCKS.values())}).drop("__local")
 
 
 def prepare_flights(done: DataFrame, s: FlightSpec, places: DataFrame, state_tz: DataFrame,
-                    city_tz: DataFrame | None = None) -> DataFrame:
+                    city_tz: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Completed flights with predecessor, ground time, lagged traffic, place position and UTC clock.
 
     The traffic counts all completed flights, those without a predecessor or a tail number too.
-    ``places``: IATA, Latitude, Longitude, Altitude (text or numbers)."""
+    ``places``: IATA, Latitude, Longitude, Altitude (text or numbers).  ``keep`` (``stage``) writes the tables looked up, so
+    that the planner knows their size and does not shuffle the flights for a small one.  An aircraft is split by days:
+    by hours nearly every flight is a segment of its own, and the table of segments is as large as the flights."""
     f = sequence.with_previous(done, "TAIL_NUM", list(s.order), list(CARRIED), prefix="PREV_", ties=s.ties,
-                               tie_break=["FLIGHT_IDX"] if s.ties == "one" else None)
+                               tie_break=["FLIGHT_IDX"] if s.ties == "one" else None, split="day")
     gap = clock.minutes_between("CRS_DEP_LOCAL", "PREV_DEP_LOCAL")
     f = f.withColumn("PREV_DEP_TO_CURR_CRSDEP", gap).withColumn("PREP_TIME", gap - F.col("PREV_CRS_ELAPSED_TIME"))
     f = traffic.with_lagged_rate(f, "ORIGIN", "CRS_DEP_LOCAL", "DEP_DEL15",
                                  {"DEP_DELAY": "HOURLY_MINUTE_OF_DELAY", "DEP_DELAY_NEW": "HOURLY_MINUTE_OF_DELAY_NEW"},
                                  lag=TRAFFIC_LAG, count_name="HOURLY_NUM_OF_FLIGHTS", flagged_name="HOURLY_NUM_OF_DELAY",
-                                 rate_name="HOURLY_DELAY_RATE", scale=s.delay_scale, of=done)
+                                 rate_name="HOURLY_DELAY_RATE", scale=s.delay_scale, of=done, keep=keep)
     where = places.select(F.col("IATA").alias("ORIGIN"), F.col("Latitude").try_cast("double").alias("AIRPORT_LATITUDE"),
                           F.col("Longitude").try_cast("double").alias("AIRPORT_LONGITUDE"),
                           F.col("Altitude").try_cast("double").alias("AIRPORT_ALTITUDE"))
-    f = enrich.lookup(f, where, "ORIGIN", "inner")
+    f = enrich.lookup(f, keep(where), "ORIGIN", "inner")
     f = enrich.attach_timezone(f, "ORIGIN_STATE_ABR", "ORIGIN_CITY_NAME", state_tz, city_tz, out="ORIGIN_TIMEZONE")
     return enrich.with_utc(f, "CRS_DEP_LOCAL", "ORIGIN_TIMEZONE", "CRS_DEP_UTC")
 
@@ -129,22 +134,45 @@ def clean_observations(obs: DataFrame, s: ObsSpec, countries: Sequence[str] = de
                     F.col(s.ts).alias("READING_TS"), *NUMERIC_WEATHER, *MODE_WEATHER)
 
 
-def weather_for_flights(flights: DataFrame, weather: DataFrame, places: DataFrame,
-                        measure_scale: int | None = 1) -> DataFrame:
-    """Readings of the <= 3 nearest stations in the window before each flight, summarised per flight.
+def stations_of(obs: DataFrame, s: ObsSpec, countries: Sequence[str] = decode.DEFAULT_COUNTRIES) -> DataFrame:
+    """The positions of the stations that ``clean_observations`` keeps; the region filter runs once per station, not per reading."""
+    o = obs.select(s.station, s.name, s.lat, s.lon).distinct().where(decode.region_predicate(s.name, countries))
+    return o.select(F.col(s.station).alias("STATION_ID"), F.col(s.lat).try_cast("double").alias("STATION_LAT"),
+                    F.col(s.lon).try_cast("double").alias("STATION_LON"))
+
+
+def near_stations(places: DataFrame, stations: DataFrame) -> DataFrame:
+    """(IATA, STATION_ID): the <= 3 nearest stations of each place."""
+    return nearest.nearest_k(places, stations, "IATA", "Latitude", "Longitude", "STATION_ID", "STATION_LAT", "STATION_LON",
+                             k=NEAREST_K, max_km=NEAREST_MAX_KM).select("IATA", "STATION_ID")
+
 
-    ``flights`` bucketed on FLIGHT_IDX and ``weather`` bucketed on (STATION_ID, READING_BIN) are read without an exchange;
-    ``weather`` without READING_BIN gets its bins here."""
-    stations = weather.select("STATION_ID", "STATION_LAT", "STATION_LON")
-    near = nearest.nearest_k(places, stations, "IATA", "Latitude", "Longitude",
-                             "STATION_ID", "STATION_LAT", "STATION_LON", k=NEAREST_K, max_km=NEAREST_MAX_KM)
-    fl = flights.select("FLIGHT_IDX", F.col("ORIGIN").alias("IATA"), "CRS_DEP_UTC").join(near.select("IATA", "STATION_ID"), "IATA", "inner")
+def weather_by_clock(clocks: DataFrame, weather: DataFrame, near: DataFrame, measure_scale: int | None = 1) -> DataFrame:
+    """Readings of a place's near stations in the window before each (IATA, CRS_DEP_UTC), summarised; clocks without any are left out."""
+    at = clocks.join(near, "IATA", "inner")
     bins = [BIN] if BIN in weather.columns else []
     readings = weather.select(F.col("STATION_ID").alias("R_STATION"), "READING_TS", *bins, *NUMERIC_WEATHER, *MODE_WEATHER)
-    m = interval.interval_join(fl, readings, "STATION_ID", "R_STATION", "CRS_DEP_UTC", "READING_TS",
+    m = interval.interval_join(at, readings, "STATION_ID", "R_STATION", "CRS_DEP_UTC", "READING_TS",
                                lo=WINDOW_LO, hi=WINDOW_HI, right_bin=BIN if bins else None)
-    per = summarize.summarize(m, "FLIGHT_IDX", means=list(NUMERIC_WEATHER), modes=list(MODE_WEATHER), scale=measure_scale)
-    return summarize.attach(flights, per, "FLIGHT_IDX")
+    return summarize.summarize(m, ["IATA", "CRS_DEP_UTC"], means=list(NUMERIC_WEATHER), modes=list(MODE_WEATHER), scale=measure_scale)
+
+
+def weather_for_flights(flights: DataFrame, weather: DataFrame, places: DataFrame, measure_scale: int | None = 1,
+                        near: DataFrame | None = None, key: str | None = "FLIGHT_IDX",
+                        keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Readings of the <= 3 nearest stations in the window before each flight, summarised per flight.
+
+    The summary is a function of the place and the clock, so it is made once for each of these and attached to
+    the flights: through ``key`` (``flights`` bucketed on it are read without an exchange) or, with None, by place and clock.
+    ``weather`` bucketed on (STATION_ID, READING_BIN) is read without an exchange; without READING_BIN it gets its bins here.
+    ``near``: the stations of each place, where they are known already.  ``keep``: as in ``prepare_flights``."""
+    near = near_stations(places, weather.select("STATION_ID", "STATION_LAT", "STATION_LON")) if near is None else near
+    at = ["ORIGIN", "CRS_DEP_UTC"]
+    clocks = flights.select(*at).distinct().withColumnRenamed("ORIGIN", "IATA")
+    per = keep(weather_by_clock(clocks, weather, near, measure_scale).withColumnRenamed("IATA", "ORIGIN"))
+    if key is not None:
+        per = flights.select(key, *at).join(per, at, "inner").drop(*at)
+    return summarize.attach(flights, per, at if key is None else key).select(*flights.columns, *NUMERIC_WEATHER, *MODE_WEATHER)
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -163,18 +191,22 @@ def feature_table(flights: DataFrame, obs: DataFrame, places: DataFrame, state_t
                   ospec: ObsSpec = ObsSpec(), stages: bool = True) -> DataFrame:
     """The whole ETL: one row per kept flight with the columns of ``FINAL``.
 
-    Completed flights, prepared flights, cleaned weather and the joined table are each read
+    Completed flights, prepared flights and the joined table are each read
     by two or more later steps, so they are written as Parquet under the shared
     checkpoint folder and read again (a lost executor re-reads instead of
     recomputing; pruning and pushdown still apply); ``stages=False`` keeps one lazy plan.
-    Prepared flights and weather are bucketed on the keys of the joins that follow.
+    Tables that wide ones are joined with are written too: their size is then known to the planner.
+    The near stations are found first, so only readings that a place can use are decoded and moved; these
+    are bucketed on the keys of the join that follows.
     """
     keep = stage if stages else (lambda df: df)
     bucketed = stage_bucketed if stages else (lambda df, keys: df)
     done = keep(completed_flights(flights, fspec))
-    f = bucketed(prepare_flights(done, fspec, places, state_tz, city_tz), ["FLIGHT_IDX"])
-    w = bucketed(clean_observations(obs, ospec).withColumn(BIN, interval.bin_of("READING_TS")), ["STATION_ID", BIN])
-    j = keep(weather_for_flights(f, w, places, ospec.measure_scale))
+    f = keep(prepare_flights(done, fspec, places, state_tz, city_tz, keep))
+    near = keep(near_stations(places, keep(stations_of(obs, ospec))))
+    usable = obs.join(near.select(F.col("STATION_ID").alias(ospec.station)), ospec.station, "left_semi")
+    w = bucketed(clean_observations(usable, ospec).withColumn(BIN, interval.bin_of("READING_TS")), ["STATION_ID", BIN])
+    j = keep(weather_for_flights(f, w, places, ospec.measure_scale, near, key=None, keep=keep))
     return finish(j)
 
 
