@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from aloft.operators.evaluate import class_metrics, compare_models
 from aloft.operators.features import build_features, class_weights, hash_bucket, split, subsample
 from aloft.session import scratch_path
-from aloft.sources.io import persist
+from aloft.sources.io import persist, stage
 
 
 def logistic(label: str = "label", features: str = "features", weight: str | None = "classWeights",
@@ -146,12 +146,15 @@ def learning_curve(df: DataFrame, label: str, num_cols: Sequence[str], key: str
 
     A short driver loop over fractions (one Spark job chain each); every fit
     and metric stays distributed.  ``seconds`` gets the time of each fit.
+    The rows, each train side and its features are written once: weights, indexer and every pass of the fit read
+    these instead of the source and its hashes.
     """
-    rows = []
+    rows, df = [], stage(df)
     for frac in fracs:
         part = subsample(df, frac, key, seed) if frac < 1.0 else df
         train, test = split(part, key, 80, seed)
-        fm, train_f = build_features(class_weights(train, label), num_cols, cat_cols)
+        fm, train_f = build_features(class_weights(stage(train.select(label, *num_cols, *cat_cols)), label), num_cols, cat_cols)
+        train_f = stage(train_f.select(label, "classWeights", "features"))
         est = make_estimator() if make_estimator else forest(label=label, seed=seed)
         t0 = time.time()
         model = est.fit(train_f)
