@@ -537,9 +537,10 @@ def _model_rows(spark, sf):
 
 
 def _model_input(spark, sf):
+    # the train side is read by the weights, the indexer and every pass of a fit: written, as are its features
     train, test = features.split(_model_rows(spark, sf), _KEY, 80, seed=7)
-    fm, train_f = features.build_features(features.class_weights(train, "label"), _NUM, _CAT)
-    return train_f, fm.transform(test)
+    fm, train_f = features.build_features(features.class_weights(io.stage(train), "label"), _NUM, _CAT)
+    return io.stage(train_f.select(*_KEY, "label", "classWeights", "features")), fm.transform(test)
 
 
 def _scores(scored, decimals, *more):

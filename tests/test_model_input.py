@@ -10,6 +10,15 @@ def _written(df):
     return bool(files) and all("/aloft-stage-" in f for f in files)
 
 
+def test_train_side_is_written(spark):
+    train, test = catalog._model_input(spark, SF_SMALL)
+    assert _written(train) and features.feature_names(train) == features.feature_names(test) != []
+    rows = catalog._model_rows(spark, SF_SMALL)
+    want, _ = features.split(rows, catalog._KEY, 80, seed=7)
+    got = train.select(*catalog._KEY, "label")
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count() < rows.count()
+
+
 def test_learning_curve_fits_written_features(spark):
     seen = []
 
