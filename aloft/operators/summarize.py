@@ -51,14 +51,14 @@ def _group(by: Sequence[str]) -> Column:
 
 
 def group_percentile(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                     suffix: str = "_md") -> DataFrame:
+                     suffix: str = "_md", weight: str | None = None) -> DataFrame:
     """Exact interpolated percentile of several columns per group, all columns in one pass.
 
     Nulls and NaN are missing values and ignored; a group without a value gives
-    null.  A null key is a group of its own.
+    null.  A null key is a group of its own.  ``weight``: as in ``exact_quantiles``.
     """
     keys = list(keys)
-    q = exact_quantiles(df, cols, [prob], by=keys)
+    q = exact_quantiles(df, cols, [prob], by=keys, weight=weight)
     wide = q.groupBy("__g").agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c + suffix) for c in cols])
     return df.select(_group(keys).alias("__g")).distinct().join(wide, "__g", "left") \
         .select(*[F.col("__g").getField(k).alias(k) for k in keys], *[c + suffix for c in cols])
@@ -97,7 +97,7 @@ def rank_error(k: int) -> float:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] | Mapping[str, Sequence[float]], by: Sequence[str] = (),
-                    sketch_k: int = 8192, margin: float = 1.5) -> DataFrame:
+                    sketch_k: int = 8192, margin: float = 1.5, weight: str | None = None) -> DataFrame:
     """Exact interpolated quantiles of several columns per group: (__g, column, prob, value); ``probs`` for all or per column.
 
     Equal to ``percentile(col, p)`` over the values that are neither null nor
@@ -112,14 +112,24 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] |
 
     The counts are exact, so they show whether a bracket held its rank; where one did not, step 2 is run again for that
     group with four times the margin, until the bracket is the whole group.  The result does not depend on the sketches.
+
+    ``weight`` names a whole number: a row stands for so many equal rows (none: zero, negative or null).  Only groups of
+    more than ``sketch_k`` rows get a sketch, made of the repeated values, as it takes no weights; in step 2 weights are added up.
     """
     probs = {c: list(probs[c] if isinstance(probs, Mapping) else probs) for c in cols}
     names = list(cols)
     spark = df.sparkSession
     values = [F.nanvl(F.col(c).cast("double") + 0.0, F.lit(None).cast("double")).alias(f"__v{i}") for i, c in enumerate(names)]
-    src = df.select(_group(by).alias("__g"), *values)
-    made = [x for i in range(len(names)) for x in (F.count(f"__v{i}").alias(f"__n{i}"), F.kll_sketch_agg_double(f"__v{i}", F.lit(sketch_k)).alias(f"__s{i}"))]
-    sketches = stage(src.groupBy("__g").agg(*made))
+    sketch = [F.kll_sketch_agg_double(f"__v{i}", F.lit(sketch_k)).alias(f"__s{i}") for i in range(len(names))]
+    if weight is None:
+        src = df.select(_group(by).alias("__g"), *values)
+        sketches = stage(src.groupBy("__g").agg(*[F.count(f"__v{i}").alias(f"__n{i}") for i in range(len(names))], *sketch))
+    else:
+        src = df.where(F.col(weight) > 0).select(_group(by).alias("__g"), *values, F.col(weight).cast("long").alias("__w"))
+        counts = [F.coalesce(F.sum(F.when(F.col(f"__v{i}").isNotNull(), F.col("__w"))), F.lit(0)).alias(f"__n{i}") for i in range(len(names))]
+        sizes = stage(src.groupBy("__g").agg(F.count(F.lit(1)).alias("__m"), *counts))
+        large = src.join(sizes.where(F.col("__m") > sketch_k).select("__g"), "__g", "left_semi")
+        sketches = stage(sizes.drop("__m").join(_repeated(large, "__w").groupBy("__g").agg(*sketch), "__g", "left"))
     parts, width = [], margin * rank_error(sketch_k) + 1 / sketch_k
     rest = sketches
     while True:
@@ -140,6 +150,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] |
     return res.join(F.broadcast(name), "i").select("__g", "column", "prob", value.alias("value"))
 
 
+def _repeated(df: DataFrame, weight: str, run: int = 4096) -> DataFrame:
+    """Each row ``weight`` times, in runs of at most ``run`` (no array grows with a weight's value beyond weight / run)."""
+    runs = df.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(weight) - 1) / run).cast("long"))))
+    last = F.least(F.lit(run).cast("long"), F.col(weight) - F.col("__run") * run)
+    return runs.withColumn("__run", F.explode(F.sequence(F.lit(1).cast("long"), last))).drop("__run")
+
+
 def _brackets(sketches: DataFrame, probs: Sequence[Sequence[float]], width: float, small: int) -> DataFrame:
     """Per group, for each column an array ``__b<i>`` of (prob, n, lo, hi): lo <= the wanted order statistics <= hi, most likely."""
     out = []
@@ -162,8 +179,9 @@ def _between(src: DataFrame, brackets: DataFrame, probs: Sequence[Sequence[float
                                                       F.when(b["lo"].isNull() | (v >= b["lo"]), v).alias("v")))       # null: below the bracket
         return F.coalesce(rows, F.array().cast("array<struct<i:int,prob:double,n:bigint,v:double>>"))
 
-    rows = src.join(brackets, "__g").select("__g", F.explode(F.concat(*[kept(i) for i in range(len(probs))])).alias("x"))
-    counted = rows.groupBy("__g", "x.i", "x.prob", "x.n", "x.v").agg(F.count(F.lit(1)).alias("c"))
+    weight = [c for c in src.columns if c == "__w"]
+    rows = src.join(brackets, "__g").select("__g", *weight, F.explode(F.concat(*[kept(i) for i in range(len(probs))])).alias("x"))
+    counted = rows.groupBy("__g", "x.i", "x.prob", "x.n", "x.v").agg((F.sum("__w") if weight else F.count(F.lit(1))).alias("c"))
     slot = ["__g", "i", "prob", "n"]
     upto = counted.withColumn("upto", F.sum("c").over(Window.partitionBy(*slot).orderBy(F.col("v").asc_nulls_first())))
     at = (F.col("n") - 1) * F.col("prob")
@@ -172,15 +190,19 @@ def _between(src: DataFrame, brackets: DataFrame, probs: Sequence[Sequence[float
 
 
 def impute_by_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str], prob: float = 0.5,
-                    suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False) -> DataFrame:
+                    suffix: str = "_imp", stat_suffix: str = "_md", keep_stats: bool = False,
+                    counted: DataFrame | None = None, weight: str | None = None) -> DataFrame:
     """``coalesce(value, percentile of its group)`` for each column.
 
     The group statistic is computed once per group and left-joined back on
     the group (null keys included), so row count is unchanged.  Nulls and NaN are
     missing and get imputed; groups without a value give null (the source's
     NaN), which a later ``drop_null`` removes.
+
+    ``counted`` is ``df`` with equal rows of (keys, cols) put together and their number in ``weight``, where the caller
+    has such a table: the statistics are then made of it, without a pass over the rows.
     """
-    stats = group_percentile(df, keys, cols, prob, stat_suffix)
+    stats = group_percentile(df if counted is None else counted, keys, cols, prob, stat_suffix, weight)
     # written (its parts are, already): the planner knows its size and does not shuffle the rows for a small one
     stats = stage(stats.select(_group(list(keys)).alias("__g"), *[c + stat_suffix for c in cols]))
     out = df.withColumn("__g", _group(list(keys))).join(stats, on="__g", how="left").drop("__g")

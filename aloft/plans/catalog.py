@@ -611,11 +611,11 @@ def learning_curve(spark, sf):
 
 
 # ---------------------------------------------------------------- the study end to end
-def _study_table(spark, sf):
+def _study_table(spark, sf, columns=None):
     from aloft.plans import flight_study as fs
     tb = fs.TestBinding()
     return fs.feature_table(b.study_flights(spark, sf), b.study_observations(spark, sf), b.study_places(spark, sf),
-                            b.study_state_tz(spark), b.study_city_tz(spark), tb.fspec, tb.ospec)
+                            b.study_state_tz(spark), b.study_city_tz(spark), tb.fspec, tb.ospec, columns=columns or fs.FINAL)
 
 
 def study_features(spark, sf):

@@ -16,6 +16,8 @@ KEY, SEED = "FLIGHT_IDX", 7
 CATEGORIES = ["MONTH", "DAY_OF_WEEK", "DEP_TIME_BLK"]
 NUMBERS = ["PREV_DEP_DELAY", "PREV_DEP_DEL15", "PREP_TIME", "HOURLY_DELAY_RATE", "HOURLY_NUM_OF_FLIGHTS", "PREV_CRS_ELAPSED_TIME",
            "Temperature_imp", "WindSpeed_imp", "CloudMode_binary", "VerticalVisibility_imp", "DewPointTemp_imp"]
+# of the study's feature table
+COLUMNS = (KEY, "DEP_DEL15", *CATEGORIES, *NUMBERS)
 FRACTIONS = (1.0, 0.5, 0.25)
 CUTOFF = 1.0
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from aloft.plans import bindings as b
 from aloft.plans import flight_study as fs
+from aloft.plans import study_models as sm
 from aloft.sources.io import stage, stage_bucketed
 from conftest import SF_SMALL
 
@@ -62,3 +63,49 @@ def test_weather_by_place_and_clock_is_that_of_the_flights(spark):
     clocks = f.select(F.col("ORIGIN").alias("IATA"), "CRS_DEP_UTC").distinct()
     near = fs.near_stations(places, w.select("STATION_ID", "STATION_LAT", "STATION_LON"))
     assert 0 < fs.weather_by_clock(clocks, w, near).count() <= clocks.count() < f.count()
+
+
+def test_the_result_is_written_without_the_rows_it_drops_and_medians_come_from_clocks(spark, monkeypatch):
+    flights, obs, places, *zones = _inputs(spark)
+    tb, kept = fs.TestBinding(), []
+    monkeypatch.setattr(fs, "stage", lambda df: kept.append(stage(df)) or kept[-1])
+    out = fs.feature_table(flights, obs, places, *zones, tb.fspec, tb.ospec)
+    wide = [t for t in kept if {"TAIL_NUM", "AIRPORT_ALTITUDE"} <= set(t.columns)]
+    # what no later step reads is not written with the prepared flights
+    assert not {"DEP_LOCAL", "HOURLY_MINUTE_OF_DELAY", "ORIGIN_STATE_ABR"} & set(wide[0].columns)
+    assert wide[1].columns == list(fs.FINAL) and wide[1].count() == out.count() < wide[0].count()
+    (clocks,) = [t for t in kept if "FLIGHTS" in t.columns and "WindSpeed" in t.columns]
+    assert clocks.agg(F.sum("FLIGHTS")).first()[0] == wide[0].count()
+    # several flights of a clock, flights without a clock: the medians count flights, not clocks
+    f = wide[0].unionByName(wide[0].where("FLIGHT_IDX % 3 = 0").withColumn("FLIGHT_IDX", -F.col("FLIGHT_IDX")))
+    f = stage(f.withColumn("CRS_DEP_UTC", F.when(F.col("FLIGHT_IDX") % 11 != 0, F.col("CRS_DEP_UTC"))))
+    w = stage(fs.clean_observations(obs, tb.ospec).where("STATION_ID % 2 = 0 or WindSpeed > 60"))
+    near = fs.near_stations(places, w.select("STATION_ID", "STATION_LAT", "STATION_LON"))
+    clocks = fs.counted_clocks(f, w, near, keep=stage)
+    by_clock = fs.finish(fs.weather_for_flights(f, w, places, near=near, key=None, clocks=clocks), clocks)
+    by_flight = fs.finish(fs.weather_for_flights(f, w, places, near=near))
+    assert by_clock.exceptAll(by_flight).count() == 0 and by_flight.exceptAll(by_clock).count() == 0 and by_clock.count() > 0
+
+
+def test_only_wanted_columns_are_carried(spark, monkeypatch):
+    flights, obs, places, *zones = _inputs(spark)
+    tb, kept = fs.TestBinding(), []
+    whole = fs.feature_table(flights, obs, places, *zones, tb.fspec, tb.ospec).select(*sm.COLUMNS)
+    monkeypatch.setattr(fs, "stage", lambda df: kept.append(stage(df)) or kept[-1])
+    part = fs.feature_table(flights, obs, places, *zones, tb.fspec, tb.ospec, columns=sm.COLUMNS)
+    assert part.columns == list(sm.COLUMNS)
+    assert part.exceptAll(whole).count() == 0 and whole.exceptAll(part).count() == 0 and part.count() > 0
+    assert not any({"DEST_CITY_NAME", "PREV_FLIGHT_IDX", "OP_UNIQUE_CARRIER"} & set(t.columns) for t in kept)
+
+
+def test_names_are_read_for_the_readings_of_near_stations_only(spark):
+    _, obs, *_ = _inputs(spark)
+    tb = fs.TestBinding()
+    # a station that has a name outside the region on some readings
+    obs = stage(obs.withColumn("name", F.when(F.col("WND").startswith("1"), F.lit("TORONTO, ON CA")).otherwise(F.col("name"))))
+    regional = stage(fs.regional_stations(obs, tb.ospec).where("station <= 3"))
+    got, want = fs.clean_observations(obs, tb.ospec, near=regional), fs.clean_observations(obs, tb.ospec).where("STATION_ID <= 3")
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+    assert 0 < got.count() < obs.where("station <= 3").count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "substring_index" in line for line in plan.splitlines()), plan

@@ -98,3 +98,20 @@ def test_ledger_and_audit(spark):
     assert led == [(0, 5, 3.0), (1, 4, 3.0), (2, 3, 2.0)]
     a = profile.audit_unique(df, ["k"]).first()
     assert (a.n_rows, a.n_keys, a.n_dup_keys, a.n_rows_in_dups) == (5, 3, 2, 4)
+
+
+@pytest.mark.parametrize("sketch_k", [8, 8192])
+def test_weighted_quantiles_are_those_of_the_repeated_rows(spark, sketch_k):
+    v = F.when(F.col("id") % 7 != 0, (F.col("id") * 37 % 101).cast("double"))
+    df = spark.range(400).select(F.when(F.col("id") % 9 != 0, F.col("id") % 3).alias("g"), v.alias("v"),
+                                 F.when(F.col("id") % 5 == 0, float("nan")).otherwise(-v).alias("w"), (F.col("id") * 11 % 6).alias("n"))
+    df = df.unionByName(spark.createDataFrame([(7, 1.0, None, 5000), (7, 2.0, None, 4999), (8, None, None, 3), (9, 4.0, 4.0, None)], df.schema))
+    probs, repeated = [0.1, 0.5, 0.93], df.where("n > 0").withColumn("n", F.expr("explode(array_repeat(1, int(n)))"))
+
+    def told(t, **kw):
+        return sorted((str(r["__g"].g), r.column, r.prob, r.value) for r in summarize.exact_quantiles(t, ["v", "w"], probs, by=["g"], sketch_k=sketch_k, **kw).collect())
+
+    assert told(df, weight="n") == told(repeated) and ("7", "v", 0.5, 1.0) in told(df, weight="n")
+    own = summarize.impute_by_group(df, ["g"], ["v"], keep_stats=True, counted=df, weight="n")
+    want = dict(rows(summarize.group_percentile(repeated, ["g"], ["v"])))
+    assert own.count() == df.count() and all(r.v_md == want.get(r.g) for r in own.collect())
