@@ -647,17 +647,17 @@ def study_model(spark, sf):
 
 def study_importance(spark, sf):
     from aloft.plans import study_models as sm
-    return sm.importance(spark, _study_table(spark, sf))
+    return sm.importance(spark, _study_table(spark, sf, sm.COLUMNS))
 
 
 def study_selected(spark, sf):
     from aloft.plans import study_models as sm
-    return _metric_cols(sm.selected(spark, _study_table(spark, sf)), "side", "n_slots", "slots")
+    return _metric_cols(sm.selected(spark, _study_table(spark, sf, sm.COLUMNS)), "side", "n_slots", "slots")
 
 
 def study_learning_curve(spark, sf):
     from aloft.plans import study_models as sm
-    return _metric_cols(sm.learning_curve(_study_table(spark, sf)), "fraction", "side")
+    return _metric_cols(sm.learning_curve(_study_table(spark, sf, sm.COLUMNS)), "fraction", "side")
 
 
 def study_fraction_rows(spark, sf):
@@ -677,12 +677,12 @@ def study_gradient(spark, sf):
 
 def study_curve_areas(spark, sf):
     from aloft.plans import study_models as sm
-    return sm.curve_areas(_study_table(spark, sf)).select("model", "side", _r("average_precision").alias("average_precision"), _r("roc_auc").alias("roc_auc"))
+    return sm.curve_areas(_study_table(spark, sf, sm.COLUMNS)).select("model", "side", _r("average_precision").alias("average_precision"), _r("roc_auc").alias("roc_auc"))
 
 
 def study_roc_curve(spark, sf):
     from aloft.plans import study_models as sm
-    return sm.roc_curve(_study_table(spark, sf))
+    return sm.roc_curve(_study_table(spark, sf, sm.COLUMNS))
 
 
 QUERIES: dict[str, Query] = {name: fn for name, fn in {

@@ -1,10 +1,12 @@
 """What the study's table moves: usable readings, one summary per place and clock, no flights shuffled for a small table."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from aloft.plans import bindings as b
 from aloft.plans import flight_study as fs
 from aloft.plans import study_models as sm
+from aloft.plans.catalog import QUERIES
 from aloft.sources.io import stage, stage_bucketed
 from conftest import SF_SMALL
 
@@ -109,3 +111,19 @@ def test_names_are_read_for_the_readings_of_near_stations_only(spark):
     assert 0 < got.count() < obs.where("station <= 3").count()
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Filter" in line and "substring_index" in line for line in plan.splitlines()), plan
+
+
+@pytest.mark.parametrize("query,columns", [
+    ("study_roc_curve", sm.COLUMNS),
+])
+def test_queries_carry_only_the_columns_they_read(spark, monkeypatch, query, columns):
+    class Asked(Exception):
+        pass
+
+    def ask(*_, columns=fs.FINAL, **__):
+        raise Asked(columns)
+
+    monkeypatch.setattr(fs, "feature_table", ask)
+    with pytest.raises(Asked) as asked:
+        QUERIES[query](spark, SF_SMALL)
+    assert set(asked.value.args[0]) == set(columns) < set(fs.FINAL)
