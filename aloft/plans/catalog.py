@@ -618,17 +618,17 @@ def _study_table(spark, sf, columns=None):
                             b.study_state_tz(spark), b.study_city_tz(spark), tb.fspec, tb.ospec, columns=columns or fs.FINAL)
 
 
-def study_features(spark, sf):
+def study_features(spark, sf, columns=None):
     from aloft.plans import flight_study as fs
-    out = _study_table(spark, sf)
+    out = _study_table(spark, sf, columns)
     measures = {"HOURLY_DELAY_RATE", "WindAngle", "SeaLevelPressure", *[c + "_imp" for c in fs.IMPUTED]}
-    return out.select(*[_r(c).alias(c) if c in measures else F.col(c) for c in fs.FINAL])
+    return out.select(*[_r(c).alias(c) if c in measures else F.col(c) for c in columns or fs.FINAL])
 
 
 def study_correlation(spark, sf):
-    """All pairs of the numeric columns of the study's table."""
+    """All pairs of the numeric columns of the study's table (which is written already)."""
     from aloft.plans import flight_study as fs
-    return profile.correlation_matrix(io.stage(study_features(spark, sf)), fs.NUMERIC).select("col_a", "col_b", _r("corr").alias("corr"))
+    return profile.correlation_matrix(study_features(spark, sf, fs.NUMERIC), fs.NUMERIC).select("col_a", "col_b", _r("corr").alias("corr"))
 
 
 def study_model(spark, sf):
