@@ -662,7 +662,7 @@ def study_learning_curve(spark, sf):
 
 def study_fraction_rows(spark, sf):
     from aloft.plans import study_models as sm
-    return sm.fraction_rows(_study_table(spark, sf))
+    return sm.fraction_rows(_study_table(spark, sf, sm.COLUMNS))
 
 
 def study_tuned(spark, sf):
