@@ -635,10 +635,7 @@ def study_model(spark, sf):
     """The study's basic models on its own feature table: metrics of train and test for each."""
     from aloft.operators import models
     from aloft.plans import study_models as sm
-    rows = sm.model_rows(_study_table(spark, sf))
-    train, test = features.split(rows, sm.KEY, 80, seed=7)
-    fm, train_f = features.build_features(features.class_weights(train, "label"), sm.NUMBERS, sm.CATEGORIES)
-    test_f, out = fm.transform(test), None
+    (train_f, test_f), out = sm.train_and_test(_study_table(spark, sf, sm.COLUMNS)), None
     for name, est in (("logistic", models.logistic(max_iter=50)), ("forest", models.forest(seed=7))):
         m = models.train_and_test_metrics(est.fit(train_f), train_f, test_f).withColumn("model", F.lit(name))
         out = m if out is None else out.unionByName(m)
