@@ -669,7 +669,7 @@ def study_tuned(spark, sf):
 
 def study_gradient(spark, sf):
     from aloft.plans import study_models as sm
-    return sm.gradient(_study_table(spark, sf))
+    return sm.gradient(_study_table(spark, sf, sm.COLUMNS))
 
 
 def study_curve_areas(spark, sf):
