@@ -664,7 +664,7 @@ def study_fraction_rows(spark, sf):
 
 def study_tuned(spark, sf):
     from aloft.plans import study_models as sm
-    return _metric_cols(sm.tuned(_study_table(spark, sf)), "side", F.col("regParam").alias("reg_param"), F.col("maxIter").alias("max_iter"))
+    return _metric_cols(sm.tuned(_study_table(spark, sf, sm.COLUMNS)), "side", F.col("regParam").alias("reg_param"), F.col("maxIter").alias("max_iter"))
 
 
 def study_gradient(spark, sf):

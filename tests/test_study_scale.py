@@ -119,6 +119,7 @@ def test_names_are_read_for_the_readings_of_near_stations_only(spark):
     ("study_fraction_rows", sm.COLUMNS),
     ("study_model", sm.COLUMNS),
     ("study_gradient", sm.COLUMNS),
+    ("study_tuned", sm.COLUMNS),
 ])
 def test_queries_carry_only_the_columns_they_read(spark, monkeypatch, query, columns):
     class Asked(Exception):
